@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import round6
-from ..operators import impute, outlier
+from ..operators import impute, outlier, quality, stats, summaries
+from ..operators.groupstats import group_modes
 from ..sources import derived as dv
+from ..sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +82,491 @@ SELECT o_orderkey, o_custkey, round({ffbf_sql('value')}, 6) AS value FROM {TO_VA
 def q_ffill_bfill(spark, d):
     out = impute.ffill_bfill(orders_value(spark, d), TO, ["value"])
     return out.select("o_orderkey", "o_custkey", round6("value").alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# audits
+
+@query("q_malformed_audit", f"""
+SELECT raw, count(*) AS count FROM {dv.TO_RAW_SQL}
+WHERE raw IS NOT NULL AND NOT regexp_full_match(raw, '{tx.UNSIGNED_FLOAT}') GROUP BY raw""")
+def q_malformed_audit(spark, d):
+    return quality.malformed(dv.orders_raw(spark, d), "raw", tx.UNSIGNED_FLOAT)
+
+
+ACCT_TEXT_SQL = "CAST(CAST(trunc(c_acctbal) AS BIGINT) AS VARCHAR)"
+
+
+@query("q_nonint_audit", f"""
+SELECT value, count(*) AS count FROM (SELECT {ACCT_TEXT_SQL} AS value FROM customer)
+WHERE NOT regexp_full_match(value, '{tx.DIGITS}') GROUP BY value""")
+def q_nonint_audit(spark, d):
+    c = read_table(spark, d, "customer", ["c_acctbal"])
+    t = c.select(F.col("c_acctbal").cast("long").cast("string").alias("value"))
+    return quality.malformed(t, "value", tx.DIGITS)
+
+
+@query("q_key_pattern", """
+SELECT contains(c_name, 'Customer#') AS matches, count(*) AS count FROM customer GROUP BY 1""")
+def q_key_pattern(spark, d):
+    return quality.pattern_counts(read_table(spark, d, "customer", ["c_name"]), "c_name", "Customer#")
+
+
+@query("q_nulls_by_column", f"""
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderdate, raw, {REPAIR_SQL} AS value FROM {dv.TO_RAW_SQL})
+SELECT 'o_orderkey' AS "column", count(*) FILTER (WHERE o_orderkey IS NULL) AS nulls, count(o_orderkey) AS non_null FROM t
+UNION ALL SELECT 'o_custkey', count(*) FILTER (WHERE o_custkey IS NULL), count(o_custkey) FROM t
+UNION ALL SELECT 'o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL), count(o_orderdate) FROM t
+UNION ALL SELECT 'raw', count(*) FILTER (WHERE raw IS NULL), count(raw) FROM t
+UNION ALL SELECT 'value', count(*) FILTER (WHERE value IS NULL), count(value) FROM t""")
+def q_nulls_by_column(spark, d):
+    raw = dv.orders_raw(spark, d).withColumn("value", repair_value())
+    return stats.null_counts(raw)
+
+
+@query("q_info", f"""
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderdate, raw, {REPAIR_SQL} AS value FROM {dv.TO_RAW_SQL})
+SELECT 0 AS position, 'o_orderkey' AS "column", 'bigint' AS type, count(o_orderkey) AS non_null FROM t
+UNION ALL SELECT 1, 'o_custkey', 'bigint', count(o_custkey) FROM t
+UNION ALL SELECT 2, 'o_orderdate', 'timestamp_ntz', count(o_orderdate) FROM t
+UNION ALL SELECT 3, 'raw', 'string', count(raw) FROM t
+UNION ALL SELECT 4, 'value', 'double', count(value) FROM t""")
+def q_info(spark, d):
+    raw = dv.orders_raw(spark, d).withColumn("value", repair_value())
+    return stats.info(raw)
+
+
+@query("q_require_complete", f"""
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderdate, raw FROM {dv.TO_RAW_SQL} WHERE raw IS NOT NULL)
+SELECT count(*) AS _rows, least(count(o_orderkey), count(o_custkey), count(o_orderdate), count(raw)) AS min_non_null,
+       greatest(count(o_orderkey), count(o_custkey), count(o_orderdate), count(raw)) AS max_non_null,
+       least(count(o_orderkey), count(o_custkey), count(o_orderdate), count(raw))
+         = greatest(count(o_orderkey), count(o_custkey), count(o_orderdate), count(raw)) AS complete
+FROM t""")
+def q_require_complete(spark, d):
+    raw = quality.require_columns(dv.orders_raw(spark, d), ["o_orderkey", "o_custkey", "o_orderdate", "raw"])
+    return quality.completeness(quality.drop_missing_target(raw, "raw"))
+
+
+# ---------------------------------------------------------------------------
+# rules
+
+@query("q_range_rule", f"""
+SELECT o_orderkey, round(CASE WHEN value > 450000 OR value <= 5000 THEN NULL ELSE value END, 6) AS value
+FROM {TO_VALUE_SQL}""")
+def q_range_rule(spark, d):
+    v = orders_value(spark, d)
+    out = outlier.null_where(v, "value", (F.col("value") > 450000) | (F.col("value") <= 5000))
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+EV_FENCE_SQL = """(SELECT min(value) AS min_value, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3,
+  quantile_cont(value, 0.25) - 1.5 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) AS lower,
+  quantile_cont(value, 0.75) + 1.5 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) AS upper,
+  max(value) AS max_value FROM events)"""
+
+
+@query("q_fences", f"""
+SELECT round(min_value, 6) AS min_value, round(q1, 6) AS q1, round(q3, 6) AS q3, round(lower, 6) AS lower,
+       round(upper, 6) AS upper, round(max_value, 6) AS max_value FROM {EV_FENCE_SQL}""")
+def q_fences(spark, d):
+    f = outlier.iqr_fences(dv.events(spark, d, ["value"]), "value")
+    return f.select(*[round6(c).alias(c) for c in f.columns])
+
+
+@query("q_iqr_fence_rule", f"""
+SELECT event_id, round(CASE WHEN value > f.upper OR value < 0 THEN NULL ELSE value END, 6) AS value
+FROM events, {EV_FENCE_SQL} f""")
+def q_iqr_fence_rule(spark, d):
+    out = outlier.fence_rule(dv.events(spark, d, ["event_id", "value"]), "value")
+    return out.select("event_id", round6("value").alias("value"))
+
+
+@query("q_fence_untouched", f"""
+SELECT CAST(floor(value / 100) AS BIGINT) AS value_hundreds, count(*) AS count FROM events, {EV_FENCE_SQL} f
+WHERE NOT (value > f.upper OR value < 0) AND value > f.q3 GROUP BY 1""")
+def q_fence_untouched(spark, d):
+    """What a repair left alone: values above q3 that the fence kept,
+    by hundreds."""
+    ev = dv.events(spark, d, ["event_id", "value"])
+    f = outlier.iqr_fences(ev, "value")
+    kept = ev.crossJoin(F.broadcast(f)).where(~((F.col("value") > F.col("upper")) | (F.col("value") < 0))
+                                              & (F.col("value") > F.col("q3")))
+    return stats.value_counts(kept.select(F.floor(F.col("value") / 100).cast("long").alias("value_hundreds")),
+                              "value_hundreds")
+
+
+# ---------------------------------------------------------------------------
+# describe / summaries
+
+def _describe_sql(table: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(
+            f"SELECT '{c}' AS \"column\", count({c}) AS count, round(avg({c}), 6) AS mean, "
+            f"round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, "
+            f"round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+            f"round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+@query("q_describe_num", _describe_sql(f"(SELECT CAST(user_id AS DOUBLE) AS user_id, value FROM events)",
+                                       ["value", "user_id"]))
+def q_describe_num(spark, d):
+    out = stats.describe_numeric(dv.events(spark, d, ["value", "user_id"]), ["value", "user_id"])
+    return out.select("column", "count", *[round6(c).alias(c) for c in
+                                           ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@query("q_describe_cat", """
+WITH t AS (SELECT 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders
+           UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders),
+vc AS (SELECT "column", value, count(*) AS c FROM t WHERE value IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY c DESC, value) AS rn FROM vc)
+SELECT "column", sum(c) AS count, count(*) AS "unique", max(CASE WHEN rn = 1 THEN value END) AS top,
+       max(c) AS freq FROM r GROUP BY "column\"""")
+def q_describe_cat(spark, d):
+    o = read_table(spark, d, "orders", ["o_orderstatus", "o_orderpriority"])
+    return stats.describe_categorical(o, ["o_orderstatus", "o_orderpriority"])
+
+
+def _z_sql(src: str, g: str, v: str) -> str:
+    """DuckDB text of G10 over ``src`` grouped by ``g`` (adds med, mad, z)."""
+    return f"""(WITH m AS (SELECT *, median({v}) OVER (PARTITION BY {g}) AS med FROM {src}),
+s AS (SELECT *, median(abs({v} - med)) OVER (PARTITION BY {g}) AS mad,
+      sum(CASE WHEN abs({v} - med) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY {g})
+        = count({v}) OVER (PARTITION BY {g}) AS alleq FROM m),
+mm AS (SELECT max(mad) AS maxmad FROM s WHERE {g} IS NOT NULL)
+SELECT s.*, maxmad, CASE WHEN {v} IS NULL THEN NULL WHEN mad <> 0 THEN ({v} - med) / mad
+  WHEN alleq THEN {v} * 0 WHEN maxmad <> 0 THEN ({v} - med) / maxmad
+  WHEN {v} - med > 0 THEN CAST('inf' AS DOUBLE) WHEN {v} - med < 0 THEN CAST('-inf' AS DOUBLE) ELSE 0.0 END AS z
+FROM s, mm)"""
+
+
+def _fence_row_sql(kind: str, x: str, src: str) -> str:
+    return (f"SELECT '{kind}' AS kind, round(min({x}), 6) AS min_value, "
+            f"round(quantile_cont({x}, 0.25) - 1.5 * (quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)), 6) AS lower, "
+            f"round(quantile_cont({x}, 0.75) + 1.5 * (quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25)), 6) AS upper, "
+            f"round(max({x}), 6) AS max_value, round(max(maxmad), 6) AS max_mad FROM {src}")
+
+
+@query("q_column_summary",
+       "WITH z AS " + _z_sql("(SELECT user_id, value FROM events)", "user_id", "value") + " "
+       + _fence_row_sql("absolute", "value", "z") + " UNION ALL "
+       + _fence_row_sql("median_standardization", "z", "z"))
+def q_column_summary(spark, d):
+    ev = dv.events(spark, d, ["user_id", "value"])
+    summ = summaries.column_summary(ev, TE, "value")
+    return summ.select("kind", *[round6(c).alias(c) for c in ("min_value", "lower", "upper", "max_value",
+                                                              "max_mad")])
+
+
+# ---------------------------------------------------------------------------
+# frequencies
+
+@query("q_value_counts", "SELECT event_type, count(*) AS count FROM events WHERE event_type IS NOT NULL GROUP BY 1")
+def q_value_counts(spark, d):
+    return stats.value_counts(dv.events(spark, d, ["event_type"]), "event_type")
+
+
+@query("q_value_share", """
+SELECT event_type, round(count(*) / (SELECT count(event_type) FROM events), 6) AS share
+FROM events WHERE event_type IS NOT NULL GROUP BY 1""")
+def q_value_share(spark, d):
+    vs = stats.value_counts(dv.events(spark, d, ["event_type"]), "event_type", normalize=True, name="share")
+    return vs.select("event_type", round6("share").alias("share"))
+
+
+@query("q_nunique_hist", """
+SELECT n, count(*) AS groups FROM (SELECT user_id, count(DISTINCT event_type) AS n FROM events GROUP BY 1) GROUP BY 1""")
+def q_nunique_hist(spark, d):
+    return stats.per_group_hist(dv.events(spark, d, ["user_id", "event_type"]), TE, "event_type", "nunique")
+
+
+@query("q_count_hist", f"""
+SELECT n, count(*) AS groups FROM (SELECT o_custkey, count(value) AS n FROM {TO_VALUE_SQL} GROUP BY 1) GROUP BY 1""")
+def q_count_hist(spark, d):
+    return stats.per_group_hist(orders_value(spark, d), TO, "value", "count")
+
+
+MODES_SQL = f"""(WITH vc AS (SELECT o_custkey, bucket, count(*) AS c FROM {dv.TO_BUCKET_SQL}
+                 WHERE bucket IS NOT NULL GROUP BY ALL),
+  mx AS (SELECT o_custkey, max(c) AS mx FROM vc GROUP BY ALL)
+  SELECT vc.o_custkey, bucket, c FROM vc JOIN mx ON vc.o_custkey = mx.o_custkey WHERE c = mx)"""
+
+
+@query("q_modes", f"SELECT o_custkey, bucket AS mode, c AS freq FROM {MODES_SQL}")
+def q_modes(spark, d):
+    m = group_modes(dv.orders_bucketed(spark, d), TO, "bucket")
+    return m.select("o_custkey", F.col("bucket").alias("mode"), F.col("_c").alias("freq"))
+
+
+@query("q_num_modes", f"""
+WITH g AS (SELECT DISTINCT o_custkey FROM orders),
+n AS (SELECT o_custkey, count(*) AS k FROM {MODES_SQL} GROUP BY 1)
+SELECT coalesce(k, 0) AS n_modes, count(*) AS groups FROM g LEFT JOIN n USING (o_custkey) GROUP BY 1""")
+def q_num_modes(spark, d):
+    nm = stats.num_modes(dv.orders_bucketed(spark, d), TO, "bucket")
+    return nm.groupBy("n_modes").agg(F.count(F.lit(1)).alias("groups"))
+
+
+MODE_SHARE_SQL = f"""(WITH g AS (SELECT o_custkey, count(*) AS n_rows, count(bucket) AS non_null
+                      FROM {dv.TO_BUCKET_SQL} GROUP BY 1),
+  f AS (SELECT o_custkey, max(c) AS mode_freq FROM {MODES_SQL} GROUP BY 1)
+  SELECT g.o_custkey, n_rows, non_null, mode_freq,
+         CASE WHEN non_null > 0 THEN mode_freq / non_null END AS mode_share
+  FROM g LEFT JOIN f ON g.o_custkey = f.o_custkey)"""
+
+
+@query("q_mode_share", f"""
+SELECT o_custkey, n_rows, non_null, mode_freq, round(mode_share, 6) AS mode_share FROM {MODE_SHARE_SQL}""")
+def q_mode_share(spark, d):
+    ms = stats.mode_share(dv.orders_bucketed(spark, d), TO, "bucket")
+    return ms.withColumn("mode_share", round6("mode_share"))
+
+
+@query("q_mode_dominance", f"""
+SELECT round(sum(CASE WHEN mode_share > 0.5 THEN n_rows ELSE 0 END) / sum(n_rows), 6) AS share_over
+FROM {MODE_SHARE_SQL} WHERE mode_share IS NOT NULL""")
+def q_mode_dominance(spark, d):
+    md = stats.mode_dominance(dv.orders_bucketed(spark, d), TO, "bucket")
+    return md.select(round6("share_over").alias("share_over"))
+
+
+# ---------------------------------------------------------------------------
+# steps and differences
+
+YEARS_SQL = (f"(SELECT o_orderkey, o_custkey, o_orderdate, try_cast(nullif(regexp_extract(history, "
+             f"'{tx.DURATION}', 1), '') AS INTEGER) AS years FROM {dv.TO_DURATION_SQL})")
+
+
+def orders_years(spark, d):
+    h = dv.orders_duration(spark, d)
+    y = F.nullif(F.regexp_extract("history", tx.DURATION, 1), F.lit("")).try_cast("int")
+    return h.select("o_orderkey", "o_custkey", "o_orderdate", y.alias("years"))
+
+
+@query("q_step_rule", f"""
+WITH t AS (SELECT o_custkey, years - lag(years) OVER ({W_TO}) AS d FROM {YEARS_SQL}),
+g AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE d = 0) AS z,
+             count(*) FILTER (WHERE d IN (0, 1)) AS zo, count(*) FILTER (WHERE d = 1) AS o FROM t GROUP BY 1)
+SELECT (z = n - 1) OR (zo = n - 1 AND o = 1) AS valid, count(*) AS groups FROM g GROUP BY 1""")
+def q_step_rule(spark, d):
+    sr = stats.step_rule(orders_years(spark, d), TO, "years")
+    return sr.groupBy("valid").agg(F.count(F.lit(1)).alias("groups"))
+
+
+@query("q_net_change", f"""
+SELECT o_custkey, coalesce(sum(d), 0) AS net_change FROM
+  (SELECT o_custkey, bucket - lag(bucket) OVER ({W_TO}) AS d FROM {dv.TO_BUCKET_SQL}) GROUP BY 1""")
+def q_net_change(spark, d):
+    return stats.net_change(dv.orders_bucketed(spark, d), TO, "bucket")
+
+
+@query("q_diff_freq", f"""
+SELECT d AS diff, count(*) AS count FROM
+  (SELECT bucket - lag(bucket) OVER ({W_TO}) AS d FROM {dv.TO_BUCKET_SQL}) GROUP BY 1""")
+def q_diff_freq(spark, d):
+    return stats.diff_values(dv.orders_bucketed(spark, d), TO, "bucket")
+
+
+# ---------------------------------------------------------------------------
+# fills by group statistics
+
+@query("q_fill_median", f"""
+SELECT o_orderkey, round(coalesce(value, median(value) OVER (PARTITION BY o_custkey)), 6) AS value FROM {TO_VALUE_SQL}""")
+def q_fill_median(spark, d):
+    out = impute.fill_median(orders_value(spark, d), TO, "value")
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+@query("q_set_median", f"""
+SELECT o_orderkey, round(median(value) OVER (PARTITION BY o_custkey), 6) AS value FROM {TO_VALUE_SQL}""")
+def q_set_median(spark, d):
+    out = impute.set_median(orders_value(spark, d), TO, "value")
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+MODE_STATS_SQL = f"""(SELECT o_custkey, count(*) AS n_modes, min(bucket) AS mode_min, avg(bucket) AS mode_mean,
+  median(bucket) AS mode_median FROM {MODES_SQL} GROUP BY 1)"""
+
+
+@query("q_fill_mode_median", f"""
+SELECT o_orderkey, CAST(coalesce(bucket, CASE WHEN n_modes = 1 THEN mode_min ELSE trunc(mode_median) END) AS BIGINT) AS bucket
+FROM {dv.TO_BUCKET_SQL} t LEFT JOIN {MODE_STATS_SQL} m ON t.o_custkey = m.o_custkey""")
+def q_fill_mode_median(spark, d):
+    out = impute.fill_mode_median_int(dv.orders_bucketed(spark, d), TO, "bucket")
+    return out.select("o_orderkey", F.col("bucket").cast("long").alias("bucket"))
+
+
+@query("q_fill_mode_mean", f"""
+SELECT o_orderkey, round(coalesce(bucket, CASE WHEN n_modes = 1 THEN mode_min ELSE mode_mean END), 6) AS bucket
+FROM {dv.TO_BUCKET_SQL} t LEFT JOIN {MODE_STATS_SQL} m ON t.o_custkey = m.o_custkey""")
+def q_fill_mode_mean(spark, d):
+    out = impute.fill_mode_mean(dv.orders_bucketed(spark, d), TO, "bucket")
+    return out.select("o_orderkey", round6("bucket").alias("bucket"))
+
+
+CAT_SQL = (f"(SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN category = '_______' THEN NULL "
+           f"ELSE category END AS category FROM {dv.TO_CATEGORY_SQL})")
+CAT_MODES_SQL = f"""(WITH vc AS (SELECT o_custkey, category, count(*) AS c FROM {CAT_SQL}
+                     WHERE category IS NOT NULL GROUP BY ALL),
+  mx AS (SELECT o_custkey, max(c) AS mx FROM vc GROUP BY ALL)
+  SELECT vc.o_custkey, count(*) AS n_modes, min(category) AS mode_min FROM vc JOIN mx
+  ON vc.o_custkey = mx.o_custkey WHERE c = mx GROUP BY 1)"""
+
+
+def orders_category(spark, d):
+    c = dv.orders_category(spark, d)
+    return c.withColumn("category", tx.placeholder_to_null("category", "_______"))
+
+
+@query("q_fill_mode", f"""
+SELECT o_orderkey, coalesce(category, mode_min) AS category
+FROM {CAT_SQL} t LEFT JOIN {CAT_MODES_SQL} m USING (o_custkey)""")
+def q_fill_mode(spark, d):
+    out = impute.fill_mode(orders_category(spark, d), TO, "category")
+    return out.select("o_orderkey", "category")
+
+
+@query("q_mode_or_fill", f"""
+SELECT o_orderkey, CASE WHEN n_modes = 1 THEN mode_min ELSE {ffbf_sql('category')} END AS category
+FROM {CAT_SQL} t LEFT JOIN {CAT_MODES_SQL} m USING (o_custkey)""")
+def q_mode_or_fill(spark, d):
+    out = impute.mode_or_fill(orders_category(spark, d), TO, "category")
+    return out.select("o_orderkey", "category")
+
+
+# ---------------------------------------------------------------------------
+# deviations
+
+Z_TO_SQL = _z_sql(TO_VALUE_SQL, "o_custkey", "value")
+
+
+@query("q_robust_z", f"SELECT o_orderkey, round(z, 6) AS z FROM {Z_TO_SQL}")
+def q_robust_z(spark, d):
+    out = outlier.robust_z(orders_value(spark, d), TO, "value", "z")
+    return out.select("o_orderkey", round6("z").alias("z"))
+
+
+@query("q_rel_dev", f"""
+SELECT o_orderkey, round(CASE WHEN med <> 0 THEN (value - med) / med WHEN value - med > 0 THEN CAST('inf' AS DOUBLE)
+  WHEN value - med < 0 THEN CAST('-inf' AS DOUBLE) WHEN value - med = 0 THEN 0.0 END, 6) AS rel_dev
+FROM (SELECT *, median(value) OVER (PARTITION BY o_custkey) AS med FROM {TO_VALUE_SQL})""")
+def q_rel_dev(spark, d):
+    out = outlier.rel_dev(orders_value(spark, d), TO, "value", "rel_dev")
+    return out.select("o_orderkey", round6("rel_dev").alias("rel_dev"))
+
+
+@query("q_abs_dev", f"""
+SELECT o_orderkey, round(value - median(value) OVER (PARTITION BY o_custkey), 6) AS abs_dev FROM {TO_VALUE_SQL}""")
+def q_abs_dev(spark, d):
+    out = outlier.abs_dev(orders_value(spark, d), TO, "value", "abs_dev")
+    return out.select("o_orderkey", round6("abs_dev").alias("abs_dev"))
+
+
+@query("q_robust_extremes", f"SELECT o_orderkey, o_custkey, round(z, 6) AS z FROM {Z_TO_SQL} WHERE abs(z) > 2")
+def q_robust_extremes(spark, d):
+    """Rows whose robust z exceeds the threshold."""
+    out = outlier.robust_z(orders_value(spark, d), TO, "value", "z")
+    return out.where(F.abs("z") > 2).select("o_orderkey", "o_custkey", round6("z").alias("z"))
+
+
+@query("q_robust_null", f"""
+WITH n AS (SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN abs(z) > 2 THEN NULL ELSE value END AS value
+           FROM {Z_TO_SQL})
+SELECT o_orderkey, o_custkey, round({ffbf_sql('value')}, 6) AS value FROM n""")
+def q_robust_null(spark, d):
+    """Flagship: repair -> robust z by customer -> null |z| > 2 -> G1 fill."""
+    v = orders_value(spark, d)
+    hot = TO.hot_keys(v)
+    out = outlier.robust_null(v, TO, "value", 2.0, two_sided=True, hot=hot)
+    out = impute.ffill_bfill(out, TO, ["value"], hot=hot)
+    return out.select("o_orderkey", "o_custkey", round6("value").alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# two-key rules
+
+def orders_value_bucket(spark, d):
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
+                                        "o_orderpriority"])
+    return o.select("o_orderkey", "o_custkey", "o_orderdate",
+                    tx.to_number(tx.placeholder_to_null(dv.raw_text(), "_")).alias("value"),
+                    dv.bucket_col().alias("bucket"),
+                    F.when(F.col("o_orderkey") % 9 == 0, F.lit(None)).otherwise(F.col("o_orderpriority"))
+                    .alias("category"))
+
+
+VB_SQL = (f"(SELECT o_orderkey, o_custkey, o_orderdate, {REPAIR_SQL.replace('raw', 'r')} AS value, "
+          f"bucket, category FROM (SELECT o_orderkey, o_custkey, o_orderdate, {dv.RAW_SQL} AS r, "
+          f"{dv.BUCKET_SQL} AS bucket, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderpriority END AS category "
+          f"FROM orders))")
+
+
+@query("q_cond_mode", f"""
+WITH vc AS (SELECT o_custkey, bucket, value, count(*) AS c FROM {VB_SQL}
+            WHERE value IS NOT NULL AND bucket IS NOT NULL GROUP BY ALL),
+mx AS (SELECT o_custkey, bucket, max(c) AS mx FROM vc GROUP BY ALL),
+md AS (SELECT vc.o_custkey, vc.bucket, min(value) AS m FROM vc JOIN mx ON vc.o_custkey = mx.o_custkey
+       AND vc.bucket = mx.bucket WHERE c = mx GROUP BY ALL)
+SELECT o_orderkey, round(CASE WHEN t.bucket IS NOT NULL THEN md.m ELSE t.value END, 6) AS value_mode,
+       round(CASE WHEN t.bucket IS NOT NULL THEN md.m END, 6) AS value_c9
+FROM {VB_SQL} t LEFT JOIN md ON t.o_custkey = md.o_custkey AND t.bucket = md.bucket""")
+def q_cond_mode(spark, d):
+    t = orders_value_bucket(spark, d)
+    g14 = impute.cond_mode(t, TO, "value", "bucket")
+    c9 = g14.withColumn("value_c9", F.when(F.col("bucket").isNull(), F.lit(None)).otherwise(F.col("value")))
+    return c9.select("o_orderkey", round6("value").alias("value_mode"), round6("value_c9").alias("value_c9"))
+
+
+@query("q_fill_two_keys", f"""
+SELECT o_orderkey, round(CASE WHEN category IS NULL THEN value ELSE coalesce(
+  last_value(value IGNORE NULLS) OVER (PARTITION BY o_custkey, category ORDER BY o_orderdate, o_orderkey
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(value IGNORE NULLS) OVER (PARTITION BY o_custkey, category ORDER BY o_orderdate, o_orderkey
+                                        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) END, 6) AS value
+FROM {VB_SQL}""")
+def q_fill_two_keys(spark, d):
+    out = impute.fill_two_keys(orders_value_bucket(spark, d), TO, "value", "category")
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# counter rebuild, global fill, empty groups
+
+@query("q_counter_rebuild", f"""
+WITH t AS (SELECT o_orderkey, o_custkey, o_orderdate,
+             try_cast(nullif(regexp_extract(history, '{tx.DURATION}', 1), '') AS INTEGER) * 12
+             + try_cast(nullif(regexp_extract(history, '{tx.DURATION}', 2), '') AS INTEGER) AS months,
+             row_number() OVER ({W_TO}) AS pos FROM {dv.TO_DURATION_SQL}),
+a AS (SELECT *, min(months) OVER (PARTITION BY o_custkey) AS mv FROM t),
+b AS (SELECT *, min(CASE WHEN months = mv THEN pos END) OVER (PARTITION BY o_custkey) AS mp FROM a)
+SELECT o_orderkey, months, mv + (pos - mp) AS rebuilt FROM b""")
+def q_counter_rebuild(spark, d):
+    h = dv.orders_duration(spark, d).withColumn("months", tx.extract_months("history"))
+    out = impute.counter_rebuild(h.withColumn("rebuilt", F.col("months")), TO, "rebuilt")
+    return out.select("o_orderkey", "months", F.col("rebuilt").cast("long").alias("rebuilt"))
+
+
+@query("q_fill_global_mean", f"""
+SELECT o_orderkey, round(coalesce(value, (SELECT avg(value) FROM {TO_VALUE_SQL})), 6) AS value FROM {TO_VALUE_SQL}""")
+def q_fill_global_mean(spark, d):
+    out = impute.fill_global_mean(orders_value(spark, d), "value")
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+EMPTY_SQL = f"""(SELECT o_orderkey, o_custkey, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE value END AS value
+  FROM {TO_VALUE_SQL} v JOIN customer c ON v.o_custkey = c.c_custkey)"""
+
+
+@query("q_empty_groups", f"""
+SELECT o_orderkey, o_custkey FROM (SELECT *, count(value) OVER (PARTITION BY o_custkey) AS n FROM {EMPTY_SQL})
+WHERE n = 0""")
+def q_empty_groups(spark, d):
+    """C14: rows of customers without any value (one segment never reports it)."""
+    c = read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"])
+    v = orders_value(spark, d).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    v = v.withColumn("value", F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.col("value")))
+    out = quality.empty_groups(v, TO, "value")
+    return out.select("o_orderkey", "o_custkey")
