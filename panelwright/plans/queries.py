@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import round6
-from ..operators import impute, outlier, quality, stats, summaries
+from ..operators import dedup, impute, lists, metrics, ml, outlier, quality, sampling, stats, summaries
 from ..operators.groupstats import group_modes
 from ..sources import derived as dv
 from ..sources.tables import read_table
+from ..spec import PanelSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -570,3 +571,306 @@ def q_empty_groups(spark, d):
     v = v.withColumn("value", F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None)).otherwise(F.col("value")))
     out = quality.empty_groups(v, TO, "value")
     return out.select("o_orderkey", "o_custkey")
+
+
+# ---------------------------------------------------------------------------
+# lists
+
+ITEMS_SQL = (f"list_transform(string_split(coalesce(loans, '{lists.FILLER}'), ', '), "
+             f"lambda x: ltrim(x, '{lists.STRIP}'))")
+
+
+@query("q_list_expand", f"""
+SELECT o_orderkey, {", ".join(f"coalesce(items[-{i}], '{lists.FILLER}') AS Last_Loan_{i}" for i in range(5, 0, -1))}
+FROM (SELECT o_orderkey, {ITEMS_SQL} AS items FROM {dv.TO_LIST_SQL})""")
+def q_list_expand(spark, d):
+    lst = dv.orders_list(spark, d).select("o_orderkey", "loans")
+    return lists.expand(lst, "loans")
+
+
+@query("q_list_vocab", f"SELECT DISTINCT unnest({ITEMS_SQL}) AS item FROM {dv.TO_LIST_SQL}")
+def q_list_vocab(spark, d):
+    return lists.vocabulary(dv.orders_list(spark, d), "loans")
+
+
+@query("q_list_len", f"""
+SELECT o_orderkey, coalesce(len(string_split(loans, ', ')), 0) AS n_items FROM {dv.TO_LIST_SQL}""")
+def q_list_len(spark, d):
+    return dv.orders_list(spark, d).select("o_orderkey", lists.count_items("loans").alias("n_items"))
+
+
+# ---------------------------------------------------------------------------
+# dictionary maps
+
+@query("q_map_encode", """
+SELECT o_orderkey, monthname(o_orderdate) AS month_name, month(o_orderdate) AS month,
+       CASE WHEN o_orderstatus = 'F' THEN 'Yes' WHEN o_orderstatus = 'O' THEN 'No' END AS flag_back
+FROM orders""")
+def q_map_encode(spark, d):
+    """S11 both ways: month names -> 1..12; a Yes/No flag encoded as 1/0
+    (anything else -> NULL) and decoded back."""
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_orderdate", "o_orderstatus"])
+    o = o.withColumn("month_name", F.date_format("o_orderdate", "MMMM"))
+    yn = F.when(F.col("o_orderstatus") == "F", "Yes").when(F.col("o_orderstatus") == "O", "No").otherwise("NM")
+    flag = tx.map_values(yn, tx.YES_NO, "int")
+    return o.select("o_orderkey", "month_name", tx.map_values("month_name", tx.MONTH_NUMBER, "int").alias("month"),
+                    tx.map_values(flag, tx.YES_NO_BACK).alias("flag_back"))
+
+
+# ---------------------------------------------------------------------------
+# top-k, preview, semi join, point repair
+
+@query("q_topk_distinct", "SELECT DISTINCT value FROM events WHERE value IS NOT NULL ORDER BY value LIMIT 10")
+def q_topk_distinct(spark, d):
+    return sampling.top_k_distinct(dv.events(spark, d, ["value"]), "value", 10)
+
+
+@query("q_preview", "SELECT event_id, user_id, event_type, value FROM events ORDER BY ts, event_id LIMIT 5")
+def q_preview(spark, d):
+    ev = dv.events(spark, d, ["event_id", "ts", "user_id", "event_type", "value"])
+    return sampling.preview(ev, ["ts", "event_id"], 5).select("event_id", "user_id", "event_type", "value")
+
+
+@query("q_semi", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def q_semi(spark, d):
+    """Membership filter as a left-semi join (the key side is not
+    assumed small; AQE broadcasts it only if it measures small)."""
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    keys = read_table(spark, d, "customer", ["c_custkey", "c_mktsegment"]).where(F.col("c_mktsegment") == "BUILDING")
+    return o.join(keys, o.o_custkey == keys.c_custkey, "left_semi")
+
+
+@query("q_point_repair", f"""
+SELECT v.o_orderkey, round(CASE WHEN r.o_orderkey IS NOT NULL THEN NULL ELSE value END, 6) AS value
+FROM {TO_VALUE_SQL} v LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') r
+ON v.o_orderkey = r.o_orderkey""")
+def q_point_repair(spark, d):
+    """NULL the cells listed in a repair table keyed by row key."""
+    repairs = read_table(spark, d, "orders", ["o_orderkey", "o_orderstatus"]).where(
+        F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("_rk"))
+    v = orders_value(spark, d)
+    out = v.join(repairs, v.o_orderkey == repairs._rk, "left")
+    out = outlier.null_where(out, "value", F.col("_rk").isNotNull())
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+# ---------------------------------------------------------------------------
+# duplicates
+
+@query("q_near_dup", f"""
+WITH b AS (SELECT *, floor(value / ((SELECT avg(value) FROM {TO_VALUE_SQL}) * 0.05)) AS bk FROM
+           (SELECT v.*, o.o_orderpriority FROM {TO_VALUE_SQL} v JOIN orders o USING (o_orderkey))),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, bk, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rn FROM b)
+SELECT o_orderkey, o_custkey, round(value, 6) AS value FROM r WHERE rn = 1""")
+def q_near_dup(spark, d):
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
+                                        "o_orderpriority"])
+    v = o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
+                 tx.to_number(tx.placeholder_to_null(dv.raw_text(), "_")).alias("value"))
+    kept = dedup.near_duplicates(v, TO, "value", ["o_orderpriority"], 0.05)
+    return kept.select("o_orderkey", "o_custkey", round6("value").alias("value"))
+
+
+@query("q_dup_count", """
+SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders))
+  AS duplicates FROM orders""")
+def q_dup_count(spark, d):
+    o = read_table(spark, d, "orders", ["o_custkey", "o_orderstatus", "o_orderpriority"])
+    return stats.duplicate_rows(o)
+
+
+DUP_COLS = ["o_orderkey", "o_custkey", "key_copy", "o_orderstatus", "o_orderpriority", "status_copy"]
+DUP_FRAME_SQL = "(SELECT o_orderkey, o_custkey, o_orderkey AS key_copy, o_orderstatus, o_orderpriority, o_orderstatus AS status_copy FROM orders)"
+DUP_PAIRS = [("o_orderkey", "o_custkey"), ("o_orderkey", "key_copy"), ("o_custkey", "key_copy"),
+             ("o_orderstatus", "o_orderpriority"), ("o_orderstatus", "status_copy"),
+             ("o_orderpriority", "status_copy")]
+
+
+@query("q_dup_columns", " UNION ALL ".join(
+    f"SELECT '{a}' AS \"left\", '{b}' AS \"right\" FROM (SELECT count(*) FILTER (WHERE {a} IS DISTINCT FROM {b}) AS n "
+    f"FROM {DUP_FRAME_SQL}) WHERE n = 0" for a, b in DUP_PAIRS))
+def q_dup_columns(spark, d):
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    o = o.select("o_orderkey", "o_custkey", F.col("o_orderkey").alias("key_copy"), "o_orderstatus",
+                 "o_orderpriority", F.col("o_orderstatus").alias("status_copy"))
+    return quality.duplicate_columns(o, DUP_COLS)
+
+
+# ---------------------------------------------------------------------------
+# chart data
+
+@query("q_box_stats", """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                  quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
+SELECT q.event_type, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(min(CASE WHEN value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN value END), 6) AS whisker_lo,
+  round(max(CASE WHEN value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN value END), 6) AS whisker_hi,
+  count(*) FILTER (WHERE NOT (value BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))) AS outliers
+FROM events e JOIN q USING (event_type) GROUP BY q.event_type, q1, median, q3""")
+def q_box_stats(spark, d):
+    ev = dv.events(spark, d, ["event_type", "value"])
+    b = stats.box_stats(ev, PanelSpec(("event_type",)), "value")
+    return b.select("event_type", *[round6(c).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")],
+                    "outliers")
+
+
+@query("q_density_by_class", """
+WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
+b AS (SELECT event_type, CAST(CASE WHEN (hi - lo) / 20 = 0 THEN 0
+        ELSE least(floor((value - lo) / ((hi - lo) / 20)), 19) END AS INTEGER) AS bin
+      FROM events, r WHERE value IS NOT NULL),
+c AS (SELECT event_type, bin, count(*) AS n FROM b GROUP BY ALL)
+SELECT event_type, bin, round(n / sum(n) OVER (PARTITION BY event_type), 6) AS density FROM c""")
+def q_density_by_class(spark, d):
+    ev = dv.events(spark, d, ["event_type", "value"])
+    out = stats.density_by_class(ev, "event_type", "value", 20)
+    return out.select("event_type", "bin", round6("density").alias("density"))
+
+
+# ---------------------------------------------------------------------------
+# metrics on a fixed prediction column
+
+CLASS_NAME_SQL = "CASE {c} WHEN 0 THEN 'Good' WHEN 1 THEN 'Poor' WHEN 2 THEN 'Standard' END"
+
+
+@query("q_confusion", f"""
+SELECT {CLASS_NAME_SQL.format(c='y')} AS true_class,
+  count(*) FILTER (WHERE yhat = 0) AS pred_Good, count(*) FILTER (WHERE yhat = 1) AS pred_Poor,
+  count(*) FILTER (WHERE yhat = 2) AS pred_Standard
+FROM {dv.TO_PRED_SQL} GROUP BY y""")
+def q_confusion(spark, d):
+    p = dv.orders_predictions(spark, d)
+    names = ml.index_to_name(ml.CLASSES)
+    named = p.select(names(F.col("y")).alias("y"), names(F.col("yhat")).alias("yhat"))
+    return metrics.confusion_matrix(named, "y", "yhat", ml.CLASSES)
+
+
+@query("q_class_metrics", f"""
+WITH c AS (SELECT y, yhat, count(*) AS n FROM {dv.TO_PRED_SQL} GROUP BY ALL),
+k AS (SELECT y AS c FROM c UNION SELECT yhat FROM c),
+per AS (SELECT k.c, coalesce((SELECT sum(n) FROM c WHERE c.y = k.c), 0) AS support,
+               coalesce((SELECT sum(n) FROM c WHERE c.yhat = k.c), 0) AS predicted,
+               coalesce((SELECT sum(n) FROM c WHERE c.y = k.c AND c.yhat = k.c), 0) AS tp FROM k),
+m AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS p,
+             CASE WHEN support > 0 THEN tp / support ELSE 0 END AS r FROM per),
+f AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM m)
+SELECT round(sum(tp) / sum(support), 6) AS accuracy, round(sum(p * support) / sum(support), 6) AS precision,
+       round(sum(r * support) / sum(support), 6) AS recall, round(sum(f1 * support) / sum(support), 6) AS f1 FROM f""")
+def q_class_metrics(spark, d):
+    m = metrics.class_metrics(dv.orders_predictions(spark, d), "y", "yhat")
+    return m.select(*[round6(c).alias(c) for c in m.columns])
+
+
+@query("q_rmse", f"SELECT round(sqrt(avg(power(y - yhat, 2))), 6) AS rmse FROM {dv.TO_PRED_SQL}")
+def q_rmse(spark, d):
+    return metrics.rmse(dv.orders_predictions(spark, d), "y", "yhat").select(round6("rmse").alias("rmse"))
+
+
+@query("q_class_distribution", f"""
+SELECT {CLASS_NAME_SQL.format(c='y')} AS class, count(*) AS count FROM {dv.TO_PRED_SQL} GROUP BY 1""")
+def q_class_distribution(spark, d):
+    """class counts of the target."""
+    p = dv.orders_predictions(spark, d)
+    return stats.value_counts(p.select(ml.index_to_name(ml.CLASSES)(F.col("y")).alias("class")), "class")
+
+
+# ---------------------------------------------------------------------------
+# features
+
+@query("q_onehot", "SELECT o_orderkey, " + ", ".join(
+    f"CAST(CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END AS DOUBLE) AS prio_{p.replace('-', '_').replace(' ', '_')}"
+    for p in dv.PRIORITIES) + " FROM orders")
+def q_onehot(spark, d):
+    o = read_table(spark, d, "orders", ["o_orderkey", "o_orderpriority"])
+    return ml.onehot_columns(o, "o_orderpriority", "prio").drop("o_orderpriority")
+
+
+@query("q_standardise", """
+SELECT event_id, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 6) AS value_std FROM events""")
+def q_standardise(spark, d):
+    out = ml.standardize(dv.events(spark, d, ["event_id", "value"]), ["value"])
+    return out.select("event_id", round6("value_std").alias("value_std"))
+
+
+@query("q_label_index", """
+SELECT event_id, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS event_type_idx FROM events""")
+def q_label_index(spark, d):
+    ev = dv.events(spark, d, ["event_id", "event_type"])
+    out = ml.indexer("event_type").fit(ev).transform(ev)
+    return out.select("event_id", F.col("event_type_idx").cast("int").alias("event_type_idx"))
+
+
+# ---------------------------------------------------------------------------
+# splits and samples (hash-seeded; DuckDB has no xxhash64, so rows-only)
+
+@query("q_split")
+def q_split(spark, d):
+    """L6 by customer: all of a user's events fall on one side."""
+    ev = dv.events(spark, d, ["event_id", "user_id"])
+    return sampling.split(ev, ["user_id"], 80, 42).select("event_id", "user_id", "split")
+
+
+@query("q_sample_groups")
+def q_sample_groups(spark, d):
+    ev = dv.events(spark, d, ["event_id", "user_id", "value"])
+    return sampling.sample_groups(ev, ["user_id"], 5, 41)
+
+
+@query("q_shuffle")
+def q_shuffle(spark, d):
+    ev = dv.events(spark, d, ["event_id", "user_id"])
+    return sampling.shuffle(ev, ["event_id"], 42)
+
+
+# ---------------------------------------------------------------------------
+# classifier
+
+def _embeddings_split(spark, d):
+    e = read_table(spark, d, "embeddings", ["vec_id", "embedding", "label"])
+    e = e.select("vec_id", F.col("label").cast("string").alias("label_name"), ml.embedding_vector())
+    return sampling.split(e, ["vec_id"], 80, 42)
+
+
+def _emb_pipeline(n_dim: int, max_iter: int = 40):
+    return ml.classifier_pipeline([], [], "label_name", n_dim, 10, max_iter=max_iter, vector_col="emb_vec",
+                                  vector_size=n_dim)
+
+
+@query("q_mlp_score")
+def q_mlp_score(spark, d):
+    """Fit on the train split, save the model
+    to the shared checkpoint folder, load it back and score the test split
+    with the row id carried through."""
+    import uuid
+
+    from pyspark.ml import PipelineModel
+
+    from ..session import scratch_path
+    e = _embeddings_split(spark, d)
+    n_dim = len(e.select("emb_vec").first()[0])
+    train = e.where(F.col("split") == "train")
+    model = _emb_pipeline(n_dim).fit(train)
+    path = scratch_path(spark, f"mlp-{uuid.uuid4().hex}")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    scored = ml.decode(loaded, loaded.transform(e.where(F.col("split") == "test")))
+    return scored.select("vec_id", F.col("label_name").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+                         "predicted_label")
+
+
+@query("q_mlp_select")
+def q_mlp_select(spark, d):
+    """Pick maxIter by validation RMSE, report test metrics."""
+    e = _embeddings_split(spark, d)
+    n_dim = len(e.select("emb_vec").first()[0])
+    train, test = e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
+    tuned = ml.select_model(_emb_pipeline(n_dim), train, [{"maxIter": 20}, {"maxIter": 40}])
+    scored = tuned.bestModel.transform(test)
+    m = ml.evaluate(scored)
+    best = tuned.bestModel.stages[-1].getMaxIter()
+    return spark.createDataFrame([(best, *[float(m[k]) for k in ("accuracy", "weightedPrecision", "weightedRecall",
+                                                                  "f1", "logLoss", "rmse")])],
+                                 "best_max_iter int, accuracy double, precision double, recall double, f1 double, "
+                                 "log_loss double, rmse double")
