@@ -8,7 +8,7 @@ its distinct values in one task. Hot groups therefore take a two-pass plan:
 
 1. a mergeable sketch (``percentile_approx``, partial-aggregated) brackets
    each wanted rank: the exact answer lies between the sketch values at
-   ``p - 2/accuracy`` and ``p + 2/accuracy``;
+   ``p - eps`` and ``p + eps`` (eps = sketch error plus two ranks);
 2. one aggregate counts rows below the bracket, and only the distinct values
    inside the bracket (bounded by ~4n/accuracy) are ranked exactly.
 
@@ -34,7 +34,8 @@ def _pname(p: float) -> str:
 
 
 def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column,
-                      probs: list[float], names: list[str] | None = None) -> DataFrame:
+                      probs: list[float], names: list[str] | None = None, hot=None,
+                      n_rows: int | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles of ``value`` per group.
 
     ``spec=None`` (or an empty group) computes global percentiles over the
@@ -53,13 +54,13 @@ def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column
     policy = spec.skew if spec is not None else PanelSpec(("_",)).skew
 
     if not keys:
-        n = base.where(F.col("_v").isNotNull()).count()
+        n = n_rows if n_rows is not None else base.where(F.col("_v").isNotNull()).count()
         if n <= policy.hot_rows:
             return base.agg(*[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
         return _bracketed(base.withColumn("_g", F.lit(0)), ["_g"], probs, names, n, policy).drop("_g")
 
     gspec = PanelSpec(tuple(keys), skew=policy)
-    hot = gspec.hot_keys(base)
+    hot = hot if hot is not None else gspec.hot_keys(base)
     if not hot.any:
         return base.groupBy(*keys).agg(
             *[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
@@ -75,8 +76,11 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: list[float], names: list
                n_max: int, policy) -> DataFrame:
     """Exact percentiles for large groups via sketch brackets (see module doc)."""
     # accuracy so that a bracket of rank width 4n/acc holds <= bracket_values rows
-    acc = int(min(10_000_000, max(10_000, math.ceil(4.0 * n_max / policy.bracket_values))))
-    eps = 2.0 / acc
+    acc = int(min(2_000_000, max(10_000, math.ceil(4.0 * n_max / policy.bracket_values))))
+    # sketch error (1/acc in rank share) plus two ranks of slack between the
+    # sketch's p*n rank and the interpolation positions floor/ceil((n-1)p);
+    # every group here has more than hot_rows values
+    eps = 2.0 / acc + 2.0 / max(1, policy.hot_rows)
     lo_p = [max(0.0, p - eps) for p in probs]
     hi_p = [min(1.0, p + eps) for p in probs]
     sk = (rows.groupBy(*keys)
@@ -252,4 +256,4 @@ def with_percentile_column(df: DataFrame, spec: PanelSpec, value: str | Column,
     return with_group_stats(
         df, spec,
         lambda r: r.withColumn(name, F.percentile(v.cast("double"), p).over(group_window(spec))),
-        lambda r: group_percentiles(r, spec, v, [p], [name]), hot)
+        lambda r: group_percentiles(r, spec, v, [p], [name]), hot)  # hot rows only reach here

@@ -21,11 +21,12 @@ def ffill_bfill(df: DataFrame, spec: PanelSpec, cols, hot=None) -> DataFrame:
     return fill_ordered(df, spec, cols, "ffill_bfill", hot=hot)
 
 
-def fill_two_keys(df: DataFrame, spec: PanelSpec, col: str, key2: str) -> DataFrame:
+def fill_two_keys(df: DataFrame, spec: PanelSpec, col: str, key2: str, hot=None) -> DataFrame:
     """G1 within (group, key2). A row whose key2 is NULL belongs to no
     group and keeps its value."""
     spec2 = spec.with_group(*spec.group, key2)
-    filled = fill_ordered(df, spec2, [col], "ffill_bfill", isolate_null_keys=True)
+    hot2 = hot.refine(spec2) if hot is not None else None
+    filled = fill_ordered(df, spec2, [col], "ffill_bfill", isolate_null_keys=True, hot=hot2)
     return filled
 
 
@@ -76,12 +77,13 @@ def mode_or_fill(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFram
             .drop("_m_n", "_m_min", "_m_mean", "_m_freq", "_orig"))
 
 
-def cond_mode(df: DataFrame, spec: PanelSpec, col: str, key2: str) -> DataFrame:
+def cond_mode(df: DataFrame, spec: PanelSpec, col: str, key2: str, hot=None) -> DataFrame:
     """Where ``key2`` is present, the value becomes the smallest mode of
     ``col`` within (group, key2) (NULL if that sub-group has no value);
     rows without ``key2`` keep their value."""
     spec2 = spec.with_group(*spec.group, key2)
-    out = with_mode_columns(df, spec2, col, "_m")
+    hot2 = hot.refine(spec2) if hot is not None else None
+    out = with_mode_columns(df, spec2, col, "_m", hot=hot2)
     present = ~spec2.null_key()
     return (out.withColumn(col, F.when(present, F.col("_m_min")).otherwise(F.col(col)))
             .drop("_m_n", "_m_min", "_m_mean", "_m_freq"))

@@ -13,7 +13,7 @@ import re
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import (IndexToString, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
+from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
                                 VectorSizeHint)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
@@ -75,7 +75,8 @@ def layers_for(n_features: int, n_classes: int) -> list[int]:
 
 def classifier_pipeline(numeric: list[str], categorical: list[str], label: str, n_features: int,
                         n_classes: int, max_iter: int = 50, seed: int = 42,
-                        vector_col: str | None = None, vector_size: int | None = None) -> Pipeline:
+                        vector_col: str | None = None, vector_size: int | None = None,
+                        impute: bool = False) -> Pipeline:
     """L1-L4 + L7: encode, scale, assemble, perceptron (sigmoid hidden units,
     softmax output, L-BFGS)."""
     stages = [StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc")]
@@ -85,6 +86,10 @@ def classifier_pipeline(numeric: list[str], categorical: list[str], label: str,
         stages.append(VectorSizeHint(inputCol=vector_col, size=vector_size, handleInvalid="error"))
         inputs.append(vector_col)
     if numeric:
+        if impute:
+            # fitted on train: the column means fill NULLs in train and test alike
+            stages.append(Imputer(inputCols=numeric, outputCols=[f"{c}_imp" for c in numeric], strategy="mean"))
+            numeric = [f"{c}_imp" for c in numeric]
         stages.append(VectorAssembler(inputCols=numeric, outputCol="_num", handleInvalid="keep"))
         stages.append(StandardScaler(inputCol="_num", outputCol="_num_std", withMean=True, withStd=True))
         inputs.append("_num_std")

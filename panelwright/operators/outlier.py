@@ -97,13 +97,14 @@ def with_deviation_stats(df: DataFrame, spec: PanelSpec, col: str, hot=None) ->
                             lambda r: _dev_slow(r, spec, col), hot)
 
 
-def group_mad(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
+def group_mad(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
     """one row per group with its median and MAD."""
     keys = list(spec.group)
     x = F.col(col).cast("double")
-    med = group_percentiles(df, spec, x, [0.5], ["median"])
+    hot = hot if hot is not None else spec.hot_keys(df.where(~spec.null_key()))
+    med = group_percentiles(df, spec, x, [0.5], ["median"], hot=hot)
     with_med = attach(df.where(~spec.null_key()).select(*keys, x.alias("_x")), med, keys)
-    mad = group_percentiles(with_med, spec, F.abs(F.col("_x") - F.col("median")), [0.5], ["mad"])
+    mad = group_percentiles(with_med, spec, F.abs(F.col("_x") - F.col("median")), [0.5], ["mad"], hot=hot)
     return med.join(mad, keys, "left")
 
 

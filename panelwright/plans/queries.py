@@ -16,6 +16,7 @@ from ..functions import text as tx
 from ..functions.numeric import round6
 from ..operators import dedup, impute, lists, metrics, ml, outlier, quality, sampling, stats, summaries
 from ..operators.groupstats import group_modes
+from ..session import tune
 from ..sources import derived as dv
 from ..sources.tables import read_table
 from ..spec import PanelSpec
@@ -26,7 +27,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, data_dir: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, data_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -874,3 +879,57 @@ def q_mlp_select(spark, d):
                                                                   "f1", "logLoss", "rmse")])],
                                  "best_max_iter int, accuracy double, precision double, recall double, f1 double, "
                                  "log_loss double, rmse double")
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks
+
+@query("q_load_profile", "SELECT count(*) AS rows, (SELECT count(*) FROM (DESCRIBE orders)) AS columns FROM orders")
+def q_load_profile(spark, d):
+    """A5: rows and columns of a loaded table (one counting aggregate)."""
+    o = read_table(spark, d, "orders")
+    return o.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(o.columns)).cast("long"))
+
+
+REGION_SCHEMA = "r_regionkey int, r_name string"
+
+
+@query("q_csv_roundtrip", """
+SELECT 'sample_a' AS sample, r_regionkey, r_name FROM region
+UNION ALL SELECT 'sample_b', r_regionkey, r_name FROM region""")
+def q_csv_roundtrip(spark, d):
+    """Write the table as two CSV samples under the shared
+    checkpoint folder, discover them recursively and read them back with a
+    declared schema and their source file."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from ..session import scratch_path
+    from ..sources import csv as csvsrc
+    base = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    region = read_table(spark, d, "region", ["r_regionkey", "r_name"])
+    for s in ("sample_a", "sample_b"):
+        csvsrc.write_table(region, f"{base}/{s}", "csv")
+    schema = T._parse_datatype_string(REGION_SCHEMA)
+    back = csvsrc.read_panel_csv(spark, base, schema, glob="*.csv")
+    return back.select(F.regexp_extract("source_file", r"/(sample_[ab])/", 1).alias("sample"), "r_regionkey", "r_name")
+
+
+# ---------------------------------------------------------------------------
+# the credit-panel recipe and the classifier on its output
+
+@query("q_credit_panel")
+def q_credit_panel(spark, d):
+    """The whole cleaning recipe on the derived 28-column panel."""
+    from . import credit_panel
+    return credit_panel.clean(dv.credit_panel_raw(spark, d))
+
+
+@query("q_credit_score")
+def q_credit_score(spark, d):
+    """Clean, split by customer, fit the perceptron on train, report test
+    metrics (L1-L4, L7, L11-L15)."""
+    from . import credit_panel, scoring
+    cleaned = credit_panel.clean(dv.credit_panel_raw(spark, d))
+    return scoring.train_and_score(cleaned, max_iter=30, on_incomplete="impute")

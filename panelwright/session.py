@@ -23,6 +23,22 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Runtime SQL settings applied to any session the library runs in. Wide
+# row-local projections (28 repaired columns) fuse into one generated method
+# that can exceed the JIT's huge-method limit and then runs interpreted (4x
+# slower here); with this limit Spark falls back to per-operator code instead.
+RUNTIME_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply :data:`RUNTIME_CONF` to a session (no-op when already set)."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "panelwright", extra: dict | None = None) -> SparkSession:
@@ -34,7 +50,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **RUNTIME_CONF}.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -70,8 +86,13 @@ def materialize(df: DataFrame) -> DataFrame:
     upstream plan is neither recomputed nor re-planned per scalar. Survives
     executor loss (unlike a local checkpoint, which is never used here).
     """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persist first: writing a reliable checkpoint re-runs the plan otherwise
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

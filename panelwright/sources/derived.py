@@ -142,3 +142,76 @@ TO_PRED_SQL = f"(SELECT o_orderkey, CAST({Y_SQL} AS INTEGER) AS y, CAST({YHAT_SQ
 
 def events(spark: SparkSession, data_dir: str, columns=None) -> DataFrame:
     return read_table(spark, data_dir, "events", columns)
+
+
+# ---------------------------------------------------------------------------
+# a 28-column credit panel derived from orders x customer
+
+def _txt(c: Column) -> Column:
+    return c.cast("string")
+
+
+def credit_panel_raw(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Raw credit panel in the 28-column layout: one row per order, the
+    customer as panel key, the order month as 'Month'. Values are functions
+    of the two tables with the dirt kinds of the source data (trailing '_',
+    placeholders, sentinels, negatives, extremes, NULLs, list strings,
+    durations). The label follows the customer's balance band."""
+    o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                "o_orderdate", "o_orderpriority"])
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                                                  "c_mktsegment"])
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    k = F.col("o_orderkey")
+    ck = F.col("c_custkey")
+    bal = F.abs(F.col("c_acctbal"))
+    income = F.round(bal * 12 + 20000, 2)
+    age = ck % 45 + 20
+    delayed = ck % 20
+    n_loans = sum((F.shiftright(k, i) % 2) for i in range(4)) + 1
+    months_hist = (F.year("o_orderdate") - 1990) * 12 + F.month("o_orderdate")
+    nul = F.lit(None)
+    return j.select(
+        F.concat(F.lit("0x"), F.lower(F.hex(k))).alias("ID"),
+        F.concat(F.lit("CUS_0x"), F.lower(F.hex(ck))).alias("Customer_ID"),
+        F.date_format("o_orderdate", "MMMM").alias("Month"),
+        F.col("c_name").alias("Name"),
+        F.when(k % 23 == 0, F.lit("-500")).when(k % 29 == 0, F.lit("3000"))
+         .when(k % 11 == 0, F.concat(_txt(age), F.lit("_"))).otherwise(_txt(age)).alias("Age"),
+        F.concat(F.lit("SSN-"), _txt(ck)).alias("SSN"),
+        F.when(k % 9 == 0, F.lit("_______")).otherwise(F.col("c_mktsegment")).alias("Occupation"),
+        F.when(k % 13 == 0, F.concat(_txt(income), F.lit("_"))).otherwise(_txt(income)).alias("Annual_Income"),
+        F.when(k % 7 == 0, nul).otherwise(F.round(income / 12, 2)).cast("double").alias("Monthly_Inhand_Salary"),
+        F.when(k % 37 == 0, F.lit(-1)).when(k % 41 == 0, F.lit(1000) + ck % 500)
+         .otherwise(F.col("c_nationkey") % 10).cast("int").alias("Num_Bank_Accounts"),
+        F.when(k % 43 == 0, F.lit(1200) + ck % 300).otherwise(ck % 8 + 1).cast("int").alias("Num_Credit_Card"),
+        F.when(k % 47 == 0, F.lit(3000) + ck % 100).otherwise(ck % 30 + 1).cast("int").alias("Interest_Rate"),
+        F.when(k % 53 == 0, F.lit("-100")).when(k % 13 == 0, F.concat(_txt(n_loans), F.lit("_")))
+         .otherwise(_txt(n_loans)).alias("Num_of_Loan"),
+        list_text().alias("Type_of_Loan"),
+        (k % 30).cast("int").alias("Delay_from_due_date"),
+        F.when(k % 17 == 0, nul.cast("string")).when(k % 59 == 0, F.lit("4000"))
+         .when(k % 11 == 0, F.concat(_txt(delayed), F.lit("_"))).otherwise(_txt(delayed))
+         .alias("Num_of_Delayed_Payment"),
+        F.when(k % 13 == 0, F.lit("_")).otherwise(_txt(F.round(F.col("o_totalprice") % 30, 2)))
+         .alias("Changed_Credit_Limit"),
+        F.when(k % 19 == 0, nul).when(k % 61 == 0, F.lit(2000.0))
+         .otherwise((ck % 10).cast("double")).cast("double").alias("Num_Credit_Inquiries"),
+        F.when(k % 7 == 0, F.lit("_")).when(F.col("c_acctbal") < 2000, F.lit("Bad"))
+         .when(F.col("c_acctbal") < 6000, F.lit("Standard")).otherwise(F.lit("Good")).alias("Credit_Mix"),
+        F.when(k % 11 == 0, F.concat(_txt(F.round(F.col("o_totalprice") / 100, 2)), F.lit("_")))
+         .otherwise(_txt(F.round(F.col("o_totalprice") / 100, 2))).alias("Outstanding_Debt"),
+        ((k % 100) / 2.5).alias("Credit_Utilization_Ratio"),
+        F.when(k % 5 == 0, nul.cast("string")).otherwise(duration_text(months_hist)).alias("Credit_History_Age"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("Yes")).when(F.col("o_orderstatus") == "O", F.lit("No"))
+         .otherwise(F.lit("NM")).alias("Payment_of_Min_Amount"),
+        F.when(k % 67 == 0, F.lit(50000.0) + ck).otherwise(F.round(F.col("o_totalprice") / 1000, 2))
+         .cast("double").alias("Total_EMI_per_month"),
+        F.when(k % 19 == 0, nul.cast("string")).when(k % 71 == 0, F.lit("__10000__"))
+         .otherwise(_txt(F.round(F.col("o_totalprice") / 500, 2))).alias("Amount_invested_monthly"),
+        F.when(k % 9 == 0, F.lit("!@9#%8")).otherwise(F.col("o_orderpriority")).alias("Payment_Behaviour"),
+        F.when(k % 97 == 0, F.lit("__-333333333333333333333333333__")).when(k % 23 == 0, nul.cast("string"))
+         .otherwise(_txt(F.round(bal / 3 + F.col("o_totalprice") / 1000, 2))).alias("Monthly_Balance"),
+        F.when(F.col("c_acctbal") < 2000, F.lit("Poor")).when(F.col("c_acctbal") < 6000, F.lit("Standard"))
+         .otherwise(F.lit("Good")).alias("Credit_Score"),
+    )

@@ -86,10 +86,24 @@ class PanelSpec:
 
 @dataclass
 class HotKeys:
-    table: DataFrame      # group keys + _n, one row per hot group
+    table: DataFrame | None   # group keys + _n, one row per hot group
     count: int
     spec: PanelSpec
 
+    @staticmethod
+    def none(spec: PanelSpec) -> "HotKeys":
+        """Known to have no hot group (e.g. a finer grouping of a panel whose
+        coarser groups are all bounded): no job needed."""
+        return HotKeys(None, 0, spec)
+
+    def refine(self, finer: PanelSpec) -> "HotKeys | None":
+        """Hot keys of a grouping that adds columns to this one: none if this
+        one has none (a sub-group is never larger than its group); otherwise
+        unknown (``None``), to be computed."""
+        if not self.any and set(self.spec.group) <= set(finer.group):
+            return HotKeys.none(finer)
+        return None
+
     @property
     def any(self) -> bool:
         return self.count > 0
