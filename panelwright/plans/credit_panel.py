@@ -230,10 +230,9 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     k = opts.loan_width or int(prof["k"] or 1)
     n_rows = int(prof["rows"] or 0)
     if opts.checkpoint:
-        if not prof["hot"]:
-            # co-partition by customer once; every later window reuses it
-            df = df.repartition(*spec.group)
-        df = materialize(df)
+        # co-partition by customer once (unless a customer is hot: then the
+        # operators' split plans place rows); every later window reuses it
+        df = materialize(df, None if prof["hot"] else list(spec.group))
         _mark("checkpoint", _t, df)
     hot = spec.hot_keys(df) if prof["hot"] else HotKeys.none(spec)
 

@@ -79,19 +79,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: list[str] | None = None,
+                num_partitions: int | None = None) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
     Used where a DataFrame feeds several dependent global scalars, so the
     upstream plan is neither recomputed nor re-planned per scalar. Survives
     executor loss (unlike a local checkpoint, which is never used here).
+
+    With ``partition_by`` the rows are hash-partitioned first and the
+    checkpoint keeps that partitioning, so later windows, aggregates and
+    joins on those keys need no exchange. The partitioning is only recorded
+    when the plan is final at checkpoint time, so adaptive execution is
+    paused for this one step.
     """
     from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    # persist first: writing a reliable checkpoint re-runs the plan otherwise
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    if partition_by:
+        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, *partition_by)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        # persist first: writing a reliable checkpoint re-runs the plan otherwise
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
     return out
 
 
