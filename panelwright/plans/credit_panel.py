@@ -328,3 +328,16 @@ def _point_repair(df: DataFrame, repairs: DataFrame) -> DataFrame:
     for c in cols:
         out = outlier.null_where(out, c, F.coalesce(F.array_contains("_fix", c), F.lit(False)))
     return out.drop("_fix")
+
+
+def row_local_clean(raw: DataFrame, k: int) -> DataFrame:
+    """The part of the recipe that needs no other row: typing, fixed-range
+    rules, loan count and list expansion (K given), flag decoding. Usable on
+    streams; group fills are left to the batch recipe."""
+    df = type_repair(raw)
+    df = outlier.null_where(df, "Age", (F.col("Age") > AGE_MAX) | (F.col("Age") <= 0))
+    df = outlier.null_where(df, "Num_Bank_Accounts", F.col("Num_Bank_Accounts") < 0)
+    df = outlier.null_where(df, "Amount_invested_monthly", F.col("Amount_invested_monthly") > INVESTED_MAX)
+    df = df.withColumn("Num_of_Loan", lists.count_items("Type_of_Loan"))
+    df = lists.expand(df, "Type_of_Loan", k)
+    return df.withColumn("Payment_of_Min_Amount", tx.map_values("Payment_of_Min_Amount", tx.YES_NO_BACK))
