@@ -195,7 +195,12 @@ def with_group_stats(df: DataFrame, spec: PanelSpec, fast, slow, hot=None) -> Da
         return fast(df)
     cold_rows, hot_rows = hot.split(df)
     keys = list(spec.group)
-    warm = attach(hot_rows, slow(hot_rows), keys)
+    stats = slow(hot_rows)
+    # one row per hot group; the hot-key count was checked against the
+    # broadcast bound, so the hot rows are never shuffled to meet their stats
+    if hot.count <= spec.skew.broadcast_keys:
+        stats = F.broadcast(stats)
+    warm = attach(hot_rows, stats, keys)
     return fast(cold_rows).unionByName(warm)
 
 

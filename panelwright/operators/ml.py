@@ -43,8 +43,10 @@ def indexer(col: str, out: str | None = None) -> StringIndexer:
 def onehot_stages(cols: list[str]) -> list:
     """L1: one-hot of categorical columns, unknown -> all zeros."""
     stages = [indexer(c) for c in cols]
+    # the indexer's extra "unknown" index is the encoder's last category, which
+    # dropLast removes: unseen and NULL values encode as all zeros
     stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_oh" for c in cols],
-                                dropLast=True, handleInvalid="keep"))
+                                dropLast=True))
     return stages
 
 
@@ -58,6 +60,19 @@ def onehot_columns(df: DataFrame, col: str, prefix: str | None = None) -> DataFr
         .drop("_arr", f"{col}_idx", f"{col}_oh")
 
 
+def feature_names(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """``(position, name)`` of an assembled vector (numeric columns, then
+    one-hot slots), read from the ML attribute metadata of the fitted
+    assembler; bounded by the number of features."""
+    stages = onehot_stages(categorical) + [
+        VectorAssembler(inputCols=numeric + [f"{c}_oh" for c in categorical], outputCol="features",
+                        handleInvalid="keep")]
+    out = Pipeline(stages=stages).fit(df).transform(df.limit(0))
+    attrs = out.schema["features"].metadata["ml_attr"]["attrs"]
+    pairs = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
+    return df.sparkSession.createDataFrame(pairs, "position int, name string")
+
+
 def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFrame:
     """L2 with sklearn's population standard deviation (ddof=0); the moments
     are one row joined as a broadcast side."""
@@ -97,8 +112,9 @@ def classifier_pipeline(numeric: list[str], categorical: list[str], label: str,
         stages += onehot_stages(categorical)
         inputs += [f"{c}_oh" for c in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
+    # blockSize only stacks rows into matrices for the BLAS calls (speed, not results)
     stages.append(MultilayerPerceptronClassifier(layers=layers_for(n_features, n_classes), maxIter=max_iter,
-                                                 seed=seed, solver="l-bfgs"))
+                                                 seed=seed, solver="l-bfgs", blockSize=1024))
     return Pipeline(stages=stages)
 
 

@@ -37,6 +37,13 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
                                                  "p75", "max")
 
 
+def distinct_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(column, n_distinct)``, NULL not counted (pandas ``nunique``);
+    Spark plans the distinct aggregates as one expanded, partial aggregation."""
+    agg = df.agg(*[F.count_distinct(c).alias(c) for c in cols])
+    return agg.unpivot([], cols, "column", "n_distinct")
+
+
 def describe_categorical(df: DataFrame, cols: list[str]) -> DataFrame:
     """count, unique, top (most frequent; smallest on ties), freq."""
     tall = unpivot(df, cols, dtype="string")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.numeric import round6
+from ..functions.numeric import argmax, round6
 from ..operators import dedup, impute, lists, metrics, ml, outlier, quality, sampling, stats, summaries
 from ..operators.groupstats import group_modes
 from ..session import tune
@@ -933,3 +933,57 @@ def q_credit_score(spark, d):
     from . import credit_panel, scoring
     cleaned = credit_panel.clean(dv.credit_panel_raw(spark, d))
     return scoring.train_and_score(cleaned, max_iter=30, on_incomplete="impute")
+
+
+# ---------------------------------------------------------------------------
+# remaining scalar / audit families
+
+@query("q_nunique", """
+SELECT 'o_custkey' AS "column", count(DISTINCT o_custkey) AS n_distinct FROM orders
+UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus) FROM orders
+UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM orders""")
+def q_nunique(spark, d):
+    """distinct count per column (NULLs not counted), one aggregate."""
+    o = read_table(spark, d, "orders", ["o_custkey", "o_orderstatus", "o_orderpriority"])
+    return stats.distinct_counts(o, ["o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+@query("q_argmax", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax FROM embeddings""")
+def q_argmax(spark, d):
+    """Index of the largest element of each embedding."""
+    e = read_table(spark, d, "embeddings", ["vec_id", "embedding"])
+    return e.select("vec_id", argmax("embedding").cast("int").alias("argmax"))
+
+
+@query("q_range_drop", f"""
+SELECT o_orderkey, round(value, 6) AS value FROM {TO_VALUE_SQL}
+WHERE NOT coalesce(value > 450000 OR value <= 5000, false)""")
+def q_range_drop(spark, d):
+    """The rule drops the offending rows instead of nulling them."""
+    out = outlier.drop_where(orders_value(spark, d), (F.col("value") > 450000) | (F.col("value") <= 5000))
+    return out.select("o_orderkey", round6("value").alias("value"))
+
+
+@query("q_score_preview", f"""
+SELECT o_orderkey, {CLASS_NAME_SQL.format(c='y')} AS actual, {CLASS_NAME_SQL.format(c='yhat')} AS predicted
+FROM {dv.TO_PRED_SQL} ORDER BY o_orderkey LIMIT 15""")
+def q_score_preview(spark, d):
+    """The first 15 rows of actual vs predicted class, by row id."""
+    p = dv.orders_predictions(spark, d)
+    names = ml.index_to_name(ml.CLASSES)
+    named = p.select("o_orderkey", names(F.col("y")).alias("actual"), names(F.col("yhat")).alias("predicted"))
+    return sampling.preview(named, ["o_orderkey"], 15)
+
+
+@query("q_feature_names", """
+WITH s AS (SELECT DISTINCT o_orderstatus AS v FROM orders),
+p AS (SELECT DISTINCT o_orderpriority AS v FROM orders)
+SELECT 0 AS position, 'o_totalprice' AS name
+UNION ALL SELECT CAST(row_number() OVER (ORDER BY v) AS INTEGER), 'o_orderstatus_oh_' || v FROM s
+UNION ALL SELECT CAST((SELECT count(*) FROM s) + row_number() OVER (ORDER BY v) AS INTEGER),
+                 'o_orderpriority_oh_' || v FROM p""")
+def q_feature_names(spark, d):
+    """Names of the assembled feature vector, from ML metadata."""
+    o = read_table(spark, d, "orders", ["o_totalprice", "o_orderstatus", "o_orderpriority"])
+    return ml.feature_names(o, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"])

@@ -156,7 +156,8 @@ def credit_panel_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     customer as panel key, the order month as 'Month'. Values are functions
     of the two tables with the dirt kinds of the source data (trailing '_',
     placeholders, sentinels, negatives, extremes, NULLs, list strings,
-    durations). The label follows the customer's balance band."""
+    durations). The label follows the customer's balance band, shifted by
+    the order total."""
     o = read_table(spark, data_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                 "o_orderdate", "o_orderpriority"])
     c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal",
@@ -197,8 +198,9 @@ def credit_panel_raw(spark: SparkSession, data_dir: str) -> DataFrame:
          .alias("Changed_Credit_Limit"),
         F.when(k % 19 == 0, nul).when(k % 61 == 0, F.lit(2000.0))
          .otherwise((ck % 10).cast("double")).cast("double").alias("Num_Credit_Inquiries"),
-        F.when(k % 7 == 0, F.lit("_")).when(F.col("c_acctbal") < 2000, F.lit("Bad"))
-         .when(F.col("c_acctbal") < 6000, F.lit("Standard")).otherwise(F.lit("Good")).alias("Credit_Mix"),
+        F.when(k % 7 == 0, F.lit("_")).otherwise(
+            F.element_at(F.array(F.lit("Bad"), F.lit("Standard"), F.lit("Good")),
+                         (F.col("c_nationkey") % 3 + 1).cast("int"))).alias("Credit_Mix"),
         F.when(k % 11 == 0, F.concat(_txt(F.round(F.col("o_totalprice") / 100, 2)), F.lit("_")))
          .otherwise(_txt(F.round(F.col("o_totalprice") / 100, 2))).alias("Outstanding_Debt"),
         ((k % 100) / 2.5).alias("Credit_Utilization_Ratio"),
@@ -212,6 +214,8 @@ def credit_panel_raw(spark: SparkSession, data_dir: str) -> DataFrame:
         F.when(k % 9 == 0, F.lit("!@9#%8")).otherwise(F.col("o_orderpriority")).alias("Payment_Behaviour"),
         F.when(k % 97 == 0, F.lit("__-333333333333333333333333333__")).when(k % 23 == 0, nul.cast("string"))
          .otherwise(_txt(F.round(bal / 3 + F.col("o_totalprice") / 1000, 2))).alias("Monthly_Balance"),
-        F.when(F.col("c_acctbal") < 2000, F.lit("Poor")).when(F.col("c_acctbal") < 6000, F.lit("Standard"))
+        # the label follows the balance band, shifted by the order's size: partly learnable
+        F.when(F.col("c_acctbal") + F.col("o_totalprice") % 3000 < 3000, F.lit("Poor"))
+         .when(F.col("c_acctbal") + F.col("o_totalprice") % 3000 < 7500, F.lit("Standard"))
          .otherwise(F.lit("Good")).alias("Credit_Score"),
     )

@@ -147,3 +147,31 @@ def test_div_inf_policy(spark):
     df = spark.createDataFrame([(1.0, 0.0), (-1.0, 0.0), (0.0, 0.0), (3.0, 2.0)], "a double, b double")
     got = [r["x"] for r in df.select(div_inf("a", "b").alias("x")).collect()]
     assert got[0] == float("inf") and got[1] == float("-inf") and got[2] == 0.0 and got[3] == 1.5
+
+
+def test_onehot_unknown_is_all_zeros(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from panelwright.operators import ml
+    train = spark.createDataFrame([("a",), ("b",), ("c",)], "c string")
+    test = spark.createDataFrame([("b",), ("z",), (None,)], "c string")
+    model = Pipeline(stages=ml.onehot_stages(["c"])).fit(train)
+    got = [r["v"] for r in model.transform(test).select(vector_to_array("c_oh").alias("v")).collect()]
+    assert got == [[0.0, 1.0, 0.0], [0.0, 0.0, 0.0], [0.0, 0.0, 0.0]]
+
+
+def test_missing_panel_raises_typed_error(spark):
+    from panelwright.plans.credit_panel import CREDIT_SCHEMA
+    from panelwright.sources.csv import PanelLoadError, read_panel_csv
+    with pytest.raises(PanelLoadError):
+        read_panel_csv(spark, "/nonexistent/panel/dir", CREDIT_SCHEMA)
+
+
+def test_prediction_sink_keeps_ids(spark, tmp_path):
+    from panelwright.sources.csv import write_predictions
+    scored = spark.createDataFrame([("0x1", "Good"), ("0x2", "Poor")], "ID string, predicted_label string")
+    write_predictions(scored, str(tmp_path / "pred"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "pred"))
+    assert sorted(map(tuple, back.collect())) == [("0x1", "Good"), ("0x2", "Poor")]
+    assert back.columns == ["ID", "Credit_Score"]
