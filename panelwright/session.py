@@ -80,7 +80,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, partition_by: list[str] | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, persist: bool = True) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
     Used where a DataFrame feeds several dependent global scalars, so the
@@ -102,10 +102,12 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None,
         df = df.repartition(n, *partition_by)
         spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        # persist first: writing a reliable checkpoint re-runs the plan otherwise
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if persist:
+            # the checkpoint write re-runs the plan; caching pays when it is costly
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
         out = df.checkpoint(eager=True)
-        df.unpersist()
+        if persist:
+            df.unpersist()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
     return out
