@@ -47,7 +47,11 @@ def _numeric_order(df: DataFrame, col: str) -> Column:
     raise TypeError(f"leading order column {col} must be numeric, date or timestamp to split hot groups")
 
 
-def _with_chunks(rows: DataFrame, spec: PanelSpec, n_max: int) -> DataFrame:
+# Broadcast the per-group chunk bounds only below this many bytes.
+BOUNDS_BROADCAST_BYTES = 64 << 20
+
+
+def _with_chunks(rows: DataFrame, spec: PanelSpec, n_max: int, n_hot: int) -> DataFrame:
     """Add ``_chunk`` (0..B-1) to rows of hot groups, monotone in the order."""
     keys = list(spec.group)
     b = int(min(10_000, max(2, math.ceil(n_max / spec.skew.chunk_rows))))
@@ -55,8 +59,10 @@ def _with_chunks(rows: DataFrame, spec: PanelSpec, n_max: int) -> DataFrame:
     probs = [i / b for i in range(1, b)]
     bounds = (rows.groupBy(*keys)
               .agg(F.percentile_approx(num, probs, max(10_000, 4 * b)).alias("_bounds")))
-    # one row per hot group holding B doubles: bounded by the hot-key check
-    out = rows.join(F.broadcast(bounds), keys)
+    # one row per hot group holding B doubles: broadcast when that is small
+    # (checked from the hot-key count), else a join left to AQE
+    small = n_hot * b * 8 <= BOUNDS_BROADCAST_BYTES
+    out = rows.join(F.broadcast(bounds) if small else bounds, keys)
     # rows tied on the leading order value share a chunk (strict comparison)
     return out.withColumn("_chunk", F.size(F.filter("_bounds", lambda x: x < num))).drop("_bounds")
 
@@ -95,7 +101,7 @@ def ordered_apply(df: DataFrame, spec: PanelSpec,
     cold_rows, hot_rows = hot.split(df)
     cold = run(cold_rows, part, None, None)
     n_max = hot.table.agg(F.max("_n")).first()[0]
-    chunked = _with_chunks(hot_rows, spec, n_max)
+    chunked = _with_chunks(hot_rows, spec, n_max, hot.count)
     ck = keys + ["_chunk"]
     carry_df = carry(chunked, keys) if carry is not None else None
     warm = run(chunked, [F.col(c) for c in ck], carry_df, ck).drop("_chunk")

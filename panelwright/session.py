@@ -65,8 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The folder comes from ``spark.checkpoint.dir`` (or one already set on the
-    context). Only when neither exists (local tests) is a scratch folder
-    created, so a cluster always checkpoints to its shared storage.
+    context). Only a local-mode session without either gets a scratch folder
+    (tests); a cluster session without a shared folder is an error, never a
+    machine-local directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -74,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         conf_dir = tempfile.mkdtemp(prefix="panelwright-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
