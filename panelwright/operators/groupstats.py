@@ -57,7 +57,7 @@ def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column
         n = n_rows if n_rows is not None else base.where(F.col("_v").isNotNull()).count()
         if n <= policy.hot_rows:
             return base.agg(*[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
-        return _bracketed(base.withColumn("_g", F.lit(0)), ["_g"], probs, names, n, policy).drop("_g")
+        return _bracketed(base.withColumn("_g", F.lit(0)), ["_g"], probs, names, n, policy, 1).drop("_g")
 
     gspec = PanelSpec(tuple(keys), skew=policy)
     hot = hot if hot is not None else gspec.hot_keys(base)
@@ -68,12 +68,12 @@ def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column
     cold = cold_rows.groupBy(*keys).agg(
         *[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
     n_max = hot.table.agg(F.max("_n")).first()[0]
-    warm = _bracketed(hot_rows, keys, probs, names, n_max, policy)
+    warm = _bracketed(hot_rows, keys, probs, names, n_max, policy, hot.count)
     return cold.unionByName(warm)
 
 
 def _bracketed(rows: DataFrame, keys: list[str], probs: list[float], names: list[str],
-               n_max: int, policy) -> DataFrame:
+               n_max: int, policy, n_groups: int) -> DataFrame:
     """Exact percentiles for large groups via sketch brackets (see module doc)."""
     # accuracy so that a bracket of rank width 4n/acc holds <= bracket_values rows
     acc = int(min(2_000_000, max(10_000, math.ceil(4.0 * n_max / policy.bracket_values))))
@@ -90,8 +90,10 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: list[float], names: list
     sk = sk.select(*keys, "_n",
                    *[F.col("_b")[i].alias(f"_lo{i}") for i in range(m)],
                    *[F.col("_b")[m + i].alias(f"_hi{i}") for i in range(m)])
-    # One row per hot group: a bounded side (the caller checked the count).
-    joined = rows.where(F.col("_v").isNotNull()).join(F.broadcast(sk), keys)
+    # one row per hot group: broadcast when the hot-key count is within bound
+    small = n_groups <= policy.broadcast_keys
+    side = (lambda d: F.broadcast(d)) if small else (lambda d: d)
+    joined = rows.where(F.col("_v").isNotNull()).join(side(sk), keys)
     below = joined.groupBy(*keys).agg(
         *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(m)])
     results = []
@@ -100,8 +102,8 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: list[float], names: list
                   .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
         w = Window.partitionBy(*keys).orderBy("_v")
         inside = inside.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        ranked = (inside.join(F.broadcast(sk.select(*keys, "_n")), keys)
-                  .join(F.broadcast(below.select(*keys, f"_below{i}")), keys))
+        ranked = (inside.join(side(sk.select(*keys, "_n")), keys)
+                  .join(side(below.select(*keys, f"_below{i}")), keys))
         h = (F.col("_n") - 1) * F.lit(p)
         r_lo = F.floor(h) - F.col(f"_below{i}")
         r_hi = F.ceil(h) - F.col(f"_below{i}")

@@ -37,7 +37,7 @@ class PanelSpec:
     order: tuple[str, ...] = ()
     id: str | None = None
     skew: SkewPolicy = field(default_factory=SkewPolicy)
-    # cache: id(DataFrame) of the panel the hot keys were computed for
+    # hot keys already computed: id(frame) -> (frame, HotKeys)
     _hot_cache: dict = field(default_factory=dict, repr=False, compare=False)
 
     def __post_init__(self):
@@ -73,14 +73,16 @@ class PanelSpec:
         result along instead of recomputing it.
         """
         key = (id(df), self.group, self.skew.hot_rows)
-        if key in self._hot_cache:
-            return self._hot_cache[key]
+        hit = self._hot_cache.get(key)
+        if hit is not None and hit[0] is df:
+            return hit[1]
         sizes = (df.groupBy(*self.group).agg(F.count(F.lit(1)).alias("_n"))
                  .where(F.col("_n") > self.skew.hot_rows))
         # count() of a partial aggregate over the key columns only: cheap.
         n_hot = sizes.count()
         hk = HotKeys(sizes, n_hot, self)
-        self._hot_cache[key] = hk
+        # the frame is kept with its entry, so its id cannot be reused meanwhile
+        self._hot_cache[key] = (df, hk)
         return hk
 
 
