@@ -6,26 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
-from .outlier import iqr_fences, robust_z
+from .groupstats import group_percentiles
+from .outlier import with_deviation_stats
+from ..functions.numeric import div_inf
+
+KINDS = ("absolute", "median_standardization")
 
 
 def column_summary(df: DataFrame, spec: PanelSpec, col: str, absolute: bool = True,
                    standardized: bool = True) -> DataFrame:
     """Tall summary ``(kind, min_value, lower, upper, max_value, max_mad)``:
     IQR fences of the raw column (``absolute``) and of its robust z
-    (``median_standardization``), with the column's largest group MAD."""
-    z = robust_z(df, spec, col, "_z")
-    # the max MAD travels with z: recompute it as a one-row side
-    from .outlier import with_deviation_stats
-    mm = with_deviation_stats(df, spec, col).where(~spec.null_key()).agg(F.max("_mad").alias("max_mad"))
-    parts = []
-    if absolute:
-        parts.append(iqr_fences(df, col).select(F.lit("absolute").alias("kind"), "min_value", "lower", "upper",
-                                                "max_value"))
-    if standardized:
-        parts.append(iqr_fences(z, "_z").select(F.lit("median_standardization").alias("kind"), "min_value",
-                                                "lower", "upper", "max_value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    (``median_standardization``), with the column's largest group MAD.
+
+    The group median/MAD are computed once; raw values and z values are
+    unpivoted into one ``(kind, value)`` frame and fenced per kind in one
+    grouped pass."""
+    st = with_deviation_stats(df, spec, col)
+    mm = st.where(~spec.null_key()).agg(F.max("_mad").alias("max_mad"))
+    st = st.crossJoin(F.broadcast(mm))
+    x = F.col(col).cast("double")
+    dev = x - F.col("_med")
+    z = (F.when(x.isNull(), F.lit(None).cast("double"))
+         .when(F.col("_mad") != 0, dev / F.col("_mad"))
+         .when(F.col("_alleq"), x * 0)
+         .otherwise(div_inf(dev, F.col("max_mad"))))
+    kinds = [k for k, on in zip(KINDS, (absolute, standardized)) if on]
+    wide = st.select(x.alias(KINDS[0]), z.alias(KINDS[1]))
+    tall = wide.unpivot([], kinds, "kind", "value")
+    kspec = PanelSpec(("kind",), skew=spec.skew)
+    q = group_percentiles(tall, kspec, "value", [0.25, 0.75], ["q1", "q3"])
+    mnmx = tall.groupBy("kind").agg(F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+    iqr = F.col("q3") - F.col("q1")
+    out = q.join(mnmx, "kind").select(
+        "kind", "min_value", (F.col("q1") - 1.5 * iqr).alias("lower"), (F.col("q3") + 1.5 * iqr).alias("upper"),
+        "max_value")
     return out.crossJoin(F.broadcast(mm))
