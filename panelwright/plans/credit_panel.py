@@ -250,19 +250,29 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     if opts.fused and not hot.any:
         return _clean_fused(df, spec, opts, s1, k)
 
+    # Hot customers: every operator below splits its input (bounded rows,
+    # hot rows, statistics) and reads it two or three times, so a chain of
+    # them would grow the plan geometrically. A reliable checkpoint after
+    # each group step keeps every plan one operator deep.
+    def cut(d: DataFrame) -> DataFrame:
+        return materialize(d) if (hot.any and opts.checkpoint) else d
+
     # EMI first: its later waves then depend on the checkpoint and EMI alone
     if opts.emi_rules:
         df = _emi_rules(df, spec, s1["maxmad:Total_EMI_per_month"], hot, n_rows)
+        df = cut(df)
         _mark("emi", _t, df)
     else:
         df = df.withColumn("Total_EMI_per_month", F.col("Total_EMI_per_month").cast("int").cast("double"))
     # Age: one-sided robust rule, fill, int
     df = _robust_z_lit(df, spec, "Age", s1["maxmad:Age"], hot)
+    df = cut(df)
     df = outlier.null_where(df, "Age", F.col("_z") > AGE_Z_MAX).drop("_z")
     _mark("age", _t, df)
     # accounts / cards: two-sided robust rule
     for col, t in (("Num_Bank_Accounts", ACCOUNT_Z_MAX), ("Num_Credit_Card", CARD_Z_MAX)):
         df = _robust_z_lit(df, spec, col, s1[f"maxmad:{col}"], hot)
+        df = cut(df)
         df = outlier.null_where(df, col, F.abs(F.col("_z")) > t).drop("_z")
         _mark(col, _t, df)
     # delayed payments / inquiries: whole-column upper fence and negatives
@@ -275,8 +285,10 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
                                 | (F.col("Num_Credit_Inquiries") < 0))
     # income / salary
     df = impute.cond_mode(df, spec, "Annual_Income", "Monthly_Inhand_Salary", hot=hot)
+    df = cut(df)
     _mark("cond_mode", _t, df)
     df = impute.fill_two_keys(df, spec, "Monthly_Inhand_Salary", "Annual_Income", hot=hot)
+    df = cut(df)
     _mark("two_keys", _t, df)
     df = outlier.null_where(df, "Annual_Income", F.col("Monthly_Inhand_Salary").isNull())
     # loans: count from the list, expand the list
@@ -287,19 +299,28 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     df = impute.ffill_bfill(df, spec, ["Age", "Occupation", "Annual_Income", "Monthly_Inhand_Salary",
                                        "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan",
                                        "Num_Credit_Inquiries", "Credit_Mix"], hot=hot)
+    df = cut(df)
     df = impute.set_median(df, spec, "Interest_Rate", hot=hot)
+    df = cut(df)
     _mark("fills", _t, df)
     df = impute.fill_mode_median_int(df, spec, "Num_of_Delayed_Payment", hot=hot)
+    df = cut(df)
     _mark("delayed", _t, df)
     df = impute.fill_mode_mean(df, spec, "Changed_Credit_Limit", hot=hot)
+    df = cut(df)
     df = impute.counter_rebuild(df, spec, "Credit_History_Age", hot=hot)
+    df = cut(df)
     _mark("history", _t, df)
     df = impute.fill_mode(df, spec, "Payment_of_Min_Amount", hot=hot)
+    df = cut(df)
     df = df.withColumn("Payment_of_Min_Amount", tx.map_values("Payment_of_Min_Amount", tx.YES_NO_BACK))
     df = impute.fill_median(df, spec, "Amount_invested_monthly", hot=hot)
+    df = cut(df)
     df = impute.mode_or_fill(df, spec, "Payment_Behaviour", hot=hot)
+    df = cut(df)
     _mark("behaviour", _t, df)
     df = impute.fill_median(df, spec, "Monthly_Balance", hot=hot)
+    df = cut(df)
     ints = ["Age", "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan", "Num_of_Delayed_Payment",
             "Num_Credit_Inquiries", "Credit_History_Age"]
     df = df.withColumns({c: F.col(c).cast("int") for c in ints})
@@ -463,6 +484,8 @@ def _emi_rules(df: DataFrame, spec: PanelSpec, max_mad, hot, n_rows: int) -> Dat
         upper = q["q3"] + 1.5 * (q["q3"] - q["q1"])
         df = outlier.null_where(df, "Total_EMI_per_month", F.col("Total_EMI_per_month") > _lit(upper))
     df = impute.ffill_bfill(df, spec, ["Total_EMI_per_month"], hot=hot)
+    if hot.any:
+        df = materialize(df)
     mean = df.agg(F.avg("Total_EMI_per_month")).first()[0]
     return df.withColumn("Total_EMI_per_month", F.coalesce(F.col("Total_EMI_per_month"), _lit(mean)))
 
