@@ -9,6 +9,7 @@ leaves the same bytes under the same name.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -105,11 +106,26 @@ def tmp_name(path: str) -> str:
     return f"{path}.{uuid.uuid4().hex}.tmp"
 
 
+def lean() -> None:
+    """Give freed memory back to the system: a Python worker lives as long as
+    its executor and shares its memory with the JVM."""
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # not glibc
+
+
 def columns(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Each non-empty batch as a dict of Arrow columns."""
-    for b in batches:
+    lean()
+    for i, b in enumerate(batches):
         if b.num_rows:
             yield dict(zip(b.schema.names, b.columns))
+        if i % 8 == 7:
+            lean()
+    lean()
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
@@ -117,6 +133,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
 
     The caller bounds the size of a run before shuffling by its key.
     """
+    lean()
     held: list[pa.RecordBatch] = []
     at = None
     for b in batches:
@@ -134,6 +151,8 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
             lo = hi
     if held:
         yield at, pa.Table.from_batches(held)
+    held = []
+    lean()
 
 
 def forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

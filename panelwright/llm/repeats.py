@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, columns, runs, small_side, store, text_of, written
+from .common import bounded_batches, columns, lean, runs, small_side, store, text_of, written
 
 K = 50                       # bytes of an anchor's k-gram
 _P = 0x9E3779B97F4A7C15 | 1  # odd, invertible modulo 2**64
@@ -184,45 +184,34 @@ def _anchor_rows(length: int, k: int):
     return make
 
 
-def _per_text(batches, files, root, key_cols):
-    """(text row, rows of it) for rows sorted by (part, rid) against the
-    written texts: each file is read once, a few rows at a time."""
+def _per_text(batches):
+    """(text number, key, bytes, row) of each text that has a row in
+    ``batches``, sorted by (part, rid) with one row per text: its file in the
+    shared folder is read once, a few texts at a time."""
     for _, t in runs(batches, "part"):
-        rid = t["rid"].to_numpy()
-        cuts = np.flatnonzero(np.diff(rid, prepend=rid[0] - 1))
-        spans = dict(zip(rid[cuts].tolist(), zip(cuts.tolist(), [*cuts[1:].tolist(), len(rid)])))
-        path = store(t["file"][0].as_py())[1]
-        cols = {c: t[c].to_numpy(zero_copy_only=False) for c in key_cols}
+        rows = {r: i for i, r in enumerate(t["rid"].to_pylist())}
+        files, path = store(t["file"][0].as_py())
         with files.open_input_file(path) as f:
-            for b in pq.ParquetFile(f).iter_batches(batch_size=200, columns=["rid", "ckey", "text"]):
-                for r, ckey, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                    if r in spans:
-                        lo, hi = spans[r]
-                        yield r, ckey, text.as_py().encode("utf-8", "surrogatepass"), {c: v[lo:hi] for c, v in cols.items()}
+            for b in pq.ParquetFile(f).iter_batches(batch_size=100, columns=["rid", "ckey", "text"]):
+                for k, r in enumerate(b.column(0).to_pylist()):
+                    if r in rows:
+                        at = rows[r]
+                        yield r, b.column(1)[k].as_py(), b.column(2)[k].as_py().encode("utf-8", "surrogatepass"), (t, at)
+        lean()
 
 
 def _contexts(length: int, k: int):
     def make(batches):
-        files = None
         rows = []
 
         def batch():
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                                               names=["anchor", "rid", "pos", "own", "left", "right"])
-        first = next(batches, None)
-        while first is not None and not first.num_rows:
-            first = next(batches, None)
-        if first is None:
-            return
-        files, _ = store(first.column(first.schema.get_field_index("file"))[0].as_py())
-
-        def all_():
-            yield first
-            yield from batches
-        for r, _, raw, c in _per_text(all_(), files, None, ("anchor", "pos", "own")):
-            for anchor, p, own in zip(c["anchor"].tolist(), c["pos"].tolist(), c["own"].tolist()):
-                rows.append((anchor, r, p, own, raw[max(0, p - length + k):p][::-1], raw[p:p + length]))
+        for r, _, raw, (t, at) in _per_text(batches):
+            for x in t["marks"][at].as_py():
+                p = x["pos"]
+                rows.append((x["anchor"], r, p, x["own"], raw[max(0, p - length + k):p][::-1], raw[p:p + length]))
             if len(rows) >= 5000:
                 yield batch()
                 rows.clear()
@@ -280,16 +269,6 @@ def _win(out):
 
 def _cut(batches):
     """Per text with covered ranges: what goes and what stays."""
-    first = next(batches, None)
-    while first is not None and not first.num_rows:
-        first = next(batches, None)
-    if first is None:
-        return
-    files, _ = store(first.column(first.schema.get_field_index("file"))[0].as_py())
-
-    def all_():
-        yield first
-        yield from batches
     rows = []
 
     def batch():
@@ -298,8 +277,9 @@ def _cut(batches):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
                                           names=["ckey", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
     size = 0
-    for _, ckey, raw, c in _per_text(all_(), files, None, ("lo", "hi")):
-        lo, hi = np.maximum(c["lo"], 0), np.minimum(c["hi"], len(raw))
+    for _, ckey, raw, (t, at) in _per_text(batches):
+        c = t["ranges"][at].values
+        lo, hi = np.maximum(c.field("lo").to_numpy(), 0), np.minimum(c.field("hi").to_numpy(), len(raw))
         order = np.argsort(lo, kind="stable")
         lo, hi = lo[order], np.maximum.accumulate(hi[order])
         start = np.flatnonzero(np.concatenate(([True], lo[1:] > hi[:-1])))
@@ -345,19 +325,24 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
     places = texts.select(F.shiftright("rid", 33).alias("part"), F.input_file_name().alias("file")).distinct()
     places = written(places, "text-files")
 
-    # 2. anchors; repeated contexts
+    # 2. anchors; those that occur once go first, before anything wide is moved
     marks = written(texts.select("rid", "text").mapInArrow(_anchor_rows(length, k), "anchor long, ctx long, rid long, pos int"), "anchors")
+    again = written(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
+    marks = written(marks.join(small_side(again, again.count()), "anchor", "left_semi"), "repeated-marks")
     contexts = written(marks.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "pos")).alias("one")), "contexts")
     whole = (marks.join(contexts.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"], "left_semi")
              .select("rid", (F.col("pos") - (length - k)).cast("long").alias("lo"), (F.col("pos") + length).cast("long").alias("hi")))
 
     # 3. repeated anchors with different contexts
     shared = written(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "shared-anchors")
-    reps = (contexts.join(shared, "anchor")
-            .select("anchor", "m", (F.col("n") == 1).alias("own"), F.col("one.rid").alias("rid"), F.col("one.pos").alias("pos")))
-    located = reps.withColumn("part", F.shiftright("rid", 33)).join(F.broadcast(places) if places.count() <= 100_000 else places, "part")
-    around = (located.repartition("part").sortWithinPartitions("part", "rid")
-              .select("part", "file", "rid", "anchor", "pos", "own")
+    reps = (contexts.join(shared.select("anchor"), "anchor", "left_semi")
+            .select("anchor", (F.col("n") == 1).alias("own"), F.col("one.rid").alias("rid"), F.col("one.pos").alias("pos")))
+    n_places = places.count()
+    # one row per text, with its anchors: as many as its own length allows
+    located = (reps.withColumn("part", F.shiftright("rid", 33)).repartition("part")
+               .groupBy("part", "rid").agg(F.collect_list(F.struct("anchor", "pos", "own")).alias("marks"))
+               .join(small_side(places, n_places), "part"))
+    around = (located.sortWithinPartitions("part", "rid").select("part", "file", "rid", "marks")
               .mapInArrow(_contexts(length, k), "anchor long, rid long, pos int, own boolean, left binary, right binary"))
     hot = shared.where(F.col("m") > unit_rows)
     n_hot = hot.count()
@@ -377,10 +362,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
                                   .select("rid", "lo", (F.col("lo") + length).alias("hi")))
 
     # 4. cut: ranges go to the file of their text
-    todo = (spans.withColumn("part", F.shiftright("rid", 33))
-            .join(F.broadcast(places) if places.count() <= 100_000 else places, "part"))
-    cut = (todo.repartition("part").sortWithinPartitions("part", "rid")
-           .select("part", "file", "rid", "lo", "hi").mapInArrow(_cut, CUT))
+    todo = (spans.withColumn("part", F.shiftright("rid", 33)).repartition("part")
+            .groupBy("part", "rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+            .join(small_side(places, n_places), "part"))
+    cut = todo.sortWithinPartitions("part", "rid").select("part", "file", "rid", "ranges").mapInArrow(_cut, CUT)
     keep = ["ckey", "n_removed", "n_spans", "kept_sha256", *(["kept", "spans"] if with_kept else [])]
     cut = cut.select(*keep)
 
