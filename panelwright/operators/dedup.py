@@ -35,7 +35,9 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def near_duplicates(df: DataFrame, spec: PanelSpec, col: str, exact: list[str],
                     rel_tol: float = 0.05) -> DataFrame:
     """Drop rows that repeat (group, bucket(col), exact...) and keep the
-    first in panel order."""
+    first in panel order. A row without a value or without a full key is no
+    one's duplicate and stays (pandas cannot bucket a missing value)."""
     b = tolerance_bucket(df, col, rel_tol, "_bucket")
-    kept = keep_first(b, [*spec.group, "_bucket", *exact], list(spec.order))
-    return kept.drop("_bucket")
+    lone = F.col("_bucket").isNull() | spec.null_key()
+    kept = keep_first(b.where(~lone), [*spec.group, "_bucket", *exact], list(spec.order))
+    return kept.unionByName(b.where(lone)).drop("_bucket")

@@ -12,8 +12,8 @@ its distinct values in one task. Hot groups therefore take a two-pass plan:
 2. one aggregate counts rows below the bracket, and only the distinct values
    inside the bracket (bounded by ~4n/accuracy) are ranked exactly.
 
-A guard raises if a bracket ever misses its rank, so a result is exact or the
-job fails; it is never silently approximate.
+A bracket that misses its rank is opened to the whole group, so a result is
+always exact. Large means many non-NULL values, not many rows.
 
 Modes come from a ``(group, value) -> count`` aggregate, which shuffles on
 (group, value) and therefore spreads a hot group over many tasks.
@@ -26,7 +26,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..spec import PanelSpec
+from ..session import materialize
+from ..spec import PanelSpec, SkewPolicy
 
 
 def _pname(p: float) -> str:
@@ -35,97 +36,107 @@ def _pname(p: float) -> str:
 
 def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column,
                       probs: list[float], names: list[str] | None = None, hot=None,
-                      n_rows: int | None = None) -> DataFrame:
+                      n_rows: int | None = None, skew: SkewPolicy | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles of ``value`` per group.
 
     ``spec=None`` (or an empty group) computes global percentiles over the
-    whole column. Returns one row per group: the group keys and one column
-    per probability (named by ``names`` or ``p0_25`` style). NULLs are
-    ignored; a group with no value gives NULL.
+    whole column under ``skew``. Returns one row per group: the group keys and
+    one column per probability (named by ``names`` or ``p0_25`` style). NULLs
+    are ignored; a group with no value gives NULL.
+
+    A group counts as large by its non-NULL values: a long but sparse column
+    goes through the plain aggregate.
     """
     names = names or [_pname(p) for p in probs]
     keys = list(spec.group) if spec is not None else []
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*keys, v.cast("double").alias("_v"))
-    if keys:
-        # NULL keys are ignored by group statistics (pandas drops them).
-        for k in keys:
-            base = base.where(F.col(k).isNotNull())
-    policy = spec.skew if spec is not None else PanelSpec(("_",)).skew
+    for k in keys:  # NULL keys are ignored by group statistics (pandas drops them)
+        base = base.where(F.col(k).isNotNull())
+    policy = skew or (spec.skew if spec is not None else SkewPolicy())
+    plain = [F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)]
 
     if not keys:
-        n = n_rows if n_rows is not None else base.where(F.col("_v").isNotNull()).count()
+        if n_rows is not None and n_rows <= policy.hot_rows:
+            return base.agg(*plain)
+        n = base.where(F.col("_v").isNotNull()).count()
         if n <= policy.hot_rows:
-            return base.agg(*[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
+            return base.agg(*plain)
         return _bracketed(base.withColumn("_g", F.lit(0)), ["_g"], probs, names, n, policy, 1).drop("_g")
 
     gspec = PanelSpec(tuple(keys), skew=policy)
     hot = hot if hot is not None else gspec.hot_keys(base)
     if not hot.any:
-        return base.groupBy(*keys).agg(
-            *[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
-    cold_rows, hot_rows = hot.split(base)
-    cold = cold_rows.groupBy(*keys).agg(
-        *[F.percentile("_v", p).alias(nm) for p, nm in zip(probs, names)])
-    n_max = hot.table.agg(F.max("_n")).first()[0]
-    warm = _bracketed(hot_rows, keys, probs, names, n_max, policy, hot.count)
+        return base.groupBy(*keys).agg(*plain)
+    _, hot_rows = hot.split(base)
+    large = hot_rows.groupBy(*keys).agg(F.count("_v").alias("_n")).where(F.col("_n") > policy.hot_rows)
+    r = large.agg(F.count(F.lit(1)).alias("k"), F.max("_n").alias("n")).first()
+    if not r["k"]:
+        return base.groupBy(*keys).agg(*plain)
+    side = F.broadcast(large.select(*keys)) if r["k"] <= policy.broadcast_keys else large.select(*keys)
+    cold = base.join(side, keys, "left_anti").groupBy(*keys).agg(*plain)
+    warm = _bracketed(base.join(side, keys, "left_semi"), keys, probs, names, r["n"], policy, r["k"])
     return cold.unionByName(warm)
 
 
 def _bracketed(rows: DataFrame, keys: list[str], probs: list[float], names: list[str],
                n_max: int, policy, n_groups: int) -> DataFrame:
-    """Exact percentiles for large groups via sketch brackets (see module doc)."""
+    """Exact percentiles of groups that each have more than ``policy.hot_rows``
+    values, via sketch brackets (see module doc)."""
     # accuracy so that a bracket of rank width 4n/acc holds <= bracket_values rows
     acc = int(min(2_000_000, max(10_000, math.ceil(4.0 * n_max / policy.bracket_values))))
-    # sketch error (1/acc in rank share) plus two ranks of slack between the
-    # sketch's p*n rank and the interpolation positions floor/ceil((n-1)p);
-    # every group here has more than hot_rows values
-    eps = 2.0 / acc + 2.0 / max(1, policy.hot_rows)
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    sk = (rows.groupBy(*keys)
-          .agg(F.percentile_approx("_v", lo_p + hi_p, acc).alias("_b"),
-               F.count("_v").alias("_n")))
+    # sketch error (1/acc in rank share) plus the ranks between the sketch's
+    # p*n and the interpolation positions floor/ceil((n-1)p), with n > hot_rows
+    eps = 2.0 / acc + 4.0 / max(1, policy.hot_rows)
     m = len(probs)
-    sk = sk.select(*keys, "_n",
-                   *[F.col("_b")[i].alias(f"_lo{i}") for i in range(m)],
+    ends = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
+    sk = rows.groupBy(*keys).agg(F.percentile_approx("_v", ends, acc).alias("_b"))
+    sk = sk.select(*keys, *[F.col("_b")[i].alias(f"_lo{i}") for i in range(m)],
                    *[F.col("_b")[m + i].alias(f"_hi{i}") for i in range(m)])
-    # one row per hot group: broadcast when the hot-key count is within bound
-    small = n_groups <= policy.broadcast_keys
-    side = (lambda d: F.broadcast(d)) if small else (lambda d: d)
-    joined = rows.where(F.col("_v").isNotNull()).join(side(sk), keys)
-    below = joined.groupBy(*keys).agg(
-        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(m)])
-    results = []
+    found = materialize(_ranked(rows, sk, keys, probs, names, policy, n_groups), persist=False)
+    missed = found.where(~F.col("_ok")).select(*keys)
+    n_missed = missed.count()
+    if n_missed:
+        # a bracket that does not hold its ranks is opened to the whole group
+        side = F.broadcast(missed) if n_missed <= policy.broadcast_keys else missed
+        again = rows.join(side, keys, "left_semi")
+        lo, hi = F.lit(float("-inf")), F.lit(float("nan"))  # NaN is Spark's largest double
+        whole = again.select(*keys).distinct().select(*keys, *[lo.alias(f"_lo{i}") for i in range(m)],
+                                                      *[hi.alias(f"_hi{i}") for i in range(m)])
+        found = found.where("_ok").unionByName(_ranked(again, whole, keys, probs, names, policy, n_missed))
+    return found.drop("_ok")
+
+
+def _ranked(rows: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float], names: list[str],
+            policy, n_groups: int) -> DataFrame:
+    """The wanted ranks among the distinct values inside each bracket; ``_ok``
+    tells whether all of them lie inside."""
+    m = len(probs)
+    # one row per large group: broadcast when their number is within bound
+    side = (lambda d: F.broadcast(d)) if n_groups <= policy.broadcast_keys else (lambda d: d)
+    joined = rows.where(F.col("_v").isNotNull()).join(side(brackets), keys)
+    below = joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(m)])
+    out = None
     for i, p in enumerate(probs):
         inside = (joined.where((F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")))
                   .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
         w = Window.partitionBy(*keys).orderBy("_v")
         inside = inside.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        ranked = (inside.join(side(sk.select(*keys, "_n")), keys)
-                  .join(side(below.select(*keys, f"_below{i}")), keys))
+        ranked = inside.join(side(below.select(*keys, "_n", F.col(f"_below{i}").alias("_bl"))), keys)
         h = (F.col("_n") - 1) * F.lit(p)
-        r_lo = F.floor(h) - F.col(f"_below{i}")
-        r_hi = F.ceil(h) - F.col(f"_below{i}")
         pick = ranked.groupBy(*keys).agg(
-            F.first("_n").alias("_n"), F.first(f"_below{i}").alias("_bl"),
-            F.max("_cum").alias("_inside"),
-            F.min_by("_v", F.when(F.col("_cum") > r_lo, F.col("_cum"))).alias("_xlo"),
-            F.min_by("_v", F.when(F.col("_cum") > r_hi, F.col("_cum"))).alias("_xhi"))
-        hh = (F.col("_n") - 1) * F.lit(p)
-        ok = ((F.col("_bl") <= F.floor(hh)) & (F.col("_bl") + F.col("_inside") > F.ceil(hh)))
-        val = F.col("_xlo") + (hh - F.floor(hh)) * (F.col("_xhi") - F.col("_xlo"))
-        results.append(pick.select(
-            *keys, F.when(ok, val).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")))
-            .alias(names[i])))
-    out = results[0]
-    for r in results[1:]:
-        out = out.join(r, keys)
-    return out
-
-
-def group_median(df: DataFrame, spec: PanelSpec, value: str | Column, name: str = "_med") -> DataFrame:
-    return group_percentiles(df, spec, value, [0.5], [name])
+            F.first("_n").alias("_n"), F.first("_bl").alias("_bl"), F.max("_cum").alias("_inside"),
+            F.min_by("_v", F.when(F.col("_cum") > F.floor(h) - F.col("_bl"), F.col("_cum"))).alias("_xlo"),
+            F.min_by("_v", F.when(F.col("_cum") > F.ceil(h) - F.col("_bl"), F.col("_cum"))).alias("_xhi"))
+        ok = (F.col("_bl") <= F.floor(h)) & (F.col("_bl") + F.col("_inside") > F.ceil(h))
+        val = F.col("_xlo") + (h - F.floor(h)) * (F.col("_xhi") - F.col("_xlo"))
+        one = pick.select(*keys, val.alias(names[i]), ok.alias(f"_ok{i}"))
+        out = one if out is None else out.join(one, keys)
+    ok = F.lit(True)
+    for i in range(m):
+        ok = ok & F.col(f"_ok{i}")
+    return out.select(*keys, *names, ok.alias("_ok"))
 
 
 # ---------------------------------------------------------------------------
@@ -193,8 +204,17 @@ def with_group_stats(df: DataFrame, spec: PanelSpec, fast, slow, hot=None) -> Da
     groups never pay for the hot path: without hot keys it is not planned.
     """
     hot = hot if hot is not None else spec.hot_keys(df)
+    if hot.null_hot:
+        rest = with_group_stats(df.where(~spec.null_key()), spec, fast, slow, hot.without_nulls())
+        return rest.unionByName(df.where(spec.null_key()), allowMissingColumns=True)
+
+    def apply(rows: DataFrame) -> DataFrame:
+        # a row of no group has no statistics
+        out = fast(rows)
+        new = [c for c in out.columns if c not in rows.columns]
+        return out.withColumns({c: F.when(~spec.null_key(), F.col(c)) for c in new})
     if not hot.any:
-        return fast(df)
+        return apply(df)
     cold_rows, hot_rows = hot.split(df)
     keys = list(spec.group)
     stats = slow(hot_rows)
@@ -203,11 +223,11 @@ def with_group_stats(df: DataFrame, spec: PanelSpec, fast, slow, hot=None) -> Da
     if hot.count <= spec.skew.broadcast_keys:
         stats = F.broadcast(stats)
     warm = attach(hot_rows, stats, keys)
-    return fast(cold_rows).unionByName(warm)
+    return apply(cold_rows).unionByName(warm)
 
 
 def group_window(spec: PanelSpec) -> Window:
-    return Window.partitionBy(*spec.group)
+    return Window.partitionBy(*spec.window_cols())
 
 
 def mode_columns_fast(rows: DataFrame, spec: PanelSpec, value: str, prefix: str = "_mode",

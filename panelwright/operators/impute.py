@@ -26,7 +26,7 @@ def fill_two_keys(df: DataFrame, spec: PanelSpec, col: str, key2: str, hot=None)
     group and keeps its value."""
     spec2 = spec.with_group(*spec.group, key2)
     hot2 = hot.refine(spec2) if hot is not None else None
-    filled = fill_ordered(df, spec2, [col], "ffill_bfill", isolate_null_keys=True, hot=hot2)
+    filled = fill_ordered(df, spec2, [col], "ffill_bfill", hot=hot2)
     return filled
 
 
@@ -39,7 +39,7 @@ def fill_median(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame
 def set_median(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
     """Every row <- its group median."""
     out = with_percentile_column(df, spec, col, 0.5, "_med", hot)
-    return out.withColumn(col, F.col("_med")).drop("_med")
+    return out.withColumn(col, F.when(spec.null_key(), F.col(col)).otherwise(F.col("_med"))).drop("_med")
 
 
 def fill_mode_median_int(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
@@ -71,10 +71,9 @@ def mode_or_fill(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFram
     values too); any other group gets G1."""
     hot = hot if hot is not None else spec.hot_keys(df)
     out = with_mode_columns(df, spec, col, "_m", hot=hot)
-    out = out.withColumn("_orig", F.col(col))
     out = fill_ordered(out, spec, [col], "ffill_bfill", hot=hot)
     return (out.withColumn(col, F.when(F.col("_m_n") == 1, F.col("_m_min")).otherwise(F.col(col)))
-            .drop("_m_n", "_m_min", "_m_mean", "_m_freq", "_orig"))
+            .drop("_m_n", "_m_min", "_m_mean", "_m_freq"))
 
 
 def cond_mode(df: DataFrame, spec: PanelSpec, col: str, key2: str, hot=None) -> DataFrame:
@@ -100,7 +99,8 @@ def counter_rebuild(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataF
         out, spec,
         lambda r: r.withColumn("_anc", F.min(anchor).over(group_window(spec))),
         lambda r: r.groupBy(*spec.group).agg(F.min(anchor).alias("_anc")), hot)
-    return (out.withColumn(col, F.col("_anc.v") + (F.col("_pos") - F.col("_anc.p")))
+    rebuilt = F.col("_anc.v") + (F.col("_pos") - F.col("_anc.p"))
+    return (out.withColumn(col, F.when(spec.null_key(), F.col(col)).otherwise(rebuilt))
             .drop("_anc", "_pos"))
 
 
@@ -113,8 +113,3 @@ def fill_global_mean(df: DataFrame, col: str) -> DataFrame:
     """NULL <- mean of the whole column."""
     return (df.crossJoin(F.broadcast(global_mean(df, col)))
             .withColumn(col, F.coalesce(F.col(col).cast("double"), F.col("_gmean"))).drop("_gmean"))
-
-
-def fill_literal(df: DataFrame, col: str, value) -> DataFrame:
-    """NULL <- a literal."""
-    return df.withColumn(col, F.coalesce(F.col(col), F.lit(value)))

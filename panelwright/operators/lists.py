@@ -34,10 +34,13 @@ def list_width(df: DataFrame, col: str, sep: str = SEP) -> int:
 def expand(df: DataFrame, col: str, k: int | None = None, prefix: str = "Last_Loan",
            sep: str = SEP, filler: str = FILLER, strip: str = STRIP, drop: bool = True) -> DataFrame:
     """S9 + S10: ``prefix_K .. prefix_1`` columns, right-aligned. ``k``
-    defaults to the longest list (a one-number pre-pass). Items beyond K on
-    the left are not represented, as in the reference."""
-    k = k or list_width(df, col, sep)
+    defaults to the longest list (a one-number pre-pass). A list longer than
+    a given ``k`` is an error: no item is dropped."""
     arr = items(col, sep, filler, strip)
+    if k:
+        arr = F.when(F.size(arr) > k, F.raise_error(F.concat(
+            F.lit(f"{col} has more than {k} items: "), F.size(arr).cast("string")))).otherwise(arr)
+    k = k or list_width(df, col, sep)
     out = df.withColumn("_items", arr)
     cols = {f"{prefix}_{i}": F.coalesce(F.try_element_at(F.col("_items"), F.lit(-i)), F.lit(filler))
             for i in range(k, 0, -1)}
@@ -50,8 +53,12 @@ def count_items(col: str, sep: str = SEP) -> Column:
     return F.coalesce(F.size(F.split(F.col(col), sep, -1)), F.lit(0))
 
 
-def vocabulary(df: DataFrame, col: str, sep: str = SEP, filler: str = FILLER, strip: str = STRIP,
-               k: int | None = None) -> DataFrame:
-    """Distinct cleaned items over all lists (with the filler when
-    any list is padded or NULL)."""
-    return df.select(F.explode(items(col, sep, filler, strip)).alias("item")).distinct()
+def vocabulary(df: DataFrame, col: str, sep: str = SEP, filler: str = FILLER, strip: str = STRIP) -> DataFrame:
+    """Distinct cells of the expanded lists: every cleaned item, and
+    the filler as soon as one list is NULL or shorter than the longest."""
+    arr = items(col, sep, filler, strip)
+    cells = df.select(F.explode(arr).alias("item")).distinct()
+    n = F.size(arr)
+    padded = (df.agg(F.min(n).alias("a"), F.max(n).alias("b")).where("a < b")
+              .select(F.lit(filler).alias("item")))
+    return cells.unionByName(padded).distinct()

@@ -12,14 +12,15 @@ import re
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
                                 VectorSizeHint)
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+from .sampling import seeded_hash
+
 # Target classes in alphabetical order (index 0, 1, 2).
 CLASSES = ["Good", "Poor", "Standard"]
 
@@ -84,7 +85,7 @@ def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFra
 
 
 def layers_for(n_features: int, n_classes: int) -> list[int]:
-    """Hidden widths n, 2n, 4n, 2n as in the reference network."""
+    """Hidden widths n, 2n, 4n, 2n."""
     return [n_features, n_features, 2 * n_features, 4 * n_features, 2 * n_features, n_classes]
 
 
@@ -125,32 +126,49 @@ def decode(model: PipelineModel, df: DataFrame, out: str = "predicted_label") ->
 
 
 def evaluate(scored: DataFrame) -> dict:
-    """L11/L12/L14/L15 with Spark's evaluators (one pass each)."""
-    out = {}
-    for m in ("accuracy", "weightedPrecision", "weightedRecall", "f1", "logLoss"):
-        out[m] = MulticlassClassificationEvaluator(metricName=m).evaluate(scored)
-    out["rmse"] = RegressionEvaluator(metricName="rmse").evaluate(scored)
+    """L11/L12/L14/L15 from one aggregate of (label, prediction) counts, with
+    the log loss summed beside them."""
+    p = vector_to_array(F.col("probability"))[F.col("label").cast("int")]
+    rows = (scored.groupBy(F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("h"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(-F.log(F.greatest(p, F.lit(1e-15)))).alias("loss"))
+            .collect())  # at most classes x classes rows
+    n = sum(r["n"] for r in rows)
+    out = {"accuracy": 0.0, "weightedPrecision": 0.0, "weightedRecall": 0.0, "f1": 0.0}
+    for c in {r["y"] for r in rows}:
+        hit = sum(r["n"] for r in rows if r["y"] == c == r["h"])
+        true, said = sum(r["n"] for r in rows if r["y"] == c), sum(r["n"] for r in rows if r["h"] == c)
+        prec, rec = (hit / said if said else 0.0), hit / true
+        out["accuracy"] += hit / n
+        out["weightedPrecision"] += prec * true / n
+        out["weightedRecall"] += rec * true / n
+        out["f1"] += (2 * prec * rec / (prec + rec) if prec + rec else 0.0) * true / n
+    out["n"] = n
+    out["logLoss"] = sum(r["loss"] for r in rows) / n if n else float("nan")
+    out["rmse"] = (sum(r["n"] * (r["y"] - r["h"]) ** 2 for r in rows) / n) ** 0.5 if n else float("nan")
     return out
 
 
-def select_model(pipeline: Pipeline, train: DataFrame, grid: list[dict], folds: int | None = None,
+def select_model(pipeline: Pipeline, train: DataFrame, grid: list[dict], key: list[str], folds: int | None = None,
                  seed: int = 42):
-    """Choose the parameters with the smallest RMSE over class
-    indices, by k-fold cross validation or an 80/20 validation split."""
-    mlp = pipeline.getStages()[-1]
-    builder = ParamGridBuilder()
-    keys = sorted({k for g in grid for k in g})
-    for k in keys:
-        builder = builder.addGrid(getattr(mlp, k), sorted({g[k] for g in grid if k in g}, key=str))
-    params = builder.build()
-    ev = RegressionEvaluator(metricName="rmse")
-    if folds:
-        tuner = CrossValidator(estimator=pipeline, estimatorParamMaps=params, evaluator=ev, numFolds=folds,
-                               seed=seed)
-    else:
-        tuner = TrainValidationSplit(estimator=pipeline, estimatorParamMaps=params, evaluator=ev,
-                                     trainRatio=0.8, seed=seed)
-    return tuner.fit(train)
+    """Of the given parameter sets of the classifier the one with the
+    smallest RMSE over class indices, by an 80/20 validation split or
+    ``folds``-fold cross validation; members are drawn by a hash of ``key``.
+    Returns (model refitted on all of ``train``, its parameters, RMSEs)."""
+    b = F.pmod(seeded_hash(key, seed), F.lit(folds or 5)).alias("_fold")
+    feats = Pipeline(stages=pipeline.getStages()[:-1]).fit(train)
+    ready = materialize(feats.transform(train).select("features", "label", b), persist=False)
+    mlp, scores = pipeline.getStages()[-1], []
+    width = len(ready.select("features").first()[0]) if mlp.getLayers()[0] <= 1 else None
+    for params in grid:
+        own = mlp.copy({getattr(mlp, k): v for k, v in params.items()})
+        if width:
+            own.setLayers(layers_for(width, mlp.getLayers()[-1]))
+        errs = [evaluate(own.fit(ready.where(F.col("_fold") != i)).transform(ready.where(F.col("_fold") == i)))["rmse"]
+                for i in range(folds or 1)]
+        scores.append((sum(errs) / len(errs), own))
+    best = min(range(len(grid)), key=lambda i: scores[i][0])
+    model = PipelineModel(stages=[*feats.stages, scores[best][1].fit(ready)])
+    return model, grid[best], [s for s, _ in scores]
 
 
 def embedding_vector(col: str = "embedding", out: str = "emb_vec") -> Column:

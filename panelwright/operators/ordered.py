@@ -4,9 +4,8 @@ Bounded groups use window functions over ``partitionBy(group).orderBy(order)``
 (one exchange on the group key, streaming frames).
 
 Hot groups (see :class:`~panelwright.spec.SkewPolicy`) are cut into chunks
-along the leading order column; chunk bounds come from a per-group
-``percentile_approx`` sketch, so chunks hold ~``chunk_rows`` rows whatever
-the distribution. Each chunk is scanned by the same windows, and what a chunk
+along the whole order tuple; chunk bounds come from a per-group sample of it,
+so chunks hold ~``chunk_rows`` rows whatever the types and the distribution. Each chunk is scanned by the same windows, and what a chunk
 needs from its predecessors (last non-NULL value, last row, rows before it)
 comes from a one-row-per-chunk aggregate scanned across chunks: a segmented
 scan. No task ever holds more than one chunk.
@@ -19,7 +18,6 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..spec import PanelSpec
 
@@ -27,51 +25,40 @@ UNB_P = Window.unboundedPreceding
 UNB_F = Window.unboundedFollowing
 
 
-def _partition_cols(spec: PanelSpec, df: DataFrame, isolate_null_keys: bool) -> list[Column]:
-    cols = [F.col(g) for g in spec.group]
-    if isolate_null_keys:
-        # A row whose group key is NULL forms its own group: nothing is filled
-        # across such rows (pandas leaves them out of every group).
-        cols.append(F.when(spec.null_key(), F.xxhash64(*[F.col(c) for c in df.columns])))
-    return cols
-
-
-def _numeric_order(df: DataFrame, col: str) -> Column:
-    dt = df.schema[col].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    if isinstance(dt, T.NumericType):
-        return F.col(col).cast("double")
-    raise TypeError(f"leading order column {col} must be numeric, date or timestamp to split hot groups")
-
-
 # Broadcast the per-group chunk bounds only below this many bytes.
 BOUNDS_BROADCAST_BYTES = 64 << 20
+# Sampled rows per chunk from which the bounds are taken.
+SAMPLES_PER_CHUNK = 20
 
 
 def _with_chunks(rows: DataFrame, spec: PanelSpec, n_max: int, n_hot: int) -> DataFrame:
-    """Add ``_chunk`` (0..B-1) to rows of hot groups, monotone in the order."""
+    """Add ``_chunk`` to rows of hot groups, monotone in the whole order tuple.
+
+    Bounds are taken from a sample of the group's rows (by a hash of the row,
+    stable under retries), as a range partitioning does: any type orders, and
+    rows tied on the leading column are cut by the next one.
+    """
     keys = list(spec.group)
-    b = int(min(10_000, max(2, math.ceil(n_max / spec.skew.chunk_rows))))
-    num = _numeric_order(rows, spec.order[0])
-    probs = [i / b for i in range(1, b)]
-    bounds = (rows.groupBy(*keys)
-              .agg(F.percentile_approx(num, probs, max(10_000, 4 * b)).alias("_bounds")))
-    # one row per hot group holding B doubles: broadcast when that is small
+    every = max(1, spec.skew.chunk_rows // SAMPLES_PER_CHUNK)
+    own = [*spec.order, *([spec.id] if spec.id else [])]
+    picked = rows.where(F.pmod(F.xxhash64(*[F.col(c) for c in own]), F.lit(every)) == 0)
+    # about SAMPLES_PER_CHUNK order tuples per chunk: far below the group's rows
+    sorted_ = F.array_sort(F.collect_list(spec.order_struct()))
+    step = max(1, spec.skew.chunk_rows // every)
+    bounds = picked.groupBy(*keys).agg(sorted_.alias("_s")).select(*keys, F.filter(
+        "_s", lambda x, k: ((k + 1) % step) == 0).alias("_bounds"))
+    # one row per hot group holding its bounds: broadcast when that is small
     # (checked from the hot-key count), else a join left to AQE
-    small = n_hot * b * 8 <= BOUNDS_BROADCAST_BYTES
-    out = rows.join(F.broadcast(bounds) if small else bounds, keys)
-    # rows tied on the leading order value share a chunk (strict comparison)
-    return out.withColumn("_chunk", F.size(F.filter("_bounds", lambda x: x < num))).drop("_bounds")
+    small = n_hot * math.ceil(n_max / spec.skew.chunk_rows) * 64 <= BOUNDS_BROADCAST_BYTES
+    out = rows.join(F.broadcast(bounds) if small else bounds, keys, "left")
+    at = spec.order_struct()
+    return out.withColumn("_chunk", F.coalesce(F.size(F.filter("_bounds", lambda x: x < at)), F.lit(0))).drop("_bounds")
 
 
 def ordered_apply(df: DataFrame, spec: PanelSpec,
                   local: Callable[[DataFrame, Window, Column], DataFrame],
                   carry: Callable[[DataFrame, list[str]], DataFrame] | None,
-                  finish: Callable[[DataFrame], DataFrame] | None,
-                  isolate_null_keys: bool = False, hot=None) -> DataFrame:
+                  finish: Callable[[DataFrame], DataFrame] | None, hot=None) -> DataFrame:
     """Run an ordered transform on bounded groups and chunked hot groups.
 
     ``local(df, w, first_in_chunk)`` adds columns computed with window ``w``
@@ -81,6 +68,9 @@ def ordered_apply(df: DataFrame, spec: PanelSpec,
     For bounded groups the carry columns are NULL/0 and ``finish`` still runs.
     """
     hot = hot if hot is not None else spec.hot_keys(df)
+    if hot.null_hot:
+        rest = ordered_apply(df.where(~spec.null_key()), spec, local, carry, finish, hot.without_nulls())
+        return rest.unionByName(df.where(spec.null_key()), allowMissingColumns=True)
     order = spec.order_cols()
 
     def run(rows: DataFrame, part: list[Column], with_carry: DataFrame | None, chunk_keys):
@@ -93,7 +83,7 @@ def ordered_apply(df: DataFrame, spec: PanelSpec,
             res = finish(res)
         return res
 
-    part = _partition_cols(spec, df, isolate_null_keys)
+    part = spec.window_cols()
     if not hot.any:
         return run(df, part, None, None)
 
@@ -115,8 +105,7 @@ def _chunk_window(keys: list[str]):
 # ---------------------------------------------------------------------------
 # G1 and variants
 
-def fill_ordered(df: DataFrame, spec: PanelSpec, cols: list[str], how: str = "ffill_bfill",
-                 isolate_null_keys: bool = False, hot=None) -> DataFrame:
+def fill_ordered(df: DataFrame, spec: PanelSpec, cols: list[str], how: str = "ffill_bfill", hot=None) -> DataFrame:
     """Forward fill, backward fill, or forward-then-backward fill per group.
 
     ``ffill_bfill`` equals pandas ``x.ffill().bfill()`` inside each group: a
@@ -155,16 +144,11 @@ def fill_ordered(df: DataFrame, spec: PanelSpec, cols: list[str], how: str = "ff
             if f"_cin_ff_{c}" in res.columns:
                 ff = F.coalesce(ff, F.col(f"_cin_ff_{c}"))
                 bf = F.coalesce(bf, F.col(f"_cin_bf_{c}"))
-            if how == "ffill":
-                out[c] = ff
-            elif how == "bfill":
-                out[c] = bf
-            else:
-                out[c] = F.coalesce(ff, bf)
-        drop = [x for x in res.columns if x.startswith(("_ff_", "_bf_", "_cin_"))]
-        return res.withColumns(out).drop(*drop)
+            x = ff if how == "ffill" else bf if how == "bfill" else F.coalesce(ff, bf)
+            out[c] = F.when(spec.null_key(), F.col(c)).otherwise(x)  # a row of no group keeps its value
+        return res.withColumns(out).drop(*[f"{x}{c}" for c in cols for x in ("_ff_", "_bf_", "_cin_ff_", "_cin_bf_")])
 
-    return ordered_apply(df, spec, local, carry, finish, isolate_null_keys, hot)
+    return ordered_apply(df, spec, local, carry, finish, hot)
 
 
 def lag_diff(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None,
@@ -185,10 +169,11 @@ def lag_diff(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None,
         lag = F.col("_lag")
         if "_cin_prev" in res.columns:
             lag = F.when(F.col("_first"), F.col("_cin_prev")).otherwise(lag)
+        lag = F.when(~spec.null_key(), lag)
         res = res.withColumn(out, F.col(col) - lag)
         if lag_out:
             res = res.withColumn(lag_out, lag)
-        return res.drop("_lag", "_first", *[c for c in res.columns if c.startswith("_cin_")])
+        return res.drop("_lag", "_first", "_cin_prev")
 
     return ordered_apply(df, spec, local, carry, finish, hot=hot)
 
@@ -206,7 +191,7 @@ def row_index(df: DataFrame, spec: PanelSpec, out: str = "_rn", with_count: str
     keys = list(spec.group)
 
     def w_part(rows):
-        return [F.col(k) for k in keys] + ([F.col("_chunk")] if "_chunk" in rows.columns else [])
+        return [*[F.col(k) for k in keys], F.col("_chunk")] if "_chunk" in rows.columns else spec.window_cols()
 
     def carry(rows, keys_):
         per = rows.groupBy(*keys_, "_chunk").agg(F.count(F.lit(1)).alias("_cn"))
@@ -224,6 +209,7 @@ def row_index(df: DataFrame, spec: PanelSpec, out: str = "_rn", with_count: str
             res = res.withColumn(out, F.col("_rnl"))
             if with_count:
                 res = res.withColumn(with_count, F.col("_cntl"))
-        return res.drop("_rnl", "_cntl", *[c for c in res.columns if c.startswith("_cin_")])
+        res = res.withColumns({c: F.when(~spec.null_key(), F.col(c)) for c in (out, with_count) if c})
+        return res.drop("_rnl", "_cntl", "_cin_off", "_cin_total")
 
     return ordered_apply(df, spec, local, carry, finish, hot=hot)

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import div_inf
-from ..spec import PanelSpec
+from ..spec import PanelSpec, SkewPolicy
+from ..session import materialize
 from .groupstats import attach, group_percentiles, group_window, with_group_stats
 
 
@@ -32,12 +33,13 @@ def drop_where(df: DataFrame, cond: Column) -> DataFrame:
     return df.where(~F.coalesce(cond, F.lit(False)))
 
 
-def iqr_fences(df: DataFrame, col: str | Column, spec: PanelSpec | None = None) -> DataFrame:
+def iqr_fences(df: DataFrame, col: str | Column, spec: PanelSpec | None = None,
+               skew: SkewPolicy | None = None) -> DataFrame:
     """``min_value, q1, q3, lower, upper, max_value`` (lower/upper =
     q1 -/+ 1.5 IQR), one row (or one per group). Exact, skew-safe quantiles."""
     v = F.col(col) if isinstance(col, str) else col
     keys = list(spec.group) if spec is not None else []
-    q = group_percentiles(df, spec, v, [0.25, 0.75], ["q1", "q3"])
+    q = group_percentiles(df, spec, v, [0.25, 0.75], ["q1", "q3"], skew=skew)
     mm = (df.groupBy(*keys) if keys else df.groupBy()).agg(
         F.min(v.cast("double")).alias("min_value"), F.max(v.cast("double")).alias("max_value"))
     base = q.join(mm, keys) if keys else q.crossJoin(mm)
@@ -82,7 +84,10 @@ def _dev_fast(rows: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
 def _dev_slow(rows: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     keys = list(spec.group)
     x = F.col(col).cast("double")
-    med = group_percentiles(rows, spec, x, [0.5], ["_med"])
+    # hot rows only: one median per hot group
+    med = materialize(group_percentiles(rows, spec, x, [0.5], ["_med"]), persist=False)
+    if med.count() <= spec.skew.broadcast_keys:
+        med = F.broadcast(med)
     with_med = attach(rows.select(*keys, x.alias("_x")), med, keys)
     absdev = F.abs(F.col("_x") - F.col("_med"))
     mad = group_percentiles(with_med, spec, absdev, [0.5], ["_mad"])
@@ -103,16 +108,16 @@ def group_mad(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
     x = F.col(col).cast("double")
     hot = hot if hot is not None else spec.hot_keys(df.where(~spec.null_key()))
     med = group_percentiles(df, spec, x, [0.5], ["median"], hot=hot)
+    if hot.any:
+        # rows of a hot group are not dealt out by it to meet one number
+        med = materialize(med, persist=False)
+        if med.count() <= spec.skew.broadcast_keys:
+            med = F.broadcast(med)
     with_med = attach(df.where(~spec.null_key()).select(*keys, x.alias("_x")), med, keys)
     mad = group_percentiles(with_med, spec, F.abs(F.col("_x") - F.col("median")), [0.5], ["mad"], hot=hot)
     return med.join(mad, keys, "left")
 
 
-def max_mad(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
-    """one-row frame ``max_mad`` = largest group MAD."""
-    return group_mad(df, spec, col).agg(F.max("mad").alias("max_mad"))
-
-
 def robust_z(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None, hot=None) -> DataFrame:
     """G10 (see module doc). Adds ``out`` (default ``<col>_z``)."""
     out = out or f"{col}_z"

@@ -58,14 +58,30 @@ def empty_groups(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFram
 
 
 def duplicate_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pairs of same-typed columns equal on every row (NULL-safe), found
-    with one aggregate over all pairs. Returns ``(left, right)`` rows."""
+    """Pairs of same-typed columns equal on every row (NULL-safe).
+    Returns ``(left, right)`` rows.
+
+    One aggregate takes a fingerprint of every column (value and row mixed, so
+    equal columns have equal ones); only pairs with equal fingerprints are
+    compared value by value, in a second aggregate."""
     cols = cols or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:] if types[a] == types[b]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "left string, right string")
-    agg = df.agg(*[F.count_if(~F.col(a).eqNullSafe(F.col(b))).alias(f"_p{i}") for i, (a, b) in enumerate(pairs)])
-    same = F.array(*[F.when(F.col(f"_p{i}") == 0, F.struct(F.lit(a).alias("left"), F.lit(b).alias("right")))
-                     for i, (a, b) in enumerate(pairs)])
-    return agg.select(F.explode(F.array_compact(same)).alias("_s")).select("_s.left", "_s.right")
+    spark = df.sparkSession
+    row = df.select(*[F.col(f"`{c}`") for c in cols], F.monotonically_increasing_id().alias("_row"))
+    prints = row.agg(*[F.bit_xor(F.xxhash64("_row", F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))).alias(f"_f{i}")
+                       for i, c in enumerate(cols)]).first()  # one number per column
+    alike: dict = {}
+    for i, c in enumerate(cols):
+        alike.setdefault((types[c], prints[f"_f{i}"]), []).append(c)
+    # equality is transitive: comparing with the first of a class is enough
+    tests = [(g[0], b) for g in alike.values() for b in g[1:]]
+    if not tests:
+        return spark.createDataFrame([], "left string, right string")
+    found = df.agg(*[F.count_if(~F.col(f"`{a}`").eqNullSafe(F.col(f"`{b}`"))).alias(f"_p{i}")
+                     for i, (a, b) in enumerate(tests)]).first()
+    same: dict = {}
+    for i, (a, b) in enumerate(tests):
+        if found[f"_p{i}"] == 0:
+            same.setdefault(a, [a]).append(b)
+    pairs = [(a, b) for g in same.values() for i, a in enumerate(g) for b in g[i + 1:]]
+    return spark.createDataFrame(pairs, "left string, right string")

@@ -7,12 +7,15 @@ re-execution, repartitioning and executor loss (``rand()`` and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def seeded_hash(cols: list[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    """The first 15 hex digits of md5('seed|key|...') as a number: any engine
+    can state the same sample. A NULL key hashes as an empty text."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def top_k_distinct(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -25,17 +28,29 @@ def preview(df: DataFrame, key: list[str], n: int) -> DataFrame:
     return df.orderBy(*key).limit(n)
 
 
-def shuffle(df: DataFrame, key: list[str], seed: int = 42) -> DataFrame:
-    """A deterministic permutation: rows with their position in it."""
-    return df.withColumn("_shuffle", seeded_hash(key, seed))
-
-
-def sample_groups(df: DataFrame, group: list[str], k: int, seed: int = 41) -> DataFrame:
-    """All rows of k groups picked by a seeded hash (semi join;
-    the k keys form a bounded broadcast side)."""
+def shuffle(df: DataFrame, key: list[str], seed: int = 42, out: str = "position", bucket_rows: int = 500_000) -> DataFrame:
+    """A deterministic permutation: the rows in it, with their 0-based
+    position in ``out``. Positions are ranks of the seeded hash, counted in
+    equal slices of its range, so no task sees more than a slice."""
+    n = df.count()
+    slices = max(1, -(-n // bucket_rows))
+    h = df.withColumn("_h", seeded_hash(key, seed))
+    h = h.withColumn("_slice", F.floor(F.col("_h") / F.lit((16 ** 15) / slices)).cast("long"))
+    per = h.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))  # one row per slice
+    base = per.select("_slice", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    w = Window.partitionBy("_slice").orderBy("_h", *key)
+    placed = h.withColumn("_at", F.row_number().over(w) - 1).join(base, "_slice")
+    placed = placed.withColumn(out, F.col("_at") + F.col("_base")).drop("_slice", "_base", "_at", "_h")
+    return placed.repartitionByRange(slices, out).sortWithinPartitions(out)
+
+
+def sample_groups(df: DataFrame, group: list[str], k: int, seed: int = 41, broadcast_keys: int = 200_000) -> DataFrame:
+    """All rows of k groups picked by a seeded hash (semi join; the
+    k keys are broadcast up to ``broadcast_keys`` of them)."""
     keys = (df.select(*group).distinct().withColumn("_h", seeded_hash(group, seed))
             .orderBy("_h", *group).limit(k).drop("_h"))
-    return df.join(F.broadcast(keys), group, "left_semi")
+    return df.join(F.broadcast(keys) if k <= broadcast_keys else keys, group, "left_semi")
 
 
 def split(df: DataFrame, key: list[str], train_pct: int = 80, seed: int = 42,

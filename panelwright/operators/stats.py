@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
-from .groupstats import group_modes, group_percentiles
+from ..session import materialize
+from .groupstats import group_percentiles, group_window, with_group_stats
 from .ordered import lag_diff
 
 
@@ -68,34 +69,40 @@ def per_group_hist(df: DataFrame, spec: PanelSpec, col: str, kind: str = "nuniqu
     """distribution over groups of distinct (``nunique``) or
     non-NULL (``count``) values per group: ``(n, groups)``."""
     keys = list(spec.group)
+    rows = df.where(~spec.null_key())
     if kind == "nunique":
-        # two-level: (group, value) first spreads a hot group over many tasks
-        per = (df.select(*keys, col).where(F.col(col).isNotNull()).distinct()
-               .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
-        allg = df.select(*keys).distinct()
-        per = allg.join(per, keys, "left").select(F.coalesce("_n", F.lit(0)).alias("n"))
-    else:
-        per = df.groupBy(*keys).agg(F.count(col).alias("n"))
+        # (group, value) first spreads a hot group over many tasks; a group
+        # without values keeps its (group, NULL) row and counts 0
+        rows = rows.select(*keys, col).distinct()
+    per = rows.groupBy(*keys).agg(F.count(col).alias("n"))
     return per.groupBy("n").agg(F.count(F.lit(1)).alias("groups"))
 
 
+def _by_count(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
+    """(group, _c, _vals, _rows, _nulls): how many values of a group occur
+    ``_c`` times. One scan; both shuffles are of aggregated rows keyed beyond
+    the group, so a hot group spreads."""
+    keys = list(spec.group)
+    per = df.where(~spec.null_key()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("_n"))
+    c = F.when(F.col(col).isNotNull(), F.col("_n")).otherwise(0)
+    return per.groupBy(*keys, c.alias("_c")).agg(F.count(col).alias("_vals"), F.sum("_n").alias("_rows"))
+
+
 def num_modes(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     """F13 per group: number of modes (0 for an all-NULL group)."""
     keys = list(spec.group)
-    m = group_modes(df, spec, col).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_modes"))
-    allg = df.select(*keys).distinct()
-    return allg.join(m, keys, "left").select(*keys, F.coalesce("n_modes", F.lit(0)).alias("n_modes"))
+    return _by_count(df, spec, col).groupBy(*keys).agg(F.max_by("_vals", "_c").alias("n_modes"))
 
 
 def mode_share(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     """F15 per group: frequency of the (smallest) mode over the non-NULL
     count; NULL for a group without values. Also the group's row count."""
     keys = list(spec.group)
-    modes = group_modes(df, spec, col).groupBy(*keys).agg(F.max("_c").alias("_freq"))
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count(col).alias("non_null"))
-    out = g.join(modes, keys, "left")
-    return out.select(*keys, "n_rows", "non_null", F.col("_freq").alias("mode_freq"),
-                      F.when(F.col("non_null") > 0, F.col("_freq") / F.col("non_null")).alias("mode_share"))
+    g = _by_count(df, spec, col).groupBy(*keys).agg(
+        F.sum("_rows").alias("n_rows"), F.sum(F.when(F.col("_c") > 0, F.col("_rows")).otherwise(0)).alias("non_null"),
+        F.max(F.when(F.col("_c") > 0, F.col("_c"))).alias("mode_freq"))
+    return g.select(*keys, "n_rows", "non_null", "mode_freq",
+                    F.when(F.col("non_null") > 0, F.col("mode_freq") / F.col("non_null")).alias("mode_share"))
 
 
 def mode_dominance(df: DataFrame, spec: PanelSpec, col: str, threshold: float = 0.5) -> DataFrame:
@@ -110,9 +117,9 @@ def mode_dominance(df: DataFrame, spec: PanelSpec, col: str, threshold: float =
 
 def step_rule(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     """F16 per group: valid when every step is 0, or all steps are 0/+1
-    with exactly one +1 (the reference's 8-row rule, for any length)."""
+    with exactly one +1 (the eight-month rule, for any length)."""
     keys = list(spec.group)
-    d = lag_diff(df, spec, col, "_d")
+    d = lag_diff(df.where(~spec.null_key()), spec, col, "_d")
     per = d.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("_d") == 0).alias("_z"),
@@ -126,7 +133,7 @@ def net_change(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     """sum of first differences per group (NULL steps skipped; 0 when
     there is none, as pandas' sum)."""
     keys = list(spec.group)
-    d = lag_diff(df, spec, col, "_d")
+    d = lag_diff(df.where(~spec.null_key()), spec, col, "_d")
     return d.groupBy(*keys).agg(F.coalesce(F.sum("_d"), F.lit(0)).alias("net_change"))
 
 
@@ -146,12 +153,14 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def info(df: DataFrame) -> DataFrame:
-    """``(position, column, type, non_null)``; types come from the schema."""
-    nc = null_counts(df)
-    types = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "position int, column string, type string")
-    return types.join(F.broadcast(nc), "column").select("position", "column", "type", "non_null")
+    """``(position, column, type, non_null)``; types come from the schema.
+    One aggregate over the table, spread into rows."""
+    fields = df.schema.fields
+    agg = df.agg(*[F.count(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(fields)])
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
+                              F.lit(f.dataType.simpleString()).alias("type"), F.col(f"c{i}").alias("non_null"))
+                     for i, f in enumerate(fields)])
+    return agg.select(F.inline(rows))
 
 
 def box_stats(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
@@ -160,8 +169,12 @@ def box_stats(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     keys = list(spec.group)
     q = group_percentiles(df, spec, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
+    # the fences are one row per group: broadcast within the policy's bound,
+    # so the rows of a hot group are not dealt out by it
+    q = materialize(q, persist=False)
+    side = q.select(*keys, "q1", "q3")
     j = df.select(*keys, F.col(col).cast("double").alias("_v")).join(
-        q.select(*keys, "q1", "q3"), keys)
+        F.broadcast(side) if q.count() <= spec.skew.broadcast_keys else side, keys)
     lo = F.col("q1") - 1.5 * iqr
     hi = F.col("q3") + 1.5 * iqr
     inside = (F.col("_v") >= lo) & (F.col("_v") <= hi)
@@ -169,7 +182,7 @@ def box_stats(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
         F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
         F.count_if(~inside).alias("outliers"))
-    return q.join(w, keys)
+    return q.join(w, keys, "left").withColumn("outliers", F.coalesce("outliers", F.lit(0)))
 
 
 def density_by_class(df: DataFrame, cls: str, col: str, bins: int = 20) -> DataFrame:
@@ -191,3 +204,18 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     rows = df.agg(F.count(F.lit(1)).alias("_n"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("_d"))
     return rows.crossJoin(distinct).select((F.col("_n") - F.col("_d")).alias("duplicates"))
+
+
+def with_group_nunique(df: DataFrame, spec: PanelSpec, col: str, out: str, hot=None) -> DataFrame:
+    """The number of distinct non-NULL values of its group on every row."""
+    keys = list(spec.group)
+
+    def fast(rows):
+        w = group_window(spec)
+        peers = F.dense_rank().over(w.orderBy(F.col(col).asc_nulls_last()))
+        return (rows.withColumn("_dr", F.when(F.col(col).isNotNull(), peers))
+                .withColumn(out, F.coalesce(F.max("_dr").over(w), F.lit(0)).cast("long")).drop("_dr"))
+
+    def slow(rows):
+        return rows.select(*keys, col).distinct().groupBy(*keys).agg(F.count(col).alias(out))
+    return with_group_stats(df, spec, fast, slow, hot)

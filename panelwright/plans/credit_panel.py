@@ -19,7 +19,7 @@ Plan shape:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,6 +94,8 @@ class CreditOptions:
     loan_width: int | None = None        # K; None = longest list in the data
     point_repairs: DataFrame | None = None  # (ID, column) rows whose value is set NULL
     checkpoint: bool = True
+    scalars: dict | None = None   # fences, largest MADs and means of another panel (see ``clean``)
+    keep: tuple[str, ...] = ()    # extra columns carried to the result, e.g. the source file
     fused: bool = True   # bounded customers: evaluate independent columns in shared window passes
 
 
@@ -135,22 +137,25 @@ def _scalars_wave(df: DataFrame, spec: PanelSpec, mad_cols: dict[str, Column | N
     """
     out = {}
     small_cols = n_rows <= spec.skew.hot_rows
-    if not hot.any and small_cols:
-        cur = df
-        aggs = []
+    if not hot.any:
+        # windows on the co-partitioned panel, whatever the column's length;
+        # short columns take their exact percentiles in the same aggregate
+        cur, aggs = df, []
         for name in mad_cols:
             cur = outlier.with_deviation_stats(cur, spec, name, hot).withColumnRenamed("_mad", f"_mad_{name}") \
                 .drop("_med", "_alleq")
-            aggs.append(F.max(f"_mad_{name}").alias(f"maxmad:{name}"))
-        for name in fence_cols:
-            aggs.append(F.percentile(F.col(name).cast("double"), [0.25, 0.75]).alias(f"q:{name}"))
-        r = cur.agg(*aggs).first()
+            aggs.append(F.max(F.when(~spec.null_key(), F.col(f"_mad_{name}"))).alias(f"maxmad:{name}"))
+        if small_cols:
+            aggs += [F.percentile(F.col(name).cast("double"), [0.25, 0.75]).alias(f"q:{name}") for name in fence_cols]
+        r = cur.agg(*aggs).first() if aggs else None
         for name in mad_cols:
             out[f"maxmad:{name}"] = r[f"maxmad:{name}"]
-        for name in fence_cols:
-            q1, q3 = r[f"q:{name}"] if r[f"q:{name}"] is not None else (None, None)
-            out[f"upper:{name}"] = (q3 + 1.5 * (q3 - q1)) if q1 is not None else None
-        return out
+        mad_cols = {}
+        if small_cols:
+            for name in fence_cols:
+                q1, q3 = r[f"q:{name}"] if r[f"q:{name}"] is not None else (None, None)
+                out[f"upper:{name}"] = (q3 + 1.5 * (q3 - q1)) if q1 is not None else None
+            return out
     if mad_cols:
         # all columns in one pass: unpivot to (group, column, value) and
         # treat (group, column) as the group
@@ -165,6 +170,8 @@ def _scalars_wave(df: DataFrame, spec: PanelSpec, mad_cols: dict[str, Column | N
     if fence_cols:
         tall = df.select(*[F.col(c).cast("double").alias(c) for c in fence_cols]).unpivot(
             [], list(fence_cols), "column", "value")
+        for name in fence_cols:
+            out[f"upper:{name}"] = None
         cspec = PanelSpec(("column",), skew=spec.skew)
         # a column is one group of n_rows values: hot only beyond the policy
         chot = HotKeys.none(cspec) if small_cols else None
@@ -192,28 +199,19 @@ def _robust_z_lit(df: DataFrame, spec: PanelSpec, col: str, max_mad, hot) -> Col
     return st.withColumn("_z", z).drop("_med", "_mad", "_alleq")
 
 
-# Profiling hooks: set to lists to record (step, seconds) / (step, frame)
-# while the recipe is built; the waves run eagerly, the rest is lazy.
-_TRACE = None
-_FRAMES = None
-
-
-def _mark(label: str, t0: list, df=None):
-    import time
-    if _FRAMES is not None and df is not None:
-        _FRAMES.append((label, df))
-    if _TRACE is not None:
-        now = time.time()
-        _TRACE.append((label, now - t0[0]))
-        t0[0] = now
-
-
 def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = SPEC) -> DataFrame:
     """Clean a raw credit panel; returns the cleaned panel (lazy after the
-    checkpoint and scalar waves)."""
-    import time
-    _t = [time.time()]
+    checkpoint and scalar waves).
+
+    The whole-column scalars (fences, largest MADs, the EMI mean) are computed
+    from the panel, or taken from ``opts.scalars`` where given; an empty dict
+    there is filled with those computed, so that a later panel can be cleaned
+    like this one."""
     opts = opts or CreditOptions()
+    if spec.iso is None:
+        # rows without a customer are spread by their own hash, not one key
+        raw = raw.withColumn("_iso", spec.isolating())
+        spec = replace(spec, iso="_iso")
     df = type_repair(raw)
     if opts.point_repairs is not None:
         df = _point_repair(df, opts.point_repairs)
@@ -225,16 +223,14 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     sizes = df.groupBy(*spec.group).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max(F.coalesce(F.size(F.split("Type_of_Loan", lists.SEP, -1)), F.lit(1))).alias("_k"))
-    prof = sizes.agg(F.count_if(F.col("_n") > spec.skew.hot_rows).alias("hot"), F.max("_k").alias("k"),
+    prof = sizes.agg(F.count_if((F.col("_n") > spec.skew.hot_rows) & ~spec.null_key()).alias("hot"), F.max("_k").alias("k"),
                      F.sum("_n").alias("rows")).first()
-    _mark("profile", _t, df)
     k = opts.loan_width or int(prof["k"] or 1)
     n_rows = int(prof["rows"] or 0)
     if opts.checkpoint:
         # co-partition by customer once (unless a customer is hot: then the
         # operators' split plans place rows); every later window reuses it
-        df = materialize(df, None if prof["hot"] else list(spec.group))
-        _mark("checkpoint", _t, df)
+        df = materialize(df, None if prof["hot"] else [*spec.group, spec.iso])
     hot = spec.hot_keys(df) if prof["hot"] else HotKeys.none(spec)
 
     # wave 1: scalars from the typed panel
@@ -244,11 +240,12 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     mads = {"Age": None, "Num_Bank_Accounts": None, "Num_Credit_Card": None}
     if opts.emi_rules:
         mads["Total_EMI_per_month"] = None
-    s1 = _scalars_wave(df, spec, mads, fences, hot, n_rows)
-    _mark("wave1", _t, df)
+    s1 = opts.scalars if opts.scalars else _scalars_wave(df, spec, mads, fences, hot, n_rows)
+    if opts.scalars is not None:
+        opts.scalars.update(s1)
 
     if opts.fused and not hot.any:
-        return _clean_fused(df, spec, opts, s1, k)
+        return _clean_fused(df, spec, opts, s1, k, n_rows)
 
     # Hot customers: every operator below splits its input (bounded rows,
     # hot rows, statistics) and reads it two or three times, so a chain of
@@ -259,22 +256,19 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
 
     # EMI first: its later waves then depend on the checkpoint and EMI alone
     if opts.emi_rules:
-        df = _emi_rules(df, spec, s1["maxmad:Total_EMI_per_month"], hot, n_rows)
+        df = _emi_rules(df, spec, s1["maxmad:Total_EMI_per_month"], hot, n_rows, opts)
         df = cut(df)
-        _mark("emi", _t, df)
     else:
         df = df.withColumn("Total_EMI_per_month", F.col("Total_EMI_per_month").cast("int").cast("double"))
     # Age: one-sided robust rule, fill, int
     df = _robust_z_lit(df, spec, "Age", s1["maxmad:Age"], hot)
     df = cut(df)
     df = outlier.null_where(df, "Age", F.col("_z") > AGE_Z_MAX).drop("_z")
-    _mark("age", _t, df)
     # accounts / cards: two-sided robust rule
     for col, t in (("Num_Bank_Accounts", ACCOUNT_Z_MAX), ("Num_Credit_Card", CARD_Z_MAX)):
         df = _robust_z_lit(df, spec, col, s1[f"maxmad:{col}"], hot)
         df = cut(df)
         df = outlier.null_where(df, col, F.abs(F.col("_z")) > t).drop("_z")
-        _mark(col, _t, df)
     # delayed payments / inquiries: whole-column upper fence and negatives
     df = outlier.null_where(df, "Num_of_Delayed_Payment",
                             (F.col("Num_of_Delayed_Payment") > _lit(s1["upper:Num_of_Delayed_Payment"]))
@@ -286,15 +280,12 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     # income / salary
     df = impute.cond_mode(df, spec, "Annual_Income", "Monthly_Inhand_Salary", hot=hot)
     df = cut(df)
-    _mark("cond_mode", _t, df)
     df = impute.fill_two_keys(df, spec, "Monthly_Inhand_Salary", "Annual_Income", hot=hot)
     df = cut(df)
-    _mark("two_keys", _t, df)
     df = outlier.null_where(df, "Annual_Income", F.col("Monthly_Inhand_Salary").isNull())
     # loans: count from the list, expand the list
     df = df.withColumn("Num_of_Loan", lists.count_items("Type_of_Loan"))
     df = lists.expand(df, "Type_of_Loan", k)
-    _mark("loans", _t, df)
     # single-column fills
     df = impute.ffill_bfill(df, spec, ["Age", "Occupation", "Annual_Income", "Monthly_Inhand_Salary",
                                        "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan",
@@ -302,15 +293,12 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     df = cut(df)
     df = impute.set_median(df, spec, "Interest_Rate", hot=hot)
     df = cut(df)
-    _mark("fills", _t, df)
     df = impute.fill_mode_median_int(df, spec, "Num_of_Delayed_Payment", hot=hot)
     df = cut(df)
-    _mark("delayed", _t, df)
     df = impute.fill_mode_mean(df, spec, "Changed_Credit_Limit", hot=hot)
     df = cut(df)
     df = impute.counter_rebuild(df, spec, "Credit_History_Age", hot=hot)
     df = cut(df)
-    _mark("history", _t, df)
     df = impute.fill_mode(df, spec, "Payment_of_Min_Amount", hot=hot)
     df = cut(df)
     df = df.withColumn("Payment_of_Min_Amount", tx.map_values("Payment_of_Min_Amount", tx.YES_NO_BACK))
@@ -318,7 +306,6 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     df = cut(df)
     df = impute.mode_or_fill(df, spec, "Payment_Behaviour", hot=hot)
     df = cut(df)
-    _mark("behaviour", _t, df)
     df = impute.fill_median(df, spec, "Monthly_Balance", hot=hot)
     df = cut(df)
     ints = ["Age", "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan", "Num_of_Delayed_Payment",
@@ -326,7 +313,7 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     df = df.withColumns({c: F.col(c).cast("int") for c in ints})
     loan_cols = [f"Last_Loan_{i}" for i in range(k, 0, -1)]
     head = ([] if opts.drop_id else ["ID"])
-    return df.select(*head, *CLEAN_COLUMNS, *loan_cols, "Credit_Score")
+    return df.select(*head, *opts.keep, *CLEAN_COLUMNS, *loan_cols, "Credit_Score")
 
 
 def _z_expr(x: Column, med: Column, mad: Column, alleq: Column, max_mad) -> Column:
@@ -340,13 +327,13 @@ def _z_expr(x: Column, med: Column, mad: Column, alleq: Column, max_mad) -> Colu
             .otherwise(div_inf(dev, _lit(max_mad))))
 
 
-def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict, k: int) -> DataFrame:
+def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict, k: int, n_rows: int) -> DataFrame:
     """The recipe for bounded customers with independent columns' window
     work evaluated together: each window level is one Window operator for
     all columns that need it (about 11 operators instead of ~30), all on the
     checkpoint's customer partitioning. Same results as the operator chain
     (``tests/test_credit_panel.py`` compares them)."""
-    g = list(spec.group)
+    g = spec.window_cols()
     wg = Window.partitionBy(*g)
     wo = wg.orderBy(*spec.order_cols())
     ffp, bff = wo.rowsBetween(Window.unboundedPreceding, 0), wo.rowsBetween(0, Window.unboundedFollowing)
@@ -393,9 +380,8 @@ def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict,
                                      *[f"_eq_{n}" for n in dev])
     if opts.emi_rules:
         # wave 2: the fence of EMI after its robust rule
-        q = df.agg(F.percentile("Total_EMI_per_month", [0.25, 0.75]).alias("q")).first()["q"]
-        if q is not None:
-            upper = q[1] + 1.5 * (q[1] - q[0])
+        upper = _emi_upper(df, spec, opts, n_rows)
+        if upper is not None:
             df = df.withColumn("Total_EMI_per_month", F.when(c("Total_EMI_per_month") > _lit(upper), F.lit(None))
                                .otherwise(c("Total_EMI_per_month")))
 
@@ -422,7 +408,7 @@ def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict,
     df = df.withColumns(lev_c)
     if opts.emi_rules:
         # wave 3: remaining NULLs take the column mean
-        mean = df.agg(F.avg("Total_EMI_per_month")).first()[0]
+        mean = _emi_mean(df, opts)
         df = df.withColumn("Total_EMI_per_month", F.coalesce(c("Total_EMI_per_month"), _lit(mean)))
 
     # mode statistics: peer counts (one pass per column), then two group levels
@@ -469,24 +455,39 @@ def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict,
     df = df.withColumns({n: c(n).cast("int") for n in ints})
     loan_cols = [f"Last_Loan_{i}" for i in range(k, 0, -1)]
     head = ([] if opts.drop_id else ["ID"])
-    return df.select(*head, *CLEAN_COLUMNS, *loan_cols, "Credit_Score")
+    return df.select(*head, *opts.keep, *CLEAN_COLUMNS, *loan_cols, "Credit_Score")
+
+
+def _emi_upper(df: DataFrame, spec: PanelSpec, opts: CreditOptions, n_rows: int):
+    """The fence of EMI after its robust rule: exact quantiles of a whole
+    column, through the size-checked plan."""
+    kept = opts.scalars if opts.scalars is not None else {}
+    if "upper:Total_EMI_per_month" not in kept:
+        q = group_percentiles(df.select("Total_EMI_per_month"), None, "Total_EMI_per_month", [0.25, 0.75], ["q1", "q3"],
+                              n_rows=n_rows, skew=spec.skew).first()
+        kept["upper:Total_EMI_per_month"] = None if q["q1"] is None else q["q3"] + 1.5 * (q["q3"] - q["q1"])
+    return kept["upper:Total_EMI_per_month"]
 
 
-def _emi_rules(df: DataFrame, spec: PanelSpec, max_mad, hot, n_rows: int) -> DataFrame:
+def _emi_mean(df: DataFrame, opts: CreditOptions):
+    kept = opts.scalars if opts.scalars is not None else {}
+    if "mean:Total_EMI_per_month" not in kept:
+        kept["mean:Total_EMI_per_month"] = df.agg(F.avg("Total_EMI_per_month")).first()[0]
+    return kept["mean:Total_EMI_per_month"]
+
+
+def _emi_rules(df: DataFrame, spec: PanelSpec, max_mad, hot, n_rows: int, opts: CreditOptions) -> DataFrame:
     """EMI: null z > 10000; then (wave 2) null above the column's upper fence;
     G1; then (wave 3) remaining NULLs take the column mean."""
     df = _robust_z_lit(df, spec, "Total_EMI_per_month", max_mad, hot)
     df = outlier.null_where(df, "Total_EMI_per_month", F.col("_z") > EMI_Z_MAX).drop("_z")
-    narrow = df.select(*spec.group, *spec.order, "Total_EMI_per_month")
-    q = group_percentiles(narrow, None, "Total_EMI_per_month", [0.25, 0.75], ["q1", "q3"],
-                          n_rows=n_rows).first()
-    if q["q1"] is not None:
-        upper = q["q3"] + 1.5 * (q["q3"] - q["q1"])
+    upper = _emi_upper(df, spec, opts, n_rows)
+    if upper is not None:
         df = outlier.null_where(df, "Total_EMI_per_month", F.col("Total_EMI_per_month") > _lit(upper))
     df = impute.ffill_bfill(df, spec, ["Total_EMI_per_month"], hot=hot)
     if hot.any:
         df = materialize(df)
-    mean = df.agg(F.avg("Total_EMI_per_month")).first()[0]
+    mean = _emi_mean(df, opts)
     return df.withColumn("Total_EMI_per_month", F.coalesce(F.col("Total_EMI_per_month"), _lit(mean)))
 
 
@@ -498,16 +499,3 @@ def _point_repair(df: DataFrame, repairs: DataFrame) -> DataFrame:
     for c in cols:
         out = outlier.null_where(out, c, F.coalesce(F.array_contains("_fix", c), F.lit(False)))
     return out.drop("_fix")
-
-
-def row_local_clean(raw: DataFrame, k: int) -> DataFrame:
-    """The part of the recipe that needs no other row: typing, fixed-range
-    rules, loan count and list expansion (K given), flag decoding. Usable on
-    streams; group fills are left to the batch recipe."""
-    df = type_repair(raw)
-    df = outlier.null_where(df, "Age", (F.col("Age") > AGE_MAX) | (F.col("Age") <= 0))
-    df = outlier.null_where(df, "Num_Bank_Accounts", F.col("Num_Bank_Accounts") < 0)
-    df = outlier.null_where(df, "Amount_invested_monthly", F.col("Amount_invested_monthly") > INVESTED_MAX)
-    df = df.withColumn("Num_of_Loan", lists.count_items("Type_of_Loan"))
-    df = lists.expand(df, "Type_of_Loan", k)
-    return df.withColumn("Payment_of_Min_Amount", tx.map_values("Payment_of_Min_Amount", tx.YES_NO_BACK))

@@ -593,11 +593,23 @@ def q_list_expand(spark, d):
     return lists.expand(lst, "loans")
 
 
-@query("q_list_vocab", f"SELECT DISTINCT unnest({ITEMS_SQL}) AS item FROM {dv.TO_LIST_SQL}")
+def _vocab_sql(where: str) -> str:
+    return (f"WITH i AS (SELECT {ITEMS_SQL} AS items FROM {dv.TO_LIST_SQL} WHERE {where}) "
+            f"SELECT DISTINCT unnest(items) AS item FROM i UNION SELECT '{lists.FILLER}' FROM i "
+            "HAVING min(len(items)) < max(len(items))")
+
+
+@query("q_list_vocab", _vocab_sql("true"))
 def q_list_vocab(spark, d):
     return lists.vocabulary(dv.orders_list(spark, d), "loans")
 
 
+@query("q_list_vocab_padded", _vocab_sql("loans IS NOT NULL"))
+def q_list_vocab_padded(spark, d):
+    """F20 without a missing list: the filler comes from padding alone."""
+    return lists.vocabulary(dv.orders_list(spark, d).where(F.col("loans").isNotNull()), "loans")
+
+
 @query("q_list_len", f"""
 SELECT o_orderkey, coalesce(len(string_split(loans, ', ')), 0) AS n_items FROM {dv.TO_LIST_SQL}""")
 def q_list_len(spark, d):
@@ -668,7 +680,7 @@ def q_point_repair(spark, d):
 WITH b AS (SELECT *, floor(value / ((SELECT avg(value) FROM {TO_VALUE_SQL}) * 0.05)) AS bk FROM
            (SELECT v.*, o.o_orderpriority FROM {TO_VALUE_SQL} v JOIN orders o USING (o_orderkey))),
 r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, bk, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS rn FROM b)
-SELECT o_orderkey, o_custkey, round(value, 6) AS value FROM r WHERE rn = 1""")
+SELECT o_orderkey, o_custkey, round(value, 6) AS value FROM r WHERE rn = 1 OR value IS NULL""")
 def q_near_dup(spark, d):
     o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
                                         "o_orderpriority"])
@@ -808,22 +820,35 @@ def q_label_index(spark, d):
 
 
 # ---------------------------------------------------------------------------
-# splits and samples (hash-seeded; DuckDB has no xxhash64, so rows-only)
+# splits and samples: a seeded hash that both engines have
+
+def seeded_sql(seed: int, *cols: str) -> str:
+    """SQL of :func:`sampling.seeded_hash`."""
+    text = " || '|' || ".join([f"'{seed}'", *[f"coalesce(CAST({c} AS VARCHAR), '')" for c in cols]])
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
 
-@query("q_split")
+def split_sql(seed: int, *cols: str, pct: int = 80) -> str:
+    return f"CASE WHEN {seeded_sql(seed, *cols)} % 100 < {pct} THEN 'train' ELSE 'test' END"
+
+
+@query("q_split", f"SELECT event_id, user_id, {split_sql(42, 'user_id')} AS split FROM events")
 def q_split(spark, d):
     """L6 by customer: all of a user's events fall on one side."""
     ev = dv.events(spark, d, ["event_id", "user_id"])
     return sampling.split(ev, ["user_id"], 80, 42).select("event_id", "user_id", "split")
 
 
-@query("q_sample_groups")
+@query("q_sample_groups", f"""
+SELECT event_id, user_id, value FROM events WHERE user_id IN (
+  SELECT user_id FROM (SELECT DISTINCT user_id FROM events) ORDER BY {seeded_sql(41, 'user_id')}, user_id LIMIT 5)""")
 def q_sample_groups(spark, d):
     ev = dv.events(spark, d, ["event_id", "user_id", "value"])
     return sampling.sample_groups(ev, ["user_id"], 5, 41)
 
 
-@query("q_shuffle")
+@query("q_shuffle", f"""
+SELECT event_id, user_id, row_number() OVER (ORDER BY {seeded_sql(42, 'event_id')}, event_id) - 1 AS position FROM events""")
 def q_shuffle(spark, d):
     ev = dv.events(spark, d, ["event_id", "user_id"])
     return sampling.shuffle(ev, ["event_id"], 42)
@@ -843,7 +868,9 @@ def _emb_pipeline(n_dim: int, max_iter: int = 40):
                                   vector_size=n_dim)
 
 
-@query("q_mlp_score")
+@query("q_mlp_score", f"""
+SELECT vec_id, CAST(label AS VARCHAR) AS label, true AS known FROM embeddings
+WHERE {split_sql(42, 'vec_id')} = 'test'""")
 def q_mlp_score(spark, d):
     """Fit on the train split, save the model
     to the shared checkpoint folder, load it back and score the test split
@@ -861,24 +888,27 @@ def q_mlp_score(spark, d):
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     scored = ml.decode(loaded, loaded.transform(e.where(F.col("split") == "test")))
-    return scored.select("vec_id", F.col("label_name").alias("label"), F.col("prediction").cast("int").alias("prediction"),
-                         "predicted_label")
+    labels = loaded.stages[0].labels
+    known = F.col("predicted_label").isin(*labels) & F.col("prediction").between(0, len(labels) - 1)
+    return scored.select("vec_id", F.col("label_name").alias("label"), known.alias("known"))
 
 
-@query("q_mlp_select")
+@query("q_mlp_select", f"""
+SELECT count(*) AS n_test, true AS best_is_asked, true AS metrics_in_range
+FROM embeddings WHERE {split_sql(42, 'vec_id')} = 'test'""")
 def q_mlp_select(spark, d):
     """Pick maxIter by validation RMSE, report test metrics."""
     e = _embeddings_split(spark, d)
     n_dim = len(e.select("emb_vec").first()[0])
     train, test = e.where(F.col("split") == "train"), e.where(F.col("split") == "test")
-    tuned = ml.select_model(_emb_pipeline(n_dim), train, [{"maxIter": 20}, {"maxIter": 40}])
-    scored = tuned.bestModel.transform(test)
-    m = ml.evaluate(scored)
-    best = tuned.bestModel.stages[-1].getMaxIter()
-    return spark.createDataFrame([(best, *[float(m[k]) for k in ("accuracy", "weightedPrecision", "weightedRecall",
-                                                                  "f1", "logLoss", "rmse")])],
-                                 "best_max_iter int, accuracy double, precision double, recall double, f1 double, "
-                                 "log_loss double, rmse double")
+    asked = [{"maxIter": 20}, {"maxIter": 40}]
+    model, best, rmses = ml.select_model(_emb_pipeline(n_dim), train, asked, ["vec_id"])
+    m = ml.evaluate(model.transform(test))
+    share = [m[k] for k in ("accuracy", "weightedPrecision", "weightedRecall", "f1")]
+    return spark.createDataFrame(
+        [(m["n"], best in asked and min(rmses) == rmses[asked.index(best)],
+          all(0 <= x <= 1 for x in share) and m["rmse"] >= 0 and m["logLoss"] >= 0)],
+        "n_test long, best_is_asked boolean, metrics_in_range boolean")
 
 
 # ---------------------------------------------------------------------------
@@ -911,7 +941,7 @@ def q_csv_roundtrip(spark, d):
     region = read_table(spark, d, "region", ["r_regionkey", "r_name"])
     for s in ("sample_a", "sample_b"):
         csvsrc.write_table(region, f"{base}/{s}", "csv")
-    schema = T._parse_datatype_string(REGION_SCHEMA)
+    schema = T.StructType.fromDDL(REGION_SCHEMA)
     back = csvsrc.read_panel_csv(spark, base, schema, glob="*.csv")
     return back.select(F.regexp_extract("source_file", r"/(sample_[ab])/", 1).alias("sample"), "r_regionkey", "r_name")
 
@@ -926,13 +956,57 @@ def q_credit_panel(spark, d):
     return credit_panel.clean(dv.credit_panel_raw(spark, d))
 
 
-@query("q_credit_score")
+CUSTOMER_ID_SQL = "'CUS_0x' || lower(printf('%x', o_custkey))"
+
+
+@query("q_credit_score", f"""
+SELECT count(*) AS n_test, true AS metrics_in_range, true AS beats_majority FROM orders
+WHERE {split_sql(42, CUSTOMER_ID_SQL)} = 'test'""")
 def q_credit_score(spark, d):
-    """Clean, split by customer, fit the perceptron on train, report test
-    metrics (L1-L4, L7, L11-L15)."""
+    """Clean, split by customer, fit the perceptron on train, check the test
+    metrics (L1-L4, L7, L11-L15): shares in range, accuracy above one third."""
     from . import credit_panel, scoring
     cleaned = credit_panel.clean(dv.credit_panel_raw(spark, d))
-    return scoring.train_and_score(cleaned, max_iter=30, on_incomplete="impute")
+    m = scoring.train_and_score(cleaned, max_iter=30, on_incomplete="impute")
+    share = F.lit(True)
+    for c in ("accuracy", "precision", "recall", "f1"):
+        share = share & F.col(c).between(0, 1)
+    return m.select("n_test", (share & (F.col("rmse") >= 0) & (F.col("log_loss") >= 0)).alias("metrics_in_range"),
+                    (F.col("accuracy") > 1 / 3).alias("beats_majority"))
+
+
+@query("q_score_file", f"""
+SELECT '0x' || lower(printf('%x', o_orderkey)) AS "ID", true AS known FROM orders
+WHERE {split_sql(7, CUSTOMER_ID_SQL)} = 'test'""")
+def q_score_file(spark, d):
+    """Fit on the customers of one side, then load, clean
+    (with the training side's scalars), score and write the other side's rows;
+    the written file read back."""
+    import uuid
+
+    from ..session import materialize, scratch_path
+    from . import credit_panel, scoring
+    raw = sampling.split(dv.credit_panel_raw(spark, d), ["Customer_ID"], 80, 7, col="_side")
+    scalars: dict = {}
+    cleaned = materialize(credit_panel.clean(raw.where("_side = 'train'").drop("_side"),
+                                             credit_panel.CreditOptions(scalars=scalars)), persist=False)
+    model = scoring.fit(cleaned, max_iter=10, on_incomplete="impute")
+    done = scoring.score_file(model, raw.where("_side = 'test'").drop("_side"), scalars, scratch_path(spark, f"scores-{uuid.uuid4().hex}"))
+    return done.select("ID", F.col("Credit_Score").isin(*ml.CLASSES).alias("known"))
+
+
+@query("q_credit_samples", """
+SELECT sample, count(*) AS rows, count(DISTINCT o_custkey) AS customers
+FROM orders, (VALUES ('a'), ('b')) t(sample) GROUP BY sample""")
+def q_credit_samples(spark, d):
+    """P5: two samples of one layout through the recipe, the sample part of
+    the panel key (no fill crosses samples) and kept in the result."""
+    from . import credit_panel
+    raw = dv.credit_panel_raw(spark, d)
+    both = raw.withColumn("sample", F.lit("a")).unionByName(raw.withColumn("sample", F.lit("b")))
+    spec = PanelSpec(("Customer_ID", "sample"), ("Month", "ID"), id="ID")
+    out = credit_panel.clean(both, credit_panel.CreditOptions(keep=("sample",)), spec)
+    return out.groupBy("sample").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("Customer_ID").alias("customers"))
 
 
 # ---------------------------------------------------------------------------
@@ -987,3 +1061,76 @@ def q_feature_names(spark, d):
     """Names of the assembled feature vector, from ML metadata."""
     o = read_table(spark, d, "orders", ["o_totalprice", "o_orderstatus", "o_orderpriority"])
     return ml.feature_names(o, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"])
+
+
+# ---------------------------------------------------------------------------
+# rows without a key, statistics per row, NA tokens
+
+NULL_KEY_SQL = f"(SELECT o_orderkey, nullif(o_custkey, CASE WHEN o_orderkey % 23 = 0 THEN o_custkey END) AS k, o_orderdate, value FROM {TO_VALUE_SQL})"
+W_NULL = "PARTITION BY k, CASE WHEN k IS NULL THEN o_orderkey END"
+
+
+@query("q_null_keys", f"""
+WITH m AS (SELECT *, median(value) OVER ({W_NULL}) AS med FROM {NULL_KEY_SQL})
+SELECT o_orderkey,
+  round(coalesce(last_value(value IGNORE NULLS) OVER ({W_NULL} ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                 first_value(value IGNORE NULLS) OVER ({W_NULL} ORDER BY o_orderdate, o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 6) AS filled,
+  round(coalesce(value, med), 6) AS median_filled, round(med, 6) AS median_set, CASE WHEN k IS NOT NULL THEN round(value - med, 6) END AS dev,
+  round(value - lag(value) OVER ({W_NULL} ORDER BY o_orderdate, o_orderkey), 6) AS diff
+FROM m""")
+def q_null_keys(spark, d):
+    """G1, G4, G5, G12, G13 on a panel where some rows have no customer: such
+    a row is in no group and keeps its value."""
+    from ..operators.ordered import lag_diff
+    v = orders_value(spark, d).withColumn("o_custkey", F.when(F.col("o_orderkey") % 23 != 0, F.col("o_custkey")))
+    out = v.withColumns({"filled": F.col("value"), "median_filled": F.col("value"), "median_set": F.col("value")})
+    out = impute.ffill_bfill(out, TO, ["filled"])
+    out = impute.fill_median(out, TO, "median_filled")
+    out = impute.set_median(out, TO, "median_set")
+    out = outlier.abs_dev(out, TO, "value", "dev")
+    out = lag_diff(out, TO, "value", "diff")
+    return out.select("o_orderkey", *[round6(c).alias(c) for c in ("filled", "median_filled", "median_set", "dev", "diff")])
+
+
+@query("q_group_nunique", f"""
+SELECT t.o_orderkey, n FROM {dv.TO_BUCKET_SQL} t
+JOIN (SELECT o_custkey, count(DISTINCT bucket) AS n FROM {dv.TO_BUCKET_SQL} GROUP BY 1) g ON t.o_custkey = g.o_custkey""")
+def q_group_nunique(spark, d):
+    """The group's number of distinct values on every row."""
+    return stats.with_group_nunique(dv.orders_bucketed(spark, d), TO, "bucket", "n").select("o_orderkey", "n")
+
+
+@query("q_z_distribution", f"""
+WITH m AS (SELECT o_custkey, value, median(value) OVER (PARTITION BY o_custkey) AS med FROM {TO_VALUE_SQL}),
+s AS (SELECT *, median(abs(value - med)) OVER (PARTITION BY o_custkey) AS mad FROM m),
+z AS (SELECT CASE WHEN mad <> 0 THEN (value - med) / mad WHEN value = med THEN 0.0 END AS z FROM s WHERE value IS NOT NULL)
+SELECT CAST(floor(z) AS BIGINT) AS bin, count(*) AS rows FROM z WHERE z IS NOT NULL GROUP BY 1""")
+def q_z_distribution(spark, d):
+    """Distribution of the robust z over unit bins (finite values)."""
+    z = outlier.robust_z(orders_value(spark, d), TO, "value", "z").where(F.col("z").isNotNull())
+    z = z.where(F.abs("z") < float("inf"))
+    return z.groupBy(F.floor("z").cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("q_na_tokens", """
+SELECT r_regionkey, CASE r_regionkey % 4 WHEN 0 THEN NULL WHEN 1 THEN NULL ELSE r_name END AS r_name,
+  CASE WHEN r_regionkey % 5 <> 4 THEN r_regionkey END AS number, r_regionkey % 5 = 4 AS bad
+FROM region""")
+def q_na_tokens(spark, d):
+    """A1, A3: NA tokens and empty cells read as NULL; a cell that does not
+    parse is NULL and its line is reported."""
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from ..session import scratch_path
+    from ..sources import csv as csvsrc
+    k = F.col("r_regionkey")
+    region = read_table(spark, d, "region", ["r_regionkey", "r_name"]).select(
+        k, F.when(k % 4 == 0, "NA").when(k % 4 == 1, "").otherwise(F.col("r_name")).alias("r_name"),
+        F.when(k % 5 == 4, "3_").otherwise(k.cast("string")).alias("number"))
+    path = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    csvsrc.write_table(region, path, "csv")
+    back = csvsrc.read_panel_csv(spark, path, T.StructType.fromDDL("r_regionkey int, r_name string, number int"),
+                                 glob="*.csv", corrupt="bad_line")
+    return back.select("r_regionkey", "r_name", "number", F.col("bad_line").isNotNull().alias("bad"))

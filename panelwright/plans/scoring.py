@@ -33,7 +33,7 @@ class IncompleteInputError(ValueError):
 def fit(train: DataFrame, max_iter: int = 50, seed: int = 42, on_incomplete: str = "raise") -> PipelineModel:
     """B7 + B8 checks, then fit encoders, scaler and perceptron on ``train``.
 
-    Unequal non-NULL counts raise (as the reference does) unless
+    Unequal non-NULL counts raise unless
     ``on_incomplete='impute'``, which adds a mean imputer fitted on train."""
     require_columns(train, NUMERIC_FEATURES + CATEGORICAL_FEATURES + [TARGET])
     train = train.na.drop(subset=[TARGET])  # P1
@@ -65,16 +65,28 @@ def train_and_score(cleaned: DataFrame, max_iter: int = 50, seed: int = 42, by:
                     on_incomplete: str = "raise") -> DataFrame:
     """Split by ``by`` (80/20, seeded hash), fit, and return the test metrics
     as one row."""
-    cleaned = materialize(cleaned)  # the cleaning plan runs once, not per pass
-    s = sampling.split(cleaned, [by], 80, seed)
+    # the cleaning plan runs once, and only the model's columns are kept
+    need = list(dict.fromkeys([by, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET]))
+    s = sampling.split(materialize(cleaned.select(*need), persist=False), [by], 80, seed)
     train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
     model = fit(train, max_iter, seed, on_incomplete)
-    scored = score(model, test).select("label", "prediction", "probability").persist(StorageLevel.MEMORY_AND_DISK)
+    scored = score(model, test).select("label", "prediction", "probability")
     m = ml.evaluate(scored)
-    n_test = scored.count()
-    scored.unpersist()
     spark = cleaned.sparkSession
     return spark.createDataFrame(
-        [(n_test, *[float(m[k]) for k in ("accuracy", "weightedPrecision", "weightedRecall", "f1", "logLoss",
-                                           "rmse")])],
+        [(m["n"], *[float(m[k]) for k in ("accuracy", "weightedPrecision", "weightedRecall", "f1", "logLoss",
+                                          "rmse")])],
         "n_test long, accuracy double, precision double, recall double, f1 double, log_loss double, rmse double")
+
+
+def score_file(model: PipelineModel, raw: DataFrame, scalars: dict, path: str, opts=None) -> DataFrame:
+    """Clean a reserved panel with the training panel's
+    scalars, score it and write ``(ID, Credit_Score)`` as CSV to ``path``.
+    Returns the written rows."""
+    from ..sources.csv import write_predictions
+    from . import credit_panel
+    opts = opts or credit_panel.CreditOptions()
+    opts.scalars = scalars
+    scored = score(model, credit_panel.clean(raw, opts))
+    write_predictions(scored, path)
+    return (raw.sparkSession.read.schema("ID string, Credit_Score string").option("header", True).csv(path))

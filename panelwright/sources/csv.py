@@ -10,9 +10,6 @@ file system listing has no order).
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,49 +24,42 @@ class PanelLoadError(FileNotFoundError):
 
 def read_panel_csv(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None,
                    recursive: bool = True, na_tokens: list[str] | None = NA_TOKENS,
-                   with_source: bool = True, first_only: bool = False) -> DataFrame:
+                   with_source: bool = True, first_only: bool = False, corrupt: str | None = None) -> DataFrame:
     """A1-A4: header CSV with a declared schema; NA tokens -> NULL on text
-    columns; ``source_file`` column from the scan's file metadata."""
+    columns; ``source_file`` column from the scan's file metadata. With
+    ``corrupt`` a column of that name holds the line of every row with a cell
+    that does not parse (its typed value is NULL either way)."""
+    declared = schema
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     reader = (spark.read.schema(schema).option("header", True).option("escape", '"')
-              .option("enforceSchema", False).option("mode", "PERMISSIVE"))
+              .option("enforceSchema", corrupt is not None).option("mode", "PERMISSIVE"))
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
         df = reader.csv(path)
-        if with_source or first_only:
+        if with_source:
             df = df.withColumn("source_file", F.col("_metadata.file_path"))
         # resolve the file listing now so a missing path fails here, typed
         df.schema  # noqa: B018
     except AnalysisException as e:
         raise PanelLoadError(f"cannot read panel at {path}: {e}") from e
     if first_only:
-        first = df.agg(F.min("source_file").alias("_first"))
-        df = df.join(F.broadcast(first), F.col("source_file") == F.col("_first"), "left_semi")
-        if not with_source:
-            df = df.drop("source_file")
+        files = sorted(df.inputFiles())  # from the listing, no rows are read
+        if not files:
+            raise PanelLoadError(f"no panel file at {path}")
+        return read_panel_csv(spark, files[0], declared, None, False, na_tokens, with_source, corrupt=corrupt)
     if na_tokens:
-        text_cols = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+        text_cols = [f.name for f in declared.fields if isinstance(f.dataType, T.StringType)]
         df = df.withColumns({c: F.when(F.col(c).isin(*na_tokens), F.lit(None)).otherwise(F.col(c))
                              for c in text_cols})
     return df
 
 
-@dataclass
-class LoadProfile:
-    rows: int
-    columns: int
-    seconds: float
-
-
-def load_profile(df: DataFrame) -> LoadProfile:
-    """A5: rows, columns and the seconds the counting scan took."""
-    t0 = time.time()
-    n = df.agg(F.count(F.lit(1))).first()[0]
-    return LoadProfile(int(n), len(df.columns), time.time() - t0)
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """Cleaned-table sink (parquet by default; ``fmt='csv'`` writes a

@@ -14,6 +14,7 @@ is bounded. Hot keys are found once per panel with a partial aggregation.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +38,10 @@ class PanelSpec:
     order: tuple[str, ...] = ()
     id: str | None = None
     skew: SkewPolicy = field(default_factory=SkewPolicy)
-    # hot keys already computed: id(frame) -> (frame, HotKeys)
-    _hot_cache: dict = field(default_factory=dict, repr=False, compare=False)
+    # column that already holds the isolating key of :meth:`window_cols`
+    iso: str | None = None
+    # hot keys already computed, for as long as the frame is alive
+    _hot_cache: WeakKeyDictionary = field(default_factory=WeakKeyDictionary, repr=False, compare=False)
 
     def __post_init__(self):
         if isinstance(self.group, str):
@@ -50,7 +53,8 @@ class PanelSpec:
 
     # -- helpers ---------------------------------------------------------
     def with_group(self, *group: str) -> "PanelSpec":
-        return PanelSpec(tuple(group), self.order, self.id, self.skew)
+        return PanelSpec(tuple(group), self.order, self.id, self.skew,
+                         self.iso if set(self.group) <= set(group) else None)
 
     def order_cols(self) -> list[Column]:
         return [F.col(c).asc_nulls_first() for c in self.order]
@@ -65,6 +69,16 @@ class PanelSpec:
             cond = cond | F.col(g).isNull()
         return cond
 
+    def window_cols(self) -> list[Column]:
+        """Partition columns of a group window."""
+        return [F.col(c) for c in (*self.group, *([self.iso] if self.iso else []))]
+
+    def isolating(self) -> Column:
+        """0 for a row with a full key, else a hash of the row: partitioned by
+        the group and this, rows of no group are spread instead of meeting."""
+        own = [*self.order, *([self.id] if self.id else [])]
+        return F.coalesce(F.when(self.null_key(), F.xxhash64(*[F.col(c) for c in own or self.group])), F.lit(0).cast("long"))
+
     # -- hot groups ------------------------------------------------------
     def hot_keys(self, df: DataFrame) -> "HotKeys":
         """Group keys with more than ``skew.hot_rows`` rows (one small job).
@@ -72,17 +86,16 @@ class PanelSpec:
         Row-preserving operators keep group sizes, so callers may pass the
         result along instead of recomputing it.
         """
-        key = (id(df), self.group, self.skew.hot_rows)
-        hit = self._hot_cache.get(key)
-        if hit is not None and hit[0] is df:
-            return hit[1]
+        key = (self.group, self.skew.hot_rows)
+        found = self._hot_cache.setdefault(df, {})
+        if key in found:
+            return found[key]
         sizes = (df.groupBy(*self.group).agg(F.count(F.lit(1)).alias("_n"))
                  .where(F.col("_n") > self.skew.hot_rows))
-        # count() of a partial aggregate over the key columns only: cheap.
-        n_hot = sizes.count()
-        hk = HotKeys(sizes, n_hot, self)
-        # the frame is kept with its entry, so its id cannot be reused meanwhile
-        self._hot_cache[key] = (df, hk)
+        # a partial aggregate over the key columns only: cheap
+        r = sizes.agg(F.count_if(~self.null_key()).alias("hot"), F.count_if(self.null_key()).alias("null")).first()
+        hk = HotKeys(sizes.where(~self.null_key()), r["hot"], self, r["null"] > 0)
+        found[key] = hk
         return hk
 
 
@@ -91,6 +104,9 @@ class HotKeys:
     table: DataFrame | None   # group keys + _n, one row per hot group
     count: int
     spec: PanelSpec
+    # more rows without a full key than a hot group has: they are routed
+    # around the windows instead of meeting in one task
+    null_hot: bool = False
 
     @staticmethod
     def none(spec: PanelSpec) -> "HotKeys":
@@ -98,11 +114,14 @@ class HotKeys:
         coarser groups are all bounded): no job needed."""
         return HotKeys(None, 0, spec)
 
+    def without_nulls(self) -> "HotKeys":
+        return HotKeys(self.table, self.count, self.spec)
+
     def refine(self, finer: PanelSpec) -> "HotKeys | None":
         """Hot keys of a grouping that adds columns to this one: none if this
         one has none (a sub-group is never larger than its group); otherwise
         unknown (``None``), to be computed."""
-        if not self.any and set(self.spec.group) <= set(finer.group):
+        if not self.any and not self.null_hot and set(self.spec.group) <= set(finer.group) and finer.iso == self.spec.iso:
             return HotKeys.none(finer)
         return None
 
@@ -122,9 +141,3 @@ class HotKeys:
         keys = list(self.spec.group)
         side = self.side().select(*keys)
         return df.join(side, keys, "left_anti"), df.join(side, keys, "left_semi")
-
-
-def as_spec(spec: PanelSpec | str | tuple, order=()) -> PanelSpec:
-    if isinstance(spec, PanelSpec):
-        return spec
-    return PanelSpec(spec, order)

@@ -141,24 +141,6 @@ def test_no_nulls_left(cleaned):
         assert all(r[c] is not None for c in cp.CLEAN_COLUMNS), r
 
 
-def test_streaming_scores_new_files(spark, raw):
-    """Fit on the cleaned panel, save, and score arriving files as a stream."""
-    from panelwright.plans import scoring
-    from panelwright.streaming.scoring import start_scoring
-    cleaned_df = cp.clean(raw, cp.CreditOptions(loan_width=5))
-    model = scoring.fit(cleaned_df, max_iter=5, on_incomplete="impute")
-    d = tempfile.mkdtemp(prefix="pw-stream-")
-    model.write().overwrite().save(os.path.join(d, "model"))
-    inbox = os.path.join(d, "in")
-    os.makedirs(inbox)
-    raw.drop("source_file").write.option("header", True).csv(os.path.join(inbox, "batch1"))
-    q = start_scoring(spark, os.path.join(inbox, "*"), os.path.join(d, "model"), os.path.join(d, "out"), 5,
-                      checkpoint_location=os.path.join(d, "ckpt"))
-    q.awaitTermination(120)
-    out = spark.read.parquet(os.path.join(d, "out"))
-    assert out.count() == 24 and set(out.columns) == {"ID", "Credit_Score"}
-
-
 @pytest.mark.parametrize("sf", ["hand", "/root/testdata/sf0.001"])
 def test_fused_equals_operator_chain(spark, raw, sf):
     from panelwright.sources import derived as dv
