@@ -123,8 +123,10 @@ def intervals(lcp: np.ndarray, least: int):
 
 
 def repeats(left: list[bytes], right: list[bytes], length: int, k: int = K) -> np.ndarray:
-    """For each occurrence of an anchor: the ranges [before, after) around it,
-    relative to it, that repeats cover, as rows (occurrence, before, after).
+    """For each occurrence of an anchor that lies in a repeat: the range
+    [before, after) around it, relative to it, that its repeats cover together
+    (each holds the anchor's k-gram, so they join), as rows (occurrence,
+    before, after).
 
     ``left`` are the bytes before the anchor, nearest first (at most
     ``length - k``), ``right`` those from it on (at most ``length``).
@@ -139,7 +141,7 @@ def repeats(left: list[bytes], right: list[bytes], length: int, k: int = K) -> n
     r, l = r[:, :length], l[:, :length - k]
     a, b = order[:-1], order[1:]
     lcp = _common(r[a], r[b], np.minimum(rn[a], rn[b]))
-    out = []
+    before, after = np.zeros(len(left), np.int64), np.full(len(left), -1)
     for depth, first, last in intervals(lcp, k):
         rows = order[first:last + 1]
         need = length - depth
@@ -156,10 +158,11 @@ def repeats(left: list[bytes], right: list[bytes], length: int, k: int = K) -> n
         same = np.zeros(len(rows), bool)
         same[:-1] = share >= need
         same[1:] |= share >= need
-        hit = np.flatnonzero(same)
-        if len(hit):
-            out.append(np.stack([rows[hit], -best[hit], np.full(len(hit), depth)], axis=1))
-    return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        hit, best = rows[same], best[same]
+        before[hit] = np.minimum(before[hit], -best)
+        after[hit] = np.maximum(after[hit], depth)
+    hit = np.flatnonzero(after >= 0)
+    return np.stack([hit, before[hit], after[hit]], axis=1)
 
 
 # -- Spark ---------------------------------------------------------------
@@ -328,7 +331,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
     # 2. anchors; those that occur once go first, before anything wide is moved
     marks = written(texts.select("rid", "text").mapInArrow(_anchor_rows(length, k), "anchor long, ctx long, rid long, pos int"), "anchors")
     again = written(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
-    marks = written(marks.join(small_side(again, again.count()), "anchor", "left_semi"), "repeated-marks")
+    marks = written(marks.join(again, "anchor", "left_semi"), "repeated-marks")
     contexts = written(marks.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "pos")).alias("one")), "contexts")
     whole = (marks.join(contexts.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"], "left_semi")
              .select("rid", (F.col("pos") - (length - k)).cast("long").alias("lo"), (F.col("pos") + length).cast("long").alias("hi")))
