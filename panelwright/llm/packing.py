@@ -43,8 +43,8 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0
         enc, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         for b in columns(batches):
             rows, raw = [], []
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
-                ids = enc.ids(text) + end
+            for doc, ids in zip(b["doc_id"].to_pylist(), enc.ids_batch(b["text"].to_pylist())):
+                ids += end
                 for k, lo in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[lo:lo + 4 * size]
                     rows.append((doc, k, lo // 4, len(part) // 4, zlib.crc32(part)))

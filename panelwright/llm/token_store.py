@@ -139,7 +139,7 @@ def _write_shards(path: str, vocabulary: str, end_id: int, width: int, shard_ids
         last: object = ()
         for b in columns(batches):
             rows = []
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+            for doc, ids_of in zip(b["doc_id"].to_pylist(), enc.ids_batch(b["text"].to_pylist())):
                 rep = rep + 1 if last == (doc,) else 0
                 last = (doc,)
                 if out is not None and ids >= shard_ids:
@@ -152,7 +152,7 @@ def _write_shards(path: str, vocabulary: str, end_id: int, width: int, shard_ids
                     tmp = tmp_name(f"{root}/{name}")
                     out = files.open_output_stream(tmp)
                     out.write(struct.pack(HEADER, MAGIC, width, 0))
-                data = enc.ids(text) + end
+                data = ids_of + end
                 n = len(data) // 4
                 if width == 2:
                     data = np.frombuffer(data, "<u4").astype("<u2").tobytes()

@@ -13,14 +13,18 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Chunks kept by a worker, and the longest chunk kept.
-KEPT_CHUNKS = 400_000
+# Chunks kept by a worker (twice as many while generations change), and the
+# longest chunk kept.
+KEPT_CHUNKS = 450_000
 KEPT_CHARS = 40
 
-_BLANKS = re.compile("[ \t\n\r]+")
+_MARKS = string.punctuation
 _LOADED: dict[str, "Encoder"] = {}
 
 
@@ -29,24 +33,6 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class _Chunks(dict):
-    """chunk -> its ids as little-endian unsigned 32-bit integers."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(chunk) > 1 and chunk[-1] in ".," and chunk[:-1].isalpha():
-            ids = self[chunk[:-1]] + self[chunk[-1]]  # letters and a mark are separate words
-        else:
-            ids = np.array(self.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(chunk) <= KEPT_CHARS:
-            if len(self) >= KEPT_CHUNKS:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -56,22 +42,103 @@ class Encoder:
             spec = json.load(f)
         steps = (spec.get("normalizer") or {}).get("normalizers", [])
         split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        self.lower = any(s.get("type") == "Lowercase" for s in steps)
-        self.by_chunk = (self.lower and split.get("type") == "Split" and split.get("behavior") == "Removed"
-                         and split.get("invert") is True and "[^\\s" in str(split.get("pattern"))
+        lower = any(s.get("type") == "Lowercase" for s in steps)
+        self.by_chunk = (lower and split.get("type") == "Split" and split.get("behavior") == "Removed"
+                         and split.get("invert") is True and "[^\\s" in (split.get("pattern") or {}).get("Regex", "")
                          and not any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"])
                                      for t in spec["added_tokens"]))
-        self.chunks = _Chunks(self.tokenizer.encode)
+        # tokens that end a word: they tell the words of a joined text apart
+        mark = spec["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = bool(mark) and token.endswith(mark)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def ids(self, text: str | None) -> bytes:
         """Ids of a text (null: empty) as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
+        return self.ids_batch([text])[0]
+
+    def ids_batch(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text. The chunks of a batch are numbered, and each
+        different one is looked up or encoded once."""
         if not self.by_chunk:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if text.isascii() and "<|" not in text:
-            text = text.lower()  # as the normaliser does; fewer distinct chunks
-        return b"".join(map(self.chunks.__getitem__, filter(None, _BLANKS.split(text))))
+            return [_raw(self.tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+        lists = pc.split_pattern(pa.array([_prepared(t or "") for t in texts], pa.large_string()), " ")
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        found = self._learn(words)
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(n) - n
+        at = coded.indices.to_numpy()
+        n = n[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+        cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some different words."""
+        young, old = self.young, self.old
+        out = list(map(young.get, words))
+        new, where = [], []
+        for i, b in enumerate(out):
+            if b is None:
+                w = words[i]
+                if (b := old.get(w)) is not None:
+                    young[w] = out[i] = b
+                else:
+                    new.append(w)
+                    where.append(i)
+        got = self._encode(new)
+        for i, w in zip(where, new):
+            out[i] = got[w]
+        young.update({w: b for w, b in got.items() if len(w) <= KEPT_CHARS})
+        if len(young) > KEPT_CHUNKS:
+            self.old, self.young = young, {}
+        return out
+
+    def _encode(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of chunks not seen lately, and of the words they consist of."""
+        plain, rest, tails = set(), {""}, []
+        for w in new:
+            if w.isalpha():
+                plain.add(w)
+                continue
+            s = w.rstrip(_MARKS)
+            if s != w and s.isalpha():  # letters and ASCII marks behind them are two words to the splitter
+                m = w[len(s):]
+                tails.append((w, s, m))
+                plain.add(s)
+                rest.add(m)
+            else:
+                rest.add(w)
+        got = {s: self.young[s] for s in plain if s in self.young}
+        plain = [w for w in plain if w not in got]
+        ids = np.array(self.tokenizer.encode("\n".join(plain), add_special_tokens=False).ids, "<u4")
+        at = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(at) == len(plain):       # every word is one run of tokens with one end
+            raw, at = ids.tobytes(), at.tolist()
+            got.update(zip(plain, (raw[a:b] for a, b in zip([0, *at], at))))
+        else:
+            rest.update(plain)
+        rest = list(rest)
+        got.update(zip(rest, (_raw(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
+        for w, s, m in tails:
+            got[w] = got[s] + got[m]
+        return got
+
+
+def _prepared(text: str) -> str:
+    """Line ends and tabs as blanks; ASCII texts in lower case, as the
+    normaliser makes them, for fewer different chunks."""
+    if text.isascii() and "<|" not in text:
+        text = text.lower()
+    return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+
+
+def _raw(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
 
 def encoder(path: str) -> Encoder:
