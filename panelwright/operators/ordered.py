@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from ..spec import PanelSpec
 
 UNB_P = Window.unboundedPreceding
-UNB_F = Window.unboundedFollowing
 
 
 # Broadcast the per-group chunk bounds only below this many bytes.
@@ -117,11 +116,12 @@ def fill_ordered(df: DataFrame, spec: PanelSpec, cols: list[str], how: str = "ff
     ostruct = spec.order_struct()
 
     def local(rows, w, first):
-        exprs = {}
-        for c in cols:
-            exprs[f"_ff_{c}"] = F.last(c, True).over(w.rowsBetween(UNB_P, 0))
-            exprs[f"_bf_{c}"] = F.first(c, True).over(w.rowsBetween(0, UNB_F))
-        return rows.withColumns(exprs)
+        # backward is forward in the reverse order: a frame that reaches to the
+        # end of the group is scanned anew for every row, a growing one once
+        part = [F.col(k) for k in (*keys, "_chunk")] if "_chunk" in rows.columns else spec.window_cols()
+        back = Window.partitionBy(*part).orderBy(*spec.reverse_order_cols())
+        rows = rows.withColumns({f"_ff_{c}": F.last(c, True).over(w.rowsBetween(UNB_P, 0)) for c in cols})
+        return rows.withColumns({f"_bf_{c}": F.last(c, True).over(back.rowsBetween(UNB_P, 0)) for c in cols})
 
     def carry(rows, keys_):
         aggs = []
@@ -130,10 +130,11 @@ def fill_ordered(df: DataFrame, spec: PanelSpec, cols: list[str], how: str = "ff
             aggs.append(F.min_by(c, F.when(F.col(c).isNotNull(), ostruct)).alias(f"_first_{c}"))
         per = rows.groupBy(*keys_, "_chunk").agg(*aggs)
         cw = _chunk_window(keys_)
+        back = Window.partitionBy(*keys_).orderBy(F.col("_chunk").desc())
         sel = [*keys_, "_chunk"]
         for c in cols:
             sel.append(F.last(f"_last_{c}", True).over(cw.rowsBetween(UNB_P, -1)).alias(f"_cin_ff_{c}"))
-            sel.append(F.first(f"_first_{c}", True).over(cw.rowsBetween(1, UNB_F)).alias(f"_cin_bf_{c}"))
+            sel.append(F.last(f"_first_{c}", True).over(back.rowsBetween(UNB_P, -1)).alias(f"_cin_bf_{c}"))
         return per.select(*sel)
 
     def finish(res):

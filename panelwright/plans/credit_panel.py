@@ -336,11 +336,13 @@ def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict,
     g = spec.window_cols()
     wg = Window.partitionBy(*g)
     wo = wg.orderBy(*spec.order_cols())
-    ffp, bff = wo.rowsBetween(Window.unboundedPreceding, 0), wo.rowsBetween(0, Window.unboundedFollowing)
+    # backward fills run forward over the reverse order: growing frames only
+    wr = wg.orderBy(*spec.reverse_order_cols())
+    ffp, bff = (w.rowsBetween(Window.unboundedPreceding, 0) for w in (wo, wr))
     c, x = F.col, (lambda name: F.col(name).cast("double"))
 
     def ffbf(name: str, w_p=ffp, w_f=bff) -> Column:
-        return F.coalesce(F.last(name, True).over(w_p), F.first(name, True).over(w_f))
+        return F.coalesce(F.last(name, True).over(w_p), F.last(name, True).over(w_f))
 
     dev = ["Age", "Num_Bank_Accounts", "Num_Credit_Card"] + (["Total_EMI_per_month"] if opts.emi_rules else [])
     medians = dev + ["Interest_Rate", "Amount_invested_monthly", "Monthly_Balance"]
@@ -394,9 +396,10 @@ def _clean_fused(df: DataFrame, spec: PanelSpec, opts: CreditOptions, s1: dict,
     min_mode = F.min(F.when(c(inc).isNotNull(), F.struct((-c("_mc")).alias("k"), c(inc).alias("v")))).over(wks)
     key_ok = ~spec.null_key()
     df = df.withColumn(inc, F.when(key_ok & c(sal).isNotNull(), min_mode["v"]).otherwise(c(inc))).drop("_mc")
-    wki = Window.partitionBy(*g, inc).orderBy(*spec.order_cols())
+    wki = Window.partitionBy(*g, inc).orderBy(*spec.order_cols()).rowsBetween(Window.unboundedPreceding, 0)
+    wkr = Window.partitionBy(*g, inc).orderBy(*spec.reverse_order_cols()).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn(sal, F.when(c(inc).isNull() | ~key_ok, c(sal)).otherwise(
-        ffbf(sal, wki.rowsBetween(Window.unboundedPreceding, 0), wki.rowsBetween(0, Window.unboundedFollowing))))
+        ffbf(sal, wki, wkr)))
     df = df.withColumn(inc, F.when(c(sal).isNull(), F.lit(None)).otherwise(c(inc)))
 
     # level C (panel order): every forward/backward fill and the row position

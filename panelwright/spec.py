@@ -59,6 +59,9 @@ class PanelSpec:
     def order_cols(self) -> list[Column]:
         return [F.col(c).asc_nulls_first() for c in self.order]
 
+    def reverse_order_cols(self) -> list[Column]:
+        return [F.col(c).desc_nulls_last() for c in self.order]
+
     def order_struct(self) -> Column:
         return F.struct(*[F.col(c) for c in self.order])
 
