@@ -32,23 +32,12 @@ def fullmatch(c, pattern: str) -> Column:
     return _c(c).rlike(rf"^(?:{pattern})\z")
 
 
-def is_numeric(c) -> Column:
-    """S3: ASCII digits only (``str.isnumeric``); negatives are not numeric."""
-    return fullmatch(c, DIGITS)
-
-
 def placeholder_to_null(c, *placeholders: str) -> Column:
     """A placeholder string becomes NULL."""
     c = _c(c)
     return F.when(c.isin(*placeholders), F.lit(None).cast("string")).otherwise(c)
 
 
-def na_tokens_to_null(c, tokens=NA_TOKENS) -> Column:
-    """A3: values that pandas' CSV reader treats as missing become NULL."""
-    c = _c(c)
-    return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
-
-
 def to_number(c, dtype: str = "double", strip: str | None = "_") -> Column:
     """Strip a character and cast; a value that does not parse is NULL
     (``try_cast``; an ANSI cast would fail the job)."""
@@ -90,7 +79,7 @@ def map_values(c, mapping: dict, dtype: str | None = None) -> Column:
     return out.cast(dtype) if dtype else out
 
 
-# Month names in calendar order (the reference maps January..August to 1..8).
+# Month names in calendar order (the credit data uses January..August, 1..8).
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August",
           "September", "October", "November", "December"]
 MONTH_NUMBER = {m: i + 1 for i, m in enumerate(MONTHS)}

@@ -29,6 +29,13 @@ def malformed(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return bad.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
 
 
+def failed_casts(df: DataFrame, pairs: dict[str, Column]) -> DataFrame:
+    """``(column, failed)``: how many non-NULL texts of each column its
+    repaired and typed expression turns into NULL. One aggregate."""
+    agg = df.agg(*[F.count_if(F.col(c).isNotNull() & e.isNull()).alias(c) for c, e in pairs.items()])
+    return agg.unpivot([], list(pairs), "column", "failed")
+
+
 def pattern_counts(df: DataFrame, col: str, needle: str) -> DataFrame:
     """C4: how many values contain ``needle`` (and how many do not)."""
     return df.groupBy(F.col(col).contains(needle).alias("matches")).agg(F.count(F.lit(1)).alias("count"))

@@ -498,7 +498,8 @@ def _point_repair(df: DataFrame, repairs: DataFrame) -> DataFrame:
     """``repairs`` has (ID, column) rows; those cells become NULL."""
     cols = [r[0] for r in repairs.select("column").distinct().collect()]  # distinct column names: bounded
     flags = repairs.groupBy("ID").agg(F.collect_set("column").alias("_fix"))
-    out = df.join(flags, "ID", "left")
+    # a list of repairs is short: broadcast after a look at its length
+    out = df.join(F.broadcast(flags) if repairs.count() <= SPEC.skew.broadcast_keys else flags, "ID", "left")
     for c in cols:
         out = outlier.null_where(out, c, F.coalesce(F.array_contains("_fix", c), F.lit(False)))
     return out.drop("_fix")

@@ -100,6 +100,36 @@ def q_malformed_audit(spark, d):
     return quality.malformed(dv.orders_raw(spark, d), "raw", tx.UNSIGNED_FLOAT)
 
 
+SIGNED_TEXT_SQL = ("(SELECT CASE WHEN c_custkey % 13 = 0 THEN '--' ELSE '' END || CASE WHEN c_custkey % 11 = 0 THEN '+' ELSE '' END "
+                   "|| CAST(CAST(trunc(c_acctbal) AS BIGINT) AS VARCHAR) || CASE WHEN c_custkey % 7 = 0 THEN '_' ELSE '' END AS value "
+                   "FROM customer)")
+
+
+def _signed_text(spark, d) -> DataFrame:
+    k = F.col("c_custkey")
+    part = lambda n, t: F.when(k % n == 0, t).otherwise("")
+    c = read_table(spark, d, "customer", ["c_custkey", "c_acctbal"])
+    return c.select(F.concat(part(13, "--"), part(11, "+"), F.col("c_acctbal").cast("long").cast("string"), part(7, "_")).alias("value"))
+
+
+@query("q_malformed_signed", " UNION ALL ".join(
+    f"SELECT '{n}' AS pattern, value, count(*) AS count FROM {SIGNED_TEXT_SQL} WHERE NOT regexp_full_match(value, '{p}') GROUP BY value"
+    for n, p in (("signed", tx.SIGNED_FLOAT), ("multi_signed", tx.MULTI_SIGNED_FLOAT))))
+def q_malformed_signed(spark, d):
+    """C2 with the signed patterns."""
+    t = _signed_text(spark, d)
+    one, many = (quality.malformed(t, "value", p).withColumn("pattern", F.lit(n))
+                 for n, p in (("signed", tx.SIGNED_FLOAT), ("multi_signed", tx.MULTI_SIGNED_FLOAT)))
+    return one.unionByName(many).select("pattern", "value", "count")
+
+
+@query("q_failed_casts", f"""
+SELECT 'raw' AS "column", count(*) FILTER (WHERE raw IS NOT NULL AND {REPAIR_SQL} IS NULL) AS failed FROM {dv.TO_RAW_SQL}""")
+def q_failed_casts(spark, d):
+    """What the repair of the dirty totals does not parse."""
+    return quality.failed_casts(dv.orders_raw(spark, d), {"raw": repair_value()})
+
+
 ACCT_TEXT_SQL = "CAST(CAST(trunc(c_acctbal) AS BIGINT) AS VARCHAR)"
 
 
