@@ -106,6 +106,20 @@ def tmp_name(path: str) -> str:
     return f"{path}.{uuid.uuid4().hex}.tmp"
 
 
+_HOLDER: list[tuple] = []     # (owner, how to release what it holds)
+
+
+def claim(owner: object, release) -> None:
+    """Let one operator at a time hold tables in a worker, which outlives its
+    tasks: ``release`` is called when another one claims it."""
+    if _HOLDER and _HOLDER[0][0] is owner:
+        return
+    if _HOLDER:
+        _HOLDER.pop()[1]()
+    _HOLDER.append((owner, release))
+    lean()
+
+
 def lean() -> None:
     """Give freed memory back to the system: a Python worker lives as long as
     its executor and shares its memory with the JVM."""

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, columns, packed, text_of
+from .common import bounded_batches, claim, columns, packed, text_of
 
 BITS = 20
-SAMPLE = 12_000
+SAMPLE = 8_000
 STEPS = 200
 RATE = 0.15
 DECAY = 2e-5
@@ -43,7 +43,7 @@ START = -5.0
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
 
 
 def bucket(feature: str) -> int:
@@ -104,7 +104,9 @@ class _Weights(dict):
 def _lookup(model: Model) -> _Weights:
     if "_words" not in model.__dict__:
         model.__dict__["_words"] = _Weights(model)
-    return model.__dict__["_words"]
+    words = model.__dict__["_words"]
+    claim(words, words.clear)
+    return words
 
 
 def fit_texts(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
@@ -195,6 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             .select("doc_id", "text", "toxic"))
 
     def train(batches):
+        claim("training", lambda: None)
         texts, y, seen = [], [], set()
         for b in columns(batches):
             for d, t, v in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["toxic"].to_pylist()):

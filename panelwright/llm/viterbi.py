@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, columns, text_of
+from .common import bounded_batches, claim, columns, text_of
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -179,7 +179,9 @@ class StreamingViterbi:
 def pieces(path: str) -> Pieces:
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
-    return _LOADED[path]
+    found = _LOADED[path]
+    claim(found, found.kept.clear)
+    return found
 
 
 def encode(docs: DataFrame, model: str | None = None) -> DataFrame:

@@ -19,11 +19,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import claim
+
 # Chunks kept by a worker (twice as many while generations change), and the
 # longest chunk kept.
-KEPT_CHUNKS = 450_000
+KEPT_CHUNKS = 500_000
 KEPT_CHARS = 40
 
+# Documents per batch to encode: a larger batch has fewer different chunks.
+ENCODED_ROWS = 3000
 _MARKS = string.punctuation
 _LOADED: dict[str, "Encoder"] = {}
 
@@ -55,6 +59,9 @@ class Encoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def ids(self, text: str | None) -> bytes:
         """Ids of a text (null: empty) as little-endian unsigned 32-bit integers."""
         return self.ids_batch([text])[0]
@@ -145,4 +152,6 @@ def encoder(path: str) -> Encoder:
     """This worker's encoder for a vocabulary file."""
     if path not in _LOADED:
         _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+    found = _LOADED[path]
+    claim(found, found.forget)
+    return found
