@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, columns, text_of, written
+from .common import BATCH_ROWS, bounded_batches, columns, text_of, written
 from .wordbpe import default_vocabulary, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -56,7 +56,7 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0
             if with_ids:
                 cols, names = [*cols, pa.array(raw, pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names=names)
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 2 * BATCH_ROWS)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return src.mapInArrow(make, PIECES + (", ids binary" if with_ids else ""))
 

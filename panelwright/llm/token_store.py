@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import io
 import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, columns, commit, runs, shared_path, store, text_of, tmp_name, written
-from .wordbpe import default_vocabulary, encoder
+from .wordbpe import ENCODED_ROWS, default_vocabulary, encoder
 
 MAGIC = b"TOKSHRD1"
 HEADER, HEADER_BYTES = "<8sII", 16        # magic, bytes per id, reserved
@@ -225,13 +226,13 @@ def _find(path: str):
     return find
 
 
-def _read(path: str):
+def _read(path: str, with_ids: bool):
     def read(batches):
         files, root = store(path)
         name = f = None
         width = 4
         for b in columns(batches):
-            data = []
+            data, crc = [], []
             for shard, offset, n in zip(b["shard"].to_pylist(), b["offset"].to_pylist(), b["n_tokens"].to_pylist()):
                 if shard != name:
                     if f:
@@ -242,9 +243,12 @@ def _read(path: str):
                         raise ValueError(f"{shard} is no token shard")
                 f.seek(offset)
                 raw = f.read(n * width)
-                data.append(raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["rep"], b["start"], b["n_tokens"], pa.array(data, pa.binary())],
-                                             names=["doc_id", "rep", "start", "n_tokens", "ids"])
+                raw = raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes()
+                crc.append(zlib.crc32(raw))
+                data.append(raw if with_ids else None)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["rep"], b["start"], b["n_tokens"], pa.array(crc, pa.int64()),
+                                              pa.array(data, pa.binary())],
+                                             names=["doc_id", "rep", "start", "n_tokens", "ids_crc32", "ids"])
         if f:
             f.close()
     return read
@@ -262,11 +266,12 @@ class TokenStore:
                 .repartition("bucket").sortWithinPartitions("bucket")
                 .mapInArrow(_find(self.path), LOCATED))
 
-    def read(self, keys: DataFrame) -> DataFrame:
-        """(doc_id, rep, start, n_tokens, ids) of the keys, read from the
-        shards in file order; ids are little-endian unsigned 32-bit."""
+    def read(self, keys: DataFrame, with_ids: bool = True) -> DataFrame:
+        """(doc_id, rep, start, n_tokens, ids_crc32, ids) of the keys, read
+        from the shards in file order; ids are little-endian unsigned 32-bit
+        (null without ``with_ids``, their checksum is taken either way)."""
         return (self.locate(keys).repartitionByRange("shard", "offset").sortWithinPartitions("shard", "offset")
-                .mapInArrow(_read(self.path), "doc_id long, rep long, start long, n_tokens long, ids binary"))
+                .mapInArrow(_read(self.path, with_ids), "doc_id long, rep long, start long, n_tokens long, ids_crc32 long, ids binary"))
 
 
 def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
@@ -288,7 +293,7 @@ def write_store(docs: DataFrame, vocabulary: str | None = None, end_id: int = 2,
     about ``bucket_keys`` keys.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, ENCODED_ROWS)
     path = shared_path(spark, "tokens")
     files, root = store(path)
     files.create_dir(root)

@@ -23,11 +23,11 @@ from .common import claim
 
 # Chunks kept by a worker (twice as many while generations change), and the
 # longest chunk kept.
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 400_000
 KEPT_CHARS = 40
 
 # Documents per batch to encode: a larger batch has fewer different chunks.
-ENCODED_ROWS = 3000
+ENCODED_ROWS = 4000
 _MARKS = string.punctuation
 _LOADED: dict[str, "Encoder"] = {}
 
@@ -80,7 +80,9 @@ class Encoder:
         at = coded.indices.to_numpy()
         n = n[at]
         ends = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(first[at] - ends[:-1], n) + np.arange(ends[-1])]
+        place = np.repeat(first[at] - ends[:-1], n)
+        place += np.arange(ends[-1])
+        ids = flat[place]
         cuts = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()].tolist()
         return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
@@ -107,32 +109,38 @@ class Encoder:
 
     def _encode(self, new: list[str]) -> dict[str, bytes]:
         """Ids of chunks not seen lately, and of the words they consist of."""
-        plain, rest, tails = set(), {""}, []
+        plain, rest, parts, young = [], {""}, [], self.young
+        own = set(new)
+        stems = set()
         for w in new:
-            if w.isalpha():
-                plain.add(w)
-                continue
-            s = w.rstrip(_MARKS)
-            if s != w and s.isalpha():  # letters and ASCII marks behind them are two words to the splitter
-                m = w[len(s):]
-                tails.append((w, s, m))
-                plain.add(s)
+            # an ASCII chunk has the ids of its lower case; letters and ASCII
+            # marks behind them are two words to the splitter
+            x = w.lower() if w.isascii() and "<|" not in w else w
+            s = x if x.isalpha() else x.rstrip(_MARKS)
+            if s == w:
+                (plain.append if w.isalpha() else rest.add)(w)
+            elif s.isalpha():
+                m = x[len(s):]
+                parts.append((w, s, m))
                 rest.add(m)
+                if s not in own and s not in young:
+                    stems.add(s)
             else:
                 rest.add(w)
-        got = {s: self.young[s] for s in plain if s in self.young}
-        plain = [w for w in plain if w not in got]
-        ids = np.array(self.tokenizer.encode("\n".join(plain), add_special_tokens=False).ids, "<u4")
+        plain += stems
+        got: dict[str, bytes] = {}
+        joined = self.tokenizer.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
         at = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(at) == len(plain):       # every word is one run of tokens with one end
             raw, at = ids.tobytes(), at.tolist()
-            got.update(zip(plain, (raw[a:b] for a, b in zip([0, *at], at))))
+            got.update(zip(plain, [raw[a:b] for a, b in zip([0, *at], at)]))
         else:
             rest.update(plain)
         rest = list(rest)
         got.update(zip(rest, (_raw(e.ids) for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
-        for w, s, m in tails:
-            got[w] = got[s] + got[m]
+        for w, s, m in parts:
+            got[w] = (got[s] if s in got else young[s]) + got[m]
         return got
 
 
