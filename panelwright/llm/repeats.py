@@ -327,6 +327,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
     texts = written(once, "texts")
     places = texts.select(F.shiftright("rid", 33).alias("part"), F.input_file_name().alias("file")).distinct()
     places = written(places, "text-files")
+    if n_copies and texts.where("copied").count() > n_copies:
+        # the leading id repeats with its text, or there is none: one row stands for all
+        one = written(texts.where("copied").groupBy("ckey").agg(F.min("rid").alias("rid")), "leading-copies")
+        one = small_side(one.select("rid", F.lit(True).alias("leads")), n_copies)
+        texts = texts.join(one, "rid", "left").where("leads or not copied").drop("leads")
 
     # 2. anchors; those that occur once go first, before anything wide is moved
     marks = written(texts.select("rid", "text").mapInArrow(_anchor_rows(length, k), "anchor long, ctx long, rid long, pos int"), "anchors")

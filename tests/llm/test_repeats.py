@@ -53,6 +53,14 @@ def test_empty_table(spark):
     assert H.bag(repeats.remove_repeats(H.docs(spark, [(1, "x")]))) == [(1, 1, 0, 0, H.sha(b"x"))]
 
 
+def test_repeated_rows_stay_one_row_each(spark):
+    rng = random.Random(4)
+    a, b, c, d = ("".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (300, 260, 240, 400))
+    rows = [(1, a), (1, a), (1, a), (2, a), (None, b), (None, b), (None, b), (None, c), (3, c), (3, c), (4, d + a[20:250]), (5, b[:230] + d)]
+    assert H.bag(repeats.remove_repeats(H.docs(spark, rows))) == expected(rows, 200)
+    assert H.bag(repeats.remove_repeats(H.docs(spark, rows), length=24, k=8, unit_rows=2)) == expected(rows, 24)
+
+
 def test_intervals():
     words = sorted([b"banana", b"band", b"ban", b"bandit", b"can", b"cane"])
     lcp = np.array([len(next((a[:i] for i in range(min(len(a), len(b)), -1, -1) if a[:i] == b[:i]))) for a, b in zip(words, words[1:])])
