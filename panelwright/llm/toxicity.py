@@ -8,7 +8,7 @@ on the log loss), so the weight of a label flows to the sentences that explain
 it; scoring then names them.
 
 Training takes at most ``sample`` labelled documents, those with the smallest
-hash of their id, into one task; of its features those are kept whose share of
+hash of their id, one row each and as word numbers, into one task; of its features those are kept whose share of
 toxic documents differs most from chance. Scoring covers every text. Sentences
 end at ``. ! ?`` or a line break. Words are lower-cased runs of letters and digits.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, claim, columns, packed, text_of
 
 BITS = 20
-SAMPLE = 8_000
+SAMPLE = 12_000
 STEPS = 200
 RATE = 0.15
 DECAY = 2e-5
@@ -40,6 +40,7 @@ MIN_DOCS = 3            # documents a feature is in at least
 MIN_Z = 3.0             # deviations from the expected number of toxic ones
 FEATURES = 50_000       # features kept at most
 START = -5.0
+CELLS = 500_000         # (sentence, word) cells worked on at a time
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
@@ -109,25 +110,42 @@ def _lookup(model: Model) -> _Weights:
     return words
 
 
+def numbered(text: str | None) -> tuple[list[str], list[int], list[int]]:
+    """The different words of a text, each sentence's different words as places
+    among them, one sentence after the other, and how many each sentence has."""
+    number: dict[str, int] = {}
+    cells, sizes = [], []
+    for _, _, w in sentences(text):
+        ids = dict.fromkeys(number.setdefault(x, len(number)) for x in w)
+        cells += ids
+        sizes.append(len(ids))
+    return list(number), cells, sizes
+
+
 def fit_texts(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     """Train on labelled texts (in one process: the caller bounds them)."""
+    return fit_numbered(((*numbered(t), lab) for t, lab in zip(texts, labels)), steps)
+
+
+def fit_numbered(rows, steps: int = STEPS) -> Model:
+    """Train on (words, cells, sizes, label) of documents, see ``numbered``."""
     number: dict[str, int] = {}
-    cells, per_doc, of = [], [], []
-    for t, lab in zip(texts, labels):
-        found = sentences(t)
-        if found:
-            per_doc.append(len(found))
+    word, sizes, per_doc, of, labels = [], [], [], [], []
+    for words, cells, size, lab in rows:
+        labels.append(lab)
+        if len(size):
             of.append(float(lab))
-            cells += [np.fromiter({number.setdefault(x, len(number)) for x in w}, np.int32) for _, _, w in found]
+            per_doc.append(len(size))
+            sizes.append(np.asarray(size, np.int32))
+            word.append(np.fromiter((number.setdefault(x, len(number)) for x in words), np.int32, len(words))[np.asarray(cells, np.int32)])
     y = np.array(of)
     if not len(y) or y.min() == y.max():
         base = float(np.mean(labels)) if len(labels) else 0.0
         return Model(np.zeros(1 << BITS, np.float32), 0.0, float(base >= 0.5))
-    word = np.concatenate(cells)
-    sent = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
-    n_sent = len(cells)
-    doc_of = np.repeat(np.arange(len(y)), per_doc)
-    del cells
+    word, sizes = np.concatenate(word), np.concatenate(sizes)
+    n_sent = len(sizes)
+    sent = np.repeat(np.arange(n_sent, dtype=np.int32), sizes)
+    doc_of = np.repeat(np.arange(len(y), dtype=np.int32), per_doc)
     per_word = [features(w) for w in number]
     feat = np.concatenate([np.array(f, np.int64) for f in per_word])
     owner = np.repeat(np.arange(len(per_word)), [len(f) for f in per_word])
@@ -155,16 +173,24 @@ def fit_texts(texts: list[str], labels: list[int], steps: int = STEPS) -> Model:
     feat, owner = place[feat[hold]], owner[hold]
     told = np.zeros(len(per_word), bool)
     told[owner] = True
-    sent, word = sent[told[word]], word[told[word]]
+    hold = told[word]
+    sent, word = sent[hold], word[hold]
+    parts = [slice(lo, lo + CELLS) for lo in range(0, len(word), CELLS)]
     w, b = np.zeros(len(names)), START
     m1, m2 = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     for step in range(1, steps + 1):
         value = np.bincount(owner, weights=w[feat], minlength=len(per_word))
-        x = np.bincount(sent, weights=value[word], minlength=n_sent) + b
+        x = np.full(n_sent, b)
+        for c in parts:
+            lo = sent[c.start]
+            some = np.bincount(sent[c] - lo, weights=value[word[c]])
+            x[lo:lo + len(some)] += some
         none = np.bincount(doc_of, weights=np.logaddexp(0.0, x), minlength=len(y))     # -log P(no sentence offends)
         pull = np.where(y > 0, -np.exp(-none) / np.maximum(-np.expm1(-none), 1e-9), 1.0)
         g = pull[doc_of] / (1.0 + np.exp(-x)) / len(y)
-        by_word = np.bincount(word, weights=g[sent], minlength=len(per_word))
+        by_word = np.zeros(len(per_word))
+        for c in parts:
+            by_word += np.bincount(word[c], weights=g[sent[c]], minlength=len(per_word))
         grad = np.append(np.bincount(feat, weights=by_word[owner], minlength=len(names)) + DECAY * w, g.sum())
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.99 * m2 + 0.01 * grad * grad
@@ -194,22 +220,29 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ids = labelled(labels).where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
             .join(F.broadcast(ids), "doc_id")       # at most ``sample`` rows of two numbers
-            .select("doc_id", "text", "toxic"))
+            .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))     # a repeated row teaches once
+
+    def number(batches):
+        for b in columns(batches):
+            words, cells, sizes = zip(*map(numbered, b["text"].to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], b["toxic"], pa.array(words, pa.list_(pa.string())), pa.array(cells, pa.list_(pa.int32())),
+                 pa.array(sizes, pa.list_(pa.int32()))], names=["doc_id", "toxic", "words", "cells", "sizes"])
 
     def train(batches):
         claim("training", lambda: None)
-        texts, y, seen = [], [], set()
-        for b in columns(batches):
-            for d, t, v in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), b["toxic"].to_pylist()):
-                if d not in seen:                   # a repeated row teaches once
-                    seen.add(d)
-                    texts.append(t)
-                    y.append(v)
-        m = fit_texts(texts, y)
+
+        def each():
+            for b in columns(batches):
+                for i, lab in enumerate(b["toxic"].to_pylist()):
+                    yield b["words"][i].as_py(), b["cells"][i].values.to_numpy(), b["sizes"][i].values.to_numpy(), lab
+        m = fit_numbered(each())
         yield pa.RecordBatch.from_pydict({
             "weights": pa.array([m.weights.astype("<f4").tobytes()], pa.binary()), "bias": pa.array([m.bias], pa.float64()),
             "constant": pa.array([m.constant], pa.float64())})
-    got = rows.repartition(1).sortWithinPartitions("doc_id", "text").mapInArrow(train, "weights binary, bias double, constant double").first()
+    sample_rows = rows.mapInArrow(number, "doc_id long, toxic int, words array<string>, cells array<int>, sizes array<int>")
+    got = (sample_rows.repartition(1).sortWithinPartitions("doc_id")
+           .mapInArrow(train, "weights binary, bias double, constant double").first())
     if got is None:
         return Model(np.zeros(1 << BITS, np.float32), 0.0, 0.0)
     return Model(np.frombuffer(bytes(got["weights"]), "<f4"), got["bias"], got["constant"])

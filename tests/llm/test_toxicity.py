@@ -67,3 +67,26 @@ def test_sample_is_a_bound(spark):
     labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(100)], "doc_id long, toxic int")
     m = toxicity.fit(d, labels, sample=40)
     assert m.score("bad")[0] > m.score("good")[0]
+
+
+def test_sample_reaches_its_bound_with_one_row_an_id(spark):
+    # more labels that may teach than the old bound of 8,000; every row is there three times
+    docs = spark.range(11_000).select(F.col("id").alias("doc_id"), F.expr("concat('plain words here. ', if(id % 4 = 0, 'scoundrel', 'friend'), ' w', id)").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    ids = sorted(r.doc_id for r in toxicity.labelled(labels).where(~toxicity.held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(12_000).collect())
+    assert toxicity.SAMPLE == 12_000 and len(ids) > 8_000
+    text = {r.doc_id: r.text for r in docs.collect()}
+    want = toxicity.fit_texts([text[i] for i in ids], [int(i % 4 == 0) for i in ids])
+    got = toxicity.fit(docs.unionByName(docs).unionByName(docs), labels)
+    assert np.array_equal(got.weights, want.weights) and got.bias == want.bias
+    assert got.score("a scoundrel")[0] > 0.5 > got.score("a friend")[0]
+
+
+def test_blocks_of_cells_give_one_model(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [". ".join(" ".join(rng.choice(["one", "two", "three", "scoundrel" if i % 3 == 0 else "four"], 5)) for _ in range(4)) for i in range(200)]
+    y = [int(i % 3 == 0) for i in range(200)]
+    whole = toxicity.fit_texts(texts, y)
+    monkeypatch.setattr(toxicity, "CELLS", 97)
+    parts = toxicity.fit_texts(texts, y)
+    assert np.allclose(parts.weights, whole.weights, atol=1e-4) and abs(parts.bias - whole.bias) < 1e-6
