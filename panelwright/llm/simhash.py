@@ -157,29 +157,33 @@ def links(fps: DataFrame, radius: int, unit_rows: int = 20_000) -> DataFrame:
     return (todo.repartition("unit").sortWithinPartitions("unit").mapInArrow(by_unit, "u long, v long")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, unit_rows: int = 20_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, unit_rows: int = 20_000,
+                    root: bool = False) -> DataFrame:
     """(doc_id, fp, component_id, first) per row of ``docs``: its fingerprint,
     the smallest ``doc_id`` reachable over links of at most ``radius`` bits,
-    and the smallest ``doc_id`` with the same fingerprint."""
+    and the smallest ``doc_id`` with the same fingerprint; with ``root`` also
+    the fingerprint that names its component."""
     fps = written(fingerprints(docs, words), "fingerprints")
     first = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     stars = components(links(first.select("fp"), radius, unit_rows))
     rooted = (first.join(stars.withColumnRenamed("node", "fp"), "fp", "left")
               .withColumn("root", F.coalesce("root", "fp")))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = written(rooted.join(ids, "root").select("fp", "first", "component_id"), "fingerprint-components")
-    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id", "first")
+    by_fp = written(rooted.join(ids, "root").select("fp", "first", "component_id", "root"), "fingerprint-components")
+    return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id", "first", *(["root"] if root else []))
 
 
 def deduplicate(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of ``docs`` that represent their component: those with its
-    smallest ``doc_id``. A component of null ids keeps its rows; rows that
-    repeat the smallest id with one fingerprint all stay (exact dedup removes
-    them)."""
+    """One row of ``docs`` of each component: of its rows with the smallest
+    ``doc_id`` (a null one if it has no other) one with the smallest
+    fingerprint. Rows equal in both are one and the same to this order, so
+    any one of them stays."""
     @F.pandas_udf("long")
     def key(text: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in text], dtype=np.uint64).view(np.int64))
 
-    found = near_duplicates(docs, words, radius).select(
-        "doc_id", F.col("fp").alias("key"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("stay"))
-    return keep_rows(docs, found, lambda df: df.withColumn("key", key(text_of())))
+    found = written(near_duplicates(docs, words, radius, root=True).withColumn("n", F.monotonically_increasing_id()), "simhash-rows")
+    best = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+            .agg(F.min(F.struct("fp", "n")).alias("lead")).select(F.col("lead.n").alias("n"), F.lit(True).alias("stay")))
+    marked = found.join(best, "n", "left").select("doc_id", F.col("fp").alias("key"), F.coalesce("stay", F.lit(False)).alias("stay"))
+    return keep_rows(docs, marked, lambda df: df.withColumn("key", key(text_of())))

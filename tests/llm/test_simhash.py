@@ -74,6 +74,21 @@ def test_deduplicate_keeps_one_of_a_group_and_all_columns(spark):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "A b c  d e f g"), (5, "quite another text of words")]
 
 
+def test_deduplicate_keeps_one_of_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in rng.integers(0, 9999, 600)]
+    near = [" ".join(base[:k] + base[k + 1:]) for k in (0, 599)]
+    rows = [(None, "a b c d e f g"), (None, "A b c d  e f g"), (None, "a b c d e f g"), (None, "another text of some words"),
+            (7, near[0]), (7, near[1]), (7, near[1]), (8, near[0]), (7, "one text of its own here")]
+    fp = [simhash.fingerprint(t) for t in near]
+    assert fp[0] != fp[1] and (fp[0] ^ fp[1]).bit_count() <= 4
+    kept = sorted(((r.doc_id, r.text.lower().split()) for r in simhash.deduplicate(H.docs(spark, rows)).collect()), key=repr)
+    assert [d for d, _ in kept] == [7, 7, None, None]
+    assert kept[2:] == [(None, "a b c d e f g".split()), (None, "another text of some words".split())]
+    lead = " ".join(next(t for d, t in kept if d == 7 and len(t) > 9))
+    assert lead in near and (7, "one text of its own here".split()) in kept
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(400, 460)]
