@@ -31,6 +31,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ from .common import bounded_batches, claim, columns, text_of
 
 # Texts per batch (a larger batch has fewer different words), chunks whose
 # ids a worker keeps, and the longest chunk kept.
-ENCODED_ROWS = 4000
-KEPT_CHUNKS = 300_000
+ENCODED_ROWS = 2000
+KEPT_CHUNKS = 200_000
 KEPT_CHARS = 40
 
 #: White space of Unicode's White_Space property, which the splitter drops.
@@ -159,11 +160,16 @@ class Bpe:
         self.by_chunk = (split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
                          and "[^\\s" in (split.get("pattern") or {}).get("Regex", "")
                          and not any(re.search(r"\s", t["content"]) for t in added))
+        # printable ASCII, whose bytes stand for themselves, needs the file's
+        # pattern only: composing leaves it alone and lower-casing is plain
+        steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        plain = self.by_chunk and all("<" in t for t in special) and steps == ["NFC", "Replace", "Lowercase"]
+        self.plain = regex.compile(split["pattern"]["Regex"]).findall if plain else None
         self.kept: dict[str, bytes] = {}
 
     # -- encoding ----------------------------------------------------------
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words in the splitter's byte alphabet."""
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words in the splitter's byte alphabet, four bytes each."""
         if not words:
             return []
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -174,10 +180,13 @@ class Bpe:
         if (sym < 0).any():
             raise ValueError("the vocabulary lacks a byte")
         ids, of = self.merges.apply(sym, np.repeat(np.arange(len(words)), size))
-        return np.split(ids, np.searchsorted(of, np.arange(1, len(words))))
+        raw, cuts = ids.astype("<u4").tobytes(), (np.searchsorted(of, np.arange(len(words) + 1)) * 4).tolist()
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _words(self, chunk: str) -> list[str | int]:
         """Words of a chunk in the byte alphabet; ids of special tokens."""
+        if self.plain and "<" not in chunk and chunk.isascii() and chunk.isprintable():
+            return self.plain(chunk.lower())
         parts = self.parts.split(chunk) if self.parts and any(s in chunk for s in self.special) else [chunk]
         out: list[str | int] = []
         for p in parts:
@@ -194,7 +203,7 @@ class Bpe:
         out = [self.kept.get(c) for c in chunks]
         new = [(i, self._words(chunks[i])) for i, b in enumerate(out) if b is None]
         words = list(dict.fromkeys(w for _, ws in new for w in ws if isinstance(w, str)))
-        ids = {w: x.astype("<u4").tobytes() for w, x in zip(words, self.encode_words(words))}
+        ids = dict(zip(words, self.encode_words(words)))
         if len(self.kept) + len(new) > KEPT_CHUNKS:
             self.kept.clear()
         for i, ws in new:
