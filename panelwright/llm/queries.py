@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import alignment, bpe, exact, packing, projections, repeats, secrets, simhash, token_store, toxicity, viterbi, warc
+from . import alignment, bpe, exact, packing, projections, repeats, secrets, simhash, token_store, toxicity, variants, viterbi, warc
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.count_words(read_table(spark, sf_dir, "documents"), every=31, length=7, least=2)
+    return variants.group_variants(words, ratio=10)
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read_table(spark, sf_dir, "documents"))
 
@@ -87,8 +92,8 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_store, op2_simhash, op3_sentencepiece, op4_warc, op5_packing, op6_exact_dedup,
-                                   op7_toxicity, op8_suffix_array, op9_secrets, op10_projections, op12_alignment,
-                                   op13_bpe)}
+                                   op7_toxicity, op8_suffix_array, op9_secrets, op10_projections, op11_spelling_variants,
+                                   op12_alignment, op13_bpe)}
 
 ORACLE = {
     "op4_warc": """

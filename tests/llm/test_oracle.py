@@ -15,7 +15,7 @@ from ..conftest import SF_SMALL
 
 def test_registered():
     assert set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in [*range(1, 11), 12, 13]]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
