@@ -9,12 +9,14 @@ are the pruned dictionary, the only thing sent to all tasks.
 A gram depends on its own characters alone, so one edit changes only the
 grams that cover it; the most that cover one character of a word bounds them.
 Words one edit apart share at least ``need`` = grams - bound of either word (1
-or more from 7 characters on). So they share one of the bound + 1 rarest
-grams of each: these are the lists to merge. Pairs of a list at fitting lengths
-and places must share ``need`` of all their grams, then the edit distance is
-computed. A list longer than ``LIST_ROWS`` is not paired: its words go by the
-hashes of what is left when one character is deleted, which words one edit
-apart share, so no list grows into its square.
+or more from 7 characters on), at the same distance from the start or, behind
+the edit, from the end. With all grams in one order (infrequent ones first),
+the first shared one is among the bound + 1 first of each word: those make the
+lists to merge, by gram and distance. Pairs of a list must share ``need`` of
+all their grams, then the edit distance is computed. A list longer than
+``LIST_ROWS`` is not paired: its words go by the hashes of what is left when
+one character is deleted, which words one edit apart share, so no list grows
+into its square.
 
 A word's form is its most frequent near word (ties: the smallest) if that is
 at least ``ratio`` times as frequent; root follows forms to the last one. Each
@@ -28,6 +30,7 @@ word; other columns are ignored; an empty table gives no words.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -40,10 +43,9 @@ from .common import bounded_batches, columns, written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUNS = "[a-zÀ-ÿ]+"
 QMIN, QMAX = 3, 6
-DICTIONARY = 50_000      # most frequent grams of one length
+DICTIONARY = 100_000     # most frequent grams of one length
 LEAST_FREQUENT = 32      # a gram this rare is never extended
-LIST_ROWS = 1000         # longest list whose pairs are compared
-SMALLEST = QMAX + 1      # shortest word whose ``need`` is sure to be positive
+LIST_ROWS = 500          # longest list whose pairs are compared
 
 
 def count_words(docs: DataFrame, every: int = 31, length: int = 7, least: int = 2) -> DataFrame:
@@ -63,7 +65,7 @@ def count_words(docs: DataFrame, every: int = 31, length: int = 7, least: int =
 
 # -- grams -----------------------------------------------------------------
 def dictionary(words: DataFrame, most: int = DICTIONARY, rare: int = LEAST_FREQUENT) -> set[str]:
-    """Frequent grams of QMIN to QMAX - 1 characters: at most ``most`` of a
+    """Frequent grams of QMIN to QMAX characters: at most ``most`` of a
     length by their threshold, one in ``most`` of all grams of that length."""
     p = F.concat(F.lit("<"), "word", F.lit(">"))
 
@@ -72,45 +74,62 @@ def dictionary(words: DataFrame, most: int = DICTIONARY, rare: int = LEAST_FREQU
     total = words.agg(F.sum(F.length("word").cast("long")).alias("n"), F.count(F.lit(1)).alias("w")).first()
     if not total["w"]:
         return set()
-    one = words.select(F.explode(F.concat(*[grams(q) for q in range(QMIN, QMAX)])).alias("gram"))
-    bound = {q: max(rare, (total["n"] + total["w"] * (3 - q)) // most) for q in range(QMIN, QMAX)}
+    one = words.select(F.explode(F.concat(*[grams(q) for q in range(QMIN, QMAX + 1)])).alias("gram"))
+    bound = {q: max(rare, (total["n"] + total["w"] * (3 - q)) // most) for q in range(QMIN, QMAX + 1)}
     limit = F.element_at(F.create_map(*[F.lit(x) for q, b in bound.items() for x in (q, b)]), F.length("gram"))
     found = one.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
     return {r["gram"] for r in found.select("gram").collect()}
 
 
-def decompose(word: str, frequent: set[str]) -> tuple[list[str], list[int], int]:
-    """(grams, their places, ``need``). A gram met before carries the number
-    of the repeat, so shared grams are counted as often as both have them."""
+def decompose(word: str, frequent: frozenset[str] | set[str]) -> tuple[list[str], int, list[int]]:
+    """(gram at each start, ``need``, starts of the grams to list)."""
     p = f"<{word}>"
     n = len(p)
-    seen: Counter = Counter()
     grams, cover = [], [0] * (n + 1)
     for i in range(n - QMIN + 1):
         q = QMIN
         while q < QMAX and i + q < n and p[i:i + q] in frequent:
             q += 1
-        g = p[i:i + q]
+        grams.append(p[i:i + q])
         cover[i] += 1
         cover[i + q] -= 1
-        grams.append(f"{g}{seen[g]}" if seen[g] else g)
-        seen[g] += 1
-    most = at = 0
-    for i in range(n - 1):
+    most, at = 0, cover[0]
+    for i in range(1, n - 1):
         at += cover[i]
-        if i:
-            most = max(most, at)
-    return grams, list(range(len(grams))), len(grams) - most
+        most = max(most, at)
+    order = sorted(range(len(grams)), key=lambda i: (grams[i] in frequent, grams[i], i))
+    return grams, len(grams) - most, order[:most + 1]
+
+
+def numbered(grams: list[str]) -> list[int]:
+    """Hash of each gram with the number of its repeat, so that shared ones
+    are counted as often as both words have them."""
+    seen: Counter = Counter()
+    out = []
+    for g in grams:
+        out.append(zlib.crc32(f"{g}{seen[g]}".encode()) - (1 << 31))
+        seen[g] += 1
+    return out
+
+
+LISTED = "word string, n long, length int, need int, grams array<int>, gram string, at int"
 
 
-def _decomposed(frequent):
+def _listed(frequent):
+    """A row for each gram of a word that is to be listed."""
     def make(batches):
         known = frequent.value
         for b in columns(batches):
-            made = [decompose(w, known) for w in b["word"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b["word"], b["n"], pa.array([m[0] for m in made], pa.list_(pa.string())), pa.array([m[2] for m in made], pa.int32())],
-                names=["word", "n", "grams", "need"])
+            for lo in range(0, len(b["word"]), 1000):
+                words, n = b["word"].slice(lo, 1000), b["n"].slice(lo, 1000)
+                made = [(w, *decompose(w, known)) for w in words.to_pylist()]
+                row = np.repeat(np.arange(len(made)), [len(m[3]) for m in made])
+                yield pa.RecordBatch.from_arrays([
+                    words.take(row), n.take(row), pa.array([len(m[0]) for m in made], pa.int32()).take(row),
+                    pa.array([m[2] for m in made], pa.int32()).take(row),
+                    pa.array([numbered(m[1]) for m in made], pa.list_(pa.int32())).take(row),
+                    pa.array([m[1][i] for m in made for i in m[3]], pa.string()), pa.array([i for m in made for i in m[3]], pa.int32())],
+                    names=[c.split(" ")[0] for c in LISTED.split(", ")])
     return make
 
 
@@ -142,30 +161,28 @@ def near_pairs(words: DataFrame, most: int = DICTIONARY, rare: int = LEAST_FREQU
     spark = words.sparkSession
     bounded_batches(spark, 5000)
     frequent = spark.sparkContext.broadcast(frozenset(dictionary(words, most, rare)))
-    parts = written(words.mapInArrow(_decomposed(frequent), "word string, n long, grams array<string>, need int"), "variant-grams")
-    each = parts.select("word", F.posexplode("grams").alias("at", "gram"))
-    often = each.groupBy("gram").agg(F.count(F.lit(1)).alias("words"))
-    # the rarest grams of each word: as many as one edit may change and one more
-    rarest = (each.join(often, "gram").groupBy("word")
-              .agg(F.sort_array(F.collect_list(F.struct("words", "gram", "at"))).alias("by")))
-    lists = (parts.join(rarest, "word")
-             .select("word", "n", "need", "grams", F.explode(F.slice("by", F.lit(1), F.size("grams") - F.col("need") + 1)).alias("x"))
-             .select("word", "n", "need", "grams", F.col("x.gram").alias("gram"), F.col("x.at").alias("at")))
-    lists = written(lists, "variant-lists")
-    sizes = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    lists = written(lists.join(sizes, "gram"), "variant-merged")
-    short = lists.where(F.col("size") <= list_rows)
-    x, y = short.alias("x"), short.alias("y")
-    fits = ((F.col("x.gram") == F.col("y.gram")) & (F.col("x.word") < F.col("y.word"))
-            & (F.abs(F.length("x.word") - F.length("y.word")) <= 1) & (F.abs(F.col("x.at") - F.col("y.at")) <= 1))
-    pair = [F.col("x.word").alias("a"), F.col("y.word").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")]
-    shared = F.size(F.array_intersect("x.grams", "y.grams"))
-    merged = x.join(y, fits).where(shared >= F.greatest("x.need", "y.need")).select(*pair)
-    hot = lists.where(F.col("size") > list_rows).groupBy("word").agg(F.first("n").alias("n"))
+    lists = written(words.mapInArrow(_listed(frequent), LISTED), "variant-lists")
+    merged, hot = [], []
+    # by distance from the start; behind a character more or less, from the end
+    for at, fits in (F.col("at"), F.abs(F.col("x.length") - F.col("y.length")) <= 1), (
+            F.col("length") - F.col("at"), F.abs(F.col("x.length") - F.col("y.length")) == 1):
+        rows = lists.withColumn("at", at)
+        sizes = rows.groupBy("gram", "at").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_rows)
+        sizes = written(sizes.select(F.col("gram").alias("of"), F.col("at").alias("place")), "variant-hot")
+        long = (F.col("gram") == F.col("of")) & (F.col("at") == F.col("place"))
+        hot.append(rows.join(sizes, long, "left_semi").select("word", "n"))
+        short = rows.join(sizes, long, "left_anti")
+        x, y = short.alias("x"), short.alias("y")
+        same = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.at") == F.col("y.at")) & (F.col("x.word") < F.col("y.word"))
+        shared = F.size(F.array_intersect("x.grams", "y.grams"))
+        merged.append(x.join(y, same & fits).where(shared >= F.greatest("x.need", "y.need"))
+                      .select(F.col("x.word").alias("a"), F.col("y.word").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
+    hot = hot[0].unionByName(hot[1]).groupBy("word").agg(F.first("n").alias("n"))
     left = hot.mapInArrow(_deleted, "key long, word string, n long")
     x, y = left.alias("x"), left.alias("y")
-    by_rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.word") < F.col("y.word"))).select(*pair)
-    return (merged.unionByName(by_rest).where(F.levenshtein("a", "b", 1) == 1)
+    by_rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.word") < F.col("y.word"))).select(
+        F.col("x.word").alias("a"), F.col("y.word").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
+    return (merged[0].unionByName(merged[1]).unionByName(by_rest).where(F.levenshtein("a", "b", 1) == 1)
             .groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb")))
 
 
