@@ -52,10 +52,13 @@ from .common import bounded_batches, claim, columns, text_of, written
 CHUNK_BYTES = 32 << 10     # longest text aligned in one piece
 FAN = 16                   # fragments composed by one task
 BLOCK_LINKS = 3_000_000    # (text, pair) rows that share one numbering of pairs
-BATCH_TEXTS = 1000
+BATCH_TEXTS = 1000         # texts encoded at a time, and their bytes
+BATCH_BYTES = 3 << 20
+TOGETHER = 4000            # words encoded as one text
 SPACE = "▁"
 WHITE = np.array([c for c in range(0x3001) if chr(c).isspace()], np.uint32)
 CUT = re.compile(r"(?<=\S) (?=\S)")
+_NO = np.zeros(0, np.int32)
 _LOADED: dict[tuple[str, str], "Pair"] = {}
 
 
@@ -115,47 +118,74 @@ class Pair:
     def cut(self, text: str) -> list[str]:
         return CUT.split(text) if self.by_word else [text]
 
-    def words(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[bool]]:
+    def words(self, words: list[str]) -> tuple["Words", "Words", np.ndarray]:
         """Ids of A and of B for blank + word, and whether both give its
         bytes back. Words between blanks are encoded as one text."""
-        n = len(words)
-        ids_a, ids_b, ok = [None] * n, [None] * n, [True] * n
-        alone = set(range(n))
-        plain = [i for i, w in enumerate(words) if w and SPACE not in w and not w[0].isspace() and not w[-1].isspace()]
-        if self.by_word and plain:
-            text = " " + " ".join([words[i] for i in plain])
+        a, b, ok = Words(len(words)), Words(len(words)), np.ones(len(words), bool)
+        alone = []
+        plain = []
+        for i, w in enumerate(words):
+            between = self.by_word and w and SPACE not in w and not w[0].isspace() and not w[-1].isspace()
+            (plain if between else alone).append(i)
+        for lo in range(0, len(plain), TOGETHER):
+            part = plain[lo:lo + TOGETHER]
+            text = " " + " ".join([words[i] for i in part])
             raw = text.encode()
-            a = np.array(self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
-            b = np.array(self.b.encode(text[1:]), np.int32)
-            if self.table_a.joined(a.tolist()) == raw and self.table_b.joined(b.tolist()) == raw:
-                ends = np.cumsum([1 + len(words[i].encode()) for i in plain])
-                for ids, table, out in ((a, self.table_a, ids_a), (b, self.table_b, ids_b)):
-                    upto = np.cumsum(table.size[ids])
-                    at = np.searchsorted(upto, ends) + 1
-                    for i, x in zip(plain, np.split(ids, at[:-1])):
-                        out[i] = x
-                alone -= set(plain)
+            x, y = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+            if self.table_a.joined(x) == raw == self.table_b.joined(y):
+                ends = np.cumsum([1 + len(words[i].encode()) for i in part])
+                a.add(part, np.array(x, np.int32), ends, self.table_a)
+                b.add(part, np.array(y, np.int32), ends, self.table_b)
+            else:
+                alone += part
         for i in alone:
             raw = (" " + words[i]).encode()
-            a, b = self.a.encode(" " + words[i], add_special_tokens=False).ids, self.b.encode(words[i])
-            ids_a[i], ids_b[i] = np.array(a, np.int32), np.array(b, np.int32)
-            ok[i] = self.table_a.joined(a) == raw == self.table_b.joined(b)
-        return ids_a, ids_b, ok
+            x, y = self.a.encode(" " + words[i], add_special_tokens=False).ids, self.b.encode(words[i])
+            ok[i] = self.table_a.joined(x) == raw == self.table_b.joined(y)
+            a.add([i], np.array(x, np.int32), None, self.table_a)
+            b.add([i], np.array(y, np.int32), None, self.table_b)
+        return a, b, ok
 
     def tokens(self, texts: list[str]) -> tuple["Tokens", "Tokens", np.ndarray]:
         """Tokens of A and of B of all texts in a row, and which texts have
         any. A text whose tokens do not give its bytes back has none."""
         lists = [self.cut(t) if t else [] for t in texts]
+        per = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = pa.array([w for x in lists for w in x], pa.large_string()).dictionary_encode()
-        ids_a, ids_b, ok = self.words(flat.dictionary.to_pylist())
+        del lists
+        a, b, ok = self.words(flat.dictionary.to_pylist())
         code = flat.indices.to_numpy()
-        per = np.fromiter(map(len, lists), np.int64, len(lists))
-        of = np.repeat(np.arange(len(texts)), per)
+        of = np.repeat(np.arange(len(texts), dtype=np.int32), per)
         has = per > 0
-        has[of[~np.array(ok, bool)[code]]] = False
+        has[of[~ok[code]]] = False
         code, of = code[has[of]], of[has[of]]
-        return (Tokens.gather(ids_a, code, of, self.table_a, len(texts)),
-                Tokens.gather(ids_b, code, of, self.table_b, len(texts)), has)
+        return a.gather(code, of, self.table_a), b.gather(code, of, self.table_b), has
+
+
+class Words:
+    """Ids of numbered words, one after the other in the order they came."""
+
+    def __init__(self, n: int):
+        self.first, self.size = np.zeros(n, np.int32), np.zeros(n, np.int32)
+        self.parts: list[np.ndarray] = []
+        self.total = 0
+
+    def add(self, words: list[int], ids: np.ndarray, ends: np.ndarray | None, table: Table) -> None:
+        """Ids of some words in a row, the bytes of each ending at ``ends``."""
+        stop = [len(ids)] if ends is None else np.searchsorted(np.cumsum(table.size[ids]), ends) + 1
+        self.size[words] = np.diff(stop, prepend=0)
+        self.first[words] = self.total + np.concatenate([[0], stop[:-1]])
+        self.parts.append(ids)
+        self.total += len(ids)
+
+    def gather(self, code: np.ndarray, of: np.ndarray, table: Table) -> "Tokens":
+        """Tokens of a row of words, each with its text."""
+        store = np.concatenate([*self.parts, _NO])
+        each = self.size[code]
+        place = np.repeat(self.first[code] - (np.cumsum(each, dtype=np.int32) - each), each)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = store[place]
+        return Tokens(ids, np.repeat(of, each), np.cumsum(table.size[ids], dtype=np.int32))
 
 
 @dataclass
@@ -164,17 +194,6 @@ class Tokens:
     text: np.ndarray      # text of each
     ends: np.ndarray      # offset after it, counted over all texts
 
-    @classmethod
-    def gather(cls, words: list[np.ndarray], code: np.ndarray, of: np.ndarray, table: Table, n: int) -> "Tokens":
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        store = np.concatenate([*words, np.zeros(0, np.int32)])
-        first, each = np.cumsum(size) - size, size[code]
-        upto = np.cumsum(each)
-        place = np.repeat(first[code] - (upto - each), each)
-        place += np.arange(len(place))
-        ids = store[place]
-        return cls(ids, np.repeat(of, each).astype(np.int32), np.cumsum(table.size[ids], dtype=np.int64))
-
     def where(self, keep: np.ndarray) -> "Tokens":
         return Tokens(self.ids[keep], self.text[keep], self.ends[keep])
 
@@ -196,7 +215,7 @@ def render(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray, n: int)
     ids[np.arange(len(b)) + upto_a[gb]] = b
     mark[upto_a + (upto_b - nb) - 1] = ord("|")
     mark[upto_a + upto_b - 1] = ord(";")
-    digits = np.ones(len(ids), np.int64)
+    digits = np.ones(len(ids), np.int32)
     power = 10
     while len(ids) and power <= int(ids.max()):
         digits += ids >= power
@@ -213,9 +232,6 @@ def render(a: np.ndarray, ga: np.ndarray, b: np.ndarray, gb: np.ndarray, n: int)
 
 
 # -- the monoid ------------------------------------------------------------
-_NO = np.zeros(0, np.int32)
-
-
 @dataclass
 class Fragment:
     """Alignment of a byte range. Without a common end in it (``cut`` false)
@@ -322,10 +338,10 @@ def _linked(a: Tokens, b: Tokens, ga: np.ndarray, gb: np.ndarray, common: np.nda
 
 def _by_text(text: np.ndarray, pair: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different pairs of each text, how often, and each text's end in them."""
-    different, at = np.unique(pair, return_inverse=True)
-    key, times = np.unique(text.astype(np.int64) * max(1, len(different)) + at, return_counts=True)
-    of, at = np.divmod(key, max(1, len(different)))
-    return different[at] if len(different) else pair, times, np.searchsorted(of, np.arange(n + 1))
+    order = np.lexsort((pair, text))
+    text, pair = text[order], pair[order]
+    first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])])[:len(text)])
+    return pair[first], np.diff(first, append=len(text)), np.searchsorted(text[first], np.arange(n + 1))
 
 
 def _align(files: tuple[str, str], whole: bool):
@@ -494,7 +510,7 @@ def align(docs: DataFrame, files: tuple[str, str] | None = None, chunk: int = CH
     groups_sha256) per row of ``docs``."""
     spark, files = docs.sparkSession, files or default_files()
     bounded_batches(spark, BATCH_TEXTS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(6 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     long = F.octet_length("text") >= chunk
     short = (src.where(~long).select(F.lit(None).cast("long").alias("row"), "doc_id", F.lit(0).alias("k"), "text")
