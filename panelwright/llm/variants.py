@@ -7,16 +7,15 @@ grams (more than one in ``DICTIONARY`` of their length, so at most that many)
 are the pruned dictionary, the only thing sent to all tasks.
 
 A gram depends on its own characters alone, so one edit changes only the
-grams that cover it; the most that cover one character of a word bounds them.
-Words one edit apart share at least ``need`` = grams - bound of either word (1
-or more from 7 characters on), at the same distance from the start or, behind
-the edit, from the end. With all grams in one order (infrequent ones first),
-the first shared one is among the bound + 1 first of each word: those make the
-lists to merge, by gram and distance. Pairs of a list must share ``need`` of
-all their grams, then the edit distance is computed. A list longer than
-``LIST_ROWS`` is not paired: its words go by the hashes of what is left when
-one character is deleted, which words one edit apart share, so no list grows
-into its square.
+grams that cover it: of any set of a word's grams at most as many as cover one
+character, the set's bound. A near word has all others, at places that follow
+from the lengths. For each word a smallest set larger than its bound is taken,
+two infrequent grams that cover no common character (they exist from 7
+characters on, bound 1), and the lists of all words with these grams at fitting
+places and lengths are merged; the edit distance of what they hold is computed.
+A list longer than ``LIST_ROWS`` is not paired: its words and those that ask
+for it go by the hashes of what is left when one character is deleted, which
+words one edit apart share, so no list grows into its square.
 
 A word's form is its most frequent near word (ties: the smallest) if that is
 at least ``ratio`` times as frequent; root follows forms to the last one. Each
@@ -30,8 +29,6 @@ word; other columns are ignored; an empty table gives no words.
 from __future__ import annotations
 
 import math
-import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -81,54 +78,50 @@ def dictionary(words: DataFrame, most: int = DICTIONARY, rare: int = LEAST_FREQU
     return {r["gram"] for r in found.select("gram").collect()}
 
 
-def decompose(word: str, frequent: frozenset[str] | set[str]) -> tuple[list[str], int, list[int]]:
-    """(gram at each start, ``need``, starts of the grams to list)."""
+def decompose(word: str, frequent: frozenset[str] | set[str]) -> tuple[list[str], tuple[int, int]]:
+    """(gram at each start, starts of the two grams whose lists are merged)."""
     p = f"<{word}>"
     n = len(p)
-    grams, cover = [], [0] * (n + 1)
+    grams = []
     for i in range(n - QMIN + 1):
         q = QMIN
         while q < QMAX and i + q < n and p[i:i + q] in frequent:
             q += 1
         grams.append(p[i:i + q])
-        cover[i] += 1
-        cover[i + q] -= 1
-    most, at = 0, cover[0]
-    for i in range(1, n - 1):
-        at += cover[i]
-        most = max(most, at)
-    order = sorted(range(len(grams)), key=lambda i: (grams[i] in frequent, grams[i], i))
-    return grams, len(grams) - most, order[:most + 1]
-
-
-def numbered(grams: list[str]) -> list[int]:
-    """Hash of each gram with the number of its repeat, so that shared ones
-    are counted as often as both words have them."""
-    seen: Counter = Counter()
-    out = []
-    for g in grams:
-        out.append(zlib.crc32(f"{g}{seen[g]}".encode()) - (1 << 31))
-        seen[g] += 1
-    return out
-
-
-LISTED = "word string, n long, length int, need int, grams array<int>, gram string, at int"
+    # the last infrequent gram, or the last one, from each start on
+    late, last = [n] * (n + 1), len(grams) - 1
+    for i in range(last, -1, -1):
+        late[i] = i if late[i + 1] == n and grams[i] not in frequent else late[i + 1]
+    best = None
+    for i, g in enumerate(grams):
+        j = i + len(g)
+        if j > last:
+            break
+        far = late[j] if late[j] < n else last
+        cost = (g in frequent) + (grams[far] in frequent)
+        if best is None or cost < best[0]:
+            best = cost, i, far
+        if not cost:
+            break
+    return grams, best[1:]
+
+
+LISTED = "word string, n long, length int, gram string, at int, asked boolean"
 
 
 def _listed(frequent):
-    """A row for each gram of a word that is to be listed."""
+    """A row for each gram of a word, marked if the word asks for its list."""
     def make(batches):
         known = frequent.value
         for b in columns(batches):
             for lo in range(0, len(b["word"]), 1000):
                 words, n = b["word"].slice(lo, 1000), b["n"].slice(lo, 1000)
-                made = [(w, *decompose(w, known)) for w in words.to_pylist()]
-                row = np.repeat(np.arange(len(made)), [len(m[3]) for m in made])
+                made = [decompose(w, known) for w in words.to_pylist()]
+                row = np.repeat(np.arange(len(made)), [len(m[0]) for m in made])
                 yield pa.RecordBatch.from_arrays([
                     words.take(row), n.take(row), pa.array([len(m[0]) for m in made], pa.int32()).take(row),
-                    pa.array([m[2] for m in made], pa.int32()).take(row),
-                    pa.array([numbered(m[1]) for m in made], pa.list_(pa.int32())).take(row),
-                    pa.array([m[1][i] for m in made for i in m[3]], pa.string()), pa.array([i for m in made for i in m[3]], pa.int32())],
+                    pa.array([g for m in made for g in m[0]], pa.string()), pa.array([i for m in made for i in range(len(m[0]))], pa.int32()),
+                    pa.array([i in m[1] for m in made for i in range(len(m[0]))])],
                     names=[c.split(" ")[0] for c in LISTED.split(", ")])
     return make
 
@@ -160,30 +153,30 @@ def near_pairs(words: DataFrame, most: int = DICTIONARY, rare: int = LEAST_FREQU
     """(a, b, na, nb) for each pair a < b of ``words`` (word, n), one edit apart."""
     spark = words.sparkSession
     bounded_batches(spark, 5000)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     frequent = spark.sparkContext.broadcast(frozenset(dictionary(words, most, rare)))
-    lists = written(words.mapInArrow(_listed(frequent), LISTED), "variant-lists")
-    merged, hot = [], []
-    # by distance from the start; behind a character more or less, from the end
-    for at, fits in (F.col("at"), F.abs(F.col("x.length") - F.col("y.length")) <= 1), (
-            F.col("length") - F.col("at"), F.abs(F.col("x.length") - F.col("y.length")) == 1):
-        rows = lists.withColumn("at", at)
-        sizes = rows.groupBy("gram", "at").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_rows)
-        sizes = written(sizes.select(F.col("gram").alias("of"), F.col("at").alias("place")), "variant-hot")
-        long = (F.col("gram") == F.col("of")) & (F.col("at") == F.col("place"))
-        hot.append(rows.join(sizes, long, "left_semi").select("word", "n"))
-        short = rows.join(sizes, long, "left_anti")
-        x, y = short.alias("x"), short.alias("y")
-        same = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.at") == F.col("y.at")) & (F.col("x.word") < F.col("y.word"))
-        shared = F.size(F.array_intersect("x.grams", "y.grams"))
-        merged.append(x.join(y, same & fits).where(shared >= F.greatest("x.need", "y.need"))
-                      .select(F.col("x.word").alias("a"), F.col("y.word").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
-    hot = hot[0].unionByName(hot[1]).groupBy("word").agg(F.first("n").alias("n"))
+    rows = written(words.repartition(tasks, "word").mapInArrow(_listed(frequent), LISTED), "variant-grams")
+
+    def key(at, length):
+        return F.xxhash64("gram", at, length).alias("key")
+    lists = rows.select(key("at", "length"), F.col("word").alias("b"), F.col("n").alias("nb"))
+    # a word of the same length has the gram in its place; one without a
+    # character there, or one place before
+    asked = rows.where("asked").select(F.col("word").alias("a"), F.col("n").alias("na"), F.explode(F.array(
+        key("at", "length"), key("at", F.col("length") - 1), key(F.col("at") - 1, F.col("length") - 1))).alias("key"))
+    long = written(lists.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_rows).select("key"), "variant-long")
+    merged = (asked.join(long, "key", "left_anti").join(lists, "key")
+              .where((F.length("a") > F.length("b")) | (F.col("a") > F.col("b"))).select("a", "b", "na", "nb"))
+    hot = (asked.join(long, "key", "left_semi").select(F.col("a").alias("word"), F.col("na").alias("n"))
+           .unionByName(lists.join(long, "key", "left_semi").select(F.col("b").alias("word"), F.col("nb").alias("n")))
+           .groupBy("word").agg(F.first("n").alias("n")).repartition(tasks, "word"))
     left = hot.mapInArrow(_deleted, "key long, word string, n long")
     x, y = left.alias("x"), left.alias("y")
     by_rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.word") < F.col("y.word"))).select(
         F.col("x.word").alias("a"), F.col("y.word").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-    return (merged[0].unionByName(merged[1]).unionByName(by_rest).where(F.levenshtein("a", "b", 1) == 1)
-            .groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb")))
+    near = merged.unionByName(by_rest).where(F.levenshtein("a", "b", 1) == 1)
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
+                       F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
 
 
 def group_variants(words: DataFrame, ratio: int = 10, **settings) -> DataFrame:
