@@ -5,7 +5,8 @@ at most ``size`` different lengths however large the corpus is. The plan is
 made from that histogram: single lengths, pair sums and triple sums are
 indexed by value, and combinations that fill a sequence exactly are consumed
 in bulk under the availability counts, longest pieces first; what is left is
-placed best-fit, again in bulk, over bins grouped by their free space. The
+placed best-fit, again in bulk, over bins grouped by their free space. Fills
+are given up where best fit alone needs fewer sequences (``plan``). The
 plan has a few thousand patterns at most and is broadcast; a document then
 finds its pattern, sequence and offset from its rank within its length, and
 ranks are counted over hash buckets, so a length that holds most of the
@@ -61,39 +62,74 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0
     return src.mapInArrow(make, PIECES + (", ids binary" if with_ids else ""))
 
 
+class Sums:
+    """Pairs of lengths by their sum, longer length first and longest first;
+    a triple is a length and the pairs of what it leaves."""
+
+    def __init__(self, lengths: list[int], size: int):
+        have = np.array(sorted(lengths), np.int32)
+        i, j = np.tril_indices(len(have))
+        i, j = have[i], have[j]
+        fits = i + j < size
+        i, j = i[fits], j[fits]
+        order = np.lexsort((-i, i + j))
+        self.long, self.short = i[order], j[order]
+        self.first = np.searchsorted(self.long + self.short, np.arange(size + 2))
+        self.have = have[::-1]
+
+    def pairs(self, total: int, most: int, left: np.ndarray) -> list[tuple[int, ...]]:
+        """Pairs of available lengths, none above ``most``, that sum to ``total``."""
+        at = slice(self.first[total], self.first[total + 1])
+        a, b = self.long[at], self.short[at]
+        good = (a <= most) & (left[a] > 0) & (left[b] > 0) & ((a != b) | (left[a] > 1))
+        return list(zip(a[good].tolist(), b[good].tolist()))
+
+    def triples(self, total: int, most: int, left: np.ndarray):
+        for a in self.have[(self.have <= min(total - 2, most)) & (left[self.have] > 0)].tolist():
+            if 3 * a < total:
+                break
+            for b, c in self.pairs(total - a, a, left):
+                yield (a, b, c)
+
+
 def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths of a sequence, number of such sequences) that use up the
-    counts of each length."""
-    left = Counter({k: v for k, v in counts.items() if v > 0})
+    counts of each length.
+
+    Exact fills take short pieces that best fit may need more, so the plan is
+    made with fills of up to three, two, one and no further piece, and the one
+    with the fewest sequences is kept: never more than best fit alone."""
+    counts = {k: v for k, v in counts.items() if v > 0}
+    sums = Sums(list(counts), size)
+    plans = [_plan(counts, size, depth, sums) for depth in (3, 2, 1, 0)]
+    return min(plans, key=lambda p: sum(n for _, n in p))
+
+
+def _plan(counts: dict[int, int], size: int, depth: int, sums: Sums) -> list[tuple[tuple[int, ...], int]]:
+    left = np.zeros(size + 1, np.int64)
+    left[list(counts)] = list(counts.values())
     out: list[tuple[tuple[int, ...], int]] = []
 
     def take(pattern: tuple[int, ...]) -> None:
         need = Counter(pattern)
-        n = min(left[k] // m for k, m in need.items())
+        n = min(int(left[k]) // m for k, m in need.items())
         if n > 0:
             for k, m in need.items():
                 left[k] -= n * m
-                if not left[k]:
-                    del left[k]
             out.append((pattern, n))
 
-    for big in sorted(left, reverse=True):
-        if big not in left:
-            continue
+    for big in sorted(counts, reverse=True) if depth else ():
         gap = size - big
         if not gap:
             take((big,))
             continue
         # singles, then pairs, then triples that fill the gap exactly
-        if left.get(gap):
-            take((big, gap))
-        for depth in (2, 3):
-            if big not in left:
-                break
-            for rest in _sums(left, gap, depth, big):
-                if big not in left:
-                    break
+        take((big, gap))
+        for fill in (sums.pairs, sums.triples)[:depth - 1]:
+            for rest in fill(gap, big, left) if left[big] else ():
                 take((big, *rest))
+                if not left[big]:
+                    break
     # best fit of the rest, longest first, in bulk over bins of equal space
     bins: dict[int, list[list]] = {}      # free space -> [pattern, number]
     spaces: list[int] = []
@@ -104,8 +140,8 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]
             bisect.insort(spaces, space)
         bins[space].append([pattern, n])
 
-    for length in sorted(left, reverse=True):
-        n = left[length]
+    for length in np.flatnonzero(left)[::-1].tolist():
+        n = int(left[length])
         while n:
             i = bisect.bisect_left(spaces, length)
             if i < len(spaces):
@@ -131,22 +167,6 @@ def plan(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]
     return out
 
 
-def _sums(left: Counter, gap: int, depth: int, most: int):
-    """Combinations of ``depth`` available lengths, longest first, none above
-    ``most``, that sum to ``gap``; availability is looked up as they come."""
-    for a in sorted((k for k in left if k <= min(gap - depth + 1, most)), reverse=True):
-        if a * depth < gap:
-            break
-        if a not in left:
-            continue
-        if depth == 2:
-            if gap - a in left and (gap - a != a or left[a] > 1):
-                yield (a, gap - a)
-        else:
-            for rest in _sums(left, gap - a, depth - 1, a):
-                yield (a, *rest)
-
-
 def pack(pieces: DataFrame, size: int = 2048, bucket_rows: int = 50_000) -> DataFrame:
     """``pieces`` (any columns, one of them ``length`` from 1 to ``size``) with
     ``sequence_id`` and ``offset``."""

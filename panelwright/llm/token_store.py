@@ -156,7 +156,10 @@ def _write_shards(path: str, vocabulary: str, end_id: int, width: int, shard_ids
                 data = ids_of + end
                 n = len(data) // 4
                 if width == 2:
-                    data = np.frombuffer(data, "<u4").astype("<u2").tobytes()
+                    whole = np.frombuffer(data, "<u4")
+                    if whole.max(initial=0) > 0xFFFF:
+                        raise ValueError(f"id {whole.max()} does not fit in 2 bytes")
+                    data = whole.astype("<u2").tobytes()
                 out.write(data)
                 rows.append((doc, rep, name, HEADER_BYTES + ids * width, n, ids))
                 ids += n

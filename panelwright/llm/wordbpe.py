@@ -1,8 +1,9 @@
 """Token ids of whole texts with a `tokenizers` file.
 
 The word-BPE vocabulary drops white space and never merges across it, so the
-ids of a text are the ids of its white-space-separated chunks in order. Each
-worker encodes a chunk once with the library and keeps the ids of recent
+ids of a text are the ids of its white-space-separated chunks in order. Marks
+behind a chunk's letters are words of their own where the letters stay letters
+in the normaliser; any other chunk is encoded whole. Each worker encodes a chunk once with the library and keeps the ids of recent
 chunks in a bounded table; ``tests/llm`` compares with whole-text encoding.
 A tokenizer for which this does not hold (its normaliser, splitter or merges
 look across blanks) is called on the whole text.
@@ -14,6 +15,7 @@ import json
 import os
 import re
 import string
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +121,7 @@ class Encoder:
             s = x if x.isalpha() else x.rstrip(_MARKS)
             if s == w:
                 (plain.append if w.isalpha() else rest.add)(w)
-            elif s.isalpha():
+            elif s.isalpha() and _one_word(s):
                 m = x[len(s):]
                 parts.append((w, s, m))
                 rest.add(m)
@@ -152,6 +154,16 @@ def _prepared(text: str) -> str:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
 
 
+def _one_word(stem: str) -> bool:
+    """Whether the normaliser leaves letters only, so that marks behind the
+    stem are a word of their own ("İ" becomes "i" and a mark, which the
+    splitter joins to the marks that follow)."""
+    if stem.isascii():
+        return True
+    low = stem.lower()
+    return len(low) == len(stem) and low.isalpha() and unicodedata.is_normalized("NFC", stem)
+
+
 def _raw(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 

@@ -67,3 +67,18 @@ def test_plan_is_close_to_the_bound(seed):
     counts = Counter(min(2048, int(rng.lognormvariate(6, 1)) + 1) for _ in range(20_000))
     least = -(-sum(k * v for k, v in counts.items()) // 2048)
     assert sum(n for _, n in packing.plan(counts, 2048)) <= least * 1.005 + 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 40), st.integers(1, 30), min_size=1, max_size=40))
+def test_plan_is_never_worse_than_best_fit(counts):
+    def best_fit():
+        bins = []
+        for x in sorted((k for k, n in counts.items() for _ in range(n)), reverse=True):
+            fits = [i for i, space in enumerate(bins) if space >= x]
+            if fits:
+                bins[min(fits, key=lambda i: bins[i])] -= x
+            else:
+                bins.append(40 - x)
+        return len(bins)
+    assert sum(n for _, n in packing.plan(counts, 40)) <= best_fit()

@@ -32,6 +32,19 @@ def test_chunks_give_the_ids_of_the_whole_text(whole):
         assert np.frombuffer(e.ids(text), "<u4").tolist() == whole(text), text
 
 
+def test_every_letter_before_marks(whole):
+    e = Encoder(default_vocabulary())
+    texts = [f"a{chr(c)}? {chr(c)}.x {chr(c)}," for c in range(0x80, 0x3200) if chr(c).isalpha()]
+    for t, ids in zip(texts, e.ids_batch(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(t), ascii(t)
+
+
+def test_ids_must_fit(spark):
+    with pytest.raises(Exception, match="does not fit in 2 bytes"):
+        token_store.write_store(H.docs(spark, [(1, "a")]), end_id=70_000, id_bytes=2).read(
+            token_store.keys_of(H.docs(spark, [(1, "a")]))).collect()
+
+
 def test_query_matches_brute_force(spark, whole):
     rows = [(r.doc_id, r.text) for r in read_table(spark, SF_SMALL, "documents").collect()]
     assert H.bag(queries.op1_token_store(spark, SF_SMALL)) == expected(rows, whole)
