@@ -4,16 +4,14 @@ Exact quantiles (pandas' linear interpolation, DuckDB ``quantile_cont``,
 Spark ``percentile``) need order statistics. Spark's ``percentile`` aggregate
 keeps a value->count map per group; that is fine for a bounded group but one
 hot group (or a global quantile over a huge column) would merge a map of all
-its distinct values in one task. Hot groups therefore take a two-pass plan:
-
-1. a mergeable sketch (``percentile_approx``, partial-aggregated) brackets
-   each wanted rank: the exact answer lies between the sketch values at
-   ``p - eps`` and ``p + eps`` (eps = sketch error plus two ranks);
-2. one aggregate counts rows below the bracket, and only the distinct values
-   inside the bracket (bounded by ~4n/accuracy) are ranked exactly.
-
-A bracket that misses its rank is opened to the whole group, so a result is
-always exact. Large means many non-NULL values, not many rows.
+its distinct values in one task. Large groups are therefore read digit by
+digit (:func:`ordered_bits`): a round counts the next ``RADIX_BITS`` bits of
+the values that share the leading bits found so far, for all wanted ranks of
+all groups together, and each rank keeps the one bin it falls into. A round's
+aggregate has at most ``2 ** RADIX_BITS`` bins for each distinct prefix, whatever
+the number of values, ties or groups; after at most six rounds a bin is one
+double, and rounds end as soon as every bin is one value. Large means many
+non-NULL values, not many rows.
 
 Modes come from a ``(group, value) -> count`` aggregate, which shuffles on
 (group, value) and therefore spreads a hot group over many tasks.
@@ -21,12 +19,10 @@ Modes come from a ``(group, value) -> count`` aggregate, which shuffles on
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import stored
 from ..spec import PanelSpec, SkewPolicy
 
 
@@ -62,7 +58,7 @@ def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column
         n = base.where(F.col("_v").isNotNull()).count()
         if n <= policy.hot_rows:
             return base.agg(*plain)
-        return _bracketed(base.withColumn("_g", F.lit(0)), ["_g"], probs, names, n, policy, 1).drop("_g")
+        return _radix(base.withColumn("_g", F.lit(0)), ["_g"], probs, names, policy, 1).drop("_g")
 
     gspec = PanelSpec(tuple(keys), skew=policy)
     hot = hot if hot is not None else gspec.hot_keys(base)
@@ -70,73 +66,85 @@ def group_percentiles(df: DataFrame, spec: PanelSpec | None, value: str | Column
         return base.groupBy(*keys).agg(*plain)
     _, hot_rows = hot.split(base)
     large = hot_rows.groupBy(*keys).agg(F.count("_v").alias("_n")).where(F.col("_n") > policy.hot_rows)
-    r = large.agg(F.count(F.lit(1)).alias("k"), F.max("_n").alias("n")).first()
+    r = large.agg(F.count(F.lit(1)).alias("k")).first()
     if not r["k"]:
         return base.groupBy(*keys).agg(*plain)
     side = F.broadcast(large.select(*keys)) if r["k"] <= policy.broadcast_keys else large.select(*keys)
     cold = base.join(side, keys, "left_anti").groupBy(*keys).agg(*plain)
-    warm = _bracketed(base.join(side, keys, "left_semi"), keys, probs, names, r["n"], policy, r["k"])
+    warm = _radix(base.join(side, keys, "left_semi"), keys, probs, names, policy, r["k"])
     return cold.unionByName(warm)
 
 
-def _bracketed(rows: DataFrame, keys: list[str], probs: list[float], names: list[str],
-               n_max: int, policy, n_groups: int) -> DataFrame:
-    """Exact percentiles of groups that each have more than ``policy.hot_rows``
-    values, via sketch brackets (see module doc)."""
-    # accuracy so that a bracket of rank width 4n/acc holds <= bracket_values rows
-    acc = int(min(2_000_000, max(10_000, math.ceil(4.0 * n_max / policy.bracket_values))))
-    # sketch error (1/acc in rank share) plus the ranks between the sketch's
-    # p*n and the interpolation positions floor/ceil((n-1)p), with n > hot_rows
-    eps = 2.0 / acc + 4.0 / max(1, policy.hot_rows)
-    m = len(probs)
-    ends = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
-    sk = rows.groupBy(*keys).agg(F.percentile_approx("_v", ends, acc).alias("_b"))
-    sk = sk.select(*keys, *[F.col("_b")[i].alias(f"_lo{i}") for i in range(m)],
-                   *[F.col("_b")[m + i].alias(f"_hi{i}") for i in range(m)])
-    found = materialize(_ranked(rows, sk, keys, probs, names, policy, n_groups), persist=False)
-    missed = found.where(~F.col("_ok")).select(*keys)
-    n_missed = missed.count()
-    if n_missed:
-        # a bracket that does not hold its ranks is opened to the whole group
-        side = F.broadcast(missed) if n_missed <= policy.broadcast_keys else missed
-        again = rows.join(side, keys, "left_semi")
-        lo, hi = F.lit(float("-inf")), F.lit(float("nan"))  # NaN is Spark's largest double
-        whole = again.select(*keys).distinct().select(*keys, *[lo.alias(f"_lo{i}") for i in range(m)],
-                                                      *[hi.alias(f"_hi{i}") for i in range(m)])
-        found = found.where("_ok").unionByName(_ranked(again, whole, keys, probs, names, policy, n_missed))
-    return found.drop("_ok")
-
-
-def _ranked(rows: DataFrame, brackets: DataFrame, keys: list[str], probs: list[float], names: list[str],
-            policy, n_groups: int) -> DataFrame:
-    """The wanted ranks among the distinct values inside each bracket; ``_ok``
-    tells whether all of them lie inside."""
-    m = len(probs)
-    # one row per large group: broadcast when their number is within bound
-    side = (lambda d: F.broadcast(d)) if n_groups <= policy.broadcast_keys else (lambda d: d)
-    joined = rows.where(F.col("_v").isNotNull()).join(side(brackets), keys)
-    below = joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[
-        F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(m)])
-    out = None
-    for i, p in enumerate(probs):
-        inside = (joined.where((F.col("_v") >= F.col(f"_lo{i}")) & (F.col("_v") <= F.col(f"_hi{i}")))
-                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-        w = Window.partitionBy(*keys).orderBy("_v")
-        inside = inside.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        ranked = inside.join(side(below.select(*keys, "_n", F.col(f"_below{i}").alias("_bl"))), keys)
-        h = (F.col("_n") - 1) * F.lit(p)
-        pick = ranked.groupBy(*keys).agg(
-            F.first("_n").alias("_n"), F.first("_bl").alias("_bl"), F.max("_cum").alias("_inside"),
-            F.min_by("_v", F.when(F.col("_cum") > F.floor(h) - F.col("_bl"), F.col("_cum"))).alias("_xlo"),
-            F.min_by("_v", F.when(F.col("_cum") > F.ceil(h) - F.col("_bl"), F.col("_cum"))).alias("_xhi"))
-        ok = (F.col("_bl") <= F.floor(h)) & (F.col("_bl") + F.col("_inside") > F.ceil(h))
-        val = F.col("_xlo") + (h - F.floor(h)) * (F.col("_xhi") - F.col("_xlo"))
-        one = pick.select(*keys, val.alias(names[i]), ok.alias(f"_ok{i}"))
-        out = one if out is None else out.join(one, keys)
-    ok = F.lit(True)
-    for i in range(m):
-        ok = ok & F.col(f"_ok{i}")
-    return out.select(*keys, *names, ok.alias("_ok"))
+RADIX_BITS = 12
+MANTISSA = 52
+
+
+def ordered_bits(v: Column) -> Column:
+    """A long that orders doubles as Spark does (-0.0 equals 0.0, NaN is
+    largest): the bits of |v| by arithmetic, negative for negative values."""
+    a = F.abs(v)
+    least = 2.0 ** -1022
+    # a logarithm may miss the exponent by one near a power of two
+    e0 = F.floor(F.log2(a))
+    m0 = a / F.pow(F.lit(2.0), e0)
+    e = e0 + F.when(m0 >= 2, 1).when(m0 < 1, -1).otherwise(0)
+    normal = (e.cast("long") + 1023) * (1 << MANTISSA) + ((a / F.pow(F.lit(2.0), e) - 1) * float(1 << MANTISSA)).cast("long")
+    small = (a * 2.0 ** 537 * 2.0 ** 537).cast("long")
+    top = 2047 << MANTISSA
+    bits = (F.when(F.isnan(v), F.lit(top + 1)).when(a == float("inf"), F.lit(top))
+            .when(a < least, small).otherwise(normal))
+    return F.when(v < 0, -bits).otherwise(bits)
+
+
+def _radix(rows: DataFrame, keys: list[str], probs: list[float], names: list[str], policy, n_groups: int) -> DataFrame:
+    """Exact percentiles of large groups by radix selection (see module doc).
+
+    The values are written once as (keys, bits, value) in the shared folder;
+    every round reads that narrow table alone."""
+    values = rows.where(F.col("_v").isNotNull()).select(*keys, ordered_bits(F.col("_v")).alias("_k"), F.col("_v"))
+    values = stored(values, "radix-values")
+    small = n_groups * 2 * len(probs) <= policy.broadcast_keys     # rows of the table of wanted ranks
+
+    def side(d: DataFrame) -> DataFrame:
+        return F.broadcast(d) if small else d
+    wanted, before = None, 64
+    while before > 0:
+        shift = max(0, before - RADIX_BITS)
+        digit = F.shiftright("_k", shift)
+        if wanted is None:
+            part = values.withColumn("_p", F.lit(0).cast("long"))
+        else:
+            part = (values.withColumn("_p", F.shiftright("_k", before))
+                    .join(side(wanted.where("_lo < _hi").select(*keys, "_p").distinct()), [*keys, "_p"], "left_semi"))
+        bins = part.groupBy(*keys, "_p", digit.alias("_d")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        w = Window.partitionBy(*keys, "_p").orderBy("_d")       # at most 2 ** RADIX_BITS rows
+        bins = bins.withColumn("_upto", F.sum("_c").over(w))
+        if wanted is None:
+            total = bins.groupBy(*keys).agg(F.max("_upto").alias("_n"))
+            ranks = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), f(((F.col("_n") - 1) * F.lit(p))).cast("long").alias("_r"),
+                                                 F.lit(h).alias("_h")) for i, p in enumerate(probs) for h, f in enumerate((F.floor, F.ceil))]))
+            wanted = (total.select(*keys, "_n", ranks.alias("_w")).select(*keys, "_n", "_w.*")
+                      .withColumns({"_p": F.lit(0).cast("long"), "_below": F.lit(0).cast("long")}))
+            done = None
+        else:
+            done = wanted.where("_lo = _hi")
+            wanted = wanted.where("_lo < _hi").drop("_lo", "_hi")
+        found = (wanted.join(bins, [*keys, "_p"])
+                 .where((F.col("_r") - F.col("_below") < F.col("_upto")) & (F.col("_r") - F.col("_below") >= F.col("_upto") - F.col("_c")))
+                 .select(*keys, "_n", "_i", "_r", "_h", F.col("_d").alias("_p"),
+                         (F.col("_below") + F.col("_upto") - F.col("_c")).alias("_below"), F.col("_min").alias("_lo"), F.col("_max").alias("_hi")))
+        wanted = stored(found if done is None else found.unionByName(done), "radix-ranks")
+        before = shift
+        if wanted.where("_lo < _hi").isEmpty():
+            break
+    out = wanted.groupBy(*keys).agg(*[x for i, p in enumerate(probs) for x in (
+        F.max(F.when((F.col("_i") == i) & (F.col("_h") == 0), F.col("_lo"))).alias(f"_lo{i}"),
+        F.max(F.when((F.col("_i") == i) & (F.col("_h") == 1), F.col("_lo"))).alias(f"_hi{i}"))], F.first("_n").alias("_n"))
+    h = {i: (F.col("_n") - 1) * F.lit(p) for i, p in enumerate(probs)}
+    return out.select(*keys, *[F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}"))
+                               .otherwise(F.col(f"_lo{i}") + (h[i] - F.floor(h[i])) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(nm)
+                               for i, nm in enumerate(names)])
 
 
 # ---------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -120,3 +121,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet below the shared checkpoint folder and read it
+    again: a columnar lineage cut, of which later jobs read only the columns
+    they need."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ Skew: a panel group is normally small (a customer has a handful of months),
 but one key may hold a large share of all rows. :class:`SkewPolicy` names the
 size above which a group is *hot*. Operators run bounded groups through plain
 window functions (one exchange on the group key) and hot groups through
-split plans (chunked scans, sketch-bracketed exact quantiles) whose every task
+split plans (chunked scans, exact quantiles by radix selection) whose every task
 is bounded. Hot keys are found once per panel with a partial aggregation.
 """
 
@@ -26,8 +26,6 @@ class SkewPolicy:
     hot_rows: int = 2_000_000
     # Target rows per chunk of a hot group in ordered scans.
     chunk_rows: int = 1_000_000
-    # Most distinct values one task sorts when finishing an exact quantile.
-    bracket_values: int = 1_000_000
     # Hot-key tables up to this many rows are broadcast (size checked by count).
     broadcast_keys: int = 200_000
 

@@ -156,7 +156,7 @@ def test_hot_customers_give_the_same_panel(spark):
     (chunked scans, bracketed quantiles, aggregate statistics) end to end."""
     from panelwright.sources import derived as dv
     from panelwright.spec import PanelSpec, SkewPolicy
-    tiny = SkewPolicy(hot_rows=4, chunk_rows=3, bracket_values=4, broadcast_keys=1_000_000)
+    tiny = SkewPolicy(hot_rows=4, chunk_rows=3, broadcast_keys=1_000_000)
     hot_spec = PanelSpec(("Customer_ID",), ("Month", "ID"), id="ID", skew=tiny)
     src = dv.credit_panel_raw(spark, "/root/testdata/sf0.001")
     a = cp.clean(src).collect()

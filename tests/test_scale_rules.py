@@ -1,4 +1,4 @@
-"""The split plans at sizes where their brackets and chunks really cut, and
+"""The split plans at sizes where their rounds and chunks really cut, and
 rows without a key, values or a numeric order."""
 
 import numpy as np
@@ -9,7 +9,7 @@ from panelwright.operators import groupstats, impute, lists, ordered, outlier, q
 from panelwright.sources.csv import PanelLoadError, read_panel_csv, write_table
 from panelwright.spec import PanelSpec, SkewPolicy
 
-REAL = SkewPolicy(hot_rows=10_000, chunk_rows=5_000, bracket_values=2_000)
+REAL = SkewPolicy(hot_rows=10_000, chunk_rows=5_000)
 PROBS = [0.0, 0.25, 0.5, 0.9, 1.0]
 
 
@@ -43,22 +43,47 @@ def test_global_quantiles_follow_the_policy_given(spark, table):
     assert tuple(got) == pytest.approx(tuple(np.quantile(v, PROBS)))
 
 
-def test_a_bracket_that_misses_is_opened(spark, table, monkeypatch):
-    monkeypatch.setattr(groupstats, "_ranked", _missing_first(groupstats._ranked))
-    spec = PanelSpec(("g",), ("o",), skew=REAL)
-    v = np.array([r.v for r in table.where("g = 0").select("v").collect()])
-    got = groupstats.group_percentiles(table.where("g = 0"), spec, "v", [0.5]).first()
-    assert got[1] == pytest.approx(np.quantile(v, 0.5))
-
-
-def _missing_first(ranked):
-    calls = []
-
-    def run(*args):
-        calls.append(1)
-        out = ranked(*args)
-        return out.withColumn("_ok", F.lit(False)) if len(calls) == 1 else out
-    return run
+def test_bits_order_doubles_as_spark_does(spark):
+    rng = np.random.default_rng(3)
+    v = np.frombuffer(rng.bytes(8 * 20_000), np.float64)
+    edge = [0.0, -0.0, 5e-324, -5e-324, 2.0 ** -1022, 2.0 ** -1023, 1.7976931348623157e308, float("inf"), float("-inf"), float("nan")]
+    powers = [s * 2.0 ** e * (1 + d * 2.0 ** -52) for e in range(-1021, 1024, 7) for d in (0, 1) for s in (1, -1)]
+    near = [float(np.nextafter(2.0 ** e, 0)) for e in range(-1021, 1024, 5)]
+    df = spark.createDataFrame([(float(x),) for x in [*v, *edge, *powers, *near]], "v double")
+    got = df.select("v", groupstats.ordered_bits(F.col("v")).alias("k")).collect()
+    x, k = np.array([r.v for r in got]), np.array([r.k for r in got], np.int64)
+    ok = ~np.isnan(x)
+    raw = np.abs(x).view(np.int64)
+    assert (k[ok] == np.where(x[ok] < 0, -raw[ok], raw[ok])).all()
+    assert (k[~ok] > k[ok].max()).all()
+
+
+@pytest.mark.parametrize("kind", ["spread", "mostly equal", "tiny steps", "mixed signs"])
+def test_radix_selection_is_exact_on_long_columns(spark, kind):
+    h = F.pmod(F.xxhash64("id"), F.lit(10_000_019))
+    v = {"spread": h.cast("double") / 7, "mostly equal": F.when(F.col("id") % 100 == 0, h / 3.0).otherwise(42.5),
+         "tiny steps": 1.0 + h * 2.0 ** -50, "mixed signs": F.pow(F.lit(-1.5), (h % 300).cast("double"))}[kind]
+    df = spark.range(1_000_000).select(F.lit(1).alias("g"), v.cast("double").alias("v")).cache()
+    want = tuple(np.quantile(np.array(df.select("v").toPandas()["v"]), PROBS))
+    got = tuple(groupstats.group_percentiles(df, None, "v", PROBS, skew=REAL).first())
+    assert got == pytest.approx(want, rel=1e-14)
+    df.unpersist()
+
+
+def test_radix_rounds_hold_few_bins(spark, monkeypatch):
+    """No aggregate of a round has more rows than bins times different prefixes."""
+    seen = []
+    real = groupstats.stored
+
+    def watched(df, name):
+        seen.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, name)
+    monkeypatch.setattr(groupstats, "stored", watched)
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    groupstats.group_percentiles(df, None, "v", [0.5], skew=REAL).collect()
+    rounds = [plan for name, plan in seen if name == "radix-ranks"]
+    assert 2 <= len(rounds) <= 6 and [n for n, _ in seen].count("radix-values") == 1
+    assert not any("percentile" in plan for _, plan in seen)
 
 
 def test_box_stats_and_describe_keep_groups_without_values(spark, table):
@@ -92,7 +117,7 @@ def null_panel(spark):
 @pytest.mark.parametrize("hot_rows", [2_000_000, 4])
 def test_rows_without_a_key_keep_their_value(spark, hot_rows):
     df = null_panel(spark)
-    spec = PanelSpec(("c",), ("o",), skew=SkewPolicy(hot_rows=hot_rows, chunk_rows=3, bracket_values=4))
+    spec = PanelSpec(("c",), ("o",), skew=SkewPolicy(hot_rows=hot_rows, chunk_rows=3))
     want = {(r.o): r.v for r in df.where("c is null").collect()}
     for op in (impute.ffill_bfill, impute.fill_median, impute.set_median, impute.fill_mode_mean, impute.fill_mode,
                impute.fill_mode_median_int, impute.mode_or_fill, impute.counter_rebuild):

@@ -1,7 +1,7 @@
 """Hot-group plans give exactly the fast-path results.
 
 Tiny skew thresholds force every group through the split plans (chunked
-ordered scans, sketch-bracketed quantiles, aggregate + join statistics).
+ordered scans, radix-selected quantiles, aggregate + join statistics).
 """
 
 import pytest
@@ -14,7 +14,7 @@ from panelwright.spec import PanelSpec, SkewPolicy
 
 from .conftest import SF_SMALL
 
-TINY = SkewPolicy(hot_rows=4, chunk_rows=3, bracket_values=4, broadcast_keys=1_000_000)
+TINY = SkewPolicy(hot_rows=4, chunk_rows=3, broadcast_keys=1_000_000)
 
 
 def spec_pair(base):
@@ -68,7 +68,7 @@ def test_group_percentiles_hot(spark):
     same(a, b, ["user_id"], [c for c in a.columns if c != "user_id"])
 
 
-def test_global_percentiles_bracketed(spark):
+def test_global_percentiles_split(spark):
     ev = dv.events(spark, "/root/testdata/sf0.01", ["value"])
     exact = ev.agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("p")).first()["p"]
     spec = PanelSpec(("_",), skew=TINY)
