@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh
 from ..spec import PanelSpec
 from .groupstats import group_window, with_group_stats, with_mode_columns, with_percentile_column
 from .ordered import fill_ordered, row_index
@@ -32,14 +33,16 @@ def fill_two_keys(df: DataFrame, spec: PanelSpec, col: str, key2: str, hot=None)
 
 def fill_median(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
     """NULL <- group median."""
-    out = with_percentile_column(df, spec, col, 0.5, "_med", hot)
-    return out.withColumn(col, F.coalesce(F.col(col).cast("double"), F.col("_med"))).drop("_med")
+    (med,) = fresh(df, "_med")
+    out = with_percentile_column(df, spec, col, 0.5, med, hot)
+    return out.withColumn(col, F.coalesce(F.col(col).cast("double"), F.col(med))).drop(med)
 
 
 def set_median(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
     """Every row <- its group median."""
-    out = with_percentile_column(df, spec, col, 0.5, "_med", hot)
-    return out.withColumn(col, F.when(spec.null_key(), F.col(col)).otherwise(F.col("_med"))).drop("_med")
+    (med,) = fresh(df, "_med")
+    out = with_percentile_column(df, spec, col, 0.5, med, hot)
+    return out.withColumn(col, F.when(spec.null_key(), F.col(col)).otherwise(F.col(med))).drop(med)
 
 
 def fill_mode_median_int(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:

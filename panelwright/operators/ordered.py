@@ -19,6 +19,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh
 from ..spec import PanelSpec
 
 UNB_P = Window.unboundedPreceding
@@ -157,9 +158,10 @@ def lag_diff(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None,
     """First difference ``x - lag(x)`` in group order (pandas ``diff``)."""
     out = out or f"{col}_diff"
     ostruct = spec.order_struct()
+    lag_name, first_name = fresh(df, "_lag", "_first")
 
     def local(rows, w, first):
-        return rows.withColumns({"_lag": F.lag(col).over(w), "_first": first})
+        return rows.withColumns({lag_name: F.lag(col).over(w), first_name: first})
 
     def carry(rows, keys_):
         per = rows.groupBy(*keys_, "_chunk").agg(F.max_by(col, ostruct).alias("_lastrow"))
@@ -167,14 +169,14 @@ def lag_diff(df: DataFrame, spec: PanelSpec, col: str, out: str | None = None,
                           F.lag("_lastrow").over(_chunk_window(keys_)).alias("_cin_prev"))
 
     def finish(res):
-        lag = F.col("_lag")
+        lag = F.col(lag_name)
         if "_cin_prev" in res.columns:
-            lag = F.when(F.col("_first"), F.col("_cin_prev")).otherwise(lag)
+            lag = F.when(F.col(first_name), F.col("_cin_prev")).otherwise(lag)
         lag = F.when(~spec.null_key(), lag)
         res = res.withColumn(out, F.col(col) - lag)
         if lag_out:
             res = res.withColumn(lag_out, lag)
-        return res.drop("_lag", "_first", "_cin_prev")
+        return res.drop(lag_name, first_name, "_cin_prev")
 
     return ordered_apply(df, spec, local, carry, finish, hot=hot)
 

@@ -130,3 +130,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, keys: list[str], order: list[str] = ()) -> DataFrame:
+    """Write a frame below the shared checkpoint folder as a table bucketed by
+    ``keys`` and sorted by ``keys`` and ``order``, and read it again.
+
+    Windows, aggregates and joins on the keys need no exchange on what is
+    read, and a later job reads only the columns it needs. A frame that is
+    already dealt by the keys is written as it lies; every bucket is then one
+    file."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    (df.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, own))
+     .bucketBy(n, *keys).sortBy(*keys, *[c for c in order if c in df.columns and c not in keys]).saveAsTable(own))
+    return spark.table(own)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names made of ``names`` that the frame does not have yet."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out

@@ -3,16 +3,17 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from panelwright.operators import impute
+from panelwright.operators import impute, ordered, outlier
 from panelwright.plans.queries import orders_value
 from panelwright.sources import derived as dv
 
 from .conftest import SF_SMALL
 
-PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
-SQL_QUERIES = sorted(entry.oracle_sql())
+PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsIn", "FlatMapCoGroupsIn", "MapInPandas", "MapInArrow", "PythonUDF")
+SQL_QUERIES = sorted(k for k in entry.oracle_sql() if k.startswith("q_"))
 
 
 def plan_text(df):
@@ -47,3 +48,29 @@ def test_recipe_windows_reuse_checkpoint_partitioning(spark):
     out = credit_panel.clean(dv.credit_panel_raw(spark, SF_SMALL))
     # the checkpoint is hash-partitioned by customer; no window adds a shuffle
     assert "Exchange" not in plan_text(out)
+
+
+@pytest.mark.parametrize("name", ["q_robust_z", "q_robust_null", "q_robust_extremes", "q_z_distribution", "q_column_summary"])
+def test_median_standardisation_scans_and_shuffles_rows_once(spark, monkeypatch, name):
+    written, real = [], outlier.bucketed
+
+    def watched(df, *args):
+        written.append(plan_text(df))
+        return real(df, *args)
+    monkeypatch.setattr(outlier, "bucketed", watched)
+    text = plan_text(entry.queries()[name](spark, SF_SMALL))
+    # the one table: one scan of the source, one exchange by the group
+    assert len(written) == 1 and written[0].count("Exchange hashpartitioning") == 1
+    assert written[0].count("Scan parquet") == 1
+    # all else reads it; no row is dealt by the group again, only small aggregates move
+    assert "orders.parquet" not in text and "events.parquet" not in text
+    assert not re.search(r"Exchange hashpartitioning\((o_custkey|user_id)", text)
+
+
+def test_columns_of_the_same_names_survive(spark):
+    df = orders_value(spark, SF_SMALL).withColumns({c: F.lit(i) for i, c in enumerate(("_med", "_mad", "_alleq", "_z", "_lag", "_first"))})
+    spec = dv.ORDERS_SPEC
+    for out in (impute.fill_median(df, spec, "value"), impute.set_median(df, spec, "value"), outlier.robust_z(df, spec, "value", "z"),
+                outlier.robust_null(df, spec, "value", 2.0), outlier.rel_dev(df, spec, "value"), outlier.abs_dev(df, spec, "value"),
+                ordered.lag_diff(df, spec, "value")):
+        assert out.select("_med", "_mad", "_alleq", "_z", "_lag", "_first").distinct().collect() == [(0, 1, 2, 3, 4, 5)]
