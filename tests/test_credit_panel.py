@@ -163,3 +163,67 @@ def test_hot_customers_give_the_same_panel(spark):
     b = cp.clean(src, spec=hot_spec).collect()
     norm = lambda rows: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows)
     assert norm(a) == norm(b)
+
+
+def norm(rows):
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
+
+
+def mixed(spark):
+    """A panel whose largest customers are hot beside bounded ones, and rows
+    without a customer."""
+    from panelwright.sources import derived as dv
+    src = dv.credit_panel_raw(spark, "/root/testdata/sf0.001")
+    few = F.col("Customer_ID").isin([f"CUS_0x{i:x}" for i in (1, 2, 4)])
+    src = src.withColumn("Customer_ID", F.when(few, F.lit("CUS_0xHOT")).otherwise(F.col("Customer_ID")))
+    lost = src.limit(40).withColumns({"Customer_ID": F.lit(None).cast("string"), "ID": F.concat(F.lit("n"), "ID")})
+    return src.unionByName(lost).cache()
+
+
+def test_hot_and_bounded_customers_share_one_recipe_and_one_write(spark, monkeypatch):
+    from panelwright.plans import panel_levels as pl
+    from panelwright.spec import PanelSpec, SkewPolicy
+    src = mixed(spark)
+    sizes = sorted(r["count"] for r in src.where("Customer_ID is not null").groupBy("Customer_ID").count().collect())
+    policy = SkewPolicy(hot_rows=sizes[-2], chunk_rows=5)          # exactly one hot customer
+    writes = {"bounded": 0, "hot": 0}
+    materialize, bucketed = cp.materialize, pl.bucketed
+    monkeypatch.setattr(cp, "materialize", lambda *a, **k: (writes.update(bounded=writes["bounded"] + 1), materialize(*a, **k))[1])
+    monkeypatch.setattr(pl, "bucketed", lambda *a, **k: (writes.update(hot=writes["hot"] + 1), bucketed(*a, **k))[1])
+    got = cp.clean(src, spec=PanelSpec(("Customer_ID",), ("Month", "ID"), id="ID", skew=policy)).collect()
+    assert writes == {"bounded": 1, "hot": 1}
+    monkeypatch.undo()
+    assert norm(got) == norm(cp.clean(src).collect())
+
+
+def two_samples(spark):
+    """Two samples of the same customers with different values, gaps and rows."""
+    from panelwright.sources import derived as dv
+    a = dv.credit_panel_raw(spark, "/root/testdata/sf0.001")
+    odd = F.pmod(F.xxhash64("ID"), F.lit(3)) == 0
+    b = a.withColumns({
+        "Total_EMI_per_month": F.col("Total_EMI_per_month") * 40, "Age": F.when(odd, None).otherwise(F.concat(F.col("Age"), F.lit("1"))),
+        "Num_Credit_Inquiries": F.col("Num_Credit_Inquiries") * 9, "Monthly_Balance": F.when(odd, None).otherwise(F.lit("7.5")),
+        "Occupation": F.when(odd, F.col("Occupation")).otherwise(F.lit("Miner"))}).where(F.pmod(F.xxhash64("ID"), F.lit(7)) > 0)
+    return a, b
+
+
+@pytest.mark.parametrize("hot_rows", [2_000_000, 6])
+def test_samples_are_cleaned_as_if_alone(spark, hot_rows):
+    from panelwright.spec import PanelSpec, SkewPolicy
+    a, b = two_samples(spark)
+    policy = SkewPolicy(hot_rows=hot_rows, chunk_rows=4)
+    both = a.withColumn("sample", F.lit("a")).unionByName(b.withColumn("sample", F.lit("b")))
+    spec = PanelSpec(("Customer_ID", "sample"), ("Month", "ID"), id="ID", skew=policy)
+    got = cp.clean(both, cp.CreditOptions(keep=("sample",), sample="sample", loan_width=9), spec)
+    for name, alone in (("a", a), ("b", b)):
+        want = cp.clean(alone, cp.CreditOptions(loan_width=9))
+        mine = got.where(F.col("sample") == name).drop("sample")
+        assert mine.columns == want.columns and norm(mine.collect()) == norm(want.collect())
+
+
+def test_point_repair_nulls_the_named_cells_before_the_fills(spark, raw):
+    repairs = spark.createDataFrame([("0xB03", "Num_Credit_Card"), ("0xA02", "Age"), ("0xB05", "Occupation")], "ID string, column string")
+    wrong = raw.withColumn("Num_Credit_Card", F.when(F.col("ID") == "0xB03", 5).otherwise(F.col("Num_Credit_Card")))
+    out = {r["ID"]: r for r in cp.clean(wrong, cp.CreditOptions(point_repairs=repairs)).collect()}
+    assert out["0xB03"]["Num_Credit_Card"] == 4 and out["0xB05"]["Occupation"] == "Teacher"
