@@ -20,6 +20,7 @@ from ..session import tune
 from ..sources import derived as dv
 from ..sources.tables import read_table
 from ..spec import PanelSpec
+from . import credit_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -979,11 +980,16 @@ def q_csv_roundtrip(spark, d):
 # ---------------------------------------------------------------------------
 # the credit-panel recipe and the classifier on its output
 
-@query("q_credit_panel")
+def rounded(df: DataFrame) -> DataFrame:
+    """Every double to 6 decimals, as the statements give them."""
+    return df.select(*[round6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query("q_credit_panel", credit_sql.credit_panel_sql({"all": ({}, "true")}))
 def q_credit_panel(spark, d):
     """The whole cleaning recipe on the derived 28-column panel."""
     from . import credit_panel
-    return credit_panel.clean(dv.credit_panel_raw(spark, d))
+    return rounded(credit_panel.clean(dv.credit_panel_raw(spark, d)))
 
 
 CUSTOMER_ID_SQL = "'CUS_0x' || lower(printf('%x', o_custkey))"
@@ -1025,18 +1031,25 @@ def q_score_file(spark, d):
     return done.select("ID", F.col("Credit_Score").isin(*ml.CLASSES).alias("known"))
 
 
-@query("q_credit_samples", """
-SELECT sample, count(*) AS rows, count(DISTINCT o_custkey) AS customers
-FROM orders, (VALUES ('a'), ('b')) t(sample) GROUP BY sample""")
+@query("q_credit_samples", credit_sql.credit_panel_sql({"a": ({}, "true"), "b": credit_sql.SECOND}, with_sample=True))
 def q_credit_samples(spark, d):
-    """P5: two samples of one layout through the recipe, the sample part of
-    the panel key (no fill crosses samples) and kept in the result."""
+    """P5: two samples of one layout with different values, gaps and rows
+    through the recipe at once, each as if it were cleaned alone: the sample
+    is part of the panel key, and fences, largest MADs and means are its own."""
     from . import credit_panel
-    raw = dv.credit_panel_raw(spark, d)
-    both = raw.withColumn("sample", F.lit("a")).unionByName(raw.withColumn("sample", F.lit("b")))
+    a = dv.credit_panel_raw(spark, d)
+    k = F.conv(F.substring("ID", 3, 20), 16, 10).cast("long")
+    b = a.withColumns({
+        "Total_EMI_per_month": F.col("Total_EMI_per_month") * 40,
+        "Num_Credit_Inquiries": F.col("Num_Credit_Inquiries") * 9,
+        "Monthly_Balance": F.when(k % 3 == 0, None).otherwise(F.lit("7.5")),
+        "Occupation": F.when(k % 3 == 0, F.col("Occupation")).otherwise(F.lit("Miner")),
+        "Num_Credit_Card": F.col("Num_Credit_Card") + F.when(k % 2 == 0, 3).otherwise(0),
+    }).where(k % 7 > 0)
+    both = a.withColumn("sample", F.lit("a")).unionByName(b.withColumn("sample", F.lit("b")))
     spec = PanelSpec(("Customer_ID", "sample"), ("Month", "ID"), id="ID")
-    out = credit_panel.clean(both, credit_panel.CreditOptions(keep=("sample",)), spec)
-    return out.groupBy("sample").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("Customer_ID").alias("customers"))
+    return rounded(credit_panel.clean(both, credit_panel.CreditOptions(keep=("sample",), sample="sample"), spec).select(
+        "sample", "ID", *credit_panel.CLEAN_COLUMNS, *[f"Last_Loan_{i}" for i in range(credit_sql.LOANS, 0, -1)], "Credit_Score"))
 
 
 # ---------------------------------------------------------------------------
