@@ -8,8 +8,6 @@ only (no leakage), and feature/target encoders are separate stages.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler,
@@ -51,29 +49,6 @@ def onehot_stages(cols: list[str]) -> list:
     return stages
 
 
-def onehot_columns(df: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
-    """L1 as indicator columns ``<prefix>_<label>`` (alphabetical labels)."""
-    prefix = prefix or col
-    model = Pipeline(stages=onehot_stages([col])).fit(df)
-    labels = model.stages[0].labels
-    out = model.transform(df).withColumn("_arr", vector_to_array(F.col(f"{col}_oh")))
-    return out.withColumns({f"{prefix}_{re.sub(r'\W', '_', lbl)}": F.col("_arr")[i] for i, lbl in enumerate(labels)}) \
-        .drop("_arr", f"{col}_idx", f"{col}_oh")
-
-
-def feature_names(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    """``(position, name)`` of an assembled vector (numeric columns, then
-    one-hot slots), read from the ML attribute metadata of the fitted
-    assembler; bounded by the number of features."""
-    stages = onehot_stages(categorical) + [
-        VectorAssembler(inputCols=numeric + [f"{c}_oh" for c in categorical], outputCol="features",
-                        handleInvalid="keep")]
-    out = Pipeline(stages=stages).fit(df).transform(df.limit(0))
-    attrs = out.schema["features"].metadata["ml_attr"]["attrs"]
-    pairs = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
-    return df.sparkSession.createDataFrame(pairs, "position int, name string")
-
-
 def standardize(df: DataFrame, cols: list[str], suffix: str = "_std") -> DataFrame:
     """L2 with sklearn's population standard deviation (ddof=0); the moments
     are one row joined as a broadcast side."""

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh, stored
+
 
 def seeded_hash(cols: list[str], seed: int) -> Column:
     """The first 15 hex digits of md5('seed|key|...') as a number: any engine
@@ -45,11 +47,44 @@ def shuffle(df: DataFrame, key: list[str], seed: int = 42, out: str = "position"
     return placed.repartitionByRange(slices, out).sortWithinPartitions(out)
 
 
+HASH_BITS = 60          # of :func:`seeded_hash`
+RANGE_BITS = 12
+FINISHED_KEYS = 100_000
+
+
+def bottom_k(keys: DataFrame, k: int, seed: int, finish: int = FINISHED_KEYS) -> DataFrame:
+    """The k keys (distinct rows of all columns) with the smallest seeded hash.
+
+    Counts over equal ranges of the hash find the range the cut falls into
+    and narrow it until it holds at most ``finish`` keys; keys below it are
+    taken by a filter, and only those inside it are ordered."""
+    names = keys.columns
+    (h,) = fresh(keys, "_h")
+    keys = stored(keys.withColumn(h, seeded_hash(names, seed)), "sample-keys")
+    low, bits, left = 0, HASH_BITS, k
+    while True:
+        shift = max(0, bits - RANGE_BITS)
+        inside = keys.where((F.col(h) >= low) & (F.col(h) < low + (1 << bits)))
+        # at most 2 ** RANGE_BITS rows
+        counts = sorted((r[0], r[1]) for r in inside.groupBy(F.shiftright(h, shift)).agg(F.count(F.lit(1))).collect())
+        if left <= 0 or sum(n for _, n in counts) <= left:
+            return keys.where(F.col(h) < (low if left <= 0 else low + (1 << bits))).drop(h)
+        for at, n in counts:
+            if n >= left:
+                break
+            left -= n
+        low, bits = at << shift, shift
+        if n <= finish or not shift:
+            break
+    cut = (F.col(h) >= low) & (F.col(h) < low + (1 << bits))
+    last = keys.where(cut).orderBy(h, *names).limit(left)
+    return keys.where(F.col(h) < low).unionByName(last).drop(h)
+
+
 def sample_groups(df: DataFrame, group: list[str], k: int, seed: int = 41, broadcast_keys: int = 200_000) -> DataFrame:
     """All rows of k groups picked by a seeded hash (semi join; the
     k keys are broadcast up to ``broadcast_keys`` of them)."""
-    keys = (df.select(*group).distinct().withColumn("_h", seeded_hash(group, seed))
-            .orderBy("_h", *group).limit(k).drop("_h"))
+    keys = bottom_k(df.select(*group).distinct(), k, seed)
     return df.join(F.broadcast(keys) if k <= broadcast_keys else keys, group, "left_semi")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.numeric import argmax, round6
-from ..operators import dedup, impute, lists, metrics, ml, outlier, quality, sampling, stats, summaries
+from ..operators import dedup, dictionary, impute, lists, metrics, ml, outlier, quality, sampling, stats, summaries
 from ..operators.groupstats import group_modes
 from ..session import tune
 from ..sources import derived as dv
@@ -832,7 +832,7 @@ def q_class_distribution(spark, d):
     for p in dv.PRIORITIES) + " FROM orders")
 def q_onehot(spark, d):
     o = read_table(spark, d, "orders", ["o_orderkey", "o_orderpriority"])
-    return ml.onehot_columns(o, "o_orderpriority", "prio").drop("o_orderpriority")
+    return dictionary.onehot_columns(o, "o_orderpriority", "prio").drop("o_orderpriority")
 
 
 @query("q_standardise", """
@@ -846,7 +846,7 @@ def q_standardise(spark, d):
 SELECT event_id, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS event_type_idx FROM events""")
 def q_label_index(spark, d):
     ev = dv.events(spark, d, ["event_id", "event_type"])
-    out = ml.indexer("event_type").fit(ev).transform(ev)
+    out = dictionary.label_index(ev, "event_type", "event_type_idx")
     return out.select("event_id", F.col("event_type_idx").cast("int").alias("event_type_idx"))
 
 
@@ -1101,9 +1101,9 @@ UNION ALL SELECT CAST(row_number() OVER (ORDER BY v) AS INTEGER), 'o_orderstatus
 UNION ALL SELECT CAST((SELECT count(*) FROM s) + row_number() OVER (ORDER BY v) AS INTEGER),
                  'o_orderpriority_oh_' || v FROM p""")
 def q_feature_names(spark, d):
-    """Names of the assembled feature vector, from ML metadata."""
+    """Names of the assembled feature vector, from the dictionaries."""
     o = read_table(spark, d, "orders", ["o_totalprice", "o_orderstatus", "o_orderpriority"])
-    return ml.feature_names(o, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"])
+    return dictionary.feature_names(o, ["o_totalprice"], ["o_orderstatus", "o_orderpriority"])
 
 
 # ---------------------------------------------------------------------------
