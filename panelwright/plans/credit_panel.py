@@ -29,9 +29,9 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 from ..operators import impute, lists, outlier
 from ..operators.groupstats import group_percentiles
-from ..session import materialize, stored
+from ..session import materialize
 from ..spec import HotKeys, PanelSpec
-from .panel_levels import Scalars, SplitLevels, WindowLevels
+from .panel_levels import Scalars, placed, union
 
 # Input columns and the type each is scanned as (dirty ones as text).
 CREDIT_SCHEMA = T.StructType([
@@ -333,27 +333,9 @@ def _wave1_columns(opts: CreditOptions) -> tuple[dict, dict]:
     return mads, fences
 
 
-def _placed(df: DataFrame, spec: PanelSpec, opts: CreditOptions, any_hot: bool) -> list:
-    """The typed panel, written once: (levels, rows) for bounded and hot customers."""
-    if not any_hot:
-        return [(WindowLevels(spec), materialize(df, [*spec.group, spec.iso]) if opts.checkpoint else df)]
-    hot = spec.hot_keys(df)
-    hot = HotKeys(stored(hot.table, "hot-customers"), hot.count, hot.spec, hot.null_hot)
-    bounded, rest = hot.split(df)
-    split = SplitLevels(spec, hot)
-    return [(WindowLevels(spec), materialize(bounded, [*spec.group, spec.iso])), (split, split.place(rest))]
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def _fences(frames: list[DataFrame], cols: list[str], by: list[str], spec: PanelSpec) -> DataFrame:
     """Upper IQR fence of whole columns, (per sample) in one row."""
-    tall = _union([f.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]) for f in frames]).unpivot(by, cols, "_column", "_value")
+    tall = union([f.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]) for f in frames]).unpivot(by, cols, "_column", "_value")
     q = group_percentiles(tall, PanelSpec((*by, "_column"), skew=spec.skew), "_value", [0.25, 0.75], ["_q1", "_q3"])
     upper = F.col("_q3") + 1.5 * (F.col("_q3") - F.col("_q1"))
     return q.groupBy(*by).agg(*[F.max(F.when(F.col("_column") == c, upper)).alias(f"upper:{c}") for c in cols])
@@ -371,7 +353,7 @@ def _clean_levels(df: DataFrame, spec: PanelSpec, opts: CreditOptions, k: int, n
     dev = list(mads)
     medians = dev + ["Interest_Rate", "Amount_invested_monthly", "Monthly_Balance"]
     bound = spec.skew.broadcast_keys
-    parts = _placed(df, spec, opts, any_hot)
+    parts = placed(df, spec, any_hot, opts.checkpoint)
 
     # wave 1: scalars from the typed panel
     sc = Scalars(opts.sample, opts.scalars)
@@ -379,7 +361,7 @@ def _clean_levels(df: DataFrame, spec: PanelSpec, opts: CreditOptions, k: int, n
     if not sc.values and not by and not any_hot:
         sc.values.update(_scalars_wave(parts[0][1], spec, mads, fences, HotKeys.none(spec), n_rows))
     elif by or not sc.values:
-        per = _union([lv.max_mads(d, dev, by) for lv, d, _ in levelled])
+        per = union([lv.max_mads(d, dev, by) for lv, d, _ in levelled])
         sc.add(per.groupBy(*by).agg(*[F.max(f"`maxmad:{n}`").alias(f"maxmad:{n}") for n in dev]))
         sc.add(_fences([d for _, d, _ in levelled], list(fences), by, spec))
 
@@ -434,9 +416,9 @@ def _clean_levels(df: DataFrame, spec: PanelSpec, opts: CreditOptions, k: int, n
     # wave 3: remaining NULLs of EMI take the column mean
     if opts.emi_rules and f"mean:{emi}" not in sc.values:
         if by:
-            sc.add(_union([d.select(*by, emi) for *_, d in done]).groupBy(*by).agg(F.avg(emi).alias(f"mean:{emi}")))
+            sc.add(union([d.select(*by, emi) for *_, d in done]).groupBy(*by).agg(F.avg(emi).alias(f"mean:{emi}")))
         else:
-            sc.values[f"mean:{emi}"] = _union([d.select(emi) for *_, d in done]).agg(F.avg(emi)).first()[0]
+            sc.values[f"mean:{emi}"] = union([d.select(emi) for *_, d in done]).agg(F.avg(emi)).first()[0]
 
     nd, cc, pm, cha = "Num_of_Delayed_Payment", "Changed_Credit_Limit", "Payment_of_Min_Amount", "Credit_History_Age"
     loan_cols = [f"Last_Loan_{i}" for i in range(k, 0, -1)]
@@ -446,7 +428,7 @@ def _clean_levels(df: DataFrame, spec: PanelSpec, opts: CreditOptions, k: int, n
         if opts.emi_rules:
             d = sc.attach(d, bound)
             d = sc.detach(d.withColumn(emi, F.coalesce(c(emi), sc.col(f"mean:{emi}"))))
-        d = lv.modes(d, [nd, cc, pb, pm], nd, src)
+        d = lv.modes(d, [nd, cc, pb, pm], {nd}, src)
         d = lv.anchor(d, cha, src)
         d = d.withColumns({
             nd: F.coalesce(x(nd), F.when(c(f"_n_{nd}") == 1, c(f"_min_{nd}").cast("double"))
@@ -461,7 +443,7 @@ def _clean_levels(df: DataFrame, spec: PanelSpec, opts: CreditOptions, k: int, n
         d = d.withColumns({n: c(n).cast("int") for n in ints})
         return d.select(*head, *opts.keep, *CLEAN_COLUMNS, *loan_cols, "Credit_Score")
 
-    return _union([finished(*p) for p in done])
+    return union([finished(*p) for p in done])
 
 
 def _emi_upper(df: DataFrame, spec: PanelSpec, opts: CreditOptions, n_rows: int):

@@ -47,6 +47,13 @@ TYPED = {
 }
 
 
+TYPED_CTE = f"""base AS (SELECT *, o_orderkey AS k, c_custkey AS ck, abs(c_acctbal) AS bal, {r2('abs(c_acctbal) * 12 + 20000')} AS income,
+  {LIST_SQL} AS loans FROM orders JOIN customer ON o_custkey = c_custkey),
+typed AS (SELECT 'CUS_0x' || lower(printf('%x', ck)) AS g, month(o_orderdate) AS m, k, '0x' || lower(printf('%x', k)) AS ID, loans,
+  CASE WHEN c_acctbal + o_totalprice % 3000 < 3000 THEN 'Poor' WHEN c_acctbal + o_totalprice % 3000 < 7500 THEN 'Standard'
+       ELSE 'Good' END AS Credit_Score, {', '.join(f'{e} AS {c}' for c, e in TYPED.items())} FROM base)"""
+
+
 def _fill(col: str, part: str = "s, g") -> str:
     w = f"PARTITION BY {part} ORDER BY m, ID ROWS BETWEEN"
     return (f"coalesce(last_value({col} IGNORE NULLS) OVER ({w} UNBOUNDED PRECEDING AND CURRENT ROW), "
@@ -102,11 +109,7 @@ def credit_panel_sql(samples: dict[str, tuple[dict[str, str], str]], with_sample
     items = [f"""CASE WHEN loans IS NULL OR len(string_split(loans, ', ')) < {i} THEN 'No Loan'
   ELSE ltrim(string_split(loans, ', ')[-{i}], 'and ') END AS Last_Loan_{i}""" for i in range(LOANS, 0, -1)]
     return f"""
-WITH base AS (SELECT *, o_orderkey AS k, c_custkey AS ck, abs(c_acctbal) AS bal, {r2('abs(c_acctbal) * 12 + 20000')} AS income,
-  {LIST_SQL} AS loans FROM orders JOIN customer ON o_custkey = c_custkey),
-typed AS (SELECT 'CUS_0x' || lower(printf('%x', ck)) AS g, month(o_orderdate) AS m, k, '0x' || lower(printf('%x', k)) AS ID, loans,
-  CASE WHEN c_acctbal + o_totalprice % 3000 < 3000 THEN 'Poor' WHEN c_acctbal + o_totalprice % 3000 < 7500 THEN 'Standard'
-       ELSE 'Good' END AS Credit_Score, {', '.join(f'{e} AS {c}' for c, e in TYPED.items())} FROM base),
+WITH {TYPED_CTE},
 panel AS ({typed}),
 med AS (SELECT *, {', '.join(f'median({c}) OVER (PARTITION BY s, g) AS med_{c}' for c in dev)} FROM panel),
 mad AS (SELECT *, {', '.join(f'median(abs({c} - med_{c})) OVER (PARTITION BY s, g) AS mad_{c}, '
@@ -143,3 +146,19 @@ SECOND = ({
     "Occupation": "CASE WHEN k % 3 = 0 THEN t.Occupation ELSE 'Miner' END",
     "Num_Credit_Card": "t.Num_Credit_Card + CASE WHEN k % 2 = 0 THEN 3 ELSE 0 END",
 }, "k % 7 > 0")
+
+
+# The modelling variant: caps, fills, the median rate and the derived ratio.
+MODELLING_SQL = f"""
+WITH {TYPED_CTE},
+capped AS (SELECT * REPLACE (CASE WHEN Annual_Income > 180000 THEN NULL ELSE Annual_Income END AS Annual_Income,
+  CASE WHEN Num_Credit_Card > 11 THEN NULL ELSE Num_Credit_Card END AS Num_Credit_Card,
+  CASE WHEN Interest_Rate > 34 THEN NULL ELSE Interest_Rate END AS Interest_Rate) FROM typed),
+filled AS (SELECT * REPLACE ({', '.join(f"{_fill(c, 'g')} AS {c}" for c in (
+    'Age', 'Occupation', 'Annual_Income', 'Monthly_Inhand_Salary', 'Num_Credit_Card', 'Credit_Mix'))},
+  median(Interest_Rate) OVER (PARTITION BY g) AS Interest_Rate) FROM capped)
+SELECT ID, g AS Customer_ID, CAST(Age AS INTEGER) AS Age, Occupation, round(Annual_Income, 6) AS Annual_Income,
+  round(Monthly_Inhand_Salary, 6) AS Monthly_Inhand_Salary, CAST(Num_Credit_Card AS INTEGER) AS Num_Credit_Card,
+  round(Interest_Rate, 6) AS Interest_Rate, Credit_Mix, round(Credit_Utilization_Ratio, 6) AS Credit_Utilization_Ratio,
+  round(Total_EMI_per_month / (Monthly_Inhand_Salary + 1), 6) AS EMI_Salary_Ratio, Credit_Score
+FROM filled"""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groupstats import group_percentiles, mode_summary
 from ..operators.ordered import _with_chunks
-from ..session import bucketed, stored
+from ..session import bucketed, materialize, stored
 from ..spec import HotKeys, PanelSpec
 
 UNB_P = Window.unboundedPreceding
@@ -48,7 +48,7 @@ class WindowLevels:
             ad = F.abs(_x(n) - F.col(f"_med_{n}"))
             level[f"_mad_{n}"] = F.percentile(ad, 0.5).over(self.group)
             level[f"_eq_{n}"] = F.sum(F.when(ad == 0, 1).otherwise(0)).over(self.group) == F.count(_x(n)).over(self.group)
-        return df.withColumns(level)
+        return df.withColumns(level) if level else df
 
     def max_mads(self, df: DataFrame, dev: list[str], by: list[str]) -> DataFrame:
         st = self.deviations(df, dev, dev).where(~self.spec.null_key())
@@ -70,7 +70,7 @@ class WindowLevels:
         level["_pos"] = F.row_number().over(self.group.orderBy(*self.spec.order_cols()))
         return df.withColumns(level)
 
-    def modes(self, df: DataFrame, cols: list[str], median: str, source: DataFrame) -> DataFrame:
+    def modes(self, df: DataFrame, cols: list[str], median: set[str], source: DataFrame) -> DataFrame:
         for n in cols:
             df = df.withColumn(f"_mc_{n}", F.when(F.col(n).isNotNull(), F.count(n).over(self.group.orderBy(n).rangeBetween(0, 0))).otherwise(0))
         df = df.withColumns({f"_mx_{n}": F.max(f"_mc_{n}").over(self.group) for n in cols})
@@ -82,13 +82,13 @@ class WindowLevels:
             level[f"_min_{n}"] = F.min(mv).over(self.group)
             if dict(df.dtypes)[n] != "string":
                 level[f"_mean_{n}"] = F.avg(mv.cast("double")).over(self.group)
-            if n == median:
+            if n in median:
                 # each mode comes equally often, so the median of the rows is that of the modes
                 level[f"_median_{n}"] = F.percentile(mv.cast("double"), 0.5).over(self.group)
         return df.withColumns(level)
 
-    def anchor(self, df: DataFrame, col: str, source: DataFrame) -> DataFrame:
-        return df.withColumn("_anc", F.min(F.when(F.col(col).isNotNull(), F.struct(F.col(col).alias("v"), F.col("_pos").alias("p")))).over(self.group))
+    def anchor(self, df: DataFrame, col: str, source: DataFrame, out: str = "_anc") -> DataFrame:
+        return df.withColumn(out, F.min(F.when(F.col(col).isNotNull(), F.struct(F.col(col).alias("v"), F.col("_pos").alias("p")))).over(self.group))
 
 
 class SplitLevels:
@@ -171,23 +171,41 @@ class SplitLevels:
         level["_pos"] = F.row_number().over(Window.partitionBy(*part).orderBy(*self.spec.order_cols())) + F.col("_offset")
         return out.withColumns(level).drop("_offset", *[f"{p}{f}" for f in cols for p in ("_ci_", "_cb_")])
 
-    def modes(self, df: DataFrame, cols: list[str], median: str, source: DataFrame) -> DataFrame:
+    def modes(self, df: DataFrame, cols: list[str], median: set[str], source: DataFrame) -> DataFrame:
         for n in cols:
-            s = mode_summary(source, PanelSpec(tuple(self.keys), skew=self.spec.skew), n, median=n == median)
+            s = mode_summary(source, PanelSpec(tuple(self.keys), skew=self.spec.skew), n, median=n in median)
             kept = {"_n_modes": f"_n_{n}", "_mode_min": f"_min_{n}", "_mode_mean": f"_mean_{n}", "_mode_median": f"_median_{n}"}
             text = dict(source.dtypes)[n] == "string"
             s = s.select(*self.keys, *[F.col(a).alias(b) for a, b in kept.items() if a in s.columns and not (text and a == "_mode_mean")])
             df = self._join(df, s, self.keys)
         return df
 
-    def anchor(self, df: DataFrame, col: str, source: DataFrame) -> DataFrame:
+    def anchor(self, df: DataFrame, col: str, source: DataFrame, out: str = "_anc") -> DataFrame:
         at = F.row_number().over(Window.partitionBy(*self.chunk).orderBy(*self.spec.order_cols()))
         rows = self._join(source.select(*self.chunk, col, at.alias("_at")), self.offsets, self.chunk)
         first = rows.where(F.col(col).isNotNull()).groupBy(*self.keys).agg(
-            F.min(F.struct(F.col(col).alias("v"), (F.col("_at") + F.col("_offset")).alias("p"))).alias("_anc"))
+            F.min(F.struct(F.col(col).alias("v"), (F.col("_at") + F.col("_offset")).alias("p"))).alias(out))
         return self._join(df, first, self.keys)
 
 
+def placed(df: DataFrame, spec: PanelSpec, any_hot: bool, checkpoint: bool = True) -> list:
+    """A panel written once: (levels, rows) of its bounded and its hot groups."""
+    if not any_hot:
+        return [(WindowLevels(spec), materialize(df, [*spec.group, *([spec.iso] if spec.iso else [])]) if checkpoint else df)]
+    hot = spec.hot_keys(df)
+    hot = HotKeys(stored(hot.table, "hot-groups"), hot.count, hot.spec, hot.null_hot)
+    bounded, rest = hot.split(df)
+    split = SplitLevels(spec, hot)
+    return [(WindowLevels(spec), materialize(bounded, [*spec.group, *([spec.iso] if spec.iso else [])])), (split, split.place(rest))]
+
+
+def union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 class Scalars:
     """Scalars of whole columns: literals, or with ``by`` (the sample a row
     came from) columns of a small table with one row per sample."""

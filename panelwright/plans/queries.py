@@ -992,6 +992,13 @@ def q_credit_panel(spark, d):
     return rounded(credit_panel.clean(dv.credit_panel_raw(spark, d)))
 
 
+@query("q_model_panel", credit_sql.MODELLING_SQL)
+def q_model_panel(spark, d):
+    """The modelling variant of the recipe, from its list of steps."""
+    from . import credit_panel, recipe
+    return rounded(recipe.modelling_panel(dv.credit_panel_raw(spark, d), credit_panel.SPEC))
+
+
 CUSTOMER_ID_SQL = "'CUS_0x' || lower(printf('%x', o_custkey))"
 
 

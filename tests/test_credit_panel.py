@@ -187,8 +187,8 @@ def test_hot_and_bounded_customers_share_one_recipe_and_one_write(spark, monkeyp
     sizes = sorted(r["count"] for r in src.where("Customer_ID is not null").groupBy("Customer_ID").count().collect())
     policy = SkewPolicy(hot_rows=sizes[-2], chunk_rows=5)          # exactly one hot customer
     writes = {"bounded": 0, "hot": 0}
-    materialize, bucketed = cp.materialize, pl.bucketed
-    monkeypatch.setattr(cp, "materialize", lambda *a, **k: (writes.update(bounded=writes["bounded"] + 1), materialize(*a, **k))[1])
+    materialize, bucketed = pl.materialize, pl.bucketed
+    monkeypatch.setattr(pl, "materialize", lambda *a, **k: (writes.update(bounded=writes["bounded"] + 1), materialize(*a, **k))[1])
     monkeypatch.setattr(pl, "bucketed", lambda *a, **k: (writes.update(hot=writes["hot"] + 1), bucketed(*a, **k))[1])
     got = cp.clean(src, spec=PanelSpec(("Customer_ID",), ("Month", "ID"), id="ID", skew=policy)).collect()
     assert writes == {"bounded": 1, "hot": 1}
