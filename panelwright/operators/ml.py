@@ -118,6 +118,8 @@ def evaluate(scored: DataFrame) -> dict:
         out["weightedRecall"] += rec * true / n
         out["f1"] += (2 * prec * rec / (prec + rec) if prec + rec else 0.0) * true / n
     out["n"] = n
+    # what always answering the largest class would reach
+    out["majority"] = max((sum(r["n"] for r in rows if r["y"] == c) for c in {r["y"] for r in rows}), default=0) / max(1, n)
     out["logLoss"] = sum(r["loss"] for r in rows) / n if n else float("nan")
     out["rmse"] = (sum(r["n"] * (r["y"] - r["h"]) ** 2 for r in rows) / n) ** 0.5 if n else float("nan")
     return out

@@ -61,22 +61,29 @@ def score(model: PipelineModel, df: DataFrame, id_col: str = "ID") -> DataFrame:
     return ml.decode(model, model.transform(df))
 
 
-def train_and_score(cleaned: DataFrame, max_iter: int = 50, seed: int = 42, by: str = "Customer_ID",
-                    on_incomplete: str = "raise") -> DataFrame:
-    """Split by ``by`` (80/20, seeded hash), fit, and return the test metrics
-    as one row."""
+def split_and_score(cleaned: DataFrame, max_iter: int = 50, seed: int = 42, by: str = "Customer_ID",
+                    on_incomplete: str = "raise", id_col: str = "ID") -> DataFrame:
+    """Split by ``by`` (80/20, seeded hash), fit on one side and return the
+    scored rows of the other, the row id among them."""
     # the cleaning plan runs once, and only the model's columns are kept
-    need = list(dict.fromkeys([by, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET]))
+    need = list(dict.fromkeys([id_col, by, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET]))
     s = sampling.split(materialize(cleaned.select(*need), persist=False), [by], 80, seed)
-    train, test = s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-    model = fit(train, max_iter, seed, on_incomplete)
-    scored = score(model, test).select("label", "prediction", "probability")
+    model = fit(s.where(F.col("split") == "train"), max_iter, seed, on_incomplete)
+    return score(model, s.where(F.col("split") == "test"), id_col)
+
+
+METRICS = ("accuracy", "weightedPrecision", "weightedRecall", "f1", "logLoss", "rmse", "majority")
+
+
+def train_and_score(cleaned: DataFrame, max_iter: int = 50, seed: int = 42, by: str = "Customer_ID",
+                    on_incomplete: str = "raise") -> DataFrame:
+    """The test metrics of :func:`split_and_score` as one row, with the share
+    of the largest class."""
+    scored = split_and_score(cleaned, max_iter, seed, by, on_incomplete).select("label", "prediction", "probability")
     m = ml.evaluate(scored)
-    spark = cleaned.sparkSession
-    return spark.createDataFrame(
-        [(m["n"], *[float(m[k]) for k in ("accuracy", "weightedPrecision", "weightedRecall", "f1", "logLoss",
-                                          "rmse")])],
-        "n_test long, accuracy double, precision double, recall double, f1 double, log_loss double, rmse double")
+    return cleaned.sparkSession.createDataFrame(
+        [(m["n"], *[float(m[k]) for k in METRICS])],
+        "n_test long, accuracy double, precision double, recall double, f1 double, log_loss double, rmse double, majority double")
 
 
 def score_file(model: PipelineModel, raw: DataFrame, scalars: dict, path: str, opts=None) -> DataFrame:
