@@ -13,8 +13,8 @@ from the lengths. For each word a smallest set larger than its bound is taken,
 two infrequent grams that cover no common character (they exist from 7
 characters on, bound 1), and the lists of all words with these grams at fitting
 places and lengths are merged; the edit distance of what they hold is computed.
-A list longer than ``LIST_ROWS`` is not paired: its words and those that ask
-for it go by the hashes of what is left when one character is deleted, which
+A list longer than ``LIST_ROWS`` that a word asks for is not paired: its words
+and those that ask for it go by the hashes of what is left when one character is deleted, which
 words one edit apart share, so no list grows into its square.
 
 A word's form is its most frequent near word (ties: the smallest) if that is
@@ -164,7 +164,8 @@ def near_pairs(words: DataFrame, most: int = DICTIONARY, rare: int = LEAST_FREQU
     # character there, or one place before
     asked = rows.where("asked").select(F.col("word").alias("a"), F.col("n").alias("na"), F.explode(F.array(
         key("at", "length"), key("at", F.col("length") - 1), key(F.col("at") - 1, F.col("length") - 1))).alias("key"))
-    long = written(lists.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_rows).select("key"), "variant-long")
+    long = written(lists.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > list_rows)
+                   .join(asked.select("key").distinct(), "key", "left_semi").select("key"), "variant-long")
     merged = (asked.join(long, "key", "left_anti").join(lists, "key")
               .where((F.length("a") > F.length("b")) | (F.col("a") > F.col("b"))).select("a", "b", "na", "nb"))
     hot = (asked.join(long, "key", "left_semi").select(F.col("a").alias("word"), F.col("na").alias("n"))
