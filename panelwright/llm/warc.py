@@ -163,19 +163,33 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
+def _rows(run: pa.Table, step: int = 5000):
+    """Entries of a run, a few thousand at a time as Python rows."""
+    for lo in range(0, run.num_rows, step):
+        part = run.slice(lo, step)
+        yield from zip(*(part[c].to_pylist() for c in ("url_key", "captured", "page_id", "archive", "offset", "length", "run")))
+
+
 def _merge(batches):
-    """A range's runs, one after the other in the input, merged into order."""
-    sources = [zip(*(t[c].to_pylist() for c in ("url_key", "captured", "page_id", "archive", "offset", "length", "run")))
-               for _, t in runs(batches, "run")]
-    keyed = [((_order(e), e) for e in s) for s in sources]
+    """A range's runs, one after the other in the input, merged into order.
+    ``range`` and ``place`` number the ranges and the entries of each."""
+    at, place = TaskContext.get().partitionId(), 0
+    # the runs stay in Arrow form: only the heads of each are Python rows
+    keyed = [((_order(e), e) for e in _rows(t)) for _, t in runs(batches, "run")]
     rows = []
+
+    def out():
+        b = _entries(rows)
+        n = len(rows)
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array([at] * n, pa.int32()), pa.array(range(place, place + n), pa.int64())],
+                                          names=[*b.schema.names, "range", "place"])
     for _, e in LoserTree(keyed):
         rows.append(e)
         if len(rows) == 5000:
-            yield _entries(rows)
-            rows = []
+            yield out()
+            place, rows = place + len(rows), []
     if rows:
-        yield _entries(rows)
+        yield out()
 
 
 def _read(path: str, with_payload: bool):
@@ -211,7 +225,12 @@ def _read(path: str, with_payload: bool):
 class Archives:
     spark: SparkSession
     path: str
-    index: DataFrame     # globally ordered by (url_key, captured, page_id)
+    index: DataFrame     # (range, place) is the order by (url_key, captured, page_id)
+
+    def ordered(self) -> DataFrame:
+        """The index in its global order: ranges are dealt in order and each
+        is sorted by its places, so no key is compared again."""
+        return self.index.orderBy("range", "place")
 
     def read(self, with_payload: bool = True) -> DataFrame:
         """Every record through the index, archives read in file order."""
@@ -239,5 +258,6 @@ def write_archives(pages: DataFrame, least: int = 1000) -> Archives:
                        F.when(~is_lead, F.col("lead_url")).alias("ref_url"))
     found = written(rows.mapInArrow(_write_archives(path), INDEX), "capture-runs")
     order = ["url_key", "captured", F.col("page_id").asc_nulls_first(), "archive", "offset"]
-    merged = (found.repartitionByRange(*order).sortWithinPartitions("run", *order).mapInArrow(_merge, INDEX))
+    merged = (found.repartitionByRange(*order).sortWithinPartitions("run", *order)
+              .mapInArrow(_merge, INDEX + ", range int, place long"))
     return Archives(spark, path, written(merged, "capture-index"))
