@@ -76,10 +76,12 @@ def keep_rows(docs: DataFrame, found: DataFrame, with_key) -> DataFrame:
     if n_mixed:
         some = small_side(per.where("s > 0").select(F.col("doc_id").alias("gone")), n_mixed)
         w = Window.partitionBy("doc_id", "key").orderBy("doc_id")
+        stay = written(found.where("stay").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+                       .select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "n"), "rows-that-stay")
+        most = stay.agg(F.max("n")).first()[0] or 0
+        # a limit known in advance: every task passes on no more rows of a key
         mixed = (with_key(rows.join(some, rows["doc_id"].eqNullSafe(some["gone"]), "left_semi"))
-                 .withColumn("at", F.row_number().over(w)))
-        stay = (found.where("stay").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
-                .select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "n"))
+                 .withColumn("at", F.row_number().over(w)).where(F.col("at") <= most))
         mixed = mixed.join(stay, mixed["doc_id"].eqNullSafe(stay["d"]) & (mixed["key"] == stay["k"])).where("at <= n")
         out = out.unionByName(mixed.select("row"))
     return out.select("row.*")
