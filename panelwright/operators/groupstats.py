@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import fresh, stored
 from ..spec import PanelSpec, SkewPolicy
 
 
@@ -158,25 +158,36 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def group_modes(df: DataFrame, spec: PanelSpec, value: str) -> DataFrame:
+def group_modes(df: DataFrame, spec: PanelSpec, value: str, groups: int | None = None) -> DataFrame:
     """All modes of every group as rows ``(keys, value, _c)``.
 
     Equivalent to pandas ``Series.mode()`` (NULLs excluded); a group whose
-    values are all NULL has no rows. No group is collected into one task:
-    counts shuffle on (group, value) and the max-count side is one row per group.
+    values are all NULL has no rows. Counts are dealt by (group, value), and
+    every task passes on only the values that lead (with all ties) among its
+    own of a group: a rank limit ahead of the second exchange. A group of many
+    values meets in one task only as far as they tie there.
+
+    Where a known number of ``groups`` within the policy's broadcast bound is
+    asked for (hot groups), their largest counts are broadcast instead and no
+    group's values meet at all.
     """
     keys = list(spec.group)
     vc = value_counts(df, keys, value)
-    mx = vc.groupBy(*keys).agg(F.max("_c").alias("_mx"))
-    return (vc.join(mx, keys).where(F.col("_c") == F.col("_mx")).drop("_mx"))
+    if groups is not None and groups <= spec.skew.broadcast_keys:
+        mx, = fresh(vc, "_mx")
+        top = vc.groupBy(*keys).agg(F.max("_c").alias(mx))
+        return vc.join(F.broadcast(top), keys).where(F.col("_c") == F.col(mx)).drop(mx)
+    lead, = fresh(vc, "_lead")
+    w = Window.partitionBy(*keys).orderBy(F.col("_c").desc())
+    return vc.withColumn(lead, F.rank().over(w)).where(F.col(lead) == 1).drop(lead)
 
 
-def mode_summary(df: DataFrame, spec: PanelSpec, value: str, median: bool = False) -> DataFrame:
+def mode_summary(df: DataFrame, spec: PanelSpec, value: str, median: bool = False, groups: int | None = None) -> DataFrame:
     """Per group: ``_n_modes``, ``_mode_min``, ``_mode_mean`` (and
     ``_mode_median`` on request), computed from the mode rows without
-    collecting them."""
+    collecting them; ``groups`` as in :func:`group_modes`."""
     keys = list(spec.group)
-    modes = group_modes(df, spec, value)
+    modes = group_modes(df, spec, value, groups)
     summ = modes.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n_modes"),
         F.min(value).alias("_mode_min"),
@@ -267,8 +278,8 @@ def mode_columns_fast(rows: DataFrame, spec: PanelSpec, value: str, prefix: str
 
 
 def mode_columns_slow(rows: DataFrame, spec: PanelSpec, value: str, prefix: str = "_mode",
-                      median: bool = False) -> DataFrame:
-    s = mode_summary(rows, spec, value, median)
+                      median: bool = False, groups: int | None = None) -> DataFrame:
+    s = mode_summary(rows, spec, value, median, groups)
     ren = {"_n_modes": f"{prefix}_n", "_mode_min": f"{prefix}_min", "_mode_mean": f"{prefix}_mean",
            "_mode_freq": f"{prefix}_freq", "_mode_median": f"{prefix}_median"}
     return s.withColumnsRenamed({k: v for k, v in ren.items() if k in s.columns})
@@ -278,10 +289,11 @@ def with_mode_columns(df: DataFrame, spec: PanelSpec, value: str, prefix: str =
                       median: bool = False, hot=None) -> DataFrame:
     """Add ``{prefix}_n`` (number of modes), ``_min``, ``_mean``, ``_freq``
     (and ``_median``) of ``value`` within each group to every row."""
+    hot = hot if hot is not None else spec.hot_keys(df)
     return with_group_stats(
         df, spec,
         lambda r: mode_columns_fast(r, spec, value, prefix, median),
-        lambda r: mode_columns_slow(r, spec, value, prefix, median), hot)
+        lambda r: mode_columns_slow(r, spec, value, prefix, median, hot.count), hot)
 
 
 def with_percentile_column(df: DataFrame, spec: PanelSpec, value: str | Column, p: float, name: str,

@@ -173,7 +173,7 @@ class SplitLevels:
 
     def modes(self, df: DataFrame, cols: list[str], median: set[str], source: DataFrame) -> DataFrame:
         for n in cols:
-            s = mode_summary(source, PanelSpec(tuple(self.keys), skew=self.spec.skew), n, median=n in median)
+            s = mode_summary(source, PanelSpec(tuple(self.keys), skew=self.spec.skew), n, median=n in median, groups=self.hot.count)
             kept = {"_n_modes": f"_n_{n}", "_mode_min": f"_min_{n}", "_mode_mean": f"_mean_{n}", "_mode_median": f"_median_{n}"}
             text = dict(source.dtypes)[n] == "string"
             s = s.select(*self.keys, *[F.col(a).alias(b) for a, b in kept.items() if a in s.columns and not (text and a == "_mode_mean")])

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from panelwright.operators import impute, ordered, outlier
+from panelwright.operators.groupstats import group_modes
 from panelwright.plans.queries import orders_value
 from panelwright.sources import derived as dv
+from panelwright.spec import PanelSpec
 
 from .conftest import SF_SMALL
 
@@ -67,6 +69,23 @@ def test_median_standardisation_scans_and_shuffles_rows_once(spark, monkeypatch,
     assert not re.search(r"Exchange hashpartitioning\((o_custkey|user_id)", text)
 
 
+def test_all_modes_take_two_exchanges_and_one_scan(spark):
+    text = plan_text(entry.queries()["q_modes"](spark, SF_SMALL))
+    # the first copy of an adaptive plan is the initial one
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("Scan parquet") == 1 and "Join" not in text
+    assert text.count("WindowGroupLimit") == 2      # ahead of the second exchange, and after it
+
+
+def test_modes_of_a_group_with_many_values(spark):
+    rows = spark.range(300_000).selectExpr("1 as g", "if(id >= 299997, 7, id) as v").unionByName(
+        spark.range(1000).selectExpr("2 as g", "id % 500 as v")).unionByName(spark.range(3).selectExpr("3 as g", "cast(null as bigint) as v"))
+    spec = PanelSpec(("g",))
+    for groups in (None, 3):
+        got = group_modes(rows, spec, "v", groups).collect()
+        assert [(r.v, r["_c"]) for r in got if r.g == 1] == [(7, 4)]
+        assert sorted(r.v for r in got if r.g == 2) == list(range(500)) and {r.g for r in got} == {1, 2}
+
+
 def test_columns_of_the_same_names_survive(spark):
     df = orders_value(spark, SF_SMALL).withColumns({c: F.lit(i) for i, c in enumerate(("_med", "_mad", "_alleq", "_z", "_lag", "_first"))})
     spec = dv.ORDERS_SPEC
