@@ -133,7 +133,7 @@ def select_model(pipeline: Pipeline, train: DataFrame, grid: list[dict], key: li
     Returns (model refitted on all of ``train``, its parameters, RMSEs)."""
     b = F.pmod(seeded_hash(key, seed), F.lit(folds or 5)).alias("_fold")
     feats = Pipeline(stages=pipeline.getStages()[:-1]).fit(train)
-    ready = materialize(feats.transform(train).select("features", "label", b), persist=False)
+    ready = materialize(feats.transform(train).select("features", "label", b))
     mlp, scores = pipeline.getStages()[-1], []
     width = len(ready.select("features").first()[0]) if mlp.getLayers()[0] <= 1 else None
     for params in grid:

@@ -97,7 +97,7 @@ def _dev_slow(rows: DataFrame, spec: PanelSpec, col: str, names=DEV) -> DataFram
     name, mad_name, same = names
     x = F.col(col).cast("double")
     # hot rows only: one median per hot group
-    med = materialize(group_percentiles(rows, spec, x, [0.5], [name]), persist=False)
+    med = materialize(group_percentiles(rows, spec, x, [0.5], [name]))
     if med.count() <= spec.skew.broadcast_keys:
         med = F.broadcast(med)
     with_med = attach(rows.select(*keys, x.alias("_x")), med, keys)
@@ -122,7 +122,7 @@ def group_mad(df: DataFrame, spec: PanelSpec, col: str, hot=None) -> DataFrame:
     med = group_percentiles(df, spec, x, [0.5], ["median"], hot=hot)
     if hot.any:
         # rows of a hot group are not dealt out by it to meet one number
-        med = materialize(med, persist=False)
+        med = materialize(med)
         if med.count() <= spec.skew.broadcast_keys:
             med = F.broadcast(med)
     with_med = attach(df.where(~spec.null_key()).select(*keys, x.alias("_x")), med, keys)

@@ -171,7 +171,7 @@ def box_stats(df: DataFrame, spec: PanelSpec, col: str) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     # the fences are one row per group: broadcast within the policy's bound,
     # so the rows of a hot group are not dealt out by it
-    q = materialize(q, persist=False)
+    q = materialize(q)
     side = q.select(*keys, "q1", "q3")
     j = df.select(*keys, F.col(col).cast("double").alias("_v")).join(
         F.broadcast(side) if q.count() <= spec.skew.broadcast_keys else side, keys)

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from ..functions import text as tx
 from ..operators import impute, lists, outlier
 from ..operators.groupstats import group_percentiles
-from ..session import materialize
+from ..session import materialize, stored
 from ..spec import HotKeys, PanelSpec
 from .panel_levels import Scalars, placed, union
 
@@ -235,7 +235,7 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     if opts.checkpoint:
         # co-partition by customer once (unless a customer is hot: then the
         # operators' split plans place rows); every later window reuses it
-        df = materialize(df, None if prof["hot"] else [*spec.group, spec.iso])
+        df = stored(df, "panel") if prof["hot"] else materialize(df, [*spec.group, spec.iso])
     hot = spec.hot_keys(df) if prof["hot"] else HotKeys.none(spec)
     # wave 1: scalars from the typed panel
     mads, fences = _wave1_columns(opts)
@@ -248,7 +248,7 @@ def clean(raw: DataFrame, opts: CreditOptions | None = None, spec: PanelSpec = S
     # every operator splits its input and reads it two or three times, so a
     # checkpoint after each group step keeps every plan one operator deep.
     def cut(d: DataFrame) -> DataFrame:
-        return materialize(d) if (hot.any and opts.checkpoint) else d
+        return stored(d, "panel-step") if (hot.any and opts.checkpoint) else d
 
     # EMI first: its later waves then depend on the checkpoint and EMI alone
     if opts.emi_rules:
@@ -474,7 +474,7 @@ def _emi_rules(df: DataFrame, spec: PanelSpec, max_mad, hot, n_rows: int, opts:
         df = outlier.null_where(df, "Total_EMI_per_month", F.col("Total_EMI_per_month") > _lit(upper))
     df = impute.ffill_bfill(df, spec, ["Total_EMI_per_month"], hot=hot)
     if hot.any:
-        df = materialize(df)
+        df = stored(df, "panel-step")
     mean = _emi_mean(df, opts)
     return df.withColumn("Total_EMI_per_month", F.coalesce(F.col("Total_EMI_per_month"), _lit(mean)))
 

@@ -1046,12 +1046,12 @@ def q_score_file(spark, d):
     the written file read back."""
     import uuid
 
-    from ..session import materialize, scratch_path
+    from ..session import scratch_path, stored
     from . import credit_panel, scoring
     raw = sampling.split(dv.credit_panel_raw(spark, d), ["Customer_ID"], 80, 7, col="_side")
     scalars: dict = {}
-    cleaned = materialize(credit_panel.clean(raw.where("_side = 'train'").drop("_side"),
-                                             credit_panel.CreditOptions(scalars=scalars)), persist=False)
+    cleaned = stored(credit_panel.clean(raw.where("_side = 'train'").drop("_side"),
+                                        credit_panel.CreditOptions(scalars=scalars)), "cleaned")
     model = scoring.fit(cleaned, max_iter=10, on_incomplete="impute")
     done = scoring.score_file(model, raw.where("_side = 'test'").drop("_side"), scalars, scratch_path(spark, f"scores-{uuid.uuid4().hex}"))
     return done.select("ID", F.col("Credit_Score").isin(*ml.CLASSES).alias("known"))

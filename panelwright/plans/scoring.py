@@ -67,7 +67,7 @@ def split_and_score(cleaned: DataFrame, max_iter: int = 50, seed: int = 42, by:
     scored rows of the other, the row id among them."""
     # the cleaning plan runs once, and only the model's columns are kept
     need = list(dict.fromkeys([id_col, by, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET]))
-    s = sampling.split(materialize(cleaned.select(*need), persist=False), [by], 80, seed)
+    s = sampling.split(materialize(cleaned.select(*need)), [by], 80, seed)
     model = fit(s.where(F.col("split") == "train"), max_iter, seed, on_incomplete)
     return score(model, s.where(F.col("split") == "test"), id_col)
 

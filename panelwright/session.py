@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,21 +84,73 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_SCOPE: ContextVar["Snapshots | None"] = ContextVar("snapshots", default=None)
+
+
+class Snapshots:
+    """A scope that owns what is written below the shared folder while it
+    is open, and removes it at its end, also after an error.
+
+        with Snapshots(spark) as snaps:
+            before = snaps.keep(panel)          # a snapshot for later reuse
+            clean = credit_panel.clean(panel)   # its own tables belong to the scope too
+            clean.write.parquet(target)         # results are read inside the scope
+
+    Owned are snapshots, the operators' intermediate tables (with the catalog
+    names of bucketed ones) and checkpoints. Scopes nest; a table belongs to
+    the innermost one. Without a scope everything stays until the cluster
+    cleans the folder.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self.tables: list[str] = []
+
+    def __enter__(self) -> "Snapshots":
+        self._token = _SCOPE.set(self)
+        return self
+
+    def __exit__(self, *failure) -> None:
+        _SCOPE.reset(self._token)
+        self.close()
+
+    def keep(self, df: DataFrame, name: str = "snapshot") -> DataFrame:
+        """``df`` as it is now, written once in columns."""
+        outer = _SCOPE.set(self)
+        try:
+            return stored(df, name)
+        finally:
+            _SCOPE.reset(outer)
+
+    def close(self) -> None:
+        """Remove all that the scope owns; what is gone already is no error."""
+        while self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS `{self.tables.pop()}`")
+        sc = self.spark.sparkContext
+        conf = sc._jsc.hadoopConfiguration()
+        while self.paths:
+            path = sc._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame, partition_by: list[str] | None = None,
-                num_partitions: int | None = None, persist: bool = True) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
     Used where a DataFrame feeds several dependent global scalars, so the
     upstream plan is neither recomputed nor re-planned per scalar. Survives
-    executor loss (unlike a local checkpoint, which is never used here).
+    executor loss (unlike a local checkpoint, which is never used here). No
+    frame is persisted on the executors' disks.
 
     With ``partition_by`` the rows are hash-partitioned first and the
     checkpoint keeps that partitioning, so later windows, aggregates and
     joins on those keys need no exchange. The partitioning is only recorded
     when the plan is final at checkpoint time, so adaptive execution is
-    paused for this one step.
+    paused for this one step. A checkpoint runs its plan twice; the second run
+    starts at the exchange, whose files are there. Where the plan ahead of an
+    unpartitioned frame is costly, use :func:`stored`, which runs it once.
     """
-    from pyspark import StorageLevel
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     aqe = spark.conf.get("spark.sql.adaptive.enabled")
@@ -106,21 +159,22 @@ def materialize(df: DataFrame, partition_by: list[str] | None = None,
         df = df.repartition(n, *partition_by)
         spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        if persist:
-            # the checkpoint write re-runs the plan; caching pays when it is costly
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
         out = df.checkpoint(eager=True)
-        if persist:
-            df.unpersist()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    if scope := _SCOPE.get():
+        path = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if path.isDefined():
+            scope.paths.append(path.get())
     return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    if scope := _SCOPE.get():
+        scope.paths.append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -145,6 +199,8 @@ def bucketed(df: DataFrame, name: str, keys: list[str], order: list[str] = ()) -
     own = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
     (df.write.format("parquet").option("compression", "zstd").option("path", scratch_path(spark, own))
      .bucketBy(n, *keys).sortBy(*keys, *[c for c in order if c in df.columns and c not in keys]).saveAsTable(own))
+    if scope := _SCOPE.get():
+        scope.tables.append(own)
     return spark.table(own)
 
 
