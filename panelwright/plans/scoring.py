@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import ml, sampling
+from ..operators import minibatch, ml, sampling
 from ..operators.quality import completeness, require_columns
-from ..session import materialize
+from ..session import materialize, stored
 
 # Model inputs of the credit panel.
 NUMERIC_FEATURES = ["Age", "Annual_Income", "Monthly_Inhand_Salary", "Num_Credit_Card", "Interest_Rate",
@@ -56,6 +57,34 @@ def fit(train: DataFrame, max_iter: int = 50, seed: int = 42, on_incomplete: str
     return PipelineModel(stages=[*feat_model.stages, fitted])
 
 
+def fit_features(train: DataFrame, seed: int = 42) -> tuple[PipelineModel, int, int]:
+    """The fitted feature stages (mean imputer included), the width of their
+    vector and the number of classes."""
+    n_classes = int(train.agg(F.count_distinct(TARGET)).first()[0])
+    stages = ml.classifier_pipeline(NUMERIC_FEATURES, CATEGORICAL_FEATURES, TARGET, 1, n_classes, seed=seed, impute=True).getStages()
+    model = Pipeline(stages=stages[:-1]).fit(train)
+    width = int(model.transform(train).schema["features"].metadata["ml_attr"]["num_attrs"])
+    return model, width, n_classes
+
+
+def minibatch_score(cleaned: DataFrame, epochs: int = 80, seed: int = 42, by: str = "Customer_ID", id_col: str = "ID",
+                    rate: float = 1e-3) -> DataFrame:
+    """As :func:`split_and_score`, by the mini-batch trainer: (id, actual,
+    label, prediction, probability, predicted) of the test side. The validation
+    share is drawn by ``by`` too, so no customer is on both sides."""
+    need = list(dict.fromkeys([id_col, by, *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, TARGET]))
+    s = sampling.split(stored(cleaned.select(*need).na.drop(subset=[TARGET]), "cleaned"), [by], 80, seed)
+    train = s.where(F.col("split") == "train")
+    feats, width, n_classes = fit_features(train, seed)
+
+    def arrays(d: DataFrame) -> DataFrame:
+        return feats.transform(d).select(id_col, by, F.col(TARGET).alias("actual"), F.col("label").cast("int").alias("label"),
+                                         vector_to_array("features").alias("features"))
+    made = minibatch.fit(arrays(train), [by], ml.layers_for(width, n_classes), epochs=epochs, rate=rate, seed=seed)
+    scored = made.score(arrays(s.where(F.col("split") == "test"))).drop("features", by)
+    return scored.withColumn("predicted", ml.index_to_name(feats.stages[0].labels)(F.col("prediction")))
+
+
 def score(model: PipelineModel, df: DataFrame, id_col: str = "ID") -> DataFrame:
     """Scored rows with ``predicted_label``; the id travels along."""
     return ml.decode(model, model.transform(df))
