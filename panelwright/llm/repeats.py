@@ -23,6 +23,15 @@ the string occurs. Strings can only repeat around anchors that repeat.
    windows instead, which needs no group at all.
 4. Covered ranges meet their text again file by file; the text is not shuffled.
 
+:func:`repeat_groups` returns the maximal repeats themselves, each with all its
+occurrences: strings of ``length`` bytes or more that occur at least twice and
+whose occurrences differ (or end) both before and after them. Within a
+common-prefix interval the occurrences are sorted by what stands before them;
+a second stack scan gives the sets that share a left extension, and a set
+that lies in more than one child of the interval is a maximal repeat.
+Contexts reach ``reach`` bytes, so every maximal repeat shorter than that is
+whole; a longer one comes in parts, one an anchor, marked ``cut``.
+
 Rows: null counts as empty; texts shorter than ``length`` match nothing;
 repeated rows and null ids are texts like any other; matches within one text
 count, overlapping ones too, and never cross texts. Hashes of contexts are
@@ -113,7 +122,7 @@ def intervals(lcp: np.ndarray, least: int):
     """(depth, first, last) of every common-prefix interval of at least
     ``least``, by one scan with a stack; ``lcp[i]`` is of rows i and i+1."""
     stack: list[list[int]] = []
-    for i, d in enumerate([*lcp.tolist(), 0]):
+    for i, d in enumerate([*lcp.tolist(), -1]):
         first = i
         while stack and stack[-1][0] > d:
             depth, first = stack.pop()
@@ -122,6 +131,43 @@ def intervals(lcp: np.ndarray, least: int):
             stack.append([d, first])
 
 
+def _sorted(left: list[bytes], right: list[bytes], reach: int, k: int):
+    """(order of the right contexts, common prefixes of neighbours in it,
+    left contexts, their lengths, their ranks)."""
+    r, l = _matrix(right, reach), _matrix(left, reach - k)
+    rn, ln = np.fromiter(map(len, right), np.int64), np.fromiter(map(len, left), np.int64)
+    order = np.argsort(np.ascontiguousarray(r).view(f"S{reach + 2}").ravel(), kind="stable")
+    lrank = np.empty(len(left), np.int64)
+    lrank[np.argsort(np.ascontiguousarray(l).view(f"S{reach - k + 2}").ravel(), kind="stable")] = np.arange(len(left))
+    r, l = r[:, :reach], l[:, :reach - k]
+    a, b = order[:-1], order[1:]
+    return order, _common(r[a], r[b], np.minimum(rn[a], rn[b])), l, ln, lrank
+
+
+def maximal(left: list[bytes], right: list[bytes], length: int, reach: int, k: int = K):
+    """(bytes before the anchor, bytes from it on, occurrences) of every
+    maximal repeat of at least ``length`` bytes that holds the anchor, among
+    different contexts of at most ``reach - k`` and ``reach`` bytes. The end
+    of a context differs from anything."""
+    if len(right) < 2:
+        return
+    order, lcp, l, ln, lrank = _sorted(left, right, reach, k)
+    for depth, first, last in intervals(lcp, k):
+        rows = order[first:last + 1]
+        child = np.concatenate(([0], np.cumsum(lcp[first:last] == depth)))
+        need = max(length - depth, 0)
+        fit = np.flatnonzero(ln[rows] >= need)
+        if len(fit) < 2:
+            continue
+        fit = fit[np.argsort(lrank[rows[fit]])]
+        rows, child = rows[fit], child[fit]
+        x, y = rows[:-1], rows[1:]
+        share = _common(l[x], l[y], np.minimum(ln[x], ln[y]))
+        for before, lo, hi in intervals(share, need):
+            if (child[lo:hi + 1] != child[lo]).any():
+                yield before, depth, rows[lo:hi + 1]
+
+
 def repeats(left: list[bytes], right: list[bytes], length: int, k: int = K) -> np.ndarray:
     """For each occurrence of an anchor that lies in a repeat: the range
     [before, after) around it, relative to it, that its repeats cover together
@@ -133,14 +179,7 @@ def repeats(left: list[bytes], right: list[bytes], length: int, k: int = K) -> n
     """
     if len(right) < 2:
         return np.zeros((0, 3), np.int64)
-    r, l = _matrix(right, length), _matrix(left, length - k)
-    rn, ln = np.fromiter(map(len, right), np.int64), np.fromiter(map(len, left), np.int64)
-    order = np.argsort(np.ascontiguousarray(r).view(f"S{length + 2}").ravel(), kind="stable")
-    lrank = np.empty(len(left), np.int64)
-    lrank[np.argsort(np.ascontiguousarray(l).view(f"S{length - k + 2}").ravel(), kind="stable")] = np.arange(len(left))
-    r, l = r[:, :length], l[:, :length - k]
-    a, b = order[:-1], order[1:]
-    lcp = _common(r[a], r[b], np.minimum(rn[a], rn[b]))
+    order, lcp, l, ln, lrank = _sorted(left, right, length, k)
     before, after = np.zeros(len(left), np.int64), np.full(len(left), -1)
     for depth, first, last in intervals(lcp, k):
         rows = order[first:last + 1]
@@ -166,7 +205,7 @@ def repeats(left: list[bytes], right: list[bytes], length: int, k: int = K) -> n
 
 
 # -- Spark ---------------------------------------------------------------
-def _anchor_rows(length: int, k: int):
+def _anchor_rows(length: int, k: int, reach: int):
     def make(batches):
         for b in columns(batches):
             hs, cs, rs, ps = [], [], [], []
@@ -176,10 +215,10 @@ def _anchor_rows(length: int, k: int):
                 hs.append(h)
                 ps.append(at)
                 rs.append(np.full(len(at), rid, np.int64))
-                end, before = len(raw), length - k
+                end, before = len(raw), reach - k
                 # a context cut short by an end of its text differs from a whole one
-                cs.append(np.array([xxhash.xxh3_64_intdigest(raw[max(0, p - before):p + length],
-                                                            (p if p < before else before) << 16 | min(end - p, length))
+                cs.append(np.array([xxhash.xxh3_64_intdigest(raw[max(0, p - before):p + reach],
+                                                            (p if p < before else before) << 16 | min(end - p, reach))
                                     for p in at.tolist()], np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(cs).view(np.int64)),
@@ -306,16 +345,14 @@ def _cut(batches):
 CUT = "ckey binary, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:long,end:long>>"
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: int = 50_000, with_kept: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``;
-    with ``with_kept`` also ``kept`` (the remaining bytes) and ``spans``."""
-    spark = docs.sparkSession
-    bounded_batches(spark, 500)
-    text = text_of()
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    src = src.withColumn("n_bytes", F.octet_length("text")).withColumn("ckey", F.unhex(F.sha2("text", 256)))
+def _source(docs: DataFrame) -> DataFrame:
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return src.withColumn("n_bytes", F.octet_length("text")).withColumn("ckey", F.unhex(F.sha2("text", 256)))
+
 
-    # 1. one row per distinct text of enough bytes, numbered
+def _numbered(src: DataFrame, length: int):
+    """Step 1: (copied texts, their number, one numbered row per distinct text
+    of enough bytes, the files that hold them)."""
     copies = (src.where(F.col("n_bytes") >= length).groupBy("ckey")
               .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lead")).where("n > 1"))
     copies = written(copies, "copied-texts")
@@ -332,12 +369,38 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
         one = written(texts.where("copied").groupBy("ckey").agg(F.min("rid").alias("rid")), "leading-copies")
         one = small_side(one.select("rid", F.lit(True).alias("leads")), n_copies)
         texts = texts.join(one, "rid", "left").where("leads or not copied").drop("leads")
+    return copies, n_copies, texts, places
 
-    # 2. anchors; those that occur once go first, before anything wide is moved
-    marks = written(texts.select("rid", "text").mapInArrow(_anchor_rows(length, k), "anchor long, ctx long, rid long, pos int"), "anchors")
+
+def _repeated(texts: DataFrame, length: int, k: int, reach: int) -> tuple[DataFrame, DataFrame]:
+    """Step 2: (marks of the anchors that repeat, their distinct contexts).
+    Anchors that occur once go first, before anything wide is moved."""
+    marks = written(texts.select("rid", "text").mapInArrow(_anchor_rows(length, k, reach), "anchor long, ctx long, rid long, pos int"), "anchors")
     again = written(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
     marks = written(marks.join(again, "anchor", "left_semi"), "repeated-marks")
     contexts = written(marks.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "pos")).alias("one")), "contexts")
+    return marks, contexts
+
+
+def _around(reps: DataFrame, places: DataFrame, reach: int, k: int) -> DataFrame:
+    """The bytes around each mark in ``reps`` (anchor, own, rid, pos)."""
+    n_places = places.count()
+    # one row per text, with its anchors: as many as its own length allows
+    located = (reps.withColumn("part", F.shiftright("rid", 33)).repartition("part")
+               .groupBy("part", "rid").agg(F.collect_list(F.struct("anchor", "pos", "own")).alias("marks"))
+               .join(small_side(places, n_places), "part"))
+    return (located.sortWithinPartitions("part", "rid").select("part", "file", "rid", "marks")
+            .mapInArrow(_contexts(reach, k), "anchor long, rid long, pos int, own boolean, left binary, right binary"))
+
+
+def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: int = 50_000, with_kept: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``;
+    with ``with_kept`` also ``kept`` (the remaining bytes) and ``spans``."""
+    spark = docs.sparkSession
+    bounded_batches(spark, 500)
+    src = _source(docs)
+    copies, n_copies, texts, places = _numbered(src, length)
+    marks, contexts = _repeated(texts, length, k, length)
     whole = (marks.join(contexts.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"], "left_semi")
              .select("rid", (F.col("pos") - (length - k)).cast("long").alias("lo"), (F.col("pos") + length).cast("long").alias("hi")))
 
@@ -346,12 +409,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
     reps = (contexts.join(shared.select("anchor"), "anchor", "left_semi")
             .select("anchor", (F.col("n") == 1).alias("own"), F.col("one.rid").alias("rid"), F.col("one.pos").alias("pos")))
     n_places = places.count()
-    # one row per text, with its anchors: as many as its own length allows
-    located = (reps.withColumn("part", F.shiftright("rid", 33)).repartition("part")
-               .groupBy("part", "rid").agg(F.collect_list(F.struct("anchor", "pos", "own")).alias("marks"))
-               .join(small_side(places, n_places), "part"))
-    around = (located.sortWithinPartitions("part", "rid").select("part", "file", "rid", "marks")
-              .mapInArrow(_contexts(length, k), "anchor long, rid long, pos int, own boolean, left binary, right binary"))
+    around = _around(reps, places, length, k)
     hot = shared.where(F.col("m") > unit_rows)
     n_hot = hot.count()
     if n_hot:
@@ -391,3 +449,126 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
                  F.when(gone, F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").cast("long").alias("end"))))
                  .otherwise(F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>"))).alias("spans")]
     return out.select(*cols)
+
+
+# -- the repeats themselves ----------------------------------------------
+FOUND = "rid long, pos int, own boolean, gid binary, before int, n_bytes long, cut boolean"
+
+
+def _found(rows):
+    kinds = [pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.int64(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                                      names=["rid", "pos", "own", "gid", "before", "n_bytes", "cut"])
+
+
+def _groups(length: int, k: int, reach: int):
+    """Maximal repeats of anchors that come whole, one row per context in one;
+    a context that occurs more than once (not ``own``) is a repeat itself."""
+    def make(batches):
+        def settle(held):
+            t = pa.concat_tables(held)
+            rid, pos, own, left, right = (t[c].to_pylist() for c in ("rid", "pos", "own", "left", "right"))
+            out = []
+            whole = ((len(left[i]), len(right[i]), [i]) for i in range(len(own)) if not own[i])
+            for before, after, at in (*whole, *maximal(left, right, length, reach, k)):
+                text = left[at[0]][:before][::-1] + right[at[0]][:after]
+                gid, cut = xxhash.xxh3_128_digest(text), before == reach - k or after == reach
+                for i in at:
+                    out.append((rid[i], pos[i], own[i], gid, before, len(text), cut))
+                if len(out) >= 20_000:
+                    yield _found(out)
+                    out = []
+            if out:
+                yield _found(out)
+        held, n = [], 0
+        for _, t in runs(batches, "anchor"):
+            held.append(t)
+            n += t.num_rows
+            if n >= 5000:
+                yield from settle(held)
+                held, n = [], 0
+        if held:
+            yield from settle(held)
+    return make
+
+
+def _window_groups(length: int, k: int):
+    """All ``length``-byte strings through each anchor, as parts of repeats."""
+    def make(batches):
+        for b in columns(batches):
+            out = []
+            for rid, pos, own, left, right in zip(*(b[c].to_pylist() for c in ("rid", "pos", "own", "left", "right"))):
+                near = left[:length - k]
+                raw = near[::-1] + right[:length]
+                for lo in range(0, min(len(near), len(raw) - length) + 1):
+                    out.append((rid, pos, own, xxhash.xxh3_128_digest(raw[lo:lo + length]), len(near) - lo, length, True))
+                if len(out) >= 20_000:
+                    yield _found(out)
+                    out = []
+            if out:
+                yield _found(out)
+    return make
+
+
+def repeat_groups(docs: DataFrame, length: int = 200, k: int = K, reach: int | None = None, unit_rows: int = 50_000) -> DataFrame:
+    """(group_id, n_bytes, cut, doc_id, copies, start): one row per occurrence
+    of each maximal repeat of at least ``length`` bytes.
+
+    ``group_id`` is the hash (XXH3, 128 bits, hex) of the repeated string,
+    ``start`` its byte offset in the text. Equal texts are one row: ``doc_id``
+    is their smallest id and ``copies`` their number; a text that has copies is
+    a repeat itself. Without ``cut`` a group is exact: a maximal repeat with
+    all its occurrences; every maximal repeat below ``reach`` bytes (four
+    times ``length`` by default) is such a group. With ``cut`` it reaches the
+    end of the compared contexts and may go on. An anchor with more than
+    ``unit_rows`` contexts gives its ``length``-byte strings instead, as
+    ``cut`` groups counted in a distributed aggregate, so its shorter
+    repeats come in parts too. Null and short texts have no repeats.
+    """
+    reach = reach or 4 * length
+    bounded_batches(docs.sparkSession, 500)
+    src = _source(docs)
+    _, _, texts, places = _numbered(src, length)
+    who = src.where(F.col("n_bytes") >= length).groupBy("ckey").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    names = written(texts.select("rid", "ckey", "text").join(who, "ckey")
+                    .select("rid", "doc_id", "copies", F.when(F.col("copies") > 1, F.col("text")).alias("text")), "text-names")
+    marks, contexts = _repeated(texts, length, k, reach)
+    sizes = written(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")), "anchor-sizes")
+    reps = (contexts.join(sizes.where("m > 1").select("anchor", F.lit(True).alias("shared")), "anchor", "left")
+            .where("shared or n > 1").select("anchor", (F.col("n") == 1).alias("own"), F.col("one.rid").alias("rid"), F.col("one.pos").alias("pos")))
+    around = written(_around(reps, places, reach, k), "group-contexts")
+    hot = sizes.where(F.col("m") > unit_rows).select("anchor")
+    n_hot = hot.count()
+    plain = around.join(small_side(hot, n_hot), "anchor", "left_anti") if n_hot else around
+    found = plain.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_groups(length, k, reach), FOUND)
+    if n_hot:
+        parts = written(around.join(small_side(hot, n_hot), "anchor", "left_semi").mapInArrow(_window_groups(length, k), FOUND), "hot-groups")
+        places_of = parts.groupBy("gid", "rid", (F.col("pos") - F.col("before")).alias("start")).agg(F.min("own").alias("own"))
+        often = places_of.groupBy("gid").agg(F.sum(F.when(F.col("own"), 1).otherwise(2)).alias("n")).where("n > 1").select("gid")
+        found = found.unionByName(parts.join(often, "gid", "left_semi"))
+    found = written(found, "repeat-groups")
+
+    # a context that occurs more than once stands for all its marks
+    every = (marks.join(contexts.where("n > 1").select("anchor", "ctx", "one"), ["anchor", "ctx"])
+             .select(F.col("one.rid").alias("rid"), F.col("one.pos").alias("pos"), F.col("rid").alias("to"), F.col("pos").alias("at")))
+    cols = ["gid", "n_bytes", "cut"]
+    own = found.where("own").select(*cols, "rid", (F.col("pos") - F.col("before")).cast("long").alias("start"))
+    more = (found.where("not own").join(every, ["rid", "pos"])
+            .select(*cols, F.col("to").alias("rid"), (F.col("at") - F.col("before")).cast("long").alias("start")))
+    # the same string is found once an anchor; where one of them sees it whole, it is whole
+    seen = own.unionByName(more).groupBy("gid", "n_bytes", "rid", "start").agg(F.min("cut").alias("cut"))
+    whole = (names.where("copies > 1").mapInArrow(_whole_texts(reach), "gid binary, n_bytes long, cut boolean, rid long, start long"))
+    seen = seen.unionByName(whole).groupBy("gid", "n_bytes", "rid", "start").agg(F.min("cut").alias("cut"))
+    return seen.join(names.select("rid", "doc_id", "copies"), "rid").select(
+        F.lower(F.hex("gid")).alias("group_id"), "n_bytes", "cut", "doc_id", "copies", "start")
+
+
+def _whole_texts(reach: int):
+    def make(batches):
+        for b in columns(batches):
+            raw = [t.encode("utf-8", "surrogatepass") for t in b["text"].to_pylist()]
+            n = pa.array([len(t) for t in raw], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([xxhash.xxh3_128_digest(t) for t in raw], pa.binary()), n, pa.array([len(t) >= reach for t in raw]),
+                 b["rid"], pa.array([0] * len(raw), pa.int64())], names=["gid", "n_bytes", "cut", "rid", "start"])
+    return make

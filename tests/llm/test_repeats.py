@@ -76,3 +76,71 @@ def test_anchors_depend_on_the_string_alone():
     pb, _ = repeats.anchors(a, 200)
     inner = {p for p in pb.tolist() if 77 <= p <= 77 + 350}
     assert {p + 77 for p in pa.tolist()} <= inner
+
+
+def maximal_repeats(texts, length):
+    """{string: {(text number, start)}} of every maximal repeat, by all pairs
+    of positions: two occurrences that differ, or end, on both sides."""
+    found = set()
+    for i, a in enumerate(texts):
+        x = np.frombuffer(a, np.uint8)
+        for j in range(i, len(texts)):
+            y = np.frombuffer(texts[j], np.uint8)
+            for shift in range(1 if i == j else 1 - len(x), len(y)):
+                lo = max(0, -shift)
+                n = min(len(x) - lo, len(y) - lo - shift)
+                if n < length:
+                    continue
+                same = np.concatenate(([0], x[lo:lo + n] == y[lo + shift:lo + shift + n], [0])).astype(int)
+                step = np.diff(same)
+                for s, e in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1)):
+                    if e - s >= length:
+                        found.add(a[lo + s:lo + e])
+    return {w: {(i, p) for i, t in enumerate(texts) for p in range(len(t) - len(w) + 1) if t.startswith(w, p)} for w in found}
+
+
+@pytest.mark.parametrize("seed", [1, 6])
+def test_groups_are_the_maximal_repeats_with_all_occurrences(spark, seed):
+    rows = planted(seed)[:40] + [(70, "a" * 60), (71, "ab" * 40), (72, "q" + "ab" * 20), (None, None), (74, "")]
+    rows += [(80, rows[0][1] + "tail of it, with words"), (81, rows[3][1]), (82, rows[3][1]), (None, rows[4][1])]
+    at = {}
+    for d, t in rows:
+        at.setdefault((t or "").encode(), []).append(d)
+    texts = [t for t in at if len(t) >= 24]
+    want = {}
+    for w, places in maximal_repeats(texts, 24).items():
+        want[w] = {(min((d for d in at[texts[i]] if d is not None), default=None), len(at[texts[i]]), p) for i, p in places}
+    for t in texts:
+        if len(at[t]) > 1:
+            want.setdefault(t, {(min((d for d in at[t] if d is not None), default=None), len(at[t]), 0)})
+    reach = 96
+    got, cut = {}, set()
+    for r in repeats.repeat_groups(H.docs(spark, rows), length=24, k=8, reach=reach).collect():
+        got.setdefault(r.group_id, []).append((r.doc_id, r.copies, r.start))
+        if r.cut:
+            cut.add(r.group_id)
+    ids = {repeats.xxhash.xxh3_128_hexdigest(w): w for w in want}
+    assert len(want) > 20
+    assert {ids[g] for g in got if g not in cut} >= {w for w in want if len(w) < reach}
+    for g, places in got.items():
+        assert len(places) == len(set(places))
+        if g not in cut:
+            assert set(places) == want[ids[g]]
+
+
+def test_groups_of_hot_anchors_come_in_parts(spark):
+    rows = planted(3)
+    got = repeats.repeat_groups(H.docs(spark, rows), length=24, k=8, reach=96, unit_rows=2).collect()
+    # the rows' bytes in a group are the bytes that remove_repeats takes
+    gone = {}
+    for r in got:
+        gone.setdefault((r.doc_id, r.copies), set()).update(range(r.start, r.start + r.n_bytes))
+    by_text = {}
+    for d, t in rows:
+        by_text.setdefault((t or "").encode(), []).append(d)
+    taken = H.removed([t.encode() if t else b"" for _, t in rows], 24)
+    for (_, t), g in zip(rows, taken):
+        ids = by_text[(t or "").encode()]
+        key = (min((d for d in ids if d is not None), default=None), len(ids))
+        assert set(np.flatnonzero(g).tolist()) <= gone.get(key, set())
+    assert repeats.repeat_groups(H.docs(spark, [])).count() == 0
