@@ -7,8 +7,12 @@ differ by more than the radius. To keep the number of tiles from growing with
 the square of the corpus, fingerprints meet only where they share one of
 ``radius + 1`` bit blocks: two that differ in at most ``radius`` bits agree on
 at least one whole block, so no link is lost. A block value shared by more
-fingerprints than a task should hold is cut into tiles, and each pair of tiles
-within the radius becomes a unit of its own.
+fingerprints than a task should hold is split once more by the same rule: the
+bits outside the block form ``radius + 1`` parts, of which two linked
+fingerprints share one, so each fingerprint is copied as many times, whatever
+the size of the block. Only where both values are shared by too many is the
+set cut into tiles, as many as each population count needs, and each pair of
+tiles within the radius becomes a unit of its own.
 
 Links inside one unit are reduced to a spanning forest before they leave the
 task, so a cluster of many near copies costs rows in proportion to its size.
@@ -68,10 +72,17 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     return src.mapInArrow(make, "doc_id long, fp long")
 
 
-def blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, bits) of radius + 1 blocks that cover the 64 bits."""
-    cuts = [round(64 * i / (radius + 1)) for i in range(radius + 2)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+def blocks(radius: int, bits: list[int] | None = None) -> list[list[int]]:
+    """``radius + 1`` blocks (lists of bits) of the 64 bits, or of ``bits``."""
+    bits = list(range(64)) if bits is None else bits
+    cuts = [round(len(bits) * i / (radius + 1)) for i in range(radius + 2)]
+    return [bits[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _mask(bits: list[int]) -> int:
+    """The bits as a signed long."""
+    m = sum(1 << b for b in bits)
+    return m - (1 << 64) if m >> 63 else m
 
 
 def _links(a: np.ndarray, b: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,9 +129,6 @@ def _edges(batches_of_units, radius):
 def links(fps: DataFrame, radius: int, unit_rows: int = 20_000) -> DataFrame:
     """Spanning links (u, v) between distinct fingerprints ``fp`` that differ
     in at most ``radius`` bits; their components are those of all links."""
-    def value(shift: int, bits: int):
-        return F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << bits) - 1))
-
     def by_unit(batches):
         def units():
             for _, t in runs(batches, "unit"):
@@ -129,31 +137,48 @@ def links(fps: DataFrame, radius: int, unit_rows: int = 20_000) -> DataFrame:
                 yield (fp, None) if not side.any() else (fp[side < 2], fp[side == 2])
         yield from _edges(units(), radius)
 
+    def units_of(keyed, name):
+        """(units of the values that a task holds, rows of the others)."""
+        sizes = written(keyed.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), name)
+        small, large = sizes.where(F.col("n") <= unit_rows), sizes.where(F.col("n") > unit_rows)
+        n_small, n_large = small.count(), large.count()
+        plain = (keyed.join(small_side(small, n_small), ["block", "value"])
+                 .select("fp", F.concat_ws("/", "block", "value").alias("unit"), F.lit(0).alias("side")))
+        return plain, keyed.join(small_side(large, n_large), ["block", "value"]) if n_large else None
+
+    def keys(masks):
+        return F.explode(F.array(*[F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(m)).alias("value")) for i, m in masks]))
+
     parts = blocks(radius)
-    keyed = fps.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("block"), value(s, n).alias("value")) for i, (s, n) in enumerate(parts)])).alias("k")
-    ).select("fp", "k.block", "k.value")
-    sizes = written(keyed.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "block-sizes")
-    large = sizes.where(F.col("n") > unit_rows)
-    n_small, n_large = sizes.where(F.col("n") <= unit_rows).count(), large.count()
-    plain = (keyed.join(small_side(sizes.where(F.col("n") <= unit_rows), n_small), ["block", "value"])
-             .select("fp", F.concat_ws("/", "block", "value").alias("unit"), F.lit(0).alias("side")))
-    todo = plain
-    if n_large:
-        # tiles of a large block value: fingerprints of one population count,
-        # cut by a hash; a unit is a pair of tiles within the radius
-        hot = (keyed.join(small_side(large, n_large), ["block", "value"])
-               .withColumn("cuts", F.ceil(F.col("n") / unit_rows).cast("int"))
-               .withColumn("pop", F.bit_count("fp")).withColumn("cut", F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int")))
-        other = hot.select("fp", "block", "value", "pop", "cut", "cuts",
-                           F.explode(F.sequence(F.col("pop") - radius, F.col("pop") + radius)).alias("pop2"))
-        other = other.where("pop2 between 0 and 64").select("*", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut2"))
-        mine, theirs = F.struct("pop", "cut"), F.struct(F.col("pop2").alias("pop"), F.col("cut2").alias("cut"))
+    keyed = fps.select("fp", keys([(str(i), _mask(p)) for i, p in enumerate(parts)]).alias("k")).select("fp", "k.block", "k.value")
+    todo, hot = units_of(keyed, "block-sizes")
+    if hot is not None:
+        # the bits outside the shared block, in parts of their own
+        inner = F.array(*[F.array(*[
+            F.struct(F.concat(F.lit(f"{i}."), F.lit(str(j))).alias("block"), F.col("fp").bitwiseAND(F.lit(_mask(p + q))).alias("value"))
+            for j, q in enumerate(blocks(radius, [b for b in range(64) if b not in p]))]) for i, p in enumerate(parts)])
+        deep = hot.select("fp", F.explode(F.element_at(inner, F.col("block").cast("int") + 1)).alias("k")).select("fp", "k.block", "k.value")
+        plain, hot = units_of(written(deep, "split-blocks"), "split-block-sizes")
+        todo = todo.unionByName(plain)
+    if hot is not None:
+        # tiles: fingerprints of one population count, cut by a hash; a unit
+        # is a pair of tiles within the radius
+        hot = hot.withColumn("pop", F.bit_count("fp"))
+        counts = written(hot.groupBy("block", "value", "pop").agg(F.ceil(F.count(F.lit(1)) / unit_rows).cast("int").alias("cuts")), "tile-counts")
+        n_counts = counts.count()
+        near = (counts.select("block", "value", F.col("pop").alias("pop2"), F.col("cuts").alias("cuts2"),
+                              F.explode(F.sequence(F.col("pop") - radius, F.col("pop") + radius)).alias("pop"))
+                .join(counts, ["block", "value", "pop"])
+                .groupBy("block", "value", "pop", "cuts").agg(F.collect_list(F.struct("pop2", "cuts2")).alias("near")))
+        mine, theirs = F.struct("pop", "cut"), F.struct(F.col("t.pop2").alias("pop"), F.col("cut2").alias("cut"))
         lo, hi = F.least(mine, theirs), F.greatest(mine, theirs)
-        pairs = other.select(
+        pairs = (hot.join(small_side(near, n_counts), ["block", "value", "pop"])
+                 .withColumn("cut", F.pmod(F.xxhash64("fp"), F.col("cuts")).cast("int"))
+                 .select("fp", "block", "value", "pop", "cut", F.explode("near").alias("t"))
+                 .select("*", F.explode(F.sequence(F.lit(0), F.col("t.cuts2") - 1)).alias("cut2")))
+        todo = todo.unionByName(pairs.select(
             "fp", F.concat_ws("/", "block", "value", lo["pop"], lo["cut"], hi["pop"], hi["cut"]).alias("unit"),
-            F.when(mine == theirs, 0).when(mine == lo, 1).otherwise(2).alias("side"))
-        todo = plain.unionByName(pairs)
+            F.when(mine == theirs, 0).when(mine == lo, 1).otherwise(2).alias("side")))
     return (todo.repartition("unit").sortWithinPartitions("unit").mapInArrow(by_unit, "u long, v long")).distinct()
 
 

@@ -59,13 +59,29 @@ def test_large_blocks_are_cut_and_lose_no_link(spark):
     links = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4]
     want = H.reachable(range(len(fps)), links)
     df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
-    for unit in (20, 100_000):
+    for unit in (3, 20, 100_000):
         got = {(r.u & (1 << 64) - 1, r.v & (1 << 64) - 1) for r in simhash.links(df, 4, unit_rows=unit).collect()}
         at = {f: i for i, f in enumerate(fps)}
         assert all((a ^ b).bit_count() <= 64 for a, b in got)
         assert H.reachable(range(len(fps)), [(at[a], at[b]) for a, b in got]) == want
 
 
+def test_copies_of_a_fingerprint_do_not_grow_with_its_block(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    seen = []
+    inner = simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df, name: seen.append((name, inner(df, name))) or seen[-1][1])
+    for n in (2000, 16_000):
+        # one block is equal for all, the other bits are random
+        fps = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) & ~np.uint64(0x1FFF))
+        df = spark.createDataFrame([(int(f),) for f in fps.tolist()], "fp long")
+        seen.clear()
+        simhash.links(df, 4, unit_rows=200).count()
+        tables = dict(seen)
+        assert tables["split-blocks"].groupBy("fp").count().agg({"count": "max"}).first()[0] <= 25
+        assert "tile-counts" not in tables
+
+
 def test_deduplicate_keeps_one_of_a_group_and_all_columns(spark):
     rows = [(3, "a b c d e f g"), (2, "A b c  d e f g"), (5, "quite another text of words"), (None, "a b c d e f g"), (5, "a b c d e f g")]
     d = H.docs(spark, rows)
