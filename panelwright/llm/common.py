@@ -54,6 +54,21 @@ def small_side(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= bound else df
 
 
+def having(rows: DataFrame, counted: DataFrame, keys: list[str], hot_rows: int = 10_000) -> DataFrame:
+    """Rows of ``rows`` whose keys are in ``counted`` (the keys and ``n``, the
+    rows that have them). Keys of more than ``hot_rows`` rows and of more than
+    a 100,000th of all, of which there are less than 100,000, are broadcast,
+    so their rows stay where they are; the others meet in a shuffle join."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    bound = max(hot_rows, total // 100_000)
+    hot = counted.where(F.col("n") > bound).select(*keys)
+    if hot.isEmpty():
+        return rows.join(counted.select(*keys), keys, "left_semi")
+    hot = F.broadcast(hot)
+    rest = rows.join(hot, keys, "left_anti").join(counted.where(F.col("n") <= bound).select(*keys), keys, "left_semi")
+    return rows.join(hot, keys, "left_semi").unionByName(rest)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """(row, doc_id, text): every column of ``docs`` kept in ``row``, out of
     the way of an operator's own column names."""

@@ -49,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, columns, lean, runs, small_side, store, text_of, written
+from .common import bounded_batches, columns, having, lean, runs, small_side, store, text_of, written
 
 K = 50                       # bytes of an anchor's k-gram
 _P = 0x9E3779B97F4A7C15 | 1  # odd, invertible modulo 2**64
@@ -376,8 +376,8 @@ def _repeated(texts: DataFrame, length: int, k: int, reach: int) -> tuple[DataFr
     """Step 2: (marks of the anchors that repeat, their distinct contexts).
     Anchors that occur once go first, before anything wide is moved."""
     marks = written(texts.select("rid", "text").mapInArrow(_anchor_rows(length, k, reach), "anchor long, ctx long, rid long, pos int"), "anchors")
-    again = written(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated-anchors")
-    marks = written(marks.join(again, "anchor", "left_semi"), "repeated-marks")
+    again = written(marks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-anchors")
+    marks = written(having(marks, again, ["anchor"]), "repeated-marks")
     contexts = written(marks.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "pos")).alias("one")), "contexts")
     return marks, contexts
 
@@ -401,7 +401,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, k: int = K, unit_rows: in
     src = _source(docs)
     copies, n_copies, texts, places = _numbered(src, length)
     marks, contexts = _repeated(texts, length, k, length)
-    whole = (marks.join(contexts.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"], "left_semi")
+    whole = (having(marks, contexts.where("n > 1").select("anchor", "ctx", "n"), ["anchor", "ctx"])
              .select("rid", (F.col("pos") - (length - k)).cast("long").alias("lo"), (F.col("pos") + length).cast("long").alias("hi")))
 
     # 3. repeated anchors with different contexts

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from panelwright.llm import queries, repeats
+from panelwright.llm.common import having
 from panelwright.sources.tables import read_table
 
 from ..conftest import SF_SMALL
@@ -61,6 +62,18 @@ def test_repeated_rows_stay_one_row_each(spark):
     assert H.bag(repeats.remove_repeats(H.docs(spark, rows), length=24, k=8, unit_rows=2)) == expected(rows, 24)
 
 
+def test_rows_of_frequent_keys_are_not_shuffled(spark):
+    rows = spark.range(3000).selectExpr("id % 7 * (id % 2) as a", "id")
+    counted = rows.groupBy("a").count().withColumnRenamed("count", "n").where("a <> 3")
+    want = sorted(r.id for r in rows.where("a <> 3").collect())
+    for hot in (100, 1000, 10_000):
+        got = having(rows, counted, ["a"], hot_rows=hot)
+        assert sorted(r.id for r in got.collect()) == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert ("LeftAnti" in plan) == (hot < 10_000)
+    assert having(rows.limit(0), counted.limit(0), ["a"]).count() == 0
+
+
 def test_intervals():
     words = sorted([b"banana", b"band", b"ban", b"bandit", b"can", b"cane"])
     lcp = np.array([len(next((a[:i] for i in range(min(len(a), len(b)), -1, -1) if a[:i] == b[:i]))) for a, b in zip(words, words[1:])])
