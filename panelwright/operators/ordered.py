@@ -51,8 +51,19 @@ def _with_chunks(rows: DataFrame, spec: PanelSpec, n_max: int, n_hot: int) -> Da
     # (checked from the hot-key count), else a join left to AQE
     small = n_hot * math.ceil(n_max / spec.skew.chunk_rows) * 64 <= BOUNDS_BROADCAST_BYTES
     out = rows.join(F.broadcast(bounds) if small else bounds, keys, "left")
-    at = spec.order_struct()
-    return out.withColumn("_chunk", F.coalesce(F.size(F.filter("_bounds", lambda x: x < at)), F.lit(0))).drop("_bounds")
+    return out.withColumn("_chunk", F.coalesce(_below("_bounds", spec.order_struct()), F.lit(0))).drop("_bounds")
+
+
+def _below(sorted_: str, at: Column) -> Column:
+    """How many elements of a sorted array are less than ``at``, by binary
+    search: a row's cost grows with the logarithm of its group's chunks."""
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        less = F.get(sorted_, mid) < at
+        return F.struct(F.when(less, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(less, acc["hi"]).otherwise(mid).alias("hi"))
+    size = F.size(sorted_)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+    return F.when(size > 0, F.aggregate(steps, F.struct(F.lit(0).alias("lo"), size.alias("hi")), halve)["lo"])
 
 
 def ordered_apply(df: DataFrame, spec: PanelSpec,

@@ -169,3 +169,16 @@ def test_first_file_and_unparsed_cells(spark, tmp_path):
     assert rows == [(1, None, "1,3_"), (2, 4, None)]
     with pytest.raises(PanelLoadError):
         read_panel_csv(spark, str(tmp_path / "none"), schema)
+
+
+def test_chunk_of_a_row_by_binary_search(spark):
+    rows = [(n, x) for n in (None, 0, 1, 2, 3, 7, 8, 100, 127, 128) for x in (None, -1, 0, 1, 5, 6, 7, 50, 199, 200, 400)]
+    df = spark.createDataFrame(rows, "n int, x int").withColumn(
+        "b", F.when(F.col("n") == 0, F.array().cast("array<struct<x:int,s:string>>"))
+        .when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), "n"), lambda i: F.struct(
+            F.when(i > 1, F.floor(i / 2) * 2).cast("int").alias("x"), F.when(i % 3 > 0, "k").alias("s")))))
+    df = df.withColumn("b", F.array_sort("b"))
+    at = F.struct(F.col("x"), F.lit("k").alias("s"))
+    got = df.select(F.coalesce(ordered._below("b", at), F.lit(0)).alias("got"),
+                    F.greatest(F.size(F.filter("b", lambda e: e < at)), F.lit(0)).alias("want")).collect()
+    assert len(got) == len(rows) and all(r.got == r.want for r in got)
