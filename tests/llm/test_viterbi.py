@@ -72,7 +72,6 @@ def test_query_decodes_every_text(spark):
     assert {r.doc_id for r in got} == set(rows)
     for r in got:
         assert r.decoded_sha256 == H.sha((rows[r.doc_id] or "").encode())
-    for r in got[:8]:
         ids = slow(p, rows[r.doc_id])
         assert (r.n_tokens, r.ids_crc32) == (len(ids), H.crc(ids))
 
