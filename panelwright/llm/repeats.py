@@ -472,7 +472,11 @@ def _groups(length: int, k: int, reach: int):
             whole = ((len(left[i]), len(right[i]), [i]) for i in range(len(own)) if not own[i])
             for before, after, at in (*whole, *maximal(left, right, length, reach, k)):
                 text = left[at[0]][:before][::-1] + right[at[0]][:after]
-                gid, cut = xxhash.xxh3_128_digest(text), before == reach - k or after == reach
+                cut = before == reach - k or after == reach
+                # in a periodic string the anchor comes again and again: the first one tells of it
+                if not cut and text.find(right[at[0]][:k]) < before:
+                    continue
+                gid = xxhash.xxh3_128_digest(text)
                 for i in at:
                     out.append((rid[i], pos[i], own[i], gid, before, len(text), cut))
                 if len(out) >= 20_000:
