@@ -8,7 +8,9 @@ can start a later piece, so when the backpointer paths of all of them meet in
 one boundary, the ids up to it are final and are committed, and the window
 moves on. Where the vocabulary has no piece across a word start, every word
 start is such a meeting point; words are then encoded on their own and the
-ids of recent short words are kept in a bounded table.
+ids of recent short words are kept in a bounded table. A word shorter than the
+window never commits early: its best path is found in one pass over a tree of
+the pieces' characters.
 
 Blanks become U+2581 and one is put before the text, as the vocabulary's
 normaliser does; decoding undoes both (a U+2581 of the text itself decodes as
@@ -19,6 +21,7 @@ through the same window; repeated rows and null ids are kept as they come.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +73,26 @@ class Pieces:
         #: words of a blanks-first text; a character in no longer piece is a word
         self.words = re.compile((f"[{inner}]|" if lone else "") + f" *[^ {inner}]+| +")
         self.kept: dict[str, bytes] = {}
+        self.window = 4 * self.longest
+        self.tree = self._tree()
+
+    def _tree(self) -> dict:
+        """Character -> (later characters or None, score or None, id) of the
+        piece read so far; a first character that is no piece is unknown."""
+        root: dict = {}
+        for p, i in self.ids.items():
+            node = root
+            for c in p[:-1]:
+                edge = node.setdefault(c, [{}, None, -1])
+                if edge[0] is None:
+                    edge[0] = {}
+                node = edge[0]
+            edge = node.setdefault(p[-1], [None, None, -1])
+            edge[1], edge[2] = self.score[p], i
+        for edge in root.values():
+            if edge[1] is None:
+                edge[1] = self.unknown
+        return root
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -82,7 +105,8 @@ class Pieces:
         for w in self.words.findall(text):
             ids = kept.get(w)
             if ids is None:
-                ids = self._stream(w.replace(" ", SPACE))
+                spaced = w.replace(" ", SPACE)
+                ids = self._short(spaced) if len(w) < self.window else self._stream(spaced)
                 if len(w) <= KEPT_CHARS:
                     if len(kept) >= KEPT_WORDS:
                         kept.clear()
@@ -90,6 +114,29 @@ class Pieces:
             out.append(ids)
         return b"".join(out)
 
+    def _short(self, text: str) -> bytes:
+        """As :meth:`_stream` for a text that ends within the window."""
+        n, tree, strange = len(text), self.tree, (None, self.unknown, -1)
+        best, back, ident = [float("-inf")] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        for lo in range(n):
+            base, at = best[lo], lo
+            node, v, i = tree.get(text[lo], strange)
+            while True:
+                at += 1
+                # ends are met by their longest piece first, which wins when equal
+                if v is not None and (v := base + v) > best[at]:
+                    best[at], back[at], ident[at] = v, lo, i
+                if node is None or at == n or (edge := node.get(text[at])) is None:
+                    break
+                node, v, i = edge
+        out, at = [], n
+        while at:
+            lo, i = back[at], ident[at]
+            out += [i] if i >= 0 else [self.byte_id[x] for x in reversed(text[lo:at].encode("utf-8", "surrogatepass"))]
+            at = lo
+        return struct.pack(f"<{len(out)}I", *reversed(out))
+
     def _stream(self, text: str) -> bytes:
         s, out = StreamingViterbi(self), []
         for lo in range(0, len(text), 4096):
@@ -113,7 +160,7 @@ class StreamingViterbi:
         self.text = ""                 # from the committed boundary on
         self.best = [0.0]              # score of the best path to each boundary
         self.back = [0]                # start of its last piece
-        self.check = 4 * pieces.longest
+        self.check = pieces.window
         self.widest = 0                # most characters ever held (for tests)
 
     def feed(self, chars: str) -> list[int]:

@@ -52,6 +52,16 @@ def test_random_texts(t):
     assert p.decode(got).decode() == t
 
 
+def test_short_words_are_found_in_one_pass(pieces, monkeypatch):
+    rng = np.random.default_rng(3)
+    for n in range(1, pieces.window):
+        t = "".join(rng.choice(list("▁▁abetnhoi\n.é漢😀"), n))
+        assert pieces._short(t) == pieces._stream(t), t
+    monkeypatch.setattr(pieces, "kept", {})
+    monkeypatch.setattr(viterbi.Pieces, "_stream", lambda self, text: pytest.fail("streamed a short word"))
+    assert pieces.encode("the  unlikeliest wrods é漢\n")
+
+
 def test_window_stays_bounded_without_word_starts(pieces):
     rng = np.random.default_rng(1)
     t = "".join(rng.choice(list("etaoinshrdlu"), 20_000))
