@@ -68,3 +68,28 @@ def test_empty_and_unlabelled_rows(spark):
 def test_training_ends_without_improvement(spark):
     made = minibatch.fit(table(spark, 300), ["id"], [4, 5, 3], epochs=40, rate=1e-30, patience=2)
     assert len(made.losses) <= 40
+
+
+def test_long_epochs_are_one_job_each(spark, monkeypatch):
+    calls, summed = [], minibatch._summed
+    monkeypatch.setattr(minibatch, "_summed", lambda *a: calls.append(1) or summed(*a))
+    d = table(spark)
+    train, test = d.where("id % 4 > 0"), d.where("id % 4 = 0")
+    made = minibatch.fit(train, ["id"], [4, 16, 16, 3], epochs=10, rate=0.02, batch_rows=200)
+    assert len(calls) == len(made.losses) <= 11
+    again = minibatch.fit(train, ["id"], [4, 16, 16, 3], epochs=10, rate=0.02, batch_rows=200)
+    assert np.allclose(made.network.flat(), again.network.flat()) and min(made.losses) < 0.8 * made.losses[0]
+    right, n = made.score(test).agg(F.count_if(F.col("prediction") == F.col("label")), F.count(F.lit(1))).first()
+    most = test.groupBy("label").count().agg(F.max("count")).first()[0]
+    assert right / n > most / n + 0.2
+
+
+def test_packed_blocks_hold_each_row_once(spark):
+    rows = [(b, [float(b), float(i)], i) for b, size in ((-1, 5000), (0, 2048), (1, 1), (2, 3000)) for i in range(size)]
+    d = spark.createDataFrame(rows, "batch int, x array<double>, y int").repartition(1).sortWithinPartitions("batch", "y")
+    got = []
+    for r in d.mapInArrow(minibatch._packed, "batch int, x binary, y binary").collect():
+        x, y = np.frombuffer(r.x).reshape(-1, 2), np.frombuffer(r.y, "i4")
+        assert len(x) == len(y) <= minibatch.BLOCK_ROWS and (x[:, 0] == r.batch).all() and (x[:, 1] == y).all()
+        got += [(r.batch, int(i)) for i in y]
+    assert got == [(b, i) for b, _, i in rows]
