@@ -28,6 +28,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def cached_frames_end_with_their_module():
+    """A module's cached frames do not reach the tests that look for leftovers."""
+    yield
+    s = SparkSession.getActiveSession()
+    if s is not None:
+        s.catalog.clearCache()
+
+
 def rows(df, *cols):
     cols = cols or df.columns
     return [tuple(r[c] for c in cols) for r in df.collect()]

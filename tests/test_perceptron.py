@@ -14,7 +14,7 @@ def rows(spark, n=3000):
     x = rng.normal(size=(n, 4))
     y = (x[:, 0] * x[:, 1] > 0).astype(int) + (x[:, 2] > 1)
     made = spark.createDataFrame([([float(v) for v in a], float(c)) for a, c in zip(x, y)], "a array<double>, label double")
-    return made.repartition(3).select(array_to_vector("a").alias("features"), "label").cache()
+    return made.repartition(3).select(array_to_vector("a").alias("features"), "label")
 
 
 @pytest.mark.parametrize("steps", [0, 1, 12])
@@ -24,7 +24,6 @@ def test_weights_are_those_of_spark_ml(spark, steps):
     want, got = mlp.fit(feats), perceptron.fit(mlp, feats)
     assert np.allclose(want.weights.toArray(), got.weights.toArray(), rtol=0, atol=1e-7)
     assert [r.prediction for r in got.transform(feats).collect()] == [r.prediction for r in want.transform(feats).collect()]
-    feats.unpersist()
 
 
 def test_gradient_matches_differences():
