@@ -227,3 +227,22 @@ def test_point_repair_nulls_the_named_cells_before_the_fills(spark, raw):
     wrong = raw.withColumn("Num_Credit_Card", F.when(F.col("ID") == "0xB03", 5).otherwise(F.col("Num_Credit_Card")))
     out = {r["ID"]: r for r in cp.clean(wrong, cp.CreditOptions(point_repairs=repairs)).collect()}
     assert out["0xB03"]["Num_Credit_Card"] == 4 and out["0xB05"]["Occupation"] == "Teacher"
+
+
+def test_group_work_is_done_once_and_rows_are_ordered_once(spark):
+    """The last job reads the written panel: medians, income and salary are
+    in it, one order of the rows serves every fill, and modes take one column."""
+    from panelwright.sources import derived as dv
+    text = cp.clean(dv.credit_panel_raw(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in text and "ExistingRDD" not in text and "Window [percentile" not in text
+    # the fills, the anchor and one narrow window for each of four modes
+    assert text.count("Window [") == 6 and text.count("_pos#") and len([x for x in text.splitlines() if "Sort [" in x and "_pos#" in x]) == 1
+
+
+def test_rows_without_a_customer_meet_nobody(spark, raw):
+    """A customer named by an empty text is one; a missing customer is none."""
+    some = raw.where(F.col("ID").isin("0xA00", "0xA01")).withColumn("Customer_ID", F.when(F.col("ID") == "0xA00", F.lit("")))
+    named = raw.where("ID = '0xB05'").withColumns({"Customer_ID": F.lit(""), "Month": F.lit("February"), "Occupation": F.lit("Cook")})
+    out = {r["ID"]: r for r in cp.clean(some.unionByName(named)).collect()}
+    assert len(out) == 3 and out["0xA01"]["Customer_ID"] is None and out["0xA01"]["Occupation"] is None
+    assert out["0xA00"]["Customer_ID"] == out["0xB05"]["Customer_ID"] == ""
