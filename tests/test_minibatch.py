@@ -93,3 +93,26 @@ def test_packed_blocks_hold_each_row_once(spark):
         assert len(x) == len(y) <= minibatch.BLOCK_ROWS and (x[:, 0] == r.batch).all() and (x[:, 1] == y).all()
         got += [(r.batch, int(i)) for i in y]
     assert got == [(b, i) for b, _, i in rows]
+
+
+def test_long_epochs_keep_matrices_in_single_precision(spark, monkeypatch):
+    """Half the bytes a block, and few of them at once; the losses stay close to those in double precision."""
+    sizes, made = [], minibatch.materialize
+    monkeypatch.setattr(minibatch, "materialize", lambda d: sizes.append(made(d)) or sizes[-1])
+    d = table(spark, 3000)
+    fitted = minibatch.fit(d, ["id"], [4, 16, 3], epochs=1, rate=0.02, batch_rows=200)
+    blocks = sizes[0].selectExpr("length(x) AS x", "length(y) AS y").collect()
+    assert sum(r.y for r in blocks) == 3000 * 4 and all(r.x == r.y * 4 for r in blocks)
+    start = Network.start([4, 16, 3], 42)
+    held = [r for r in d.where(F.pmod(minibatch.seeded_hash(["id"], 42), F.lit(5)) == 0).collect()]
+    want = start.loss(np.array([r.features for r in held]), np.array([r.label for r in held])) / len(held)
+    assert abs(fitted.losses[0] - want) < 1e-6
+
+
+def test_a_network_uses_its_arrays_again_without_mixing_blocks():
+    rng, net = np.random.default_rng(3), Network.start([3, 5, 4, 3], 1)
+    for n in (9, 4, 12, 1):
+        x, y = rng.normal(size=(n, 3)), rng.integers(0, 3, n)
+        got, alone = net.gradient(x, y), Network.start([3, 5, 4, 3], 1).gradient(x, y)
+        assert got[0] == alone[0] and all((a == b).all() for a, b in zip(got[1], alone[1]))
+        assert net.single().gradient(x.astype("f4"), y)[1][1].dtype == np.dtype("f4")
