@@ -86,6 +86,22 @@ def test_a_pass_uses_its_arrays_again_without_mixing_blocks():
         assert loss == alone[0] and (grad == alone[1]).all()
 
 
+def test_few_blocks_go_to_a_task_and_to_python_at_once(spark, monkeypatch):
+    """Blocks of 1 MB: the file has short row groups, and a batch in Python a few blocks, however many there are."""
+    n, seen = 24, []
+    feats = spark.range(0, n * 1024, 1, 1).select(
+        array_to_vector(F.transform(F.sequence(F.lit(1), F.lit(128)), lambda i: F.rand(3) + i)).alias("features"), (F.col("id") % 3).cast("double").alias("label"))
+    table = perceptron.blocks(feats, 1024, "features", "label")
+    widths = [128, 2, 3]
+    summed = perceptron._summed
+    monkeypatch.setattr(perceptron, "_summed", lambda parts, tasks: seen.append((
+        tasks, table.mapInArrow(lambda batches: (b.select(["y"]).slice(0, 1) if b.num_rows <= 9 else 1 / 0 for b in batches), "y binary").count())) or summed(parts, tasks))
+    perceptron.objective(table, widths)(np.zeros(128 * 2 + 2 + 2 * 3 + 3))
+    tasks, batches = seen[0]
+    assert tasks > 1 and batches >= 3
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != "8m"
+
+
 def customers(spark, n, shift=0):
     return spark.range(shift, shift + n).selectExpr(
         "string(id) AS ID", "string(id % 50) AS Customer_ID", "array('Good', 'Poor', 'Standard')[int(id % 3)] AS Credit_Score",
